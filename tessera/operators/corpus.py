@@ -119,7 +119,7 @@ def adjacent_line_pairs(pages: DataFrame, is_source: Callable[[Column], Column]
     lines = html_to_lines(F.col(html_col))
 
     def entry(x, i):
-        ahead = [F.nullif(F.element_at(lines, i + 1 + k), F.lit("")) for k in range(1, horizon + 1)]
+        ahead = [F.nullif(F.try_element_at(lines, i + 1 + k), F.lit("")) for k in range(1, horizon + 1)]
         return F.struct(i.alias("line_no"), x.alias("line"), F.coalesce(*ahead).alias("next_line"))
 
     e = pages.select(id_col, F.explode(F.transform(lines, entry)).alias("e")).select(id_col, "e.*")

@@ -34,7 +34,10 @@ def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = DEFAULT_BU
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, 10000)).scalar()
     x = F.col(order_col).cast("double")
-    return df.withColumn(name, F.size(F.filter(bounds, lambda b: b < x)))
+    # the scalar subquery is projected first: it may not sit inside a lambda
+    return (df.withColumn("_bounds", bounds)
+            .withColumn(name, F.size(F.filter(F.col("_bounds"), lambda b: b < x)))
+            .drop("_bounds"))
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], partition_cols=None,
