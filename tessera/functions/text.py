@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import round_fp
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference behaviour.
 # ---------------------------------------------------------------------------
@@ -109,7 +111,7 @@ def client_id(forwarded: Column, host: Column) -> Column:
 
 def fused_confidence(a: Column, b: Column) -> Column:
     """A10: mean of two confidences rounded to 3 digits."""
-    return F.round((a + b) / 2.0, 3)
+    return round_fp((a + b) / 2.0, 3)
 
 
 def html_to_lines(html: Column) -> Column:

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import round_fp
+
 from tessera.functions.text import clean_gloss, primary_gloss, strip_ws, word_tokens
 
 # Inflection suffixes tried in this list order (first stem found wins).
@@ -190,7 +192,7 @@ def translate_requests(requests: DataFrame, breakdown: DataFrame, model_scores:
     return r.select(
         F.col(id_col), F.col(text_col),
         clean_gloss(english).alias("english"),
-        F.round(conf, 3).alias("confidence"),
+        round_fp(conf, 3).alias("confidence"),
         F.size(used_bd).cast("bigint").alias("n_tokens"),
         F.size(F.filter(used_bd, lambda x: x["found"])).cast("bigint").alias("found_tokens"),
         corrected_text(used_bd).alias("corrected_text"),

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import round_fp
+
 from tessera.plans.scale import neighbour
 
 
@@ -28,7 +30,7 @@ def oov_rate(tokens: DataFrame, lex: DataFrame, by: Sequence[str] = (), token_co
                              .cast("bigint").alias("oov_tokens"))
     rate = F.when(F.col("total_tokens") > 0, F.col("oov_tokens") / F.col("total_tokens")).otherwise(0.0)
     if round_to is not None:
-        rate = F.round(rate, round_to)
+        rate = round_fp(rate, round_to)
     vocab_size = lex.select(F.countDistinct(F.lower("term"))).scalar()
     return agg.select(*by, "total_tokens", "oov_tokens", rate.alias("oov_rate"),
                       vocab_size.cast("bigint").alias("vocab_size"))
@@ -45,7 +47,7 @@ def distribution_stats(df: DataFrame, col: str, by: Sequence[str] = (), digits:
         p25, p75 = F.percentile(x, 0.25), F.percentile(x, 0.75)
     else:
         p25, p75 = F.percentile_approx(x, 0.25, 10000), F.percentile_approx(x, 0.75, 10000)
-    r = lambda c: F.round(F.coalesce(c, F.lit(0.0)), digits)
+    r = lambda c: round_fp(F.coalesce(c, F.lit(0.0)), digits)
     return df.groupBy(*by).agg(
         r(F.avg(x)).alias("mean"), r(F.stddev_pop(x)).alias("std"),
         r(p25).alias("p25"), r(p75).alias("p75"),
@@ -58,11 +60,11 @@ def media_summary(df: DataFrame, duration_col: str = "duration_s", by: Sequence[
     d = F.col(duration_col).cast("double")
     return df.groupBy(*by).agg(
         F.count(d).cast("bigint").alias("count"),
-        F.round(F.sum(d), 2).alias("total_duration_s"),
-        F.round(F.avg(d), 3).alias("mean_duration_s"),
-        F.round(F.stddev_pop(d), 3).alias("std_duration_s"),
-        F.round(F.min(d), 3).alias("min_duration_s"),
-        F.round(F.max(d), 3).alias("max_duration_s"))
+        round_fp(F.sum(d), 2).alias("total_duration_s"),
+        round_fp(F.avg(d), 3).alias("mean_duration_s"),
+        round_fp(F.stddev_pop(d), 3).alias("std_duration_s"),
+        round_fp(F.min(d), 3).alias("min_duration_s"),
+        round_fp(F.max(d), 3).alias("max_duration_s"))
 
 
 def speaker_counts(df: DataFrame, speaker_col: str = "speaker", term_col: str = "term",

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from tessera.functions.numeric import round_fp
 from pyspark.sql import types as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +31,7 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            cols.append(round_fp(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

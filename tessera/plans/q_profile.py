@@ -1 +1,177 @@
-"""Registered queries."""
+"""Queries for profiles, baselines and quality metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.text import fused_confidence
+from tessera.operators import profile, quality
+from tessera.plans import bindings as B
+from tessera.plans.catalog import query
+from tessera.plans.sqlparts import LOG, PAIRS, with_
+from tessera.session import table
+
+
+def _dist_sql(src: str, by: str, x: str) -> str:
+    return f"""
+SELECT {by}, round(avg(x), 3) AS mean, round(stddev_pop(x), 3) AS std,
+       round(quantile_cont(x, 0.25), 3) AS p25, round(quantile_cont(x, 0.75), 3) AS p75,
+       round(min(x), 3) AS min, round(max(x), 3) AS max, CAST(count(x) AS BIGINT) AS count
+FROM (SELECT {by}, CAST({x} AS DOUBLE) AS x FROM {src}) GROUP BY {by}"""
+
+
+@query("a2_distribution_n_chars", _dist_sql("documents", "lang", "n_chars"))
+def a2_distribution_n_chars(spark, sf):
+    """A2: document length distribution per language."""
+    return profile.distribution_stats(table(spark, sf, "documents"), "n_chars", by=["lang"])
+
+
+@query("a2_distribution_price", _dist_sql("lineitem", "l_returnflag", "l_extendedprice"))
+def a2_distribution_price(spark, sf):
+    """A2: line price distribution per return flag."""
+    return profile.distribution_stats(table(spark, sf, "lineitem"), "l_extendedprice", by=["l_returnflag"])
+
+
+@query("a3_media_summary", r"""
+SELECT lang AS speaker, CAST(count(d) AS BIGINT) AS count, round(sum(d), 2) AS total_duration_s,
+       round(avg(d), 3) AS mean_duration_s, round(stddev_pop(d), 3) AS std_duration_s,
+       round(min(d), 3) AS min_duration_s, round(max(d), 3) AS max_duration_s
+FROM (SELECT lang, n_chars / 1000.0 AS d FROM documents) GROUP BY lang""")
+def a3_media_summary(spark, sf):
+    """A3: media duration summary per speaker (documents as a manifest)."""
+    return profile.media_summary(B.media_manifest(spark, sf), by=["speaker"])
+
+
+@query("a4_speaker_counts", r"""
+SELECT role AS speaker, CAST(count(*) AS BIGINT) AS items, CAST(count(DISTINCT conv_id) AS BIGINT) AS distinct_terms
+FROM conversations GROUP BY role""")
+def a4_speaker_counts(spark, sf):
+    """A4: items and distinct terms per speaker (conversation roles)."""
+    c = table(spark, sf, "conversations").select(F.col("role").alias("speaker"), F.col("conv_id").alias("term"))
+    return profile.speaker_counts(c)
+
+
+@query("a5_vector_moments", r"""
+SELECT CAST(dim AS INTEGER) AS dim, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, CAST(count(*) AS BIGINT) AS count
+FROM (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(0, len(embedding))) AS dim FROM embeddings)
+GROUP BY dim""")
+def a5_vector_moments(spark, sf):
+    """A5: element-wise mean/std of the embedding vectors."""
+    return profile.vector_moments(table(spark, sf, "embeddings"), "embedding")
+
+
+@query("a6_vector_bin_means", r"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, len(embedding) AS n FROM embeddings),
+b AS (SELECT vec_id, e, n, unnest(range(0, 13)) AS bin FROM v),
+s AS (SELECT vec_id, e, bin, n // 13 + CASE WHEN bin < n % 13 THEN 1 ELSE 0 END AS len,
+             bin * (n // 13) + least(bin, n % 13) AS start FROM b)
+SELECT vec_id, CAST(bin AS INTEGER) AS bin,
+       CASE WHEN len > 0 THEN list_sum(e[start + 1:start + len]) / len ELSE 0.0 END AS bin_mean FROM s""")
+def a6_vector_bin_means(spark, sf):
+    """13 near-equal bin means per embedding vector."""
+    return profile.vector_bin_means(table(spark, sf, "embeddings"), "embedding", ["vec_id"])
+
+
+@query("a7_word_error_rate", None)
+def a7_word_error_rate(spark, sf):
+    """Corpus WER of adjacent conversation turns (whole texts; checked
+    against a brute-force word DP in tests — DuckDB's levenshtein counts bytes)."""
+    return quality.word_error_rate(B.text_pairs(spark, sf))
+
+
+@query("a7_pair_errors", None)
+def a7_pair_errors(spark, sf):
+    """A7 per pair: word edits and reference words."""
+    return quality.pair_errors(B.text_pairs(spark, sf)).select("pair_id", "edits", "ref_words")
+
+
+def _bleu_tok_sql(x: str) -> str:
+    t = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    t = f"replace({t}, '<skipped>', '')"
+    t = f"replace({t}, '-' || chr(10), '')"
+    t = f"replace({t}, chr(10), ' ')"
+    for a, b in quality.BLEU_13A_ENTITIES:
+        t = f"replace({t}, '{a}', '{b}')"
+    t = f"(' ' || {t} || ' ')"
+    for pat, rep in quality.BLEU_13A_RULES:
+        t = f"regexp_replace({t}, '{pat}', '{rep.replace('$', chr(92))}', 'g')"
+    return f"list_filter(string_split_regex({t}, '\\s+'), lambda x: x <> '')"
+
+
+def _bleu_sql(by: str | None) -> str:
+    g = f"{by}, " if by else ""
+    grams = []
+    for side, col in (("h", "h"), ("r", "r")):
+        for n in range(1, 5):
+            grams.append(f"SELECT {g}pair_id, '{side}' AS side, {n} AS n, unnest(list_transform(range(0, len({col}) - {n} + 1), "
+                         f"lambda i: array_to_string({col}[i + 1:i + {n}], ' '))) AS gram FROM tok")
+    smooth, stop, logs = "1.0", "false", []
+    for n in range(1, 5):
+        tot, cor = f"total{n}", f"correct{n}"
+        stop = f"({stop} OR {tot} = 0)"
+        smooth_n = f"({smooth} * CASE WHEN {cor} = 0 THEN 2.0 ELSE 1.0 END)"
+        prec = f"(CASE WHEN {stop} THEN 0.0 WHEN {cor} = 0 THEN 100.0 / ({smooth_n} * {tot}) ELSE 100.0 * {cor} / {tot} END)"
+        smooth = f"(CASE WHEN {stop} THEN {smooth} ELSE {smooth_n} END)"
+        logs.append(f"(CASE WHEN {prec} > 0 THEN ln({prec}) ELSE -9999999999.0 END)")
+    bp = ("(CASE WHEN sys_len < ref_len THEN CASE WHEN sys_len > 0 THEN exp(1 - CAST(ref_len AS DOUBLE) / sys_len) "
+          "ELSE 0.0 END ELSE 1.0 END)")
+    score = f"{bp} * exp(({' + '.join(logs)}) / 4)"
+    join_on = f"USING ({by})" if by else "ON true"
+    return with_(PAIRS, f"""
+tok AS (SELECT {g}pair_id, {_bleu_tok_sql('reference')} AS r, {_bleu_tok_sql('hypothesis')} AS h FROM pairs),
+grams AS ({' UNION ALL '.join(grams)}),
+cnt AS (SELECT {g}pair_id, side, n, gram, count(*) AS c FROM grams GROUP BY ALL),
+clip AS (SELECT {g.replace(', ', '') + ', ' if by else ''}h.n, sum(least(h.c, r.c)) AS correct
+         FROM cnt h JOIN cnt r ON r.pair_id = h.pair_id AND r.n = h.n AND r.gram = h.gram AND r.side = 'r'
+         WHERE h.side = 'h' GROUP BY {'h.' + by + ', ' if by else ''}h.n),
+piv AS (SELECT {g}{', '.join(f'coalesce(sum(correct) FILTER (WHERE n = {n}), 0) AS correct{n}' for n in range(1, 5))}
+        FROM clip {'GROUP BY ' + by if by else ''}),
+tot AS (SELECT {g}{', '.join(f'sum(greatest(len(h) - {n} + 1, 0)) AS total{n}' for n in range(1, 5))},
+        sum(len(h)) AS sys_len, sum(len(r)) AS ref_len FROM tok {'GROUP BY ' + by if by else ''}),
+s AS (SELECT * FROM tot LEFT JOIN piv {join_on})
+""").replace("clip AS (SELECT , ", "clip AS (SELECT ") + f"""
+SELECT {g}round({score} / 100.0, 4) AS bleu, round({bp}, 6) AS brevity_penalty,
+       CAST(sys_len AS BIGINT) AS sys_len, CAST(ref_len AS BIGINT) AS ref_len FROM s"""
+
+
+@query("a8_corpus_bleu", _bleu_sql(None))
+def a8_corpus_bleu(spark, sf):
+    """Corpus BLEU of adjacent conversation turns."""
+    return quality.corpus_bleu(B.text_pairs(spark, sf))
+
+
+@query("a9_sequence_confidence", r"""
+WITH s AS (SELECT label, list_max(e) AS m, e FROM (SELECT label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+lp AS (SELECT label, m - (m + ln(list_sum(list_transform(e, lambda x: exp(x - m))))) AS lp FROM s)
+SELECT label, round(least(1.0, greatest(0.0, exp(avg(lp)))), 3) AS confidence, CAST(count(*) AS BIGINT) AS steps
+FROM lp GROUP BY label""")
+def a9_sequence_confidence(spark, sf):
+    """Per-sequence confidence from step logits (embeddings as logits, label as sequence)."""
+    return quality.sequence_confidence(table(spark, sf, "embeddings"), ["label"], "embedding")
+
+
+@query("a10_fused_confidence", with_(LOG) + r"""
+SELECT event_id, round((confidence + least(latency_ms / 20000.0, 1.0)) / 2, 3) AS fused_confidence
+FROM log WHERE input_type = 'audio'""")
+def a10_fused_confidence(spark, sf):
+    """A10: fused (ASR, translation) confidence of audio requests."""
+    log = B.request_log(spark, sf).filter(F.col("input_type") == "audio")
+    nmt = F.least(F.col("latency_ms") / 20000.0, F.lit(1.0))
+    return log.select("event_id", fused_confidence(F.col("confidence"), nmt).alias("fused_confidence"))
+
+
+@query("a11_resample_linear", r"""
+WITH pts AS (SELECT event_type, epoch_us(ts) / 1000000.0 AS t, value AS v FROM events),
+seg AS (SELECT event_type, t, v, lead(t) OVER w AS nt, lead(v) OVER w AS nv, min(t) OVER (PARTITION BY event_type) AS t0
+        FROM pts WINDOW w AS (PARTITION BY event_type ORDER BY t)),
+b AS (SELECT *, CAST(ceil((t - t0) / 3600.0) AS BIGINT) AS lo,
+             CAST(CASE WHEN nt IS NULL THEN floor((t - t0) / 3600.0) ELSE ceil((nt - t0) / 3600.0) - 1 END AS BIGINT) AS hi FROM seg),
+g AS (SELECT *, unnest(CASE WHEN hi >= lo THEN range(lo, hi + 1) ELSE []::BIGINT[] END) AS step_index FROM b)
+SELECT event_type, step_index, round(t0 + step_index * 3600.0, 6) AS t,
+       round(v + coalesce(nv - v, 0.0) * CASE WHEN nt IS NULL THEN 0.0 ELSE (t0 + step_index * 3600.0 - t) / (nt - t) END, 6) AS value
+FROM g""")
+def a11_resample_linear(spark, sf):
+    """Hourly linear resampling of event values per event type."""
+    e = table(spark, sf, "events").select("event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"),
+                                          "value")
+    return profile.resample_linear(e, ["event_type"], "t", "value", 3600.0)
