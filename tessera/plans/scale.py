@@ -26,18 +26,27 @@ def _names(cols: Sequence[str] | str | None) -> list[str]:
     return list(cols)
 
 
+def _as_double(df: DataFrame, name: str) -> Column:
+    kind = dict(df.dtypes)[name]
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if kind == "date":
+        return F.unix_date(F.col(name)).cast("double")
+    return F.col(name).cast("double")
+
+
 def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = DEFAULT_BUCKETS,
                       name: str = "_bucket") -> DataFrame:
     """Add a bucket id that is monotone in ``order_col`` and roughly balanced."""
     if n_buckets <= 1:
         return df.withColumn(name, F.lit(0))
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, 10000)).scalar()
-    x = F.col(order_col).cast("double")
-    # the scalar subquery is projected first: it may not sit inside a lambda
-    return (df.withColumn("_bounds", bounds)
-            .withColumn(name, F.size(F.filter(F.col("_bounds"), lambda b: b < x)))
-            .drop("_bounds"))
+    d = df.withColumn("_ordx", _as_double(df, order_col)).withColumn("_one", F.lit(1))
+    # one row of (n_buckets - 1) doubles: a proven-small broadcast side
+    bounds = d.groupBy("_one").agg(F.percentile_approx("_ordx", qs, 10000).alias("_bounds"))
+    return (d.join(F.broadcast(bounds), "_one")
+            .withColumn(name, F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_ordx"))))
+            .drop("_bounds", "_ordx", "_one"))
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], partition_cols=None,
