@@ -1 +1,249 @@
-"""Registered queries."""
+"""Queries for lexicon loading/cleaning (L1–L17), sources (S7, S11) and U1."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.text import (
+    TERM_CHARSET,
+    canonical_form,
+    clean_gloss,
+    clean_oov_word,
+    client_id,
+    in_charset,
+    primary_gloss,
+    slug_ascii,
+    slug_speaker,
+)
+from tessera.operators import lexicon, matching, scoring
+from tessera.plans import bindings as B
+from tessera.plans.catalog import query
+from tessera.plans.q_matching import clean_sql, strip_sql
+from tessera.plans.sqlparts import LEX, REQUESTS, tokens_of, with_
+from tessera.session import table
+from tessera.sources import io
+
+
+def _raw_lexicon(spark, sf):
+    """Raw polymorphic entries derived from the lexicon: ``en`` as string, list
+    or object, or only a ``translations`` list (kind = seq mod 4)."""
+    lex = B.lexicon(spark, sf)
+    kind = F.col("seq") % 4
+    parts = F.split("gloss", "; ")
+    en = (F.when(kind == 0, F.col("gloss"))
+          .when(kind == 1, F.to_json(parts))
+          .when(kind == 2, F.to_json(F.struct(F.col("gloss").alias("en")))))
+    tr = F.when(kind == 3, F.to_json(F.transform(parts, lambda p: F.struct(p.alias("en"), F.lit("x").alias("de")))))
+    return lex.select("seq", F.col("term").alias("na'vi"), en.alias("en"), tr.alias("translations"),
+                      F.col("term_type").alias("type"))
+
+
+@query("l1_normalise_lexicon", with_(LEX) + "SELECT seq, term, gloss, term_type FROM lex")
+def l1_normalise_lexicon(spark, sf):
+    """L1: polymorphic raw entries (string / list / object gloss, translations) → flat lexicon."""
+    return lexicon.normalise_lexicon(_raw_lexicon(spark, sf))
+
+
+@query("l2_validate_lexicon", """
+SELECT CASE WHEN t = '' THEN 'empty_term' WHEN g = '' THEN 'empty_gloss' ELSE 'accepted' END AS reason,
+       CAST(count(*) AS BIGINT) AS n
+FROM (SELECT regexp_replace(coalesce(p_name, ''), '^\\s+|\\s+$', '', 'g') AS t,
+             regexp_replace(coalesce(p_type, ''), '^\\s+|\\s+$', '', 'g') AS g FROM part) GROUP BY 1""")
+def l2_validate_lexicon(spark, sf):
+    """L2: validation reasons over part rows read as lexicon entries."""
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("term"),
+                                        F.col("p_type").alias("gloss"), F.col("p_brand").alias("term_type"))
+    return lexicon.reason_counts(lexicon.validate_lexicon(p))
+
+
+@query("l3_enrich_lexicon", with_(LEX) + """
+SELECT seq, term AS navi, CASE WHEN seq % 4 = 3 THEN split_part(gloss, '; ', 1) WHEN seq % 4 = 0 THEN gloss END AS en
+FROM lex""")
+def l3_enrich_lexicon(spark, sf):
+    """L3: alternative normaliser — gloss = first translation's ``en`` (string and
+    translation-list entries shown)."""
+    out = lexicon.enrich_lexicon(_raw_lexicon(spark, sf))
+    return out.select("seq", "navi", F.when(F.col("seq") % 4 == 3, F.col("en"))
+                      .when(F.col("seq") % 4 == 0, F.col("en")).alias("en"))
+
+
+@query("l4_canonical_form", r"""
+SELECT page_id, regexp_replace(translate(url, '[]/', ''), '^\s+|\s+$', '', 'g') AS canonical FROM pages""")
+def l4_canonical_form(spark, sf):
+    """L4: canonical form (drop [ ] /, strip) of page URLs."""
+    return table(spark, sf, "pages").select("page_id", canonical_form(F.col("url")).alias("canonical"))
+
+
+def _charset_class_sql() -> str:
+    cls = "".join("\\" + c if c in "\\[]^-" else c for c in TERM_CHARSET).replace("'", "''")
+    return f"'^[{cls}]*$'"
+
+
+@query("l5_in_charset", with_(REQUESTS, f"""
+toks AS (SELECT request_id, unnest(t) AS token, unnest(range(0, len(t))) AS pos
+         FROM (SELECT request_id, {tokens_of('text')} AS t FROM requests))""") + f"""
+SELECT request_id, CAST(pos AS INTEGER) AS pos, token, regexp_matches(token, {_charset_class_sql()}) AS in_charset FROM toks""")
+def l5_in_charset(spark, sf):
+    """Term-charset check of every request token."""
+    toks = matching.tokenise(B.requests(spark, sf), "text", ["request_id"], lower=False)
+    return toks.withColumn("in_charset", in_charset(F.col("token")))
+
+
+@query("l8_explode_pronunciations", """
+SELECT 'c' || CAST(conv_id AS VARCHAR) AS term, role AS speaker, 'x' AS word_type,
+       CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) || '.mp3' AS remote_file,
+       role || '__c' || CAST(conv_id AS VARCHAR) || '__x' AS local_stem
+FROM conversations WHERE role <> 'system'""")
+def l8_explode_pronunciations(spark, sf):
+    """Conversations folded into nested pronunciation arrays, then exploded."""
+    c = table(spark, sf, "conversations")
+    audio = F.array(F.struct(
+        F.when(F.col("role") != "system", F.concat_ws("", F.col("conv_id").cast("string"), F.lit("_"),
+                                                     F.col("turn").cast("string"), F.lit(".mp3"))).alias("file"),
+        F.col("role").alias("speaker")))
+    raw = (c.groupBy("conv_id").agg(F.collect_list(F.struct(audio.alias("audio"))).alias("pronunciation"))
+           .select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("na'vi"),
+                   F.lit(None).cast("string").alias("type"), "pronunciation"))
+    return lexicon.explode_pronunciations(raw)
+
+
+@query("l9_slugs", r"""
+SELECT p_partkey,
+       p_brand || '__' || replace(regexp_replace(p_name, '[/\\:*?"<>|]', '_', 'g'), ' ', '_') || '__' ||
+       coalesce(nullif(p_type, ''), 'x') AS speaker_slug,
+       substr(trim(regexp_replace(p_name, '[^a-zA-Z0-9äìÄÌ]', '_', 'g'), '_'), 1, 100) AS ascii_slug
+FROM part""")
+def l9_slugs(spark, sf):
+    """Speaker and ASCII file slugs of part names."""
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", slug_speaker(F.col("p_name"), F.col("p_brand"), F.col("p_type")).alias("speaker_slug"),
+                    slug_ascii(F.col("p_name")).alias("ascii_slug"))
+
+
+@query("l10_slug_collisions", r"""
+SELECT slug, CAST(count(*) AS BIGINT) AS n, min(p_partkey) AS first_id, max(p_partkey) AS last_id FROM (
+  SELECT substr(trim(regexp_replace(p_name, '[^a-zA-Z0-9äìÄÌ]', '_', 'g'), '_'), 1, 100) AS slug, p_partkey FROM part)
+GROUP BY slug HAVING count(*) > 1""")
+def l10_slug_collisions(spark, sf):
+    """Slugs shared by several part names (silent overwrites made visible)."""
+    return lexicon.slug_collisions(table(spark, sf, "part"), "p_name", "p_partkey")
+
+
+@query("l11_primary_gloss", r"""
+SELECT doc_id, nullif(regexp_replace(split_part(text, ';', 1), '^\s+|\s+$', '', 'g'), '') AS primary_gloss,
+       nullif(regexp_replace(split_part(split_part(text, ';', 1), ',', 1), '^\s+|\s+$', '', 'g'), '') AS lookup_gloss
+FROM documents""")
+def l11_primary_gloss(spark, sf):
+    """Primary gloss (and the lookup variant cut at the first comma) of documents."""
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", primary_gloss(F.col("text")).alias("primary_gloss"),
+                    primary_gloss(F.col("text"), cut_comma=True).alias("lookup_gloss"))
+
+
+@query("l12_clean_gloss", f"SELECT doc_id, {clean_sql('text')} AS cleaned FROM documents")
+def l12_clean_gloss(spark, sf):
+    """Gloss clean-up applied to whole document texts."""
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", clean_gloss(F.col("text")).alias("cleaned"))
+
+
+@query("l13_clean_oov_word", f"""
+SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, word FROM (
+  SELECT conv_id, turn, pos,
+         nullif(substr(regexp_replace(lower(token), '[^\\p{{L}}\\p{{N}}ìäáéíóúñ]', '', 'g'), 1, 20), '') AS word
+  FROM (SELECT conv_id, turn, unnest(t) AS token, unnest(range(0, len(t))) AS pos
+        FROM (SELECT conv_id, turn, {tokens_of('text')} AS t FROM conversations)))
+WHERE word IS NOT NULL""")
+def l13_clean_oov_word(spark, sf):
+    """Metric-label cleaning of every conversation token."""
+    c = table(spark, sf, "conversations")
+    toks = matching.tokenise(c, "text", ["conv_id", "turn"], lower=False)
+    return (toks.select("conv_id", "turn", "pos", clean_oov_word(F.col("token")).alias("word"))
+            .filter(F.col("word").isNotNull()))
+
+
+@query("l14_validate_requests", """
+SELECT conv_id * 1000 + turn AS item_id, reason FROM (
+  SELECT conv_id, turn, CASE WHEN text IS NULL OR length(text) < 1 THEN 'text_empty'
+                             WHEN length(text) > 500 THEN 'text_too_long' END AS reason FROM conversations)
+WHERE reason IS NOT NULL""")
+def l14_validate_requests(spark, sf):
+    """Request-limit violations of conversation turns."""
+    c = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"), "text")
+    return lexicon.validate_requests(c, "item_id")
+
+
+@query("l15_media_gate", """
+SELECT page_id, CAST(CASE WHEN NOT (suffix(url, '.wav') OR suffix(url, '.mp3') OR suffix(url, '.ogg')) THEN 415
+                         WHEN length(html) > 1920000 THEN 413 ELSE 200 END AS INTEGER) AS status FROM pages""")
+def l15_media_gate(spark, sf):
+    """Upload gate (415 / 413 / 200) applied to pages as uploads."""
+    p = table(spark, sf, "pages").select("page_id", "url", F.length("html").alias("n_bytes"),
+                                         F.lit("text/html").alias("content_type"))
+    return lexicon.media_gate(p, "content_type", "url", "n_bytes").select("page_id", "status")
+
+
+@query("l16_duration_filter", """
+SELECT lang, CASE WHEN d < 0.3 THEN 'too_short' WHEN d > 10.0 THEN 'too_long' ELSE 'ok' END AS reason,
+       CAST(count(*) AS BIGINT) AS n
+FROM (SELECT lang, n_chars / 1000.0 AS d FROM documents) GROUP BY 1, 2""")
+def l16_duration_filter(spark, sf):
+    """Duration gate reasons per language (documents as media)."""
+    m = B.media_manifest(spark, sf)
+    tagged = lexicon.duration_filter(m, "duration_s")
+    return tagged.groupBy(F.col("speaker").alias("lang"), "reason").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("l17_client_id", r"""
+SELECT page_id, CASE WHEN coalesce(fwd, '') <> '' THEN regexp_replace(split_part(fwd, ',', 1), '^\s+|\s+$', '', 'g')
+                     ELSE coalesce(host, 'unknown') END AS client
+FROM (SELECT page_id, CASE WHEN starts_with(url, 'https') THEN regexp_extract(url, '://([^/:?#]+)', 1) || ', 10.0.0.1' END AS fwd,
+             nullif(regexp_extract(url, '://([^/:?#]+)', 1), '') AS host FROM pages)""")
+def l17_client_id(spark, sf):
+    """Client id from a forwarded-for header (https pages) or the host."""
+    p = table(spark, sf, "pages")
+    host = F.nullif(F.regexp_extract("url", "://([^/:?#]+)", 1), F.lit(""))
+    fwd = F.when(F.startswith("url", F.lit("https")), F.concat(F.regexp_extract("url", "://([^/:?#]+)", 1),
+                                                                F.lit(", 10.0.0.1")))
+    return p.select("page_id", client_id(fwd, host).alias("client"))
+
+
+@query("s7_recent_requests", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 500""")
+def s7_recent_requests(spark, sf):
+    """The newest 500 requests."""
+    e = io.recent_requests(table(spark, sf, "events").select("event_id", "ts"))
+    return e.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+@query("s11_only_new", """
+SELECT d.doc_id FROM documents d WHERE d.doc_id NOT IN (
+  SELECT l.doc_id FROM labels l JOIN documents x ON x.doc_id = l.doc_id WHERE x.n_chars > 100)""")
+def s11_only_new(spark, sf):
+    """Documents without a finished label (labels of ≤ 100-char documents count as missing)."""
+    d = table(spark, sf, "documents")
+    done = table(spark, sf, "labels").join(d.select("doc_id", "n_chars"), "doc_id")
+    return io.only_new(d.select("doc_id"), done, "doc_id", size_col="n_chars")
+
+
+@query("u1_score_batches", with_(REQUESTS) + f"""
+SELECT request_id, coalesce(text, '') AS model_text,
+       least(1.0, len({tokens_of("coalesce(text, '')")}) / 50.0) AS model_confidence FROM requests""")
+def u1_score_batches(spark, sf):
+    """Bring-your-own scorer over request texts (Arrow batches, model loaded per task)."""
+    req = B.requests(spark, sf)
+    return scoring.score_batches(req, scoring.length_scorer_factory(),
+                                 "request_id BIGINT, model_text STRING, model_confidence DOUBLE",
+                                 ["request_id", "text"])
+
+
+@query("j6_translate_with_model", None)
+def j6_translate_with_model(spark, sf):
+    """J6 with model scores from U1: dictionary only below the 0.4 threshold."""
+    req = B.requests(spark, sf)
+    lk = lexicon.build_lookup(B.lexicon(spark, sf))
+    scores = u1_score_batches(spark, sf)
+    return matching.translate_requests(req, matching.gloss_tokens(req, lk), scores).drop("breakdown")
+
+
+_ = (strip_sql, LEX)
