@@ -116,13 +116,15 @@ def adjacent_line_pairs(pages: DataFrame, is_source: Callable[[Column], Column]
 
     Works on each page's line array in place (lookahead by index), so it
     needs no window and no shuffle."""
-    lines = html_to_lines(F.col(html_col))
+    # the line array is projected once; the lambda only indexes into it
+    paged = pages.select(id_col, html_to_lines(F.col(html_col)).alias("_lines"))
+    lines = F.col("_lines")
 
     def entry(x, i):
         ahead = [F.nullif(F.try_element_at(lines, i + 1 + k), F.lit("")) for k in range(1, horizon + 1)]
         return F.struct(i.alias("line_no"), x.alias("line"), F.coalesce(*ahead).alias("next_line"))
 
-    e = pages.select(id_col, F.explode(F.transform(lines, entry)).alias("e")).select(id_col, "e.*")
+    e = paged.select(id_col, F.explode(F.transform(lines, entry)).alias("e")).select(id_col, "e.*")
     e = e.filter(is_source(F.col("line")))
     tgt = extract_target(F.col("next_line"))
     src = clean(F.col("line"))

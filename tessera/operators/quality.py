@@ -41,9 +41,13 @@ def _code_string(words: Column, vocab: Column) -> Column:
     return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
 
 
-def word_edit_distance(ref: Column, hyp: Column) -> Column:
-    """Word-level Levenshtein distance between two word arrays (per row, no shuffle)."""
-    vocab = F.array_distinct(F.concat(ref, hyp))
+def word_edit_distance(ref: Column, hyp: Column, vocab: Column | None = None) -> Column:
+    """Word-level Levenshtein distance between two word arrays (per row, no shuffle).
+
+    Pass ``vocab`` as an already projected column (``array_distinct(concat(ref,
+    hyp))``): an expression referenced inside a lambda is re-evaluated per element."""
+    if vocab is None:
+        vocab = F.array_distinct(F.concat(ref, hyp))
     return F.levenshtein(_code_string(ref, vocab), _code_string(hyp, vocab))
 
 
@@ -52,9 +56,10 @@ def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hy
     r, h = wer_words(F.col(ref_col)), wer_words(F.col(hyp_col))
     return (pairs.filter(strip_ws(F.coalesce(F.col(ref_col), F.lit(""))) != "")
             .withColumn("_r", r).withColumn("_h", h)
-            .withColumn("edits", word_edit_distance(F.col("_r"), F.col("_h")).cast("bigint"))
+            .withColumn("_v", F.array_distinct(F.concat("_r", "_h")))
+            .withColumn("edits", word_edit_distance(F.col("_r"), F.col("_h"), F.col("_v")).cast("bigint"))
             .withColumn("ref_words", F.size("_r").cast("bigint"))
-            .drop("_r", "_h"))
+            .drop("_r", "_h", "_v"))
 
 
 def word_error_rate(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",

@@ -44,7 +44,7 @@ def read_keyed_lexicon(spark: SparkSession, path: str) -> DataFrame:
              .when(F.startswith(t, F.lit("{")), F.array("raw")))
     entries = kv.select("key", F.posexplode(items).alias("i", "obj")).filter(F.ltrim("obj").startswith("{"))
     parsed = entries.select("key", "i", F.from_json("obj", RAW_ENTRY_SCHEMA).alias("e"),
-                            F.get_json_object("obj", "$['na\\'vi']").isNotNull().alias("_has"))
+                            F.map_contains_key(F.from_json("obj", "map<string,string>"), F.lit("na'vi")).alias("_has"))
     out = parsed.select("key", "i", "e.*", "_has")
     return (out.withColumn("na'vi", F.when(F.col("_has"), F.col("`na'vi`")).otherwise(F.col("key")))
             .withColumn("seq", F.monotonically_increasing_id()).drop("key", "i", "_has"))
