@@ -38,11 +38,15 @@ def tokenise(df: DataFrame, text_col: str, id_cols: Sequence[str], lower: bool =
              strip: bool = False) -> DataFrame:
     """Whitespace tokens with their 0-based position."""
     t = F.col(text_col)
-    if strip:
-        t = strip_ws(t)
     if lower:
         t = F.lower(t)
-    return df.select(*id_cols, F.posexplode(word_tokens(t)).alias("pos", "token"))
+    # leading whitespace is removed so that the only empty piece the split can
+    # yield is a trailing one; it is dropped by a row filter (codegen) instead
+    # of an interpreted lambda over the array.  Trailing whitespace never
+    # shifts positions, so ``strip`` needs no extra work.
+    t = F.regexp_replace(t, "^(?U)\\s+", "")
+    return (df.select(*id_cols, F.posexplode(F.split(t, "(?U)\\s+")).alias("pos", "token"))
+            .filter(F.col("token") != ""))
 
 
 def match_exact(tokens: DataFrame, lookup: DataFrame, token_col: str = "token") -> DataFrame:
