@@ -8,7 +8,7 @@ from tessera.operators import corpus, lexicon, matching, profile
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
 from tessera.plans.sqlparts import LEX, LOOKUP, REQUESTS, tokens_of, with_
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 SUFFIX_VALUES = ", ".join(f"({i}, '{s}')" for i, s in enumerate(matching.SUFFIXES))
 
@@ -70,7 +70,9 @@ breakdown AS (
 
 
 def _lookup(spark, sf):
-    return lexicon.build_lookup(B.lexicon(spark, sf))
+    """The lookup is a small dimension read by up to five branches of the
+    ladder: materialise it once (reliable checkpoint) instead of re-deriving it."""
+    return cut_lineage(lexicon.build_lookup(B.lexicon(spark, sf)))
 
 
 def _doc_tokens(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import lexicon, matching, metrics, quality
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
-from tessera.plans.q_matching import BREAKDOWN_SQL
+from tessera.plans.q_matching import BREAKDOWN_SQL, _lookup
 from tessera.plans.sqlparts import LEX, LOG, REQUESTS, tokens_of, with_
 from tessera.session import table
 
@@ -129,7 +129,7 @@ def m8_rolling_fallback_rate(spark, sf):
 
 def _breakdown_with_user(spark, sf):
     req = B.requests(spark, sf)
-    bd = matching.gloss_tokens(req, lexicon.build_lookup(B.lexicon(spark, sf)))
+    bd = matching.gloss_tokens(req, _lookup(spark, sf))
     return bd.join(req.select("request_id", "user_id"), "request_id")
 
 

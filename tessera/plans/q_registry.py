@@ -95,7 +95,19 @@ def d3_dataset_drift(spark, sf):
     return drift.dataset_drift(drift.column_drift(_emb_long(spark, sf)))
 
 
-@query("d4_drift_report", None)
+D4_SQL = (D1_CTES.rstrip() + ",\n" + D2_CTES.strip().replace("WITH lv AS", "lv AS", 1).rstrip() + "," + D3_SQL
+          + f""",
+nreq AS (SELECT CAST(count(*) FILTER (WHERE {HALF} = 'live') AS BIGINT) AS n_requests FROM documents)
+SELECT CASE WHEN n_requests = 0 THEN false
+            ELSE (live_oov > baseline_oov * (1 + 0.15)) OR coalesce(drift_share >= 0.5, false) END AS drift_detected,
+       round(baseline_oov, 6) AS baseline_oov, round(live_oov, 6) AS live_oov,
+       live_oov > baseline_oov * (1 + 0.15) AS oov_drift, n_drifted, round(drift_share, 6) AS drift_share,
+       drift_share >= 0.5 AS dataset_drift,
+       CASE WHEN n_requests = 0 THEN 'no_requests' WHEN coalesce(n_columns, 0) = 0 THEN 'insufficient_data' END AS reason
+FROM d1, d3, nreq""")
+
+
+@query("d4_drift_report", D4_SQL)
 def d4_drift_report(spark, sf):
     """Combined verdict (OOV drift or dataset drift) with reason codes."""
     d = table(spark, sf, "documents").withColumn("side", _half())
@@ -106,7 +118,28 @@ def d4_drift_report(spark, sf):
     return drift.drift_report(oov, ds, n_req)
 
 
-@query("d5_baseline_snapshot", None)
+def _d5_sql() -> str:
+    from tessera.plans.q_corpus import _split_sql
+    return with_(LEX, f"""
+sp AS ({_split_sql('lang')}),
+docs AS (SELECT d.*, sp.split FROM documents d JOIN sp USING (doc_id)),
+toks AS (SELECT unnest({tokens_of('lower(text)')}) AS token FROM docs WHERE split = 'val'),
+vocab AS (SELECT DISTINCT lower(term) AS token FROM lex),
+o AS (SELECT count(*) AS total, count(*) FILTER (WHERE v.token IS NULL) AS oov FROM toks t LEFT JOIN vocab v USING (token)),
+du AS (SELECT n_chars / 1000.0 AS x FROM docs WHERE split = 'train')""") + """
+SELECT round(CASE WHEN o.total > 0 THEN o.oov / o.total ELSE 0.0 END, 4) AS oov_rate,
+       CAST(o.total AS BIGINT) AS total_tokens, CAST(o.oov AS BIGINT) AS oov_tokens,
+       CAST((SELECT count(*) FROM vocab) AS BIGINT) AS vocab_size,
+       (SELECT round(avg(x), 3) FROM du) AS duration_mean, (SELECT round(stddev_pop(x), 3) FROM du) AS duration_std,
+       (SELECT round(quantile_cont(x, 0.25), 3) FROM du) AS duration_p25,
+       (SELECT round(quantile_cont(x, 0.75), 3) FROM du) AS duration_p75,
+       (SELECT round(min(x), 3) FROM du) AS duration_min, (SELECT round(max(x), 3) FROM du) AS duration_max,
+       (SELECT CAST(count(*) AS BIGINT) FROM du) AS duration_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM embeddings) AS vector_count
+FROM o"""
+
+
+@query("d5_baseline_snapshot", _d5_sql())
 def d5_baseline_snapshot(spark, sf):
     """Baseline document — OOV on the validation split, duration stats on the
     training split, embedding moments."""
