@@ -23,6 +23,7 @@ from tessera.operators.metrics import (
     bucket_quantile,
     rolling_rate,
 )
+from tessera.functions.numeric import epoch_micros, ntz_from_micros
 from tessera.plans.scale import global_row_number, neighbour
 from tessera.session import cut_lineage
 
@@ -53,14 +54,14 @@ P95_MAX_MS = 5000.0
 ROUTES = {"critical": ("oncall", 5, 1800), "warning": ("default", 10, 3600)}
 
 
-def slot_of(ts: str) -> Column:
+def slot_of(df: DataFrame, ts: str) -> Column:
     """Evaluation slot of a timestamp: the first evaluation at or after it."""
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = epoch_micros(df, ts)
     return F.floor((us + (EVAL_SECONDS * US - 1)) / (EVAL_SECONDS * US)).cast("bigint")
 
 
 def slot_time(slot: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(slot * EVAL_SECONDS), "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(ntz_from_micros(slot * (EVAL_SECONDS * US)), "yyyy-MM-dd HH:mm:ss")
 
 
 def _grid(slots: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def _grid(slots: DataFrame) -> DataFrame:
 def windowed_sums(log: DataFrame, window_s: int, sums: dict[str, Column], ts: str = "ts") -> DataFrame:
     """Per evaluation slot, sums over the trailing window (all grid slots present)."""
     k = window_s // EVAL_SECONDS
-    per_slot = log.withColumn("slot", slot_of(ts)).groupBy("slot").agg(
+    per_slot = log.withColumn("slot", slot_of(log, ts)).groupBy("slot").agg(
         *[c.alias(n) for n, c in sums.items()])
     spread = (per_slot.withColumn("slot", F.explode(F.sequence(F.col("slot"), F.col("slot") + (k - 1))))
               .groupBy("slot").agg(*[F.sum(n).alias(n) for n in sums]))
@@ -117,7 +118,7 @@ def gauge_condition(log: DataFrame, flag: Column, max_rate: float, n: int = 100)
     The gauge keeps the value of the latest request; each slot with requests
     starts a constant stretch up to the next such slot."""
     g = rolling_rate(log, flag, [], ["ts", "event_id"], n, name="gauge")
-    per_slot = (g.withColumn("slot", slot_of("ts"))
+    per_slot = (g.withColumn("slot", slot_of(g, "ts"))
                 .groupBy("slot").agg(F.max_by("gauge", F.struct("ts", "event_id")).alias("gauge")))
     nxt = neighbour(per_slot, [], ["slot"], ["slot"], +1, prefix="next_")
     span = nxt.select(F.explode(F.sequence(F.col("slot"), F.coalesce(F.col("next_slot") - 1, F.col("slot")))).alias("s"),
@@ -171,12 +172,12 @@ def heartbeat_gaps(log: DataFrame, key_cols: Sequence[str], gap_s: int, ts: str
                    tie: str = "event_id") -> DataFrame:
     """Silences longer than ``gap_s`` between consecutive signs of life per source."""
     d = log.select(*key_cols, tie, F.col(ts).alias("_ts"),
-                   F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+                   epoch_micros(log, ts).alias("_us"))
     n = neighbour(d, key_cols, ["_us", tie], ["_us"], +1, prefix="next")
     gap = (F.col("next_us") - F.col("_us")) / US
     return (n.filter(gap > gap_s)
             .select(*key_cols, F.date_format("_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_seen"),
-                    F.date_format(F.timestamp_micros(F.col("next_us")), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("seen_again"),
+                    F.date_format(ntz_from_micros(F.col("next_us")), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("seen_again"),
                     gap.alias("gap_s")))
 
 
@@ -206,7 +207,7 @@ def notifications(states: DataFrame, routes: dict = ROUTES) -> DataFrame:
                .select("alertname", "severity", "receiver", F.lit("resolved").alias("kind"), t_end.alias("_t")))
     out = fire.unionByName(resolve)
     return out.select("alertname", "severity", "receiver", "kind", F.col("_t").cast("bigint").alias("notify_s"),
-                      F.date_format(F.timestamp_seconds(F.col("_t")), "yyyy-MM-dd HH:mm:ss").alias("notify_at"))
+                      F.date_format(ntz_from_micros(F.col("_t") * US), "yyyy-MM-dd HH:mm:ss").alias("notify_at"))
 
 
 def inhibit(notices: DataFrame, states: DataFrame, equal: Sequence[str] = ("alertname",),

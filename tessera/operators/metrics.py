@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.numeric import round_fp
+from tessera.functions.numeric import epoch_micros, round_fp
 from tessera.functions.text import clean_oov_word
 from tessera.plans.scale import neighbour, rolling_rows, running_sum
 
@@ -232,7 +232,7 @@ def user_rate(log: DataFrame, window: str = "2 minutes", slide: str = "1 minute"
 def in_flight(log: DataFrame, ts: str = "ts", latency: str = "latency_ms", id_col: str = "event_id") -> DataFrame:
     """Concurrency series: +1 at each start, −1 at each end (start + latency);
     running sum in (time, −1 before +1, id) order, bucket-split."""
-    start = F.unix_micros(F.col(ts).cast("timestamp"))
+    start = epoch_micros(log, ts)
     end = start + F.round(F.col(latency) * 1000.0).cast("bigint")
     ev = log.select(F.col(id_col), F.explode(F.array(
         F.struct(start.alias("t_us"), F.lit(1).alias("delta")),
@@ -274,8 +274,7 @@ def counter_increase(samples: DataFrame, key_cols: Sequence[str], ts: str, value
     means the counter restarted from 0, so the new value itself is the increase."""
     order = [ts] + ([tie] if tie else [])
     s = samples.select(*key_cols, *order, F.col(value).cast("double").alias("_v"))
-    s = s.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")) if dict(s.dtypes)[ts].startswith("timestamp")
-                     else F.col(ts))
+    s = s.withColumn("_t", epoch_micros(s, ts) if dict(s.dtypes)[ts].startswith("timestamp") else F.col(ts))
     p = neighbour(s, key_cols, ["_t"] + ([tie] if tie else []), ["_v"], -1, prefix="prev")
     inc = (F.when(F.col("prev_v").isNull(), 0.0)
            .when(F.col("_v") < F.col("prev_v"), F.col("_v"))

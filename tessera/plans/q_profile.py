@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import epoch_micros
 from tessera.functions.text import fused_confidence
 from tessera.operators import profile, quality
 from tessera.plans import bindings as B
@@ -172,6 +173,6 @@ SELECT event_type, step_index, round(t0 + step_index * 3600.0, 6) AS t,
 FROM g""")
 def a11_resample_linear(spark, sf):
     """Hourly linear resampling of event values per event type."""
-    e = table(spark, sf, "events").select("event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"),
-                                          "value")
+    ev = table(spark, sf, "events")
+    e = ev.select("event_type", (epoch_micros(ev, "ts") / 1e6).alias("t"), "value")
     return profile.resample_linear(e, ["event_type"], "t", "value", 3600.0)

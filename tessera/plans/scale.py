@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import epoch_micros
+
 DEFAULT_BUCKETS = 64
 
 
@@ -29,7 +31,7 @@ def _names(cols: Sequence[str] | str | None) -> list[str]:
 def _as_double(df: DataFrame, name: str) -> Column:
     kind = dict(df.dtypes)[name]
     if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+        return epoch_micros(df, name).cast("double")
     if kind == "date":
         return F.unix_date(F.col(name)).cast("double")
     return F.col(name).cast("double")

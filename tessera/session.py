@@ -33,15 +33,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured by the operator and is only read
-    here.  Only when it is unset (tests, local runs) a scratch folder is made.
+    On a cluster the folder is configured by the operator and only read here.
+    Only when it is unset (tests, local runs) a scratch folder is made.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
