@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
 
-from tessera.functions.text import clean_gloss, primary_gloss, strip_ws, word_tokens
+from tessera.functions.text import clean_gloss, primary_gloss, word_tokens
 
 # Inflection suffixes tried in this list order (first stem found wins).
 SUFFIXES = (

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tessera.operators import alerts as A
 from tessera.plans import bindings as B

@@ -18,7 +18,7 @@ from tessera.functions.text import (
 from tessera.operators import lexicon, matching, scoring
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
-from tessera.plans.q_matching import _lookup, clean_sql, strip_sql
+from tessera.plans.q_matching import _lookup, clean_sql
 from tessera.plans.sqlparts import LEX, REQUESTS, tokens_of, with_
 from tessera.session import table
 from tessera.sources import io
@@ -245,5 +245,3 @@ def j6_translate_with_model(spark, sf):
     scores = u1_score_batches(spark, sf)
     return matching.translate_requests(req, matching.gloss_tokens(req, lk), scores).drop("breakdown")
 
-
-_ = (strip_sql, LEX)

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import lexicon, matching, metrics, quality
+from tessera.operators import matching, metrics, quality
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
 from tessera.plans.q_matching import BREAKDOWN_SQL, _lookup
-from tessera.plans.sqlparts import LEX, LOG, REQUESTS, tokens_of, with_
+from tessera.plans.sqlparts import LEX, LOG, tokens_of, with_
 from tessera.session import table
 
 HOUR = "1 hour"
@@ -301,5 +301,3 @@ def m22_live_bleu_by_user(spark, sf):
     """BLEU of adjacent turns per user group."""
     return quality.corpus_bleu(B.text_pairs(spark, sf), by=["user_id"])
 
-
-_ = REQUESTS  # binding shared with BD_USER_SQL

@@ -50,10 +50,11 @@ def read_keyed_lexicon(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("seq", F.monotonically_increasing_id()).drop("key", "i", "_has"))
 
 
-def read_pairs(spark: SparkSession, path: str, training: bool = True) -> DataFrame:
-    """S3: TSV with header ``navi<TAB>en`` and CSV quoting; the training read
-    strips both sides and drops rows with an empty side."""
-    df = (spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+def read_pairs(spark: SparkSession, path: str, training: bool = True, sep: str = "\t") -> DataFrame:
+    """S3: TSV with header ``navi<TAB>en`` and CSV quoting (``sep=","`` for the
+    comma manifest variant); the training read strips both sides and drops
+    rows with an empty side."""
+    df = (spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
           .schema("navi STRING, en STRING").csv(path))
     df = df.select(F.col("navi").alias("src"), F.col("en").alias("tgt"))
     if training:
