@@ -24,7 +24,7 @@ from tessera.operators.metrics import (
     rolling_rate,
 )
 from tessera.functions.numeric import epoch_micros, ntz_from_micros
-from tessera.plans.scale import global_row_number, neighbour
+from tessera.plans.scale import neighbour
 from tessera.session import cut_lineage
 
 EVAL_SECONDS = 30
@@ -149,11 +149,13 @@ def alert_states(cond: DataFrame, rule: Rule, materialize: bool = True) -> DataF
     nxt = c.select((F.col("slot") - 1).alias("slot"), F.col("cond").alias("next"))
     last = c.agg(F.max("slot").alias("_last"))
     e = c.filter("cond").join(prev, "slot", "left").join(nxt, "slot", "left")
-    starts = e.filter(~F.coalesce("prev", F.lit(False))).select(F.col("slot").alias("a"))
-    ends = e.filter(~F.coalesce("next", F.lit(False))).select(F.col("slot").alias("b"))
-    rs = global_row_number(starts, ["a"], name="k")
-    re_ = global_row_number(ends, ["b"], name="k")
-    isl = rs.join(re_, "k").withColumn("_one", F.lit(1)).join(F.broadcast(last.withColumn("_one", F.lit(1))), "_one")
+    # run starts and ends alternate in slot order (a start sorts before an end
+    # on the same slot), so each end's island start is the previous mark
+    starts = e.filter(~F.coalesce("prev", F.lit(False))).select("slot", F.lit(0).alias("_kind"))
+    ends = e.filter(~F.coalesce("next", F.lit(False))).select("slot", F.lit(1).alias("_kind"))
+    marks = neighbour(starts.unionByName(ends), [], ["slot", "_kind"], ["slot"], -1, prefix="start_")
+    isl = (marks.filter(F.col("_kind") == 1).select(F.col("start_slot").alias("a"), F.col("slot").alias("b"))
+           .withColumn("_one", F.lit(1)).join(F.broadcast(last.withColumn("_one", F.lit(1))), "_one"))
     k = -(-rule.for_seconds // EVAL_SECONDS)
     fired = (F.col("b") - F.col("a")) >= k
     return isl.select(

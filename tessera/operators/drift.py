@@ -66,8 +66,7 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
     per_val = long.groupBy("column", "value").agg(F.sum(is_ref).alias("nr"), F.sum(is_cur).alias("nc"))
     totals = long.groupBy("column").agg(F.sum(is_ref).alias("n_ref"), F.sum(is_cur).alias("n_cur"),
                                         F.stddev_pop(F.when(F.col("side") == ref, F.col("value"))).alias("ref_std"))
-    c = running_sum(per_val, "nr", ["value"], ["column"], name="cr")
-    c = running_sum(c, "nc", ["value"], ["column"], name="cc")
+    c = running_sum(per_val, ["nr", "nc"], ["value"], ["column"], name=["cr", "cc"])
     c = c.join(totals, "column")
     diff = F.col("cr") / F.col("n_ref") - F.col("cc") / F.col("n_cur")
     c = c.withColumn("diff", diff)

@@ -72,22 +72,30 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], partition_cols=N
             .drop("_bucket", "_rn_in", "_off"))
 
 
-def running_sum(df: DataFrame, value_col: str, order_cols: Sequence[str], partition_cols=None,
-                name: str = "running", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact running sum over a total order, split into balanced buckets."""
+def running_sum(df: DataFrame, value_col, order_cols: Sequence[str], partition_cols=None,
+                name="running", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact running sum(s) over a total order, split into balanced buckets.
+
+    ``value_col``/``name`` may be lists to compute several sums in one pass."""
+    values = _names(value_col)
+    names = _names(name)
     parts = _names(partition_cols)
     order = _names(order_cols)
     b = with_range_bucket(df, order[0], n_buckets)
     w_in = (Window.partitionBy(*parts, "_bucket").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, 0))
-    b = b.withColumn("_rs_in", F.sum(value_col).over(w_in))
-    sums = b.groupBy(*parts, "_bucket").agg(F.sum(value_col).alias("_bs"))
+    for v, n in zip(values, names):
+        b = b.withColumn(f"_rs_{n}", F.sum(v).over(w_in))
+    sums = b.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(f"_bs_{n}") for v, n in zip(values, names)])
     w_off = (Window.partitionBy(*parts).orderBy("_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sums.withColumn("_off", F.coalesce(F.sum("_bs").over(w_off), F.lit(0))).drop("_bs")
-    return (b.join(offsets, [*parts, "_bucket"], "inner")
-            .withColumn(name, F.col("_off") + F.col("_rs_in"))
-            .drop("_bucket", "_rs_in", "_off"))
+    for n in names:
+        sums = sums.withColumn(f"_off_{n}", F.coalesce(F.sum(f"_bs_{n}").over(w_off), F.lit(0)))
+    offsets = sums.select(*parts, "_bucket", *[f"_off_{n}" for n in names])
+    out = b.join(offsets, [*parts, "_bucket"], "inner")
+    for n in names:
+        out = out.withColumn(n, F.col(f"_off_{n}") + F.col(f"_rs_{n}")).drop(f"_off_{n}", f"_rs_{n}")
+    return out.drop("_bucket")
 
 
 def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Sequence[str],
