@@ -81,20 +81,30 @@ def match_suffix(words: DataFrame, lookup: DataFrame, suffixes: Sequence[str] =
             .agg(F.min_by("stem", "rank").alias("stem"), F.min("rank").alias("suffix_rank")))
 
 
-def deletion_variants(c: Column, max_dist: int = FUZZY_MAX_DIST) -> Column:
-    """All strings obtained from ``c`` by deleting up to ``max_dist`` (1 or 2) characters."""
-    n = F.length(c)
-    idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    one = F.transform(idx, lambda i: F.concat(c.substr(F.lit(1), i - 1), c.substr(i + 1, n)))
-    parts = [F.array(c), one]
-    if max_dist >= 2:
-        two = F.flatten(F.transform(idx, lambda i: F.transform(
-            F.filter(idx, lambda j: j > i),
-            lambda j: F.concat(c.substr(F.lit(1), i - 1), c.substr(i + 1, j - i - 1), c.substr(j + 1, n)))))
-        parts.append(two)
-    if max_dist > 2:
-        raise ValueError("deletion blocking is built for max_dist <= 2")
-    return F.array_distinct(F.concat(*parts))
+def deletion_variants(df: DataFrame, col: str, max_dist: int = FUZZY_MAX_DIST,
+                      keep: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(keep…, col, _v)`` for every string reachable from ``col`` by deleting
+    up to ``max_dist`` (1 or 2) characters.
+
+    Built with generators (``explode(sequence)``) and plain projections so it
+    stays in whole-stage codegen; the second deletion starts at the first one's
+    position, so each pair of deleted positions is produced once.  A variant may
+    repeat for repeated letters — the candidate aggregation absorbs that."""
+    if max_dist not in (1, 2):
+        raise ValueError("deletion blocking is built for max_dist 1 or 2")
+    base = df.select(*keep, col)
+    w, n = F.col(col), F.length(col)
+    d0 = base.select(*keep, col, w.alias("_v"))
+    d1 = (base.select(*keep, col, F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("_i"))
+          .select(*keep, col, "_i", F.concat(w.substr(F.lit(1), F.col("_i") - 1), w.substr(F.col("_i") + 1, n)).alias("_v")))
+    out = d0.unionByName(d1.drop("_i"))
+    if max_dist == 2:
+        v1, n1 = F.col("_v"), F.length("_v")
+        later = F.when(F.col("_i") <= n1, F.sequence(F.col("_i"), n1)).otherwise(F.array().cast("array<int>"))
+        d2 = (d1.select(*keep, col, "_v", F.explode(later).alias("_j"))
+              .select(*keep, col, F.concat(v1.substr(F.lit(1), F.col("_j") - 1), v1.substr(F.col("_j") + 1, n1)).alias("_v")))
+        out = out.unionByName(d2)
+    return out
 
 
 def match_fuzzy(words: DataFrame, lookup: DataFrame, max_dist: int = FUZZY_MAX_DIST,
@@ -113,8 +123,8 @@ def match_fuzzy(words: DataFrame, lookup: DataFrame, max_dist: int = FUZZY_MAX_D
             .select(F.explode(F.sequence(F.col("_kl") - max_dist, F.col("_kl") + max_dist)).alias("_ql"))
             .distinct())
     q = q.join(band, F.length(F.col(word_col)) == F.col("_ql"), "left_semi")
-    qv = q.select(word_col, F.explode(deletion_variants(F.col(word_col), max_dist)).alias("_v"))
-    kv = keys.select("key", "pos", F.explode(deletion_variants(F.col("key"), max_dist)).alias("_v"))
+    qv = deletion_variants(q, word_col, max_dist)
+    kv = deletion_variants(keys, "key", max_dist, keep=["pos"])
     cand = qv.join(kv, "_v").drop("_v")
     dist = F.levenshtein(F.col(word_col), F.col("key"), max_dist)
     scored = cand.withColumn("dist", dist).filter(
