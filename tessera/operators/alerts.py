@@ -24,7 +24,7 @@ from tessera.operators.metrics import (
     rolling_rate,
 )
 from tessera.functions.numeric import epoch_micros, ntz_from_micros
-from tessera.plans.scale import neighbour
+from tessera.plans.scale import neighbour, rolling_rows
 from tessera.session import cut_lineage
 
 EVAL_SECONDS = 30
@@ -233,3 +233,84 @@ def inhibit(notices: DataFrame, states: DataFrame, equal: Sequence[str] = ("aler
     hit = hit.select(*keys).distinct()
     return (notices.join(hit.withColumn("_inh", F.lit(True)), keys, "left")
             .withColumn("inhibited", F.coalesce("_inh", F.lit(False))).drop("_inh"))
+
+
+# --------------------------------------------------------------------------
+# All request-log rules in one pass over the log (what the alert evaluator
+# runs): one per-slot aggregation with every rule's counts, one spread to the
+# longest window with offset-conditioned sums, one rolling pass for both
+# gauges, and one island pass keyed by alert name.
+ALL_RULES = (HIGH_ERROR_RATE, HIGH_FALLBACK_RATE, OOV_DRIFT, LOW_CONFIDENCE, HIGH_LATENCY)
+
+
+def evaluate_rules(log: DataFrame, ts: str = "ts") -> DataFrame:
+    """R1–R5 conditions as rows ``(alertname, slot, cond)`` over the common grid."""
+    ok = F.col("status") == "success"
+    sums = {"errors": F.count_if(F.col("status") == "error"), "total": F.count(F.lit(1)),
+            "high": F.count_if(ok & (F.col("confidence") >= 0.7)), "success": F.count_if(ok)}
+    for i, b in enumerate(LATENCY_BUCKETS_MS):
+        sums[f"b{i}"] = F.count_if(F.col("latency_ms") <= b)
+    per_slot = log.withColumn("slot", slot_of(log, ts)).groupBy("slot").agg(*[c.alias(n) for n, c in sums.items()])
+    k5, k15 = 300 // EVAL_SECONDS, 900 // EVAL_SECONDS
+    spread = per_slot.select("*", F.explode(F.sequence(F.lit(0), F.lit(k15 - 1))).alias("_off"))
+    in5 = F.col("_off") < k5
+    w = (spread.withColumn("slot", F.col("slot") + F.col("_off")).groupBy("slot").agg(
+        *[F.sum(F.when(in5, F.col(n)).otherwise(0)).alias(f"{n}_5m") for n in sums if n not in ("high", "success")],
+        F.sum("high").alias("high_15m"), F.sum("success").alias("success_15m")))
+    grid = _grid(per_slot).join(w, "slot", "left").na.fill(0)
+    err = (F.col("errors_5m") / 300) / F.greatest(F.col("total_5m") / 300, F.lit(RATE_FLOOR)) > ERROR_RATE_MAX
+    low = (F.col("high_15m") / 900) / F.greatest(F.col("success_15m") / 900, F.lit(RATE_FLOOR)) < HIGH_CONF_MIN
+    cums = F.array(*[F.col(f"b{i}_5m") for i in range(len(LATENCY_BUCKETS_MS))])
+    lat = F.coalesce(bucket_quantile(0.95, cums, F.col("total_5m"), LATENCY_BUCKETS_MS) > P95_MAX_MS, F.lit(False))
+    windowed = grid.select("slot", F.explode(F.array(
+        F.struct(F.lit(HIGH_ERROR_RATE.name).alias("alertname"), err.alias("cond")),
+        F.struct(F.lit(LOW_CONFIDENCE.name).alias("alertname"), low.alias("cond")),
+        F.struct(F.lit(HIGH_LATENCY.name).alias("alertname"), lat.alias("cond")))).alias("x")).select(
+        "x.alertname", "slot", "x.cond")
+    d = log.select(ts, "event_id", (F.col("confidence") < FALLBACK_THRESHOLD).cast("double").alias("_fb"),
+                   F.col("missed").cast("double").alias("_oov"))
+    g = rolling_rows(d, [], [ts, "event_id"], 100, {"g_fb": F.avg("_fb"), "g_oov": F.avg("_oov")})
+    last = F.struct(ts, "event_id")
+    gs = (g.withColumn("slot", slot_of(g, ts)).groupBy("slot")
+          .agg(F.max_by("g_fb", last).alias("g_fb"), F.max_by("g_oov", last).alias("g_oov")))
+    nxt = neighbour(gs, [], ["slot"], ["slot"], +1, prefix="next_")
+    span = nxt.select(F.explode(F.sequence(F.col("slot"), F.coalesce(F.col("next_slot") - 1, F.col("slot")))).alias("slot"),
+                      "g_fb", "g_oov")
+    gauges = span.select("slot", F.explode(F.array(
+        F.struct(F.lit(HIGH_FALLBACK_RATE.name).alias("alertname"), (F.col("g_fb") > FALLBACK_RATE_MAX).alias("cond")),
+        F.struct(F.lit(OOV_DRIFT.name).alias("alertname"), (F.col("g_oov") > OOV_RATE_MAX).alias("cond")))).alias("x")
+    ).select("x.alertname", "slot", "x.cond")
+    return windowed.unionByName(gauges)
+
+
+def alert_states_all(conds: DataFrame, rules=ALL_RULES, materialize: bool = True) -> DataFrame:
+    """R7 for many rules at once: ``(alertname, slot, cond)`` → intervals, keyed by alert."""
+    c = conds.select("alertname", "slot", F.col("cond").cast("boolean").alias("cond"))
+    if materialize:
+        c = cut_lineage(c)
+    prev = c.select("alertname", (F.col("slot") + 1).alias("slot"), F.col("cond").alias("prev"))
+    nxt = c.select("alertname", (F.col("slot") - 1).alias("slot"), F.col("cond").alias("next"))
+    last = c.groupBy("alertname").agg(F.max("slot").alias("_last"))
+    e = c.filter("cond").join(prev, ["alertname", "slot"], "left").join(nxt, ["alertname", "slot"], "left")
+    starts = e.filter(~F.coalesce("prev", F.lit(False))).select("alertname", "slot", F.lit(0).alias("_kind"))
+    ends = e.filter(~F.coalesce("next", F.lit(False))).select("alertname", "slot", F.lit(1).alias("_kind"))
+    marks = neighbour(starts.unionByName(ends), ["alertname"], ["slot", "_kind"], ["slot"], -1, prefix="start_")
+    isl = (marks.filter(F.col("_kind") == 1)
+           .select("alertname", F.col("start_slot").alias("a"), F.col("slot").alias("b"))
+           .join(last, "alertname"))
+    sev = F.lit(None).cast("string")
+    k = F.lit(None).cast("int")
+    for r in rules:
+        sev = F.when(F.col("alertname") == r.name, F.lit(r.severity)).otherwise(sev)
+        k = F.when(F.col("alertname") == r.name, F.lit(-(-r.for_seconds // EVAL_SECONDS))).otherwise(k)
+    isl = isl.withColumn("_k", k)
+    fired = (F.col("b") - F.col("a")) >= F.col("_k")
+    return isl.select(
+        "alertname", sev.alias("severity"), F.col("a").alias("start_slot"),
+        slot_time(F.col("a")).alias("pending_at"),
+        F.when(fired, slot_time(F.col("a") + F.col("_k"))).alias("firing_at"),
+        F.when(F.col("b") < F.col("_last"), slot_time(F.col("b") + 1)).alias("resolved_at"),
+        fired.alias("fired"),
+        F.when(fired, F.col("a") + F.col("_k")).alias("_fire_slot"),
+        F.when(F.col("b") < F.col("_last"), F.col("b") + 1).alias("_end_slot"),
+        F.col("_last").alias("_last_slot"))

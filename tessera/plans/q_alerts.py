@@ -93,12 +93,9 @@ for _n, (_r, _f) in RULES.items():
 
 
 def all_states(spark, sf):
+    """All five rules evaluated in one pass over the log, states materialised once."""
     log = B.request_log(spark, sf)
-    out = None
-    for rule, fn in RULES.values():
-        s = A.alert_states(fn(log), rule)
-        out = s if out is None else out.unionByName(s)
-    return cut_lineage(out)
+    return cut_lineage(A.alert_states_all(A.evaluate_rules(log)))
 
 
 ALL_STATES_SQL = with_(LOG, *[_states_sql(r, f"p{i}_") for i, (r, _) in enumerate(RULES.values())],
