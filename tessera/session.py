@@ -8,6 +8,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _driver_memory() -> str:
+    """About 60 % of physical memory, at most 16 GiB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2 ** 30)))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tessera") -> SparkSession:
     """Session for tests and benchmarks (the cluster brings its own)."""
@@ -21,7 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", _driver_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
