@@ -17,6 +17,7 @@ from tessera.functions.text import (
     strip_ws,
 )
 from tessera.plans.scale import global_row_number
+from tessera.session import cut_lineage
 
 # Fixed values of the reference corpus build.
 PHRASES_2 = 500
@@ -52,7 +53,8 @@ def phrase_pairs(lex: DataFrame, n2: int = PHRASES_2, n3: int = PHRASES_3,
     dense index — no sampling on the driver.
     """
     spark = lex.sparkSession
-    idx = dense_index(lex.select("seq", "term", primary_gloss(F.col("gloss")).alias("pg")))
+    # lexicon-sized and read by five joins: materialise once (reliable checkpoint)
+    idx = cut_lineage(dense_index(lex.select("seq", "term", primary_gloss(F.col("gloss")).alias("pg"))))
     n = lex.select(F.count(F.lit(1))).scalar()
     outs = []
     for width, count, kind in ((2, F.least(F.lit(n2), n), "phrase2"), (3, F.least(F.lit(n3), F.floor(n / 2)), "phrase3")):

@@ -163,9 +163,12 @@ def fuzzy_by_distance(breakdown: DataFrame) -> DataFrame:
 
 def top_oov_words(oov: DataFrame, k: int = 10, token_col: str = "token") -> DataFrame:
     """Top-k cleaned OOV words (ties by word); the limit is the feature."""
+    # count per raw token first (partial aggregation collapses repeats), so the
+    # label cleaning runs once per distinct token, not once per occurrence
+    per_token = oov.groupBy(token_col).agg(F.count(F.lit(1)).alias("_n"))
     w = clean_oov_word(F.col(token_col))
-    return (oov.select(w.alias("word")).filter(F.col("word").isNotNull())
-            .groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+    return (per_token.select(w.alias("word"), "_n").filter(F.col("word").isNotNull())
+            .groupBy("word").agg(F.sum("_n").cast("bigint").alias("count"))
             .orderBy(F.desc("count"), F.asc("word")).limit(k))
 
 
