@@ -48,12 +48,13 @@ def vector_long(df: DataFrame, vec_col: str, side: Column) -> DataFrame:
 
 
 def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
-    en = F.sqrt(n * m / (n + m))
-    lam = (en + 0.12 + 0.11 / en) * d
+    en = F.sqrt(F.try_divide(n * m, n + m))
+    lam = (en + 0.12 + F.try_divide(F.lit(0.11), en)) * d
     terms = F.transform(F.sequence(F.lit(1), F.lit(KS_TERMS)),
                         lambda k: F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
     q = 2.0 * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
-    return F.when(lam < 1e-3, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), q)))
+    return (F.when(lam.isNull(), F.lit(None).cast("double")).when(lam < 1e-3, 1.0)
+            .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))))
 
 
 def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
@@ -68,7 +69,8 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
                                         F.stddev_pop(F.when(F.col("side") == ref, F.col("value"))).alias("ref_std"))
     c = running_sum(per_val, ["nr", "nc"], ["value"], ["column"], name=["cr", "cc"])
     c = c.join(totals, "column")
-    diff = F.col("cr") / F.col("n_ref") - F.col("cc") / F.col("n_cur")
+    # an empty side yields nulls (no test), never a division error
+    diff = F.try_divide(F.col("cr"), F.col("n_ref")) - F.try_divide(F.col("cc"), F.col("n_cur"))
     c = c.withColumn("diff", diff)
     nxt = neighbour(c, ["column"], ["value"], ["value"], +1, prefix="next_")
     seg = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0)) * F.abs(F.col("diff"))
@@ -82,8 +84,8 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
         "bin", F.size(F.filter(F.col("edges"), lambda e: e < F.col("value"))))
     hist = lb.groupBy("column", "bin").agg(F.sum(is_ref).alias("br"), F.sum(is_cur).alias("bc"))
     hist = hist.join(totals.select("column", "n_ref", "n_cur"), "column")
-    pr = F.greatest(F.col("br") / F.col("n_ref"), F.lit(PSI_FLOOR))
-    pc = F.greatest(F.col("bc") / F.col("n_cur"), F.lit(PSI_FLOOR))
+    pr = F.greatest(F.try_divide(F.col("br"), F.col("n_ref")), F.lit(PSI_FLOOR))
+    pc = F.greatest(F.try_divide(F.col("bc"), F.col("n_cur")), F.lit(PSI_FLOOR))
     psi = hist.groupBy("column").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi"))
     out = stats.join(psi, "column", "left")
     p = _ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
@@ -91,7 +93,7 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
         "column", F.col("n_ref").cast("bigint").alias("n_ref"), F.col("n_cur").cast("bigint").alias("n_cur"),
         "ks_stat", p.alias("ks_pvalue"),
         F.when(F.col("ref_std") > 0, F.col("w1") / F.col("ref_std")).otherwise(F.col("w1")).alias("wasserstein_norm"),
-        F.coalesce("psi", F.lit(0.0)).alias("psi"), (p < alpha).alias("drifted"))
+        F.coalesce("psi", F.lit(0.0)).alias("psi"), F.coalesce(p < alpha, F.lit(False)).alias("drifted"))
 
 
 def dataset_drift(col_drift: DataFrame, share: float = DATASET_DRIFT_SHARE) -> DataFrame:

@@ -125,6 +125,6 @@ def resample_linear(df: DataFrame, key_cols: Sequence[str], t_col: str, v_col: s
     idx = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
     g = seg.select(*keys, "t", "v", "nt", "nv", "_t0", F.explode(idx).alias("step_index"))
     gt = F.col("_t0") + F.col("step_index") * step
-    frac = F.when(F.col("nt").isNull(), 0.0).otherwise((gt - F.col("t")) / (F.col("nt") - F.col("t")))
+    frac = F.when(F.col("nt").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(gt - F.col("t"), F.col("nt") - F.col("t")), F.lit(0.0)))
     val = F.col("v") + F.coalesce(F.col("nv") - F.col("v"), F.lit(0.0)) * frac
     return g.select(*keys, "step_index", gt.alias("t"), val.alias("value"))
