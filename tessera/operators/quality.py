@@ -64,7 +64,8 @@ def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hy
 
 def word_error_rate(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
                     by: Sequence[str] = (), digits: int = 4) -> DataFrame:
-    """Σ word edits / Σ reference words; no rows → 1.0; rounded to ``digits``."""
+    """Σ word edits / Σ reference words; no rows → 1.0; rounded to ``digits``
+    (``by`` gives the live per-group gauge)."""
     e = pair_errors(pairs, ref_col, hyp_col)
     agg = e.groupBy(*by).agg(F.sum("edits").alias("edits"), F.sum("ref_words").alias("ref_words"),
                              F.count(F.lit(1)).cast("bigint").alias("pairs"))
@@ -134,7 +135,7 @@ def bleu_stats(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hyp
 
 def corpus_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
                 by: Sequence[str] = (), id_col: str = "pair_id", digits: int = 4) -> DataFrame:
-    """Corpus BLEU (orders 1–4, exponential smoothing, brevity penalty) / 100."""
+    """Corpus BLEU (orders 1–4, exponential smoothing, brevity penalty) / 100."""
     s = bleu_stats(pairs, ref_col, hyp_col, by, id_col)
     smooth = F.lit(1.0)
     logs = []

@@ -81,11 +81,10 @@ RULES = {
 def _register(name, rule, cond_fn):
     sql = with_(LOG, _states_sql(rule, "x_")) + "SELECT " + ", ".join(PUBLIC) + " FROM x_st"
 
-    @query(name, sql)
     def run(spark, sf):
         return A.alert_states(cond_fn(B.request_log(spark, sf)), rule).select(*PUBLIC)
-    run.__doc__ = f"R7 states of {rule.name} ({rule.severity}, for {rule.for_seconds}s)."
-    return run
+    run.__doc__ = f"{name[:2].upper()}+R7: states of {rule.name} ({rule.severity}, for {rule.for_seconds}s)."
+    return query(name, sql)(run)
 
 
 for _n, (_r, _f) in RULES.items():

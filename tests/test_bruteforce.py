@@ -24,7 +24,7 @@ def lev(a, b, cap=None):
     return prev[-1]
 
 
-def test_fuzzy_blocking_equals_brute_force(spark):
+def test_j4_fuzzy_blocking_equals_brute_force(spark):
     lk = lexicon.build_lookup(B.lexicon(spark, SF_SMALL))
     keys = sorted((r.pos, r.key) for r in lk.collect())
     d = table(spark, SF_SMALL, "documents").filter(F.col("doc_id") < 25)  # small brute-force fixture
@@ -52,7 +52,7 @@ def wer_words(t):
     return [w for w in t.split(" ") if len(w) >= 1]
 
 
-def test_wer_equals_word_dp(spark):
+def test_a7_wer_equals_word_dp(spark):
     pairs = B.text_pairs(spark, SF_SMALL)
     got = {r.pair_id: (r.edits, r.ref_words) for r in quality.pair_errors(pairs).collect()}
     edits = refs = 0
@@ -67,6 +67,19 @@ def test_wer_equals_word_dp(spark):
     assert total.wer == round(edits / refs, 4)
 
 
-def test_wer_empty_corpus(spark):
+def test_a7_wer_empty_corpus(spark):
     empty = spark.createDataFrame([], "pair_id BIGINT, reference STRING, hypothesis STRING")
     assert quality.word_error_rate(empty).first().wer == 1.0
+
+
+def test_m22_live_wer_by_user(spark):
+    pairs = B.text_pairs(spark, SF_SMALL)
+    got = {r.user_id: r.wer for r in quality.word_error_rate(pairs, by=["user_id"]).collect()}
+    per = {}
+    for r in pairs.collect():
+        if not r.reference.strip():
+            continue
+        ref, hyp = wer_words(r.reference), wer_words(r.hypothesis)
+        e, n = per.get(r.user_id, (0, 0))
+        per[r.user_id] = (e + lev(ref, hyp), n + len(ref))
+    assert got == {u: round(e / n, 4) for u, (e, n) in per.items()}

@@ -5,20 +5,20 @@ from pyspark.sql import functions as F
 from tessera.operators import drift, lexicon, matching, metrics, profile
 
 
-def test_oov_rate_no_tokens(spark):
+def test_a1_oov_rate_no_tokens(spark):
     lex = spark.createDataFrame([(1, "a", "g", "x")], "seq BIGINT, term STRING, gloss STRING, term_type STRING")
     toks = spark.createDataFrame([], "token STRING")
     assert profile.oov_rate(toks, lex).collect() == [] or profile.oov_rate(toks, lex).first().oov_rate == 0.0
 
 
-def test_column_drift_with_empty_side(spark):
+def test_d2_d3_column_drift_with_empty_side(spark):
     long = spark.createDataFrame([("c", "reference", float(i)) for i in range(10)], "column STRING, side STRING, value DOUBLE")
     r = drift.column_drift(long).first()
     assert r.n_cur == 0 and r.drifted is False
     assert drift.dataset_drift(drift.column_drift(long)).first().dataset_drift is False
 
 
-def test_quantile_overflow_bucket(spark):
+def test_m3_quantile_overflow_bucket(spark):
     df = spark.createDataFrame([(20000.0,)] * 5, "v DOUBLE")
     r = df.agg(F.array(*[F.count_if(F.col("v") <= b) for b in metrics.LATENCY_BUCKETS_MS]).alias("c"),
                F.count("v").alias("t")).select(
@@ -26,7 +26,7 @@ def test_quantile_overflow_bucket(spark):
     assert r == 10000.0
 
 
-def test_empty_request_text(spark):
+def test_j6_empty_request_text(spark):
     lex = spark.createDataFrame([(0, "kaltxì", "hello", "intj")], "seq BIGINT, term STRING, gloss STRING, term_type STRING")
     req = spark.createDataFrame([(1, ""), (2, "   ")], "request_id BIGINT, text STRING")
     lk = lexicon.build_lookup(lex)
@@ -35,7 +35,7 @@ def test_empty_request_text(spark):
     assert out[2].n_tokens == 0
 
 
-def test_resample_single_sample(spark):
+def test_a11_resample_single_sample(spark):
     df = spark.createDataFrame([("k", 10.0, 3.5)], "k STRING, t DOUBLE, v DOUBLE")
     rows = profile.resample_linear(df, ["k"], "t", "v", 5.0).collect()
     assert [(r.step_index, r.value) for r in rows] == [(0, 3.5)]

@@ -16,7 +16,7 @@ def _lex(spark, rows):
     return spark.createDataFrame(rows, "seq BIGINT, term STRING, gloss STRING, term_type STRING")
 
 
-def test_f1_normalise_lexicon(spark, tmp):
+def test_f1_s1_l1_normalise_lexicon(spark, tmp):
     entries = [
         {"na'vi": "kaltxì", "en": "hello", "type": "intj"},
         {"en": "hello", "type": "intj"},
@@ -47,27 +47,27 @@ def test_s2_keyed_lexicon(spark, tmp):
     assert sorted((r.term, r.gloss) for r in out) == [("kaltxì", "hello"), ("tsun", "can"), ("tsun2", "able")]
 
 
-def test_f2_lookup_exact_first_wins(spark):
+def test_f2_l7_lookup_exact_first_wins(spark):
     lex = _lex(spark, [(1, "Kaltxì", "hello", "intj"), (2, "kaltxì", "hi", "intj"), (3, "oel", "I", "pn")])
     words = spark.createDataFrame([("kaltxì",), ("KALTXÌ ",), ("nonexistent",)], "word STRING")
     got = {r.word: r.match_gloss for r in lexicon.lookup_exact(words, lex).collect()}
     assert got == {"kaltxì": "hello", "KALTXÌ ": "hello", "nonexistent": None}
 
 
-def test_f3_word_pairs(spark):
+def test_f3_c1_word_pairs(spark):
     lex = _lex(spark, [(1, "tì'efu", "path; way; manner", "n"), (2, "x", "", "n"), (3, "y", "yes", "n")])
     got = [(r.src, r.tgt) for r in corpus.word_pairs(lex).orderBy("seq").collect()]
     assert got == [("tì'efu", "path"), ("y", "yes")]
 
 
-def test_f4_dedupe_pairs(spark):
+def test_f4_c4_dedupe_pairs(spark):
     df = spark.createDataFrame([(1, "a", "b"), (2, "a", "b"), (3, "c", "d")], "seq BIGINT, src STRING, tgt STRING")
     assert corpus.dedupe_pairs(df).count() == 2
     df2 = spark.createDataFrame([(1, "Hello", "World"), (2, "hello", "world")], "seq BIGINT, src STRING, tgt STRING")
     assert [(r.src, r.tgt) for r in corpus.dedupe_pairs(df2).collect()] == [("Hello", "World")]
 
 
-def test_f5_oov_rate_and_drift(spark):
+def test_f5_j1_j8_a1_d1_oov_rate_and_drift(spark):
     def rate(vocab, texts):
         lex = _lex(spark, [(i, t, "g", "x") for i, t in enumerate(vocab)])
         req = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id BIGINT, text STRING")
@@ -81,14 +81,14 @@ def test_f5_oov_rate_and_drift(spark):
     assert abs(live - 0.2) < 1e-9 and live > 0.05 * (1 + 0.15)
 
 
-def test_f6_validate_requests(spark):
+def test_f6_l14_validate_requests(spark):
     df = spark.createDataFrame([(1, "", 0.85), (2, "x" * 501, 1.5), (3, "ok", 0.5)],
                                "id BIGINT, text STRING, confidence DOUBLE")
     got = sorted((r.id, r.reason) for r in lexicon.validate_requests(df, "id").collect())
     assert got == [(1, "text_empty"), (2, "confidence_out_of_range"), (2, "text_too_long")]
 
 
-def test_f7_expressions(spark):
+def test_f7_l4_l11_l12_c9_c10_expressions(spark):
     df = spark.createDataFrame([("kal/[txì]", "some (agentive case)", "[N]", "'I see you.'", "1. Oel ngati kameie")],
                                "a STRING, b STRING, c STRING, d STRING, e STRING")
     r = df.select(canonical_form(F.col("a")).alias("a"), clean_gloss(F.col("b")).alias("b"),
@@ -100,21 +100,21 @@ def test_f7_expressions(spark):
     assert r2 == "'angtsìk"
 
 
-def test_f7_fuzzy_ties_and_short_tokens(spark):
+def test_f7_l6_j4_fuzzy_ties_and_short_tokens(spark):
     lookup = lexicon.build_lookup(_lex(spark, [(0, "abcd", "first", "x"), (1, "abce", "second", "x")]))
     words = spark.createDataFrame([("abcf",), ("ab",)], "low STRING")
     got = {r.low: (r.fuzzy_key, r.edit_distance) for r in matching.match_fuzzy(words, lookup).collect()}
     assert got == {"abcf": ("abcd", 1)}
 
 
-def test_f7_suffix_list_order(spark):
+def test_f7_j3_suffix_list_order(spark):
     lookup = lexicon.build_lookup(_lex(spark, [(0, "ta", "from", "x"), (1, "tar", "other", "x")]))
     words = spark.createDataFrame([("tari",)], "low STRING")
     got = matching.match_suffix(words, lookup, suffixes=["ri", "i"]).first()
     assert got.stem == "ta"
 
 
-def test_f7_translate_confidence(spark):
+def test_f7_j2_j5_j6_j7_translate_confidence(spark):
     lex = _lex(spark, [(0, "kaltxì", "hello; hi", "intj")])
     req = spark.createDataFrame([(1, "kaltxì zzzz"), (2, "qqq")], "request_id BIGINT, text STRING")
     lk = lexicon.build_lookup(lex)
@@ -123,7 +123,7 @@ def test_f7_translate_confidence(spark):
     assert out[2].confidence == 0.0 and out[2].english == "qqq"
 
 
-def test_f7_split_sizes(spark):
+def test_f7_c12_c13_split_sizes(spark):
     rows, i = [], 0
     for stratum, n in (("a", 1), ("b", 2), ("c", 3), ("d", 10)):
         for _ in range(n):
@@ -135,7 +135,7 @@ def test_f7_split_sizes(spark):
     assert got == {"a": (1, 0, 0), "b": (1, 0, 1), "c": (2, 1, 0), "d": (8, 1, 1)}
 
 
-def test_f7_adjacent_pairs(spark):
+def test_f7_c6_c7_c8_adjacent_pairs(spark):
     html = "<p>Oe lu 'eylan.</p><p></p><p></p><p>'I see you.'</p><p>Kaltxì ma frapo.</p><p></p><p></p><p></p><p>'Hello all.'</p>"
     pages = spark.createDataFrame([(1, html)], "page_id BIGINT, html STRING")
     got = [(r.src, r.tgt) for r in corpus.adjacent_line_pairs(pages).collect()]
@@ -143,14 +143,14 @@ def test_f7_adjacent_pairs(spark):
     assert looks_like_source is not None
 
 
-def test_f7_rolling_rate(spark):
+def test_f7_m7_m8_rolling_rate(spark):
     rows = [(i, i, i == 0) for i in range(101)]
     df = spark.createDataFrame(rows, "event_id BIGINT, ts BIGINT, missed BOOLEAN")
     out = {r.event_id: r.rate for r in metrics.rolling_rate(df, F.col("missed"), [], ["ts", "event_id"]).collect()}
     assert abs(out[99] - 0.01) < 1e-12 and out[100] == 0.0
 
 
-def test_f7_bucket_quantile(spark):
+def test_f7_m2_m3_bucket_quantile(spark):
     df = spark.createDataFrame([(75.0,)] * 10, "v DOUBLE")
     r = df.agg(F.array(*[F.count_if(F.col("v") <= b) for b in metrics.LATENCY_BUCKETS_MS]).alias("c"),
                F.count("v").alias("t")).select(

@@ -15,6 +15,15 @@ SUBSET = [
     "m3_latency_quantiles", "m7_rolling_oov_rate", "m13_active_users", "m18_in_flight", "m21_counter_increase",
     "r7_alert_states", "r9_inhibit", "d2_column_drift", "g1_promotion_gate_wer",
     "u1_score_batches",
+    "l2_validate_lexicon", "l3_enrich_lexicon", "l8_explode_pronunciations", "l9_slugs", "l10_slug_collisions",
+    "l13_clean_oov_word", "l15_media_gate", "l16_duration_filter", "l17_client_id", "j10_resolve_label",
+    "c3_combine_c4_dedupe", "c5_dedupe_by_source", "c11_frequency_tier", "c14_corpus_manifest",
+    "a3_media_summary", "a4_speaker_counts", "a5_vector_moments", "a6_vector_bin_means", "a9_sequence_confidence",
+    "a10_fused_confidence", "m4_confidence_histogram", "m5_high_confidence_ratio", "m6_error_ratio",
+    "m9_fuzzy_correction_ratio", "m10_fuzzy_by_distance", "m11_top_oov_words", "m12_requests_by_user",
+    "m14_unique_users", "m15_oov_by_user", "m16_submissions_by_user", "m17_user_rate", "m19_latest_value",
+    "m20_phase_summary", "r2_high_fallback_rate", "r3_oov_drift", "r5_high_latency", "r4_low_confidence", "r6_heartbeat_gaps", "r8_notifications",
+    "d4_drift_report", "g2_latest_in_stage", "g3_archive_previous", "g4_resolve_source", "g5_latest_run_by_tag",
 ]
 
 

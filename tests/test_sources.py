@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.sources import io
 
 
-def test_pairs_round_trip(spark, tmp):
+def test_s3_s4_pairs_round_trip(spark, tmp):
     df = spark.createDataFrame([("a\tb", 'say "hi"'), (" x ", "y"), ("", "z")], "src STRING, tgt STRING")
     path = os.path.join(tmp, "pairs")
     io.write_pairs(df, path)
@@ -15,7 +15,7 @@ def test_pairs_round_trip(spark, tmp):
     assert sorted(map(tuple, back.collect())) == [("a\tb", 'say "hi"'), ("x", "y")]
 
 
-def test_manifest_and_splits(spark, tmp):
+def test_s5_s9_s10_manifest_and_splits(spark, tmp):
     df = spark.createDataFrame([(1, "train"), (2, "val"), (3, "test")], "id BIGINT, split STRING")
     io.write_manifest(df, os.path.join(tmp, "m"))
     assert io.read_manifest(spark, os.path.join(tmp, "m"), "id BIGINT, split STRING").count() == 3
@@ -25,7 +25,7 @@ def test_manifest_and_splits(spark, tmp):
     io.write_summary(df.agg(F.struct(F.count("id").alias("n")).alias("text")), os.path.join(tmp, "sum"))
 
 
-def test_list_media(spark, tmp):
+def test_s6_list_media(spark, tmp):
     root = os.path.join(tmp, "media")
     os.makedirs(os.path.join(root, "sub"))
     for name in ("a.WAV", "sub/b.mp3", "c.txt"):
@@ -36,12 +36,12 @@ def test_list_media(spark, tmp):
     assert {r.source_dir for r in out.collect()} == {"media"}
 
 
-def test_only_new(spark):
+def test_s11_only_new(spark):
     items = spark.createDataFrame([(1,), (2,), (3,)], "id BIGINT")
     done = spark.createDataFrame([(1, 500), (2, 50)], "id BIGINT, size BIGINT")
     assert sorted(r.id for r in io.only_new(items, done, "id", "size").collect()) == [2, 3]
 
 
-def test_recent_requests(spark):
+def test_s7_recent_requests(spark):
     df = spark.range(1000).select(F.col("id").alias("event_id"), F.col("id").alias("ts"))
     assert [r.event_id for r in io.recent_requests(df, 3).collect()] == [999, 998, 997]

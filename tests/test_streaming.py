@@ -28,7 +28,7 @@ def _log_dir(spark, tmp):
     return path
 
 
-def test_t1_window_metrics_match_batch(spark, tmp):
+def test_t1_s8_m1_window_metrics_match_batch(spark, tmp):
     stream = io.request_stream(spark, _log_dir(spark, tmp), LOG_SCHEMA)
     out = _run(jobs.stream_window_metrics(stream, "1 hour", watermark="1 hour"), tmp, "t1", "complete")
     got = {(str(r.window_start)[:19], r.input_type, r.status): r.requests for r in out.collect()}
@@ -37,7 +37,7 @@ def test_t1_window_metrics_match_batch(spark, tmp):
     assert got == exp
 
 
-def test_t2_rolling_state_matches_batch(spark, tmp):
+def test_t2_m7_rolling_state_matches_batch(spark, tmp):
     log = B.request_log(spark, SF_SMALL)
     path = os.path.join(tmp, "log2")
     mid = log.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
@@ -60,7 +60,7 @@ def test_t2_rolling_state_matches_batch(spark, tmp):
     assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
 
 
-def test_t3_alert_state_machine_matches_batch(spark, tmp):
+def test_t3_r1_r7_alert_state_machine_matches_batch(spark, tmp):
     log = B.request_log(spark, SF_SMALL)
     cond = alerts.error_rate_condition(log).withColumn("alertname", F.lit(alerts.HIGH_ERROR_RATE.name))
     path = os.path.join(tmp, "evals")
@@ -80,7 +80,7 @@ def test_t3_alert_state_machine_matches_batch(spark, tmp):
     assert got == sorted(exp)
 
 
-def test_t4_stream_static_oov(spark, tmp):
+def test_t4_a1_stream_static_oov(spark, tmp):
     path = os.path.join(tmp, "req")
     B.requests(spark, SF_SMALL).write.mode("overwrite").parquet(path)
     stream = spark.readStream.schema("request_id BIGINT, user_id BIGINT, text STRING").parquet(path)
@@ -92,7 +92,7 @@ def test_t4_stream_static_oov(spark, tmp):
     assert got == exp
 
 
-def test_t5_new_lexicon_dedupe(spark, tmp):
+def test_t5_l5_new_lexicon_dedupe(spark, tmp):
     words = F.element_at(F.array(*[F.lit(w) for w in ("kameie", "oel", "ngati", "kaltxì")]),
                          (F.col("user_id") % 4 + 1).cast("int"))
     subs = B.request_log(spark, SF_SMALL).filter("is_submission").select("ts", words.alias("term"))
@@ -104,7 +104,7 @@ def test_t5_new_lexicon_dedupe(spark, tmp):
         {r.term for r in subs.collect()} - {"kaltxì"})  # no "x" in the term charset
 
 
-def test_t6_foreach_batch_drift(spark, tmp):
+def test_t6_d1_foreach_batch_drift(spark, tmp):
     path = os.path.join(tmp, "req6")
     B.requests(spark, SF_SMALL).write.mode("overwrite").parquet(path)
     stream = spark.readStream.schema("request_id BIGINT, user_id BIGINT, text STRING").parquet(path)
