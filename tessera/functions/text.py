@@ -6,8 +6,6 @@ whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -154,7 +152,3 @@ def clean_source(line: Column, min_words: int = 2) -> Column:
     pos = "|".join(POS_MARKERS)
     reject = t.rlike("\\([a-z]+\\.,?(?U)\\s") | t.rlike(f"\\((?:{pos})\\.")
     return F.when(~reject & (F.size(word_tokens(t)) >= min_words), t)
-
-
-def escape_regex_literal(s: str) -> str:
-    return re.escape(s)

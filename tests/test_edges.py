@@ -39,3 +39,17 @@ def test_a11_resample_single_sample(spark):
     df = spark.createDataFrame([("k", 10.0, 3.5)], "k STRING, t DOUBLE, v DOUBLE")
     rows = profile.resample_linear(df, ["k"], "t", "v", 5.0).collect()
     assert [(r.step_index, r.value) for r in rows] == [(0, 3.5)]
+
+
+def test_a9_beam_confidence(spark):
+    from tessera.operators.quality import beam_confidence
+    r = spark.range(1).select(beam_confidence(F.lit(0.0)).alias("c"), beam_confidence(F.lit(50.0)).alias("h")).first()
+    assert r.c == 0.5 and r.h == 1.0
+
+
+def test_d2_wide_columns(spark):
+    df = spark.createDataFrame([(i, float(i), float(i % 3), "reference" if i < 50 else "current") for i in range(100)],
+                               "id BIGINT, x DOUBLE, y DOUBLE, side STRING")
+    out = {r.column: r for r in drift.column_drift(drift.long_values(df, ["x", "y"], F.col("side"))).collect()}
+    assert out["x"].ks_stat == 1.0 and out["x"].drifted
+    assert out["y"].ks_stat < 0.1 and not out["y"].drifted
