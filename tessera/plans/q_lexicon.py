@@ -237,7 +237,29 @@ def u1_score_batches(spark, sf):
                                  ["request_id", "text"])
 
 
-@query("j6_translate_with_model", None)
+def _j6_model_sql() -> str:
+    from tessera.plans.q_matching import BREAKDOWN_SQL
+    eng = clean_sql("CASE WHEN use_dict AND hits > 0 THEN dict_text WHEN use_dict AND model_text = '' THEN text "
+                    "ELSE model_text END")
+    return BREAKDOWN_SQL.rstrip() + f""",
+agg AS (
+  SELECT request_id, count(*) AS n, count(*) FILTER (WHERE found) AS hits, count(*) FILTER (WHERE fuzzy) AS nf,
+         string_agg(gloss, ' ' ORDER BY pos) AS dict_text, string_agg(corrected, ' ' ORDER BY pos) AS corrected_text
+  FROM breakdown GROUP BY request_id),
+sc AS (SELECT request_id, text, coalesce(text, '') AS model_text,
+              least(1.0, len({tokens_of("coalesce(text, '')")}) / 50.0) AS conf0 FROM requests),
+j AS (SELECT sc.*, sc.conf0 < 0.4 AS use_dict, coalesce(a.n, 0) AS n, coalesce(a.hits, 0) AS hits,
+             coalesce(a.nf, 0) AS nf, a.dict_text, a.corrected_text FROM sc LEFT JOIN agg a USING (request_id))
+SELECT request_id, text, {eng} AS english,
+       round(CASE WHEN use_dict AND hits > 0 THEN greatest(conf0, 0.5 + 0.45 * hits / n) ELSE conf0 END, 3) AS confidence,
+       CAST(CASE WHEN use_dict THEN n ELSE 0 END AS BIGINT) AS n_tokens,
+       CAST(CASE WHEN use_dict THEN hits ELSE 0 END AS BIGINT) AS found_tokens,
+       CASE WHEN use_dict THEN coalesce(corrected_text, '') ELSE '' END AS corrected_text,
+       CAST(CASE WHEN use_dict THEN nf ELSE 0 END AS BIGINT) AS fuzzy_corrections
+FROM j"""
+
+
+@query("j6_translate_with_model", _j6_model_sql())
 def j6_translate_with_model(spark, sf):
     """J6 with model scores from U1: dictionary only below the 0.4 threshold."""
     req = B.requests(spark, sf)
