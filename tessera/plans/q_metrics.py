@@ -9,6 +9,7 @@ from tessera.operators import matching, metrics, quality
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
 from tessera.plans.q_matching import BREAKDOWN_SQL, _lookup
+from tessera.plans.q_profile import _bleu_sql
 from tessera.plans.sqlparts import LEX, LOG, tokens_of, with_
 from tessera.session import table
 
@@ -296,7 +297,7 @@ def m22_live_wer_by_user(spark, sf):
     return quality.word_error_rate(B.text_pairs(spark, sf), by=["user_id"])
 
 
-@query("m22_live_bleu_by_user", None)
+@query("m22_live_bleu_by_user", _bleu_sql("user_id"))
 def m22_live_bleu_by_user(spark, sf):
     """BLEU of adjacent turns per user group."""
     return quality.corpus_bleu(B.text_pairs(spark, sf), by=["user_id"])

@@ -118,19 +118,22 @@ def _bleu_sql(by: str | None) -> str:
           "ELSE 0.0 END ELSE 1.0 END)")
     score = f"{bp} * exp(({' + '.join(logs)}) / 4)"
     join_on = f"USING ({by})" if by else "ON true"
+    hby = f"h.{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
     return with_(PAIRS, f"""
 tok AS (SELECT {g}pair_id, {_bleu_tok_sql('reference')} AS r, {_bleu_tok_sql('hypothesis')} AS h FROM pairs),
 grams AS ({' UNION ALL '.join(grams)}),
 cnt AS (SELECT {g}pair_id, side, n, gram, count(*) AS c FROM grams GROUP BY ALL),
-clip AS (SELECT {g.replace(', ', '') + ', ' if by else ''}h.n, sum(least(h.c, r.c)) AS correct
+clip AS (SELECT {hby}h.n, sum(least(h.c, r.c)) AS correct
          FROM cnt h JOIN cnt r ON r.pair_id = h.pair_id AND r.n = h.n AND r.gram = h.gram AND r.side = 'r'
-         WHERE h.side = 'h' GROUP BY {'h.' + by + ', ' if by else ''}h.n),
+         WHERE h.side = 'h' GROUP BY {hby}h.n),
 piv AS (SELECT {g}{', '.join(f'coalesce(sum(correct) FILTER (WHERE n = {n}), 0) AS correct{n}' for n in range(1, 5))}
-        FROM clip {'GROUP BY ' + by if by else ''}),
+        FROM clip {grp}),
 tot AS (SELECT {g}{', '.join(f'sum(greatest(len(h) - {n} + 1, 0)) AS total{n}' for n in range(1, 5))},
-        sum(len(h)) AS sys_len, sum(len(r)) AS ref_len FROM tok {'GROUP BY ' + by if by else ''}),
-s AS (SELECT * FROM tot LEFT JOIN piv {join_on})
-""").replace("clip AS (SELECT , ", "clip AS (SELECT ") + f"""
+        sum(len(h)) AS sys_len, sum(len(r)) AS ref_len FROM tok {grp}),
+s AS (SELECT tot.*, {', '.join(f'coalesce(piv.correct{n}, 0) AS correct{n}' for n in range(1, 5))}
+      FROM tot LEFT JOIN piv {join_on})
+""") + f"""
 SELECT {g}round({score} / 100.0, 4) AS bleu, round({bp}, 6) AS brevity_penalty,
        CAST(sys_len AS BIGINT) AS sys_len, CAST(ref_len AS BIGINT) AS ref_len FROM s"""
 

@@ -14,7 +14,7 @@ SUBSET = [
     "c12_split_by_source", "a2_distribution_n_chars", "a8_corpus_bleu", "a11_resample_linear",
     "m3_latency_quantiles", "m7_rolling_oov_rate", "m13_active_users", "m18_in_flight", "m21_counter_increase",
     "r7_alert_states", "r9_inhibit", "d2_column_drift", "g1_promotion_gate_wer",
-    "u1_score_batches", "j6_translate_with_model",
+    "u1_score_batches", "j6_translate_with_model", "m22_live_bleu_by_user",
     "l2_validate_lexicon", "l3_enrich_lexicon", "l8_explode_pronunciations", "l9_slugs", "l10_slug_collisions",
     "l13_clean_oov_word", "l15_media_gate", "l16_duration_filter", "l17_client_id", "j10_resolve_label",
     "c3_combine_c4_dedupe", "c5_dedupe_by_source", "c11_frequency_tier", "c14_corpus_manifest",
