@@ -9,7 +9,7 @@ from tessera.operators import matching, metrics, quality
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
 from tessera.plans.q_matching import BREAKDOWN_SQL, _lookup
-from tessera.plans.q_profile import _bleu_sql
+from tessera.plans.q_profile import WER_PAIRS_SQL, _bleu_sql
 from tessera.plans.sqlparts import LEX, LOG, tokens_of, with_
 from tessera.session import table
 
@@ -291,7 +291,10 @@ def m21_counter_increase(spark, sf):
     return metrics.counter_increase(e, ["event_type"], "ts", "k", tie="event_id")
 
 
-@query("m22_live_wer_by_user", None)
+@query("m22_live_wer_by_user", WER_PAIRS_SQL + """
+SELECT user_id, round(CASE WHEN sum(ref_words) > 0 THEN sum(edits) / sum(ref_words) ELSE 1.0 END, 4) AS wer,
+       CAST(sum(edits) AS BIGINT) AS edits, CAST(sum(ref_words) AS BIGINT) AS ref_words,
+       CAST(count(*) AS BIGINT) AS pairs FROM pe GROUP BY user_id""")
 def m22_live_wer_by_user(spark, sf):
     """WER of adjacent turns per user group (brute-force checked in tests)."""
     return quality.word_error_rate(B.text_pairs(spark, sf), by=["user_id"])

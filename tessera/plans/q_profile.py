@@ -73,14 +73,42 @@ def a6_vector_bin_means(spark, sf):
     return profile.vector_bin_means(table(spark, sf, "embeddings"), "embedding", ["vec_id"])
 
 
-@query("a7_word_error_rate", None)
+def _wer_words_sql(x: str) -> str:
+    t = f"regexp_replace(regexp_replace({x}, '\\s\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')"
+    return f"list_filter(string_split({t}, ' '), lambda w: length(w) >= 1)"
+
+
+# Word-level edit distance in SQL: one recursive step per reference word; each
+# DP row is min(prev+1, diagonal+cost) followed by a running minimum over j
+# (insertions), i.e. cur[j] = min_k (t[k] + j - k).
+WER_PAIRS_SQL = "WITH RECURSIVE " + PAIRS.strip() + f""",
+pw AS (SELECT pair_id, user_id, {_wer_words_sql('reference')} AS r, {_wer_words_sql('hypothesis')} AS h
+       FROM pairs WHERE regexp_replace(coalesce(reference, ''), '^\\s+|\\s+$', '', 'g') <> ''),
+dp(pair_id, i, j, d) AS (
+  SELECT pair_id, 0, j, j FROM (SELECT pair_id, unnest(range(0, len(h) + 1)) AS j FROM pw)
+  UNION ALL
+  SELECT pair_id, i, j, min(t - j) OVER (PARTITION BY pair_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + j
+  FROM (SELECT x.pair_id, x.i + 1 AS i, x.j,
+               CASE WHEN x.j = 0 THEN x.i + 1
+                    ELSE least(x.d + 1, lag(x.d) OVER (PARTITION BY x.pair_id ORDER BY x.j)
+                               + CASE WHEN pw.r[x.i + 1] = pw.h[x.j] THEN 0 ELSE 1 END) END AS t
+        FROM dp x JOIN pw USING (pair_id) WHERE x.i < len(pw.r))),
+pe AS (SELECT pw.pair_id, pw.user_id, CAST(dp.d AS BIGINT) AS edits, CAST(len(pw.r) AS BIGINT) AS ref_words
+       FROM pw JOIN dp ON dp.pair_id = pw.pair_id AND dp.i = len(pw.r) AND dp.j = len(pw.h))
+"""
+
+
+@query("a7_word_error_rate", WER_PAIRS_SQL + """
+SELECT round(CASE WHEN coalesce(sum(ref_words), 0) > 0 THEN sum(edits) / sum(ref_words) ELSE 1.0 END, 4) AS wer,
+       CAST(coalesce(sum(edits), 0) AS BIGINT) AS edits, CAST(coalesce(sum(ref_words), 0) AS BIGINT) AS ref_words,
+       CAST(count(*) AS BIGINT) AS pairs FROM pe""")
 def a7_word_error_rate(spark, sf):
     """Corpus WER of adjacent conversation turns (whole texts; checked
     against a brute-force word DP in tests — DuckDB's levenshtein counts bytes)."""
     return quality.word_error_rate(B.text_pairs(spark, sf))
 
 
-@query("a7_pair_errors", None)
+@query("a7_pair_errors", WER_PAIRS_SQL + "SELECT pair_id, edits, ref_words FROM pe")
 def a7_pair_errors(spark, sf):
     """A7 per pair: word edits and reference words."""
     return quality.pair_errors(B.text_pairs(spark, sf)).select("pair_id", "edits", "ref_words")
