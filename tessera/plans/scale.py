@@ -132,7 +132,7 @@ def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Se
 
 
 def rolling_rows(df: DataFrame, key_cols, order_cols: Sequence[str], n_rows: int,
-                 aggs: dict[str, Column], chunk_rows: int = 100_000) -> DataFrame:
+                 aggs: dict[str, Column], chunk_rows: int = 20_000) -> DataFrame:
     """Aggregates over the last ``n_rows`` rows per key (a ROWS frame) without
     holding a whole key in one task.
 
