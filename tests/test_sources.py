@@ -45,3 +45,11 @@ def test_s11_only_new(spark):
 def test_s7_recent_requests(spark):
     df = spark.range(1000).select(F.col("id").alias("event_id"), F.col("id").alias("ts"))
     assert [r.event_id for r in io.recent_requests(df, 3).collect()] == [999, 998, 997]
+
+
+def test_s3_comma_manifest_variant(spark, tmp):
+    path = os.path.join(tmp, "manifest.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('navi,en\n"kaltxì, ma","hello, all"\n ,empty\n')
+    back = io.read_pairs(spark, path, sep=",")
+    assert [tuple(r) for r in back.collect()] == [("kaltxì, ma", "hello, all")]
