@@ -121,3 +121,13 @@ def test_t6_d1_foreach_batch_drift(spark, tmp):
     toks = matching.tokenise(B.requests(spark, SF_SMALL), "text", ["request_id"], lower=True)
     exp = profile.oov_rate(toks, lex).first()
     assert (got[0], got[1]) == (exp.total_tokens, exp.oov_tokens)
+
+
+def test_t1_sliding_windows_match_batch(spark, tmp):
+    stream = io.request_stream(spark, _log_dir(spark, tmp), LOG_SCHEMA)
+    out = _run(jobs.stream_window_metrics(stream, "2 hours", "1 hour", watermark="1 hour"), tmp, "t1s", "complete")
+    got = {(str(r.window_start)[:19], r.input_type, r.status): r.requests for r in out.collect()}
+    b = (B.request_log(spark, SF_SMALL).groupBy(F.window("ts", "2 hours", "1 hour").alias("w"), "input_type", "status")
+         .count())
+    exp = {(str(r.w.start)[:19], r.input_type, r.status): r["count"] for r in b.collect()}
+    assert got == exp
