@@ -19,6 +19,7 @@ passed through untouched.
 
 from __future__ import annotations
 
+import array
 import functools
 import heapq
 import itertools
@@ -63,8 +64,9 @@ class PieceModel:
         self.whole = {p for p in self.id_of if p in self.tied or self.merge(p) == [p]}
         self.automaton = ahocorasick.Automaton()
         for p in self.whole:
-            self.automaton.add_word(p, p)
+            self.automaton.add_word(p, (len(p), self.id_of[p]))
         self.automaton.make_automaton()
+        self.names, self.length = names, [len(p) for p in names]
         self.surface = [b""] * self.size
         for i in normal:
             self.surface[i] = names[i].replace(MARK, " ").encode()
@@ -72,13 +74,30 @@ class PieceModel:
             self.surface[i] = bytes([b])
         self.surface[self.unknown] = " ⁇ ".encode()
         self.silent = frozenset(i for i in range(self.size) if sp.is_control(i))
-        self.compatible = Cache(lambda pair: self.merge(pair[0] + pair[1]) == list(pair), 2_000_000)
+        self.compatible = Cache(self._compatible, 1_000_000)
+        least = [p for p in self.tied if not any(q != p and q in p for q in self.tied)]
+        self.has_tied = re.compile("|".join(map(re.escape, least)) or "(?!)").search
         inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
         self.segments = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]+").findall
         self.segment_ids = Cache(self._segment)
 
     def merge(self, text: str) -> list[str]:
         """Merge neighbours of ``text`` in order of score, the left one first among equals."""
+        if len(text) > 40:
+            return self._merge_long(text)
+        part, score = list(text), self.score
+        while True:
+            best, at = None, -1
+            for i in range(len(part) - 1):
+                x = score.get(part[i] + part[i + 1])
+                if x is not None and (best is None or x > best):
+                    best, at = x, i
+            if at < 0:
+                return part
+            part[at:at + 2] = [part[at] + part[at + 1]]
+
+    def _merge_long(self, text: str) -> list[str]:
+        """The same with a queue, for long texts."""
         part = list(text)
         left, right = list(range(-1, len(part) - 1)), list(range(1, len(part) + 1))
         heap: list[tuple[float, int, str]] = []
@@ -104,49 +123,50 @@ class PieceModel:
             offer(i, right[i])
         return [p for p in part if p]
 
-    def backtrack(self, text: str) -> list[str]:
+    def _compatible(self, pair: int) -> bool:
+        """Whether two pieces (ids packed into one number) stay as they are side by side."""
+        first, second = self.names[pair // self.size], self.names[pair % self.size]
+        return self.merge(first + second) == [first, second]
+
+    def backtrack(self, text: str) -> list[int]:
         """The only sequence of pieces of ``text`` whose neighbours are all compatible."""
-        starts: list[list[str]] = [[] for _ in text]
-        for end, piece in self.automaton.iter(text):
-            starts[end - len(piece) + 1].append(piece)  # shorter pieces come later for one start
-        path: list[str] = []
-        tried: list[int] = []  # how many of the candidates at each step are used up
-        failed = bytearray(len(text) // 8 + 1)
-        at, turn = 0, 0
-        while at < len(text):
-            options = starts[at]  # ends grow, so the longest is last
-            for k in range(turn, len(options)):
-                piece = options[-1 - k]
-                end = at + len(piece)
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                if path and not self.compatible[path[-1], piece]:
-                    continue
-                path.append(piece)
-                tried.append(k + 1)
-                at, turn = end, 0
-                break
+        n, size, length, compatible = len(text), self.size, self.length, self.compatible
+        starts: list[list[int]] = [[] for _ in range(n)]
+        for end, (k, piece) in self.automaton.iter(text):
+            starts[end - k + 1].append(piece)  # ends grow, so the longest of a start is last
+        path: list[int] = []
+        left: list[int] = []  # candidates not yet tried at each step
+        failed = bytearray(n // 8 + 1)
+        at, k = 0, len(starts[0])
+        while at < n:
+            options = starts[at]
+            before = path[-1] * size if path else -1
+            while k:
+                k -= 1
+                piece = options[k]
+                end = at + length[piece]
+                if not failed[end >> 3] >> (end & 7) & 1 and (before < 0 or compatible[before + piece]):
+                    path.append(piece)
+                    left.append(k)
+                    at = end
+                    k = len(starts[at]) if at < n else 0
+                    break
             else:
                 if not path:
                     raise ValueError(f"no encoding of {text[:80]!r}")
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= len(path.pop())
-                turn = tried.pop()
+                at -= length[path.pop()]
+                k = left.pop()
         return path
 
     def _segment(self, segment: str) -> bytes:
         if segment[-1] not in self.alphabet:
             ids = [self.byte_id.get(b, self.unknown) for b in segment.encode()] if self.byte_id else [self.unknown] * len(segment)
-        elif any(p in segment for p in self.tied_marks):
+        elif self.has_tied(segment):
             ids = [self.id_of[p] for p in self.merge(segment)]
         else:
-            ids = [self.id_of[p] for p in self.backtrack(segment)]
-        return np.array(ids, "<i4").tobytes()
-
-    @functools.cached_property
-    def tied_marks(self) -> tuple[str, ...]:
-        """Shortest substrings that every piece of equal score holds."""
-        return tuple(p for p in self.tied if not any(q != p and q in p for q in self.tied))
+            ids = self.backtrack(segment)
+        return array.array("i", ids).tobytes()
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit integers."""
