@@ -1,15 +1,16 @@
 """SentencePiece (merge-type) encoding and decoding.
 
 Encoding is exact and works by backtracking rather than by simulating merges over
-the whole text: an Aho-Corasick automaton yields every vocabulary piece starting
-at each character, the longest is tried first, a piece may follow another only if
-the two are *compatible* (re-merging the characters of both gives exactly the two
-pieces back), and a bitfield records positions from which no encoding goes on, so
-each position fails at most once.
-
-Text is cut where no vocabulary piece can span (before a run of word markers, and
-round characters outside the alphabet), and the cuts are encoded independently and
-memoised; the cut rule is verified against the vocabulary when a model is loaded.
+the whole text: an Aho-Corasick automaton yields the longest vocabulary piece at a
+character, which is tried first and then the shorter ones that begin it; a piece may
+follow another only if the two are *compatible* (re-merging the characters of both gives
+exactly the two pieces back), and a bitfield records positions from which no encoding
+goes on, so each position fails at most once.
+
+Text is cut where no vocabulary piece can span (before a run of word markers, round
+characters outside the alphabet, and between characters that no piece holds side by
+side), and the cuts are encoded independently and memoised; the rule for word markers
+is verified against the vocabulary when a model is loaded.
 Segments with repeated word markers hold pieces of equal score, whose order the
 pairwise test cannot see; they are merged directly.
 
@@ -31,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Cache
-
 MARK = "▁"
+#: Bounds of the memos of a worker: segments (two generations of them) and pairs.
+SEGMENTS, PAIRS = 500_000, 1_000_000
 
 
 class PieceModel:
@@ -64,8 +65,13 @@ class PieceModel:
         self.whole = {p for p in self.id_of if p in self.tied or self.merge(p) == [p]}
         self.automaton = ahocorasick.Automaton()
         for p in self.whole:
-            self.automaton.add_word(p, (len(p), self.id_of[p]))
+            self.automaton.add_word(p, self.id_of[p])
         self.automaton.make_automaton()
+        #: the next shorter piece that begins the same way
+        self.shorter = [-1] * self.size
+        for p in self.whole:
+            self.shorter[self.id_of[p]] = next((self.id_of[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.whole), -1)
+        self.inside = {p[i:i + 2] for p in self.id_of for i in range(len(p) - 1)}
         self.names, self.length = names, [len(p) for p in names]
         self.surface = [b""] * self.size
         for i in normal:
@@ -74,12 +80,13 @@ class PieceModel:
             self.surface[i] = bytes([b])
         self.surface[self.unknown] = " ⁇ ".encode()
         self.silent = frozenset(i for i in range(self.size) if sp.is_control(i))
-        self.compatible = Cache(self._compatible, 1_000_000)
+        self.pairs: dict[int, bool] = {}
         least = [p for p in self.tied if not any(q != p and q in p for q in self.tied)]
         self.has_tied = re.compile("|".join(map(re.escape, least)) or "(?!)").search
         inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
         self.segments = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]+").findall
-        self.segment_ids = Cache(self._segment)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """Merge neighbours of ``text`` in order of score, the left one first among equals."""
@@ -126,54 +133,75 @@ class PieceModel:
     def _compatible(self, pair: int) -> bool:
         """Whether two pieces (ids packed into one number) stay as they are side by side."""
         first, second = self.names[pair // self.size], self.names[pair % self.size]
-        return self.merge(first + second) == [first, second]
+        ok = self.merge(first + second) == [first, second]
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        self.pairs[pair] = ok
+        return ok
 
     def backtrack(self, text: str) -> list[int]:
         """The only sequence of pieces of ``text`` whose neighbours are all compatible."""
-        n, size, length, compatible = len(text), self.size, self.length, self.compatible
-        starts: list[list[int]] = [[] for _ in range(n)]
-        for end, (k, piece) in self.automaton.iter(text):
-            starts[end - k + 1].append(piece)  # ends grow, so the longest of a start is last
+        n, size, length, shorter, known = len(text), self.size, self.length, self.shorter, self.pairs.get
+        longest = self.automaton.iter_long
         path: list[int] = []
-        left: list[int] = []  # candidates not yet tried at each step
         failed = bytearray(n // 8 + 1)
-        at, k = 0, len(starts[0])
+        at, piece = 0, -2  # -2: the longest piece here; -1: none is left
         while at < n:
-            options = starts[at]
+            if piece == -2:
+                piece = next(longest(text, at))[1]
             before = path[-1] * size if path else -1
-            while k:
-                k -= 1
-                piece = options[k]
+            while piece >= 0:
                 end = at + length[piece]
-                if not failed[end >> 3] >> (end & 7) & 1 and (before < 0 or compatible[before + piece]):
+                if failed[end >> 3] >> (end & 7) & 1:
+                    ok = False
+                elif before < 0:
+                    ok = True
+                elif (ok := known(before + piece)) is None:
+                    ok = self._compatible(before + piece)
+                if ok:
                     path.append(piece)
-                    left.append(k)
-                    at = end
-                    k = len(starts[at]) if at < n else 0
+                    at, piece = end, -2
                     break
+                piece = shorter[piece]
             else:
                 if not path:
                     raise ValueError(f"no encoding of {text[:80]!r}")
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= length[path.pop()]
-                k = left.pop()
+                piece = path.pop()
+                at -= length[piece]
+                piece = shorter[piece]
         return path
 
     def _segment(self, segment: str) -> bytes:
-        if segment[-1] not in self.alphabet:
-            ids = [self.byte_id.get(b, self.unknown) for b in segment.encode()] if self.byte_id else [self.unknown] * len(segment)
-        elif self.has_tied(segment):
-            ids = [self.id_of[p] for p in self.merge(segment)]
-        else:
-            ids = self.backtrack(segment)
-        return array.array("i", ids).tobytes()
+        """Ids of a segment that is not in ``known``; they are put there."""
+        ids = self.older.get(segment)
+        if ids is None:
+            inside = self.inside
+            cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in inside]
+            if segment[-1] not in self.alphabet:
+                raw = [self.byte_id.get(b, self.unknown) for b in segment.encode()] if self.byte_id else [self.unknown] * len(segment)
+                ids = array.array("i", raw).tobytes()
+            elif cuts:  # two characters that no piece holds side by side
+                parts = [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+                ids = b"".join([self.known.get(p) or self._segment(p) for p in parts])
+            elif self.has_tied(segment):
+                ids = array.array("i", [self.id_of[p] for p in self.merge(segment)]).tobytes()
+            else:
+                ids = array.array("i", self.backtrack(segment)).tobytes()
+        self.known[segment] = ids
+        return ids
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit integers."""
         if not text:
             return b""
-        get = self.segment_ids
-        return b"".join([get[s] for s in self.segments(MARK + text.replace(" ", MARK))])
+        if len(self.known) >= SEGMENTS:  # what is still in use moves back from the older half
+            self.older, self.known = self.known, {}
+        segments = self.segments(MARK + text.replace(" ", MARK))
+        ids = list(map(self.known.get, segments))
+        if None in ids:
+            ids = [i or self.known.get(s) or self._segment(s) for i, s in zip(ids, segments)]
+        return b"".join(ids)
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
