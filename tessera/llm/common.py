@@ -48,17 +48,22 @@ def n_tasks(df: DataFrame, least: int = 1) -> int:
 
 
 class Cache(dict):
-    """Bounded memo of a pure function of its key (cleared when full, results never change)."""
+    """Bounded memo of a pure function of its key.  When full, its entries become the older
+    generation, from which those still in use move back; results never depend on it."""
 
     def __init__(self, fn, most: int = 400_000):
         super().__init__()
-        self.fn, self.most = fn, most
+        self.fn, self.most, self.older = fn, most, {}
 
-    def __missing__(self, key):
+    def age(self) -> None:
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.fn(key)
-        return value
-
-
 
+    def __missing__(self, key):
+        self.age()
+        value = self.older.get(key)
+        if value is None:
+            value = self.fn(key)
+        self[key] = value
+        return value

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import pieces
-from tessera.llm.common import pieces_path, table
+from tessera.llm import packing, pieces, pii
+from tessera.llm.common import materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,3 +38,30 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
+def span_text(span: Column) -> Column:
+    return F.concat_ws(":", span["kind"], span["start"].cast("string"), span["end"].cast("string"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find personal data in every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs).drop("text")
+    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE}
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *count.values(),
+        sha256(F.array_join(F.transform(base, span_text), ",")).alias("base_sha256"),
+        F.array_join(F.transform("spans", span_text), ",").alias("spans"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenise, cut and pack every document into sequences of 4096 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces_ = packing.cut(docs, pieces_path(WORDS))
+    light = materialise(pieces_.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packing.pack(light)
