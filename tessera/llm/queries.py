@@ -49,10 +49,13 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Find personal data in every text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.detect(docs).drop("text")
-    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
     return found.select(
-        "doc_id", *count.values(),
+        "doc_id", *map(count, pii.BASE),
         sha256(F.array_join(F.transform(base, span_text), ",")).alias("base_sha256"),
         F.array_join(F.transform("spans", span_text), ",").alias("spans"),
         F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"))
