@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, pieces, pii
-from tessera.llm.common import materialise, pieces_path, table
+from tessera.llm import langid, packing, pieces, pii
+from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -68,3 +68,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces_ = packing.cut(docs, pieces_path(WORDS))
     light = materialise(pieces_.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
     return packing.pack(light)
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from the rows with a language outside fold 2 of 4."""
+    return langid.fit(docs.where(fold(F.col("doc_id"), 4) != 2), pieces_path(PIECES))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    told = langid.identify(docs, language_model(docs))
+    return told.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+                       F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
