@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, packing, pieces, pii
+from tessera.llm import langid, packing, pieces, pii, simhash
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -82,3 +82,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = langid.identify(docs, language_model(docs))
     return told.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
                        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
