@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, packing, pieces, pii, simhash
+from tessera.llm import langid, packing, pieces, pii, simhash, substrings
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -89,3 +89,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Take out of every document what an earlier one holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substrings.remove_repeats(docs)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "n_words", n_removed.alias("n_removed"), sha256(F.col("kept")).alias("kept_sha256"))
