@@ -44,7 +44,7 @@ class Words:
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a word
         self.ends[[i for w, i in names.items() if w.endswith("</w>")]] = True
         self.special = tuple({w[:2] for w in (t.content for t in self.tokenizer.get_added_tokens_decoder().values())})
-        self.known = Cache(lambda part: self._learn([part])[part], 400_000)
+        self.known = Cache(lambda part: self._learn([part])[part], 600_000)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -94,7 +94,7 @@ class Words:
         fresh |= self._learn([s for s in stems if s not in fresh])
         known.update(fresh)
         known.update((p, b"".join([fresh[s] for s in split])) for p, split in new.items())
-        return [self._plain(t) if w else b"".join([known[x] for x in p]) for t, w, p in zip(texts, whole, parts)]
+        return [self._plain(t) if w else b"".join(map(known.get, p)) for t, w, p in zip(texts, whole, parts)]
 
 
 @functools.lru_cache(2)
