@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Bounds of the memos of a worker: segments (two generations of them) and pairs.
+#: Bounds of the memos of a worker: segments, parts (two generations of them) and pairs.
 SEGMENTS, PAIRS = 500_000, 1_000_000
 
 
@@ -86,6 +86,7 @@ class PieceModel:
         inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
         self.segments = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]+").findall
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -174,20 +175,18 @@ class PieceModel:
 
     def _segment(self, segment: str) -> bytes:
         """Ids of a segment that is not in ``known``; they are put there."""
-        ids = self.older.get(segment)
-        if ids is None:
-            inside = self.inside
-            cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in inside]
-            if segment[-1] not in self.alphabet:
-                raw = [self.byte_id.get(b, self.unknown) for b in segment.encode()] if self.byte_id else [self.unknown] * len(segment)
-                ids = array.array("i", raw).tobytes()
-            elif cuts:  # two characters that no piece holds side by side
-                parts = [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
-                ids = b"".join([self.known.get(p) or self._segment(p) for p in parts])
-            elif self.has_tied(segment):
-                ids = array.array("i", [self.id_of[p] for p in self.merge(segment)]).tobytes()
-            else:
-                ids = array.array("i", self.backtrack(segment)).tobytes()
+        inside = self.inside
+        cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in inside]
+        if segment[-1] not in self.alphabet:
+            raw = [self.byte_id.get(b, self.unknown) for b in segment.encode()] if self.byte_id else [self.unknown] * len(segment)
+            ids = array.array("i", raw).tobytes()
+        elif cuts:  # two characters that no piece holds side by side
+            parts = [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+            ids = b"".join([self.known.get(p) or self._segment(p) for p in parts])
+        elif self.has_tied(segment):
+            ids = array.array("i", [self.id_of[p] for p in self.merge(segment)]).tobytes()
+        else:
+            ids = array.array("i", self.backtrack(segment)).tobytes()
         self.known[segment] = ids
         return ids
 
@@ -195,27 +194,38 @@ class PieceModel:
         """Ids as little-endian 32-bit integers."""
         if not text:
             return b""
-        if len(self.known) >= SEGMENTS:  # what is still in use moves back from the older half
-            self.older, self.known = self.known, {}
-        segments = self.segments(MARK + text.replace(" ", MARK))
-        ids = list(map(self.known.get, segments))
-        if None in ids:
-            ids = [i or self.known.get(s) or self._segment(s) for i, s in zip(ids, segments)]
-        return b"".join(ids)
+        if len(self.known) >= SEGMENTS:
+            self.known.clear()
+        if len(self.parts) >= SEGMENTS:  # what is still in use moves back from the older half
+            self.older, self.parts = self.parts, {}
+        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            known, miss, parts = self.known.get, self._segment, self.segments(MARK + text.replace(" ", MARK))
+        else:  # one mark before each part and none inside
+            known, miss, parts = self.parts.get, self._part, text.split(" ")
+        return b"".join([known(p) or miss(p) for p in parts])
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part between single spaces; it is kept in ``parts``."""
+        ids = self.older.get(part)
+        if ids is None:
+            known, miss = self.known.get, self._segment
+            ids = b"".join([known(s) or miss(s) for s in self.segments(MARK + part)])
+        self.parts[part] = ids
+        return ids
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
 
-    def decode(self, ids) -> str:
-        """Text of ``ids``: the marker that encoding put in front goes, bytes that form no
+    def decode(self, ids, plain: bool = False) -> str:
+        """Text of ``ids`` (``plain``: without control ids): the marker that encoding put in front goes, bytes that form no
         character become U+FFFD one by one."""
         surface = self.surface
-        if self.silent.isdisjoint(ids):
+        if plain or self.silent.isdisjoint(ids):
             runs = [ids]
         else:  # a control id is silent and ends a run of byte pieces
             runs = [list(run) for silent, run in itertools.groupby(ids, self.silent.__contains__) if not silent]
         text = "".join([b"".join([surface[i] for i in run]).decode("utf-8", "one-by-one") for run in runs])
-        if text[:1] == " " and runs[0][0] not in (self.unknown, self.byte_id.get(32)):
+        if text[:1] == " " and runs and runs[0][0] not in (self.unknown, self.byte_id.get(32)):
             text = text[1:]
         return text
 
@@ -253,7 +263,9 @@ def decode_column(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(column: pa.Array) -> pa.Array:
         model = load(path)
-        return pa.array([model.decode(r.values.to_pylist()) if r.is_valid else "" for r in column], pa.string())
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        plain = not np.isin(flat, list(model.silent)).any()
+        return pa.array([model.decode(r or (), plain) for r in column.to_pylist()], pa.string())
 
     return decode(ids)
 
