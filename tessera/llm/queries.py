@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, packing, pieces, pii, simhash, substrings
+from tessera.llm import langid, neighbours, packing, pieces, pii, simhash, substrings
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -98,3 +98,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.remove_repeats(docs)
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return done.select("doc_id", "n_words", n_removed.alias("n_removed"), sha256(F.col("kept")).alias("kept_sha256"))
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
