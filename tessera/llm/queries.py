@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, neighbours, packing, pieces, pii, simhash, substrings
+from tessera.llm import langid, neighbours, packing, pieces, pii, quality, simhash, substrings
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -104,3 +104,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector."""
     return neighbours.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers of every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                      "base_failed", "kept", "outlier", F.round("distance", 3).alias("distance"))
