@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, neighbours, packing, pieces, pii, quality, simhash, substrings
+from tessera.llm import langid, licenses, neighbours, packing, pieces, pii, quality, simhash, substrings
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -112,3 +112,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                       "base_failed", "kept", "outlier", F.round("distance", 3).alias("distance"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and signatures of every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
