@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, neighbours, packing, pieces, pii, quality, simhash, substrings
+from tessera.llm import langid, licenses, neighbours, packing, pieces, pii, quality, simhash, substrings, toxicity
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -121,3 +121,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every text; labels are learned outside fold 1 of 3."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 3) != 1)
+    grammar = toxicity.fit(docs.join(labels, "doc_id"))
+    return toxicity.score(docs, grammar).select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
