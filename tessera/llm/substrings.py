@@ -23,6 +23,7 @@ Ids are whole numbers.  All other columns are passed through.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ from tessera.session import ensure_checkpoint_dir
 WINDOW = 13
 BLOCK = 7
 #: Bytes of text in a chunk, and bits of a block hash.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 BITS = 44
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -66,13 +67,37 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@functools.lru_cache(3)
+def _base(seed: int) -> tuple[int, int]:
+    """An odd number and its inverse modulo 2**64."""
+    odd = int(np.random.RandomState(seed).randint(2 ** 61, 2 ** 62)) * 2 + 1
+    return odd, pow(odd, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    x = np.full(n, base, np.uint64)
+    x[:1] = 1
+    return np.multiply.accumulate(x)
+
+
 def _rolling(words: np.ndarray, n: int, seed: int) -> np.ndarray:
-    """Hash of the ``n`` words from each place on."""
-    odd = np.random.RandomState(seed).randint(0, 2 ** 62, n).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    total = np.zeros(max(0, len(words) - n + 1), np.uint64)
-    for k in range(n):
-        total += words[k:k + len(total)] * odd[k]
-    return _mix(total)
+    """Polynomial hash of the ``n`` words from each place on, from running sums."""
+    base, inverse = _base(seed)
+    total = np.r_[np.zeros(1, np.uint64), np.cumsum(words * _powers(base, len(words)), dtype=np.uint64)]
+    m = max(0, len(words) - n + 1)
+    return _mix((total[n:n + m] - total[:m]) * _powers(inverse, m))
+
+
+def _among(x: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """Indices of the elements of ``x`` that are among ``sorted_``; a bit map leaves few to look up."""
+    if not len(sorted_) or not len(x):
+        return np.zeros(0, np.int64)
+    low = np.uint64((1 << 24) - 1)
+    seen = np.zeros(1 << 24, bool)
+    seen[sorted_ & low] = True
+    maybe = np.flatnonzero(seen[x & low])
+    at = np.minimum(np.searchsorted(sorted_, x[maybe]), len(sorted_) - 1)
+    return maybe[sorted_[at] == x[maybe]]
 
 
 def _pack(x: np.ndarray, rising: bool = False) -> bytes:
@@ -190,13 +215,12 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
                 at, h = c.blocks(block)
                 row = c.rows(at)
                 aligned = (at - c.first[row]) % block == 0
-                order = np.argsort(h, kind="stable")  # a stable order keeps rows rising
-                h, row, aligned = h[order], row[order], aligned[order]
+                order = np.argsort(h)
+                h, ids, aligned = h[order], c.ids[row[order]], aligned[order]
                 run = _runs(np.r_[True, h[1:] != h[:-1]][:len(h)])
-                last = np.r_[run[1:], len(h)] - 1
                 if not len(run):
                     continue
-                h, several = h[run], c.ids[row[run]] != c.ids[row[last]]
+                h, several = h[run], np.minimum.reduceat(ids, run) != np.maximum.reduceat(ids, run)
                 aligned = np.logical_or.reduceat(aligned, run)
                 out = [(k, number, _pack(h[a:b], True), np.packbits(aligned[a:b]).tobytes(), np.packbits(several[a:b]).tobytes())
                        for k, a, b in _ranges(h, BITS, ranges)]
@@ -209,7 +233,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         h = np.concatenate(parts)
         flags = [np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(p)) for x, p in zip(group[c], parts)]).astype(bool)
                  for c in ("aligned", "several")]
-        order = np.argsort(h, kind="stable")
+        order = np.argsort(h)
         sorted_ = h[order]
         run = _runs(np.r_[True, sorted_[1:] != sorted_[:-1]])
         count = np.diff(np.r_[run, len(h)])
@@ -217,7 +241,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         good = sorted_[run[good]]
         out = []
         for number, p in zip(group["chunk"], parts):
-            hit = p[good[np.minimum(np.searchsorted(good, p), len(good) - 1)] == p] if len(good) else p[:0]
+            hit = p[_among(p, good)]
             if len(hit):
                 out.append((number, _pack(hit, True)))
         return pd.DataFrame(out, columns=["chunk", "hashes"])
@@ -233,7 +257,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
             c = Chunk(raw, doc_id, text)
             at, h = c.blocks(block)
             hit = np.zeros(len(c.words) + 1, np.int64)
-            hit[at[good[np.minimum(np.searchsorted(good, h), len(good) - 1)] == h]] = 1
+            hit[at[_among(h, good)]] = 1
             total = np.r_[0, np.cumsum(hit)]
             start = c.starts(window)
             start = start[total[start + window - block + 1] > total[start]]  # a hit block lies inside
@@ -293,17 +317,21 @@ def _finish(c: Chunk, ka: np.ndarray, kb: np.ndarray, least: np.ndarray, window:
     start = c.starts(window)
     a, b = c.windows(start, window)
     ids = c.ids[c.rows(start)]
-    order = np.lexsort((ids, b, a))
-    new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])][:len(a)]
-    first = np.empty(len(a), np.int64)  # the smallest id in this chunk ...
-    if len(a):
-        first[order] = ids[order][_runs(new)][np.cumsum(new) - 1]
-    at = np.searchsorted(ka, a)
-    for step in range(2):  # ... and elsewhere; two windows may agree in the first hash
-        i = np.minimum(at + step, max(len(ka) - 1, 0))
-        if len(ka):
-            same = (ka[i] == a) & (kb[i] == b)
-            first[same] = np.minimum(first[same], least[i[same]])
+    first = ids.copy()  # the smallest id that has the window
+    order = np.argsort(a)
+    same = np.r_[False, a[order][1:] == a[order][:-1]][:len(a)]
+    twins = order[same | np.r_[same[1:], False][:len(a)]]  # windows that may occur twice in this chunk
+    if len(twins):
+        twins = twins[np.lexsort((ids[twins], b[twins], a[twins]))]
+        x, y = a[twins], b[twins]
+        new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+        first[twins] = ids[twins][_runs(new)][np.cumsum(new) - 1]
+    known = _among(a, ka)
+    at = np.searchsorted(ka, a[known])
+    for step in range(2 if len(ka) else 0):  # two windows may agree in the first hash
+        i = np.minimum(at + step, len(ka) - 1)
+        hit = (ka[i] == a[known]) & (kb[i] == b[known])
+        first[known[hit]] = np.minimum(first[known[hit]], least[i[hit]])
     covered = start[first < ids]
     edge = np.zeros(len(c.words) + 1, np.int64)
     np.add.at(edge, covered, 1)
