@@ -151,12 +151,33 @@ def _crowded(hits: DataFrame, held: DataFrame, radius: int, block: int) -> DataF
     return left.unionByName(right).groupBy("key", "i", "j").applyInPandas(forest, "a long, b long")
 
 
+def _components(rows: DataFrame, radius: int, segments: int, block: int) -> DataFrame:
+    """``fp`` and the ``root`` of its component, one row for each distinct fingerprint."""
+    nodes = materialise(rows.select("fp").distinct())
+    found = components(links(nodes, radius, segments, block)).withColumnRenamed("node", "fp")
+    return nodes.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable) of every row."""
     rows = materialise(df.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text).cast("string"), shingle).alias("fp")))
-    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    found = components(links(nodes.select("fp"), radius, segments, block))
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    rooted = _components(rows, radius, segments, block)
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).join(rooted, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    radius: int = RADIUS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
+    """One row of ``df`` for each component: that with the smallest id (null ids last)."""
+    names = [F.col(f"`{c}`") for c in df.columns]
+    tagged = df.withColumn("__row", F.xxhash64(*names))
+    rows = materialise(tagged.select(F.col(doc_id).alias("__id"), "__row", fingerprint_column(F.col(text).cast("string"), shingle).alias("fp")))
+    rooted = _components(rows, radius, segments, block)
+    light = rows.groupBy("fp", "__id", "__row").agg(F.count("*").alias("__n"))
+    first = (light.join(rooted, "fp").groupBy("root")
+             .agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__row", "__n")).alias("x"))
+             .select(F.col("x.__id").alias("__id"), F.col("x.__row").alias("__key"), "x.__n"))
+    kept = tagged.join(first, (tagged["__row"] == first["__key"]) & tagged[doc_id].eqNullSafe(first["__id"]))
+    # a row that is there several times is kept once
+    return kept.where("__n = 1").select(*names).unionByName(kept.where("__n > 1").select(*names).dropDuplicates())
