@@ -63,7 +63,7 @@ def _char_class(chars: str) -> str:
 
 def in_charset(c: Column, chars: str = TERM_CHARSET) -> Column:
     """Every character in ``chars`` (empty string counts as inside)."""
-    return c.rlike(f"^[{_char_class(chars)}]*$")
+    return c.rlike(rf"\A[{_char_class(chars)}]*\z")
 
 
 def slug_speaker(term: Column, speaker: Column, term_type: Column) -> Column:

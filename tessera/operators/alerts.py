@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import (
@@ -216,18 +216,25 @@ def inhibit(notices: DataFrame, states: DataFrame, equal: Sequence[str] = ("aler
             source_severity: str = "critical", target_severity: str = "warning",
             bucket_s: int = 3600) -> DataFrame:
     """Drop target-severity notices sent while a source-severity alert with
-    the same ``equal`` labels is firing.  Interval overlap as an equi-join on
-    (equal labels, hour bucket) plus a range check, then a left anti join."""
+    the same ``equal`` labels is firing.  The firing intervals are cut at bucket bounds and
+    overlapping ones merged inside each (equal labels, bucket), so a bucket holds at most one
+    interval for every other evaluation slot and a notice lies in at most one of them."""
     src = states.filter(F.col("fired") & (F.col("severity") == source_severity)).select(
         *[F.col(c) for c in equal],
         (F.col("_fire_slot") * EVAL_SECONDS).alias("_s"),
-        F.coalesce(F.col("_end_slot"), F.col("_last_slot") + 1).alias("_e_slot"))
-    src = src.withColumn("_e", F.col("_e_slot") * EVAL_SECONDS).drop("_e_slot")
+        (F.coalesce(F.col("_end_slot"), F.col("_last_slot") + 1) * EVAL_SECONDS).alias("_e")).filter("_s < _e")
     src = src.withColumn("_bk", F.explode(F.sequence(F.floor(F.col("_s") / bucket_s).cast("bigint"),
-                                                      F.floor(F.col("_e") / bucket_s).cast("bigint"))))
+                                                     F.floor((F.col("_e") - 1) / bucket_s).cast("bigint"))))
+    cut = src.select(*equal, "_bk", F.greatest("_s", F.col("_bk") * bucket_s).alias("_s"),
+                     F.least("_e", (F.col("_bk") + 1) * bucket_s).alias("_e")).distinct()
+    w = Window.partitionBy(*equal, "_bk").orderBy("_s", "_e")
+    before = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.when(before >= F.col("_s"), 0).otherwise(1)).over(w)
+    merged = (cut.withColumn("_island", island).groupBy(*equal, "_bk", "_island")
+              .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e")).drop("_island"))
     tgt = notices.filter(F.col("severity") == target_severity).withColumn(
         "_bk", F.floor(F.col("notify_s") / bucket_s).cast("bigint"))
-    hit = tgt.join(src, [*equal, "_bk"], "inner").filter(
+    hit = tgt.join(merged, [*equal, "_bk"], "inner").filter(
         (F.col("notify_s") >= F.col("_s")) & (F.col("notify_s") < F.col("_e")))
     keys = ["alertname", "severity", "receiver", "kind", "notify_s"]
     hit = hit.select(*keys).distinct()

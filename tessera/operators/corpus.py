@@ -16,7 +16,7 @@ from tessera.functions.text import (
     quoted_target,
     strip_ws,
 )
-from tessera.plans.scale import global_row_number
+from tessera.plans.scale import global_row_number, join_null_safe
 from tessera.session import cut_lineage
 
 # Fixed values of the reference corpus build.
@@ -164,7 +164,7 @@ def stratified_split(items: DataFrame, id_col: str, strata_col: str, train: floa
     keyed = items.withColumn("_ok", split_order(F.col(id_col), seed))
     ranked = global_row_number(keyed, ["_ok", id_col], [strata_col], name="_rn")
     n = items.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_n"))
-    r = ranked.join(n, strata_col)
+    r = join_null_safe(ranked, n, [strata_col])
     n_train = F.greatest(F.lit(1), F.floor(F.col("_n").cast("double") * F.lit(train)))
     n_val = F.when(F.col("_n") > 2, F.greatest(F.lit(1), F.floor(F.col("_n").cast("double") * F.lit(val)))).otherwise(0)
     split = (F.when(F.col("_rn") <= n_train, "train")

@@ -36,15 +36,19 @@ def oov_drift(tokens: DataFrame, lex: DataFrame, side_col: str = "side", baselin
 
 
 def long_values(df: DataFrame, cols: Sequence[str], side: Column) -> DataFrame:
-    """Wide numeric columns → ``(column, side, value)``."""
+    """Wide numeric columns → ``(column, side, value)``; nulls and NaN are no values."""
     arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    return df.select(side.alias("side"), F.explode(arr).alias("x")).select("x.column", "side", "x.value")
+    return _values(df.select(side.alias("side"), F.explode(arr).alias("x")).select("x.column", "side", "x.value"))
+
+
+def _values(long: DataFrame) -> DataFrame:
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def vector_long(df: DataFrame, vec_col: str, side: Column) -> DataFrame:
     """Vector column → ``(column = dim index, side, value)``."""
-    return (df.select(side.alias("side"), F.posexplode(vec_col).alias("dim", "value"))
-            .select(F.col("dim").cast("string").alias("column"), "side", F.col("value").cast("double").alias("value")))
+    return _values(df.select(side.alias("side"), F.posexplode(vec_col).alias("dim", "value"))
+                   .select(F.col("dim").cast("string").alias("column"), "side", F.col("value").cast("double").alias("value")))
 
 
 def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
@@ -65,8 +69,13 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
     is_ref = (F.col("side") == ref).cast("long")
     is_cur = (F.col("side") == cur).cast("long")
     per_val = long.groupBy("column", "value").agg(F.sum(is_ref).alias("nr"), F.sum(is_cur).alias("nc"))
-    totals = long.groupBy("column").agg(F.sum(is_ref).alias("n_ref"), F.sum(is_cur).alias("n_cur"),
-                                        F.stddev_pop(F.when(F.col("side") == ref, F.col("value"))).alias("ref_std"))
+    # everything else comes from this one table of distinct values; the mean first, so that
+    # the spread is summed round it
+    sums = per_val.groupBy("column").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"),
+                                         F.try_divide(F.sum(F.col("nr") * F.col("value")), F.sum("nr")).alias("_mean"))
+    off = F.col("value") - F.col("_mean")
+    totals = (per_val.join(sums, "column").groupBy("column", "n_ref", "n_cur")
+              .agg(F.sqrt(F.try_divide(F.sum(F.col("nr") * off * off), F.col("n_ref"))).alias("ref_std")))
     c = running_sum(per_val, ["nr", "nc"], ["value"], ["column"], name=["cr", "cc"])
     c = c.join(totals, "column")
     # an empty side yields nulls (no test), never a division error
@@ -76,13 +85,17 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
     seg = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0)) * F.abs(F.col("diff"))
     stats = nxt.groupBy("column", "n_ref", "n_cur", "ref_std").agg(
         F.max(F.abs("diff")).alias("ks_stat"), F.sum(seg).alias("w1"))
-    # PSI on reference deciles (exact linear-interpolated percentiles)
-    qs = [i / bins for i in range(1, bins)]
-    edges = (long.filter(F.col("side") == ref).groupBy("column")
-             .agg(F.percentile("value", qs).alias("edges")))
-    lb = long.join(edges, "column").withColumn(
+    # PSI on reference deciles: linear-interpolated percentiles read off the running counts
+    at = [F.lit(i / bins) * (F.col("n_ref") - 1) for i in range(1, bins)]
+
+    def value_at(rank: Column) -> Column:
+        return F.min(F.when(F.col("cr") > rank, F.col("value")))
+
+    edge = [value_at(F.floor(r)) + (F.max(r - F.floor(r))) * (value_at(F.ceil(r)) - value_at(F.floor(r))) for r in at]
+    edges = c.where("n_ref > 0").groupBy("column").agg(F.array(*edge).alias("edges"))
+    lb = per_val.join(edges, "column").withColumn(
         "bin", F.size(F.filter(F.col("edges"), lambda e: e < F.col("value"))))
-    hist = lb.groupBy("column", "bin").agg(F.sum(is_ref).alias("br"), F.sum(is_cur).alias("bc"))
+    hist = lb.groupBy("column", "bin").agg(F.sum("nr").alias("br"), F.sum("nc").alias("bc"))
     hist = hist.join(totals.select("column", "n_ref", "n_cur"), "column")
     pr = F.greatest(F.try_divide(F.col("br"), F.col("n_ref")), F.lit(PSI_FLOOR))
     pc = F.greatest(F.try_divide(F.col("bc"), F.col("n_cur")), F.lit(PSI_FLOOR))

@@ -184,6 +184,7 @@ def media_gate(df: DataFrame, content_type: str, filename: str, n_bytes: str) ->
 
 def duration_filter(df: DataFrame, duration_col: str, min_s: float = MIN_DURATION_S,
                     max_s: float = MAX_DURATION_S) -> DataFrame:
-    """Tag each row ``ok`` / ``too_short`` / ``too_long``; keep with ``reason == 'ok'``."""
+    """Tag each row ``ok`` / ``too_short`` / ``too_long`` / ``unknown_duration`` (null:
+    the file could not be read); keep with ``reason == 'ok'``."""
     d = F.col(duration_col)
-    return df.withColumn("reason", F.when(d < min_s, "too_short").when(d > max_s, "too_long").otherwise("ok"))
+    return df.withColumn("reason", F.when(d.isNull(), "unknown_duration").when(d < min_s, "too_short").when(d > max_s, "too_long").otherwise("ok"))

@@ -137,9 +137,10 @@ def error_ratio(log: DataFrame, window: str = "5 minutes", by: Sequence[str] = (
 def rolling_rate(log: DataFrame, flag: Column, key_cols: Sequence[str], order_cols: Sequence[str],
                  n: int = ROLLING_N, name: str = "rate", keep: Sequence[str] = ()) -> DataFrame:
     """M7/M8: share of flagged rows among the last ``n`` rows of each key (the
-    key may be empty: one global stream), chunk-split so no key is one task."""
+    key may be empty: one global stream), chunk-split so no key is one task.  Rows without
+    a flag are skipped and take no place."""
     d = log.select(*key_cols, *[c for c in order_cols if c not in key_cols], *keep,
-                   flag.cast("double").alias("_flag"))
+                   flag.cast("double").alias("_flag")).filter(F.col("_flag").isNotNull())
     return rolling_rows(d, key_cols, order_cols, n, {name: F.avg("_flag")}).drop("_flag")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
 
-from tessera.plans.scale import neighbour
+from tessera.plans.scale import join_null_safe, neighbour
 
 
 def oov_rate(tokens: DataFrame, lex: DataFrame, by: Sequence[str] = (), token_col: str = "token",
@@ -118,7 +118,7 @@ def resample_linear(df: DataFrame, key_cols: Sequence[str], t_col: str, v_col: s
     pts = df.select(*keys, F.col(t_col).cast("double").alias("t"), F.col(v_col).cast("double").alias("v"))
     t0 = pts.groupBy(*keys).agg(F.min("t").alias("_t0"))
     seg = neighbour(pts, keys, ["t"], ["t", "v"], +1, prefix="n")
-    seg = seg.join(t0, keys)
+    seg = join_null_safe(seg, t0, keys)
     lo = F.ceil((F.col("t") - F.col("_t0")) / step).cast("bigint")
     hi = F.when(F.col("nt").isNull(), F.floor((F.col("t") - F.col("_t0")) / step))\
         .otherwise(F.ceil((F.col("nt") - F.col("_t0")) / step) - 1).cast("bigint")

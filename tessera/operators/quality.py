@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,24 +32,36 @@ def wer_words(text: Column) -> Column:
     return F.filter(F.split(t, " "), lambda w: F.length(w) >= 1)
 
 
-def _code_string(words: Column, vocab: Column) -> Column:
-    """Encode each word as one code point (its index in ``vocab``) so that the
-    native character ``levenshtein`` computes the word edit distance."""
+def word_codes(ref: Column, hyp: Column) -> Column:
+    """Map from each distinct word of a pair to its number."""
+    words = F.array_distinct(F.concat(ref, hyp))
+    return F.map_from_arrays(words, F.sequence(F.lit(0), F.size(words) - 1))
+
+
+#: First of the code points that stand for words.
+FIRST_CODE = 0x4E00
+
+
+def _code_string(words: Column, codes: Column) -> Column:
+    """Encode each word as one code point (its number in ``codes``) so that the
+    native character ``levenshtein`` computes the word edit distance.  A pair with more
+    distinct words than code points fails loudly."""
     def cp(w):
-        i = F.array_position(vocab, w) - 1 + 0x4E00
-        return F.when(i >= 0xD800, i + 0x800).otherwise(i)
+        i = F.element_at(codes, w) + FIRST_CODE
+        i = F.when(i >= 0xD800, i + 0x800).otherwise(i)
+        return F.when(i <= 0x10FFFF, i).otherwise(F.raise_error(F.lit("a pair has more distinct words than code points")).cast("int"))
     hexes = F.transform(words, lambda w: F.lpad(F.hex(cp(w)), 8, "0"))
     return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
 
 
-def word_edit_distance(ref: Column, hyp: Column, vocab: Column | None = None) -> Column:
+def word_edit_distance(ref: Column, hyp: Column, codes: Column | None = None) -> Column:
     """Word-level Levenshtein distance between two word arrays (per row, no shuffle).
 
-    Pass ``vocab`` as an already projected column (``array_distinct(concat(ref,
-    hyp))``): an expression referenced inside a lambda is re-evaluated per element."""
-    if vocab is None:
-        vocab = F.array_distinct(F.concat(ref, hyp))
-    return F.levenshtein(_code_string(ref, vocab), _code_string(hyp, vocab))
+    Pass ``codes`` as an already projected column (``word_codes(ref, hyp)``): an expression
+    referenced inside a lambda is re-evaluated per element."""
+    if codes is None:
+        codes = word_codes(ref, hyp)
+    return F.levenshtein(_code_string(ref, codes), _code_string(hyp, codes))
 
 
 def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis") -> DataFrame:
@@ -56,7 +69,7 @@ def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hy
     r, h = wer_words(F.col(ref_col)), wer_words(F.col(hyp_col))
     return (pairs.filter(strip_ws(F.coalesce(F.col(ref_col), F.lit(""))) != "")
             .withColumn("_r", r).withColumn("_h", h)
-            .withColumn("_v", F.array_distinct(F.concat("_r", "_h")))
+            .withColumn("_v", word_codes(F.col("_r"), F.col("_h")))
             .withColumn("edits", word_edit_distance(F.col("_r"), F.col("_h"), F.col("_v")).cast("bigint"))
             .withColumn("ref_words", F.size("_r").cast("bigint"))
             .drop("_r", "_h", "_v"))
@@ -104,33 +117,31 @@ def bleu_stats(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hyp
                by: Sequence[str] = (), id_col: str = "pair_id") -> DataFrame:
     """Sufficient statistics per group: clipped matches and totals per order, lengths.
 
-    n-grams are exploded to rows and counted per (pair, order, gram) — partial
-    aggregation before the shuffle — then clipped with a join; no per-row Python."""
+    Both sides' n-grams are exploded with a side flag and counted in one aggregation per
+    (group, pair, order, gram); the smaller of the two counts is the clipped match.  Null
+    groups are groups like any other."""
     by = list(by)
     t = pairs.select(*by, id_col, bleu_tokens(F.col(ref_col)).alias("_r"), bleu_tokens(F.col(hyp_col)).alias("_h"))
-    grams = []
-    for side, col in (("h", "_h"), ("r", "_r")):
-        arr = F.array(*[F.struct(F.lit(n).alias("n"), _ngrams(F.col(col), n).alias("g"))
-                        for n in range(1, MAX_NGRAM + 1)])
-        g = (t.select(*by, id_col, F.explode(arr).alias("x"))
-             .select(*by, id_col, F.col("x.n").alias("n"), F.explode("x.g").alias("gram"))
-             .groupBy(*by, id_col, "n", "gram").agg(F.count(F.lit(1)).alias(f"c_{side}")))
-        grams.append(g)
-    clipped = (grams[0].join(grams[1], [*by, id_col, "n", "gram"], "inner")
-               .groupBy(*by, "n").agg(F.sum(F.least("c_h", "c_r")).alias("correct")))
-    lens = t.select(*by, F.size("_h").alias("hl"), F.size("_r").alias("rl"))
-    totals = lens.groupBy(*by).agg(
-        *[F.sum(F.greatest(F.col("hl") - n + 1, F.lit(0))).alias(f"total{n}") for n in range(1, MAX_NGRAM + 1)],
-        F.sum("hl").alias("sys_len"), F.sum("rl").alias("ref_len"))
-    pivot = clipped.groupBy(*by).agg(*[F.sum(F.when(F.col("n") == n, F.col("correct"))).alias(f"correct{n}")
-                                       for n in range(1, MAX_NGRAM + 1)])
-    if by:
-        joined = totals.join(pivot, by, "left")
-    else:  # two one-row tables
-        joined = totals.withColumn("_k", F.lit(0)).join(pivot.withColumn("_k", F.lit(0)), "_k", "left").drop("_k")
-    for n in range(1, MAX_NGRAM + 1):
-        joined = joined.withColumn(f"correct{n}", F.coalesce(F.col(f"correct{n}"), F.lit(0)))
-    return joined
+    arr = F.concat(*[F.transform(_ngrams(F.col(col), n), functools.partial(_gram, n, hyp))
+                     for col, hyp in (("_h", True), ("_r", False)) for n in range(1, MAX_NGRAM + 1)])
+    # one marker per pair carries the lengths through the same aggregation
+    size = F.array(F.struct(F.lit(0).alias("n"), F.lit(True).alias("hyp"), F.lit("").alias("gram")))
+    rows = (t.select(*by, id_col, F.size("_h").alias("hl"), F.size("_r").alias("rl"), F.explode(F.concat(size, arr)).alias("x"))
+            .select(*by, id_col, "x.*", "hl", "rl"))
+    one = F.lit(1)
+    grams = rows.groupBy(*by, id_col, "n", "gram").agg(
+        F.count(F.when(F.col("hyp"), one)).alias("c_h"), F.count(F.when(~F.col("hyp"), one)).alias("c_r"),
+        F.sum(F.when(F.col("n") == 0, F.col("hl"))).alias("hl"), F.sum(F.when(F.col("n") == 0, F.col("rl"))).alias("rl"))
+    orders = range(1, MAX_NGRAM + 1)
+    match = F.least("c_h", "c_r")
+    return grams.groupBy(*by).agg(
+        *[F.coalesce(F.sum(F.when(F.col("n") == n, F.col("c_h"))), F.lit(0)).alias(f"total{n}") for n in orders],
+        F.sum("hl").alias("sys_len"), F.sum("rl").alias("ref_len"),
+        *[F.coalesce(F.sum(F.when(F.col("n") == n, match)), F.lit(0)).alias(f"correct{n}") for n in orders])
+
+
+def _gram(n: int, hyp: bool, g: Column) -> Column:
+    return F.struct(F.lit(n).alias("n"), F.lit(hyp).alias("hyp"), g.alias("gram"))
 
 
 def corpus_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",

@@ -2,7 +2,7 @@
 
 Each binding is a plain DataFrame derivation of the given tables, so every
 registered query's work grows with the data.  The DuckDB oracles in
-``tessera.plans.oracle`` restate the same rules in SQL.
+``tessera.plans.sqlparts`` restate the same rules in SQL.
 """
 
 from __future__ import annotations

@@ -270,6 +270,13 @@ def c12_split_by_lang(spark, sf):
     return corpus.stratified_split(d, "doc_id", "lang")
 
 
+@query("c12_split_null_stratum", _split_sql("lang").replace("FROM documents", "FROM (SELECT doc_id, nullif(lang, 'fr') AS lang FROM documents)"))
+def c12_split_null_stratum(spark, sf):
+    """The items without a stratum are split like one stratum."""
+    d = table(spark, sf, "documents").select("doc_id", F.nullif("lang", F.lit("fr")).alias("lang"))
+    return corpus.stratified_split(d, "doc_id", "lang")
+
+
 @query("c12_split_by_source", _split_sql("source"))
 def c12_split_by_source(spark, sf):
     """Stratified split of documents by source (many, even strata)."""

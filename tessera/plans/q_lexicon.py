@@ -174,23 +174,31 @@ def l14_validate_requests(spark, sf):
 
 
 @query("l15_media_gate", """
-SELECT page_id, CAST(CASE WHEN NOT (suffix(url, '.wav') OR suffix(url, '.mp3') OR suffix(url, '.ogg')) THEN 415
-                         WHEN length(html) > 1920000 THEN 413 ELSE 200 END AS INTEGER) AS status FROM pages""")
+SELECT page_id, CAST(CASE WHEN ct <> '' AND ct NOT IN ('audio/wav', 'audio/mpeg', 'audio/ogg', 'audio/x-wav', 'audio/wave')
+                               AND NOT (suffix(name, '.wav') OR suffix(name, '.mp3') OR suffix(name, '.ogg')) THEN 415
+                          WHEN n_bytes > 1920000 THEN 413 ELSE 200 END AS INTEGER) AS status
+FROM (SELECT page_id, url || CASE page_id % 5 WHEN 0 THEN '.wav' WHEN 1 THEN '.ogg' ELSE '' END AS name,
+             CASE page_id % 3 WHEN 0 THEN 'text/html' WHEN 1 THEN 'audio/mpeg' ELSE '' END AS ct,
+             strlen(html) * CASE WHEN page_id % 7 = 0 THEN 5000 ELSE 1 END AS n_bytes FROM pages)""")
 def l15_media_gate(spark, sf):
-    """Upload gate (415 / 413 / 200) applied to pages as uploads."""
-    p = table(spark, sf, "pages").select("page_id", "url", F.length("html").alias("n_bytes"),
-                                         F.lit("text/html").alias("content_type"))
+    """Upload gate (415 / 413 / 200) applied to pages as uploads of several types and sizes."""
+    i = F.col("page_id")
+    name = F.concat("url", F.when(i % 5 == 0, ".wav").when(i % 5 == 1, ".ogg").otherwise(""))
+    ct = F.when(i % 3 == 0, "text/html").when(i % 3 == 1, "audio/mpeg").otherwise("")
+    p = table(spark, sf, "pages").select("page_id", name.alias("url"), ct.alias("content_type"),
+                                         (F.octet_length("html") * F.when(i % 7 == 0, 5000).otherwise(1)).alias("n_bytes"))
     return lexicon.media_gate(p, "content_type", "url", "n_bytes").select("page_id", "status")
 
 
 @query("l16_duration_filter", """
-SELECT lang, CASE WHEN d < 0.3 THEN 'too_short' WHEN d > 10.0 THEN 'too_long' ELSE 'ok' END AS reason,
+SELECT lang, CASE WHEN d IS NULL THEN 'unknown_duration' WHEN d < 0.3 THEN 'too_short' WHEN d > 10.0 THEN 'too_long' ELSE 'ok' END AS reason,
        CAST(count(*) AS BIGINT) AS n
-FROM (SELECT lang, n_chars / 1000.0 AS d FROM documents) GROUP BY 1, 2""")
+FROM (SELECT lang, CASE WHEN doc_id % 17 <> 0 THEN n_chars / 1000.0 END AS d FROM documents) GROUP BY 1, 2""")
 def l16_duration_filter(spark, sf):
-    """Duration gate reasons per language (documents as media)."""
+    """Duration gate reasons per language (documents as media, some of unknown length)."""
     m = B.media_manifest(spark, sf)
-    tagged = lexicon.duration_filter(m, "duration_s")
+    known = F.when(F.col("item_id") % 17 != 0, F.col("duration_s"))
+    tagged = lexicon.duration_filter(m.withColumn("duration_s", known), "duration_s")
     return tagged.groupBy(F.col("speaker").alias("lang"), "reason").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 

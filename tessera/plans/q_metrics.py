@@ -120,6 +120,16 @@ def m7_rolling_oov_rate(spark, sf):
     return _fmt_ts(metrics.rolling_rate(log, F.col("missed"), ["user_id"], ["ts", "event_id"]))
 
 
+NULL_USERS = "FROM (SELECT * REPLACE (nullif(user_id % 10, 0) AS user_id) FROM events)"
+
+
+@query("m7_rolling_oov_rate_null_user", _rolling_sql("missed").replace("FROM events", NULL_USERS))
+def m7_rolling_oov_rate_null_user(spark, sf):
+    """M7 with ten users, one of them unknown."""
+    log = B.request_log(spark, sf).withColumn("user_id", F.nullif(F.col("user_id") % 10, F.lit(0)))
+    return _fmt_ts(metrics.rolling_rate(log, F.col("missed"), ["user_id"], ["ts", "event_id"]))
+
+
 @query("m8_rolling_fallback_rate", _rolling_sql("confidence < 0.4"))
 def m8_rolling_fallback_rate(spark, sf):
     """M8: share of the last 100 requests (per user) that fell back (confidence < 0.4)."""
@@ -291,6 +301,20 @@ def m21_counter_increase(spark, sf):
     return metrics.counter_increase(e, ["event_type"], "ts", "k", tie="event_id")
 
 
+@query("m21_counter_increase_null_key", """
+WITH s AS (SELECT nullif(event_type, 'click') AS event_type, CAST(json_extract(props, '$.k') AS DOUBLE) AS v,
+                  lag(CAST(json_extract(props, '$.k') AS DOUBLE)) OVER (PARTITION BY nullif(event_type, 'click') ORDER BY ts, event_id) AS p
+           FROM events)
+SELECT event_type, round(sum(CASE WHEN p IS NULL THEN 0.0 WHEN v < p THEN v ELSE v - p END), 6) AS increase,
+       CAST(count(*) FILTER (WHERE v < p) AS BIGINT) AS resets, CAST(count(*) AS BIGINT) AS samples
+FROM s GROUP BY event_type""")
+def m21_counter_increase_null_key(spark, sf):
+    """M21 where one counter has no name."""
+    e = table(spark, sf, "events").select(F.nullif("event_type", F.lit("click")).alias("event_type"), "ts", "event_id",
+                                          F.get_json_object("props", "$.k").cast("double").alias("k"))
+    return metrics.counter_increase(e, ["event_type"], "ts", "k", tie="event_id")
+
+
 @query("m22_live_wer_by_user", WER_PAIRS_SQL + """
 SELECT user_id, round(CASE WHEN sum(ref_words) > 0 THEN sum(edits) / sum(ref_words) ELSE 1.0 END, 4) AS wer,
        CAST(sum(edits) AS BIGINT) AS edits, CAST(sum(ref_words) AS BIGINT) AS ref_words,
@@ -305,3 +329,11 @@ def m22_live_bleu_by_user(spark, sf):
     """BLEU of adjacent turns per user group."""
     return quality.corpus_bleu(B.text_pairs(spark, sf), by=["user_id"])
 
+
+@query("m22_live_bleu_null_user", _bleu_sql("user_id").replace("AS user_id", "AS user_id_")
+       .replace("tok AS (SELECT user_id, pair_id", "tok AS (SELECT coalesce(nullif(user_id_, 0), -1) AS user_id, pair_id")
+       .replace("\nSELECT user_id, round(", "\nSELECT nullif(user_id, -1) AS user_id, round("))
+def m22_live_bleu_null_user(spark, sf):
+    """BLEU per user where one user is unknown."""
+    pairs = B.text_pairs(spark, sf).withColumn("user_id", F.nullif("user_id", F.lit(0)))
+    return quality.corpus_bleu(pairs, by=["user_id"])

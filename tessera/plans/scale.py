@@ -2,10 +2,12 @@
 
 A window partitioned by nothing (or by a key with few values) puts every row
 of that key into one task.  The helpers below split such work into balanced
-*buckets* of the ordering column (range buckets from approximate quantiles,
-computed once as a scalar subquery), do the ordered work inside each bucket,
-and stitch buckets together with a tiny per-bucket table (counts, sums,
-first/last rows).  Results are exact; quantiles only balance the buckets.
+*buckets* of the ordering column (range buckets from approximate quantiles of
+each partition), do the ordered work inside each bucket, and stitch buckets
+together with a tiny per-bucket table (counts, sums, first/last rows).
+Results are exact; quantiles only balance the buckets.  There are twice as many
+buckets as shuffle partitions, so they grow with the session's parallelism.
+Null partition values form a partition like any other: stitching is null-safe.
 """
 
 from __future__ import annotations
@@ -17,7 +19,19 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import epoch_micros
 
-DEFAULT_BUCKETS = 64
+
+def default_buckets(df: DataFrame) -> int:
+    """Twice the shuffle partitions of the session, which are sized to the data."""
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same names in which null equals null."""
+    names = {k: f"__right_{i}" for i, k in enumerate(keys)}
+    cond = F.lit(True)
+    for k, r in names.items():
+        cond = cond & F.col(f"`{k}`").eqNullSafe(F.col(r))
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())
 
 
 def _names(cols: Sequence[str] | str | None) -> list[str]:
@@ -37,22 +51,30 @@ def _as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int = DEFAULT_BUCKETS,
-                      name: str = "_bucket") -> DataFrame:
-    """Add a bucket id that is monotone in ``order_col`` and roughly balanced."""
+def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None,
+                      name: str = "_bucket", partition_cols=None) -> DataFrame:
+    """Add a bucket id that is monotone in ``order_col`` and roughly balanced inside each
+    partition, whatever range its values have."""
+    n_buckets = n_buckets or default_buckets(df)
+    parts = _names(partition_cols)
     if n_buckets <= 1:
         return df.withColumn(name, F.lit(0))
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    d = df.withColumn("_ordx", _as_double(df, order_col)).withColumn("_one", F.lit(1))
-    # one row of (n_buckets - 1) doubles: a proven-small broadcast side
-    bounds = d.groupBy("_one").agg(F.percentile_approx("_ordx", qs, 10000).alias("_bounds"))
-    return (d.join(F.broadcast(bounds), "_one")
-            .withColumn(name, F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_ordx"))))
-            .drop("_bounds", "_ordx", "_one"))
+    d = df.withColumn("_ordx", _as_double(df, order_col))
+    bounds = F.array_distinct(F.percentile_approx("_ordx", qs, 10000)).alias("_bounds")
+    if parts:
+        # a small partition has few distinct bounds
+        d = join_null_safe(d, d.groupBy(*parts).agg(bounds), parts)
+    else:
+        # one row of at most n_buckets - 1 doubles: a proven-small broadcast side
+        d = d.withColumn("_one", F.lit(1))
+        d = d.join(F.broadcast(d.groupBy("_one").agg(bounds)), "_one").drop("_one")
+    return (d.withColumn(name, F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_ordx"))), F.lit(0)))
+            .drop("_bounds", "_ordx"))
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], partition_cols=None,
-                      name: str = "rn", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      name: str = "rn", n_buckets: int | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by p order by o)`` without a single-task window.
 
     The first order column must be numeric.  Ties in later order columns are
@@ -60,20 +82,20 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], partition_cols=N
     """
     parts = _names(partition_cols)
     order = _names(order_cols)
-    b = with_range_bucket(df, order[0], n_buckets)
+    b = with_range_bucket(df, order[0], n_buckets, partition_cols=parts)
     w_in = Window.partitionBy(*parts, "_bucket").orderBy(*order)
     b = b.withColumn("_rn_in", F.row_number().over(w_in))
     counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = (Window.partitionBy(*parts).orderBy("_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))).drop("_cnt")
-    return (b.join(offsets, [*parts, "_bucket"], "inner")
+    return (join_null_safe(b, offsets, [*parts, "_bucket"])
             .withColumn(name, (F.col("_off") + F.col("_rn_in")).cast("bigint"))
             .drop("_bucket", "_rn_in", "_off"))
 
 
 def running_sum(df: DataFrame, value_col, order_cols: Sequence[str], partition_cols=None,
-                name="running", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                name="running", n_buckets: int | None = None) -> DataFrame:
     """Exact running sum(s) over a total order, split into balanced buckets.
 
     ``value_col``/``name`` may be lists to compute several sums in one pass."""
@@ -92,7 +114,7 @@ def running_sum(df: DataFrame, value_col, order_cols: Sequence[str], partition_c
     for n in names:
         sums = sums.withColumn(f"_off_{n}", F.coalesce(F.sum(f"_bs_{n}").over(w_off), F.lit(0)))
     offsets = sums.select(*parts, "_bucket", *[f"_off_{n}" for n in names])
-    out = b.join(offsets, [*parts, "_bucket"], "inner")
+    out = join_null_safe(b, offsets, [*parts, "_bucket"])
     for n in names:
         out = out.withColumn(n, F.col(f"_off_{n}") + F.col(f"_rs_{n}")).drop(f"_off_{n}", f"_rs_{n}")
     return out.drop("_bucket")
@@ -100,7 +122,7 @@ def running_sum(df: DataFrame, value_col, order_cols: Sequence[str], partition_c
 
 def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Sequence[str],
               direction: int = -1, prefix: str = "prev_",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """``lag`` (direction -1) or ``lead`` (+1) of ``value_cols`` per key, bucket-split.
 
     Inside a bucket the ordinary window function is used; the first (last) row
@@ -110,7 +132,7 @@ def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Se
     keys = _names(key_cols)
     order = _names(order_cols)
     vals = _names(value_cols)
-    b = with_range_bucket(df, order[0], n_buckets)
+    b = with_range_bucket(df, order[0], n_buckets, partition_cols=keys)
     w_in = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     fn = F.lag if direction < 0 else F.lead
     edge_rank = F.row_number().over(
@@ -124,7 +146,7 @@ def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Se
     ends = b.groupBy(*keys, "_bucket").agg(pick(payload, ordering).alias("_end"))
     w_b = Window.partitionBy(*keys).orderBy("_bucket")
     ends = ends.withColumn("_nb", (F.lag if direction < 0 else F.lead)("_end", 1).over(w_b)).drop("_end")
-    out = b.join(ends, [*keys, "_bucket"], "inner")
+    out = join_null_safe(b, ends, [*keys, "_bucket"])
     for v in vals:
         out = out.withColumn(prefix + v, F.when(F.col("_edge"), F.col("_nb")[v]).otherwise(F.col(f"_in_{v}")))
         out = out.drop(f"_in_{v}")

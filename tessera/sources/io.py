@@ -11,7 +11,7 @@ import logging
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -31,7 +31,20 @@ MIN_DONE_BYTES = 100
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of raw entries; ``seq`` follows file order."""
     df = spark.read.schema(RAW_ENTRY_SCHEMA).option("multiLine", True).json(path)
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    return _in_file_order(df)
+
+
+def _in_file_order(df: DataFrame) -> DataFrame:
+    """Add ``seq``, dense from 0: by file name, then position in the file.  A multi-line file
+    is one split, so ids given in a task rise along each file; how files are dealt to tasks
+    does not show."""
+    columns = df.columns
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    # one row for each file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return placed.join(files, "_file").select(*columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias("seq"))
 
 
 def read_keyed_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -51,12 +64,17 @@ def read_keyed_lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pairs(spark: SparkSession, path: str, training: bool = True, sep: str = "\t") -> DataFrame:
-    """S3: TSV with header ``navi<TAB>en`` and CSV quoting (``sep=","`` for the
-    comma manifest variant); the training read strips both sides and drops
-    rows with an empty side."""
+    """S3: delimited pairs with a header and CSV quoting (``sep=","`` for the manifest): the
+    columns ``navi`` and ``en`` or ``english`` are found by name, others are ignored, and a
+    quoted field may hold line breaks.  The training read strips both sides and drops rows
+    with an empty side."""
     df = (spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-          .schema("navi STRING, en STRING").csv(path))
-    df = df.select(F.col("navi").alias("src"), F.col("en").alias("tgt"))
+          .option("multiLine", True).option("inferSchema", False).csv(path))
+    names = {c.strip().lower(): c for c in df.columns}
+    src, tgt = names.get("navi"), names.get("en") or names.get("english")
+    if not src or not tgt:
+        raise ValueError(f"no navi and en/english columns in {df.columns}")
+    df = df.select(F.col(f"`{src}`").alias("src"), F.col(f"`{tgt}`").alias("tgt"))
     if training:
         df = (df.select(strip_ws(F.coalesce("src", F.lit(""))).alias("src"),
                         strip_ws(F.coalesce("tgt", F.lit(""))).alias("tgt"))
@@ -91,11 +109,7 @@ def list_media(spark: SparkSession, roots: Sequence[str], extensions: Sequence[s
     pattern = "(?i)\\.(" + "|".join(e.lstrip(".") for e in extensions) + ")$"
     parts = []
     for root in roots:
-        local = "://" not in root
-        if local and not os.path.exists(root):
-            log.warning("media root does not exist: %s", root)
-            continue
-        try:
+        try:  # Spark's file system decides, not the driver's disk
             df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         except AnalysisException:
             log.warning("media root does not exist: %s", root)

@@ -45,21 +45,15 @@ def stream_window_metrics(stream: DataFrame, window: str = "5 minutes", slide: s
 def _rolling_fn(n: int, id_col: str, ts_col: str):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         buf = np.asarray(state.get[0], dtype="float64") if state.exists else np.zeros(0)
-        outs = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values([ts_col, id_col])
-            flags = pdf["flag"].to_numpy(dtype="float64")
-            seq = np.concatenate([buf, flags])
-            csum = np.concatenate([[0.0], np.cumsum(seq)])
-            ends = np.arange(len(buf) + 1, len(seq) + 1)
-            starts = np.maximum(ends - n, 0)
-            rate = (csum[ends] - csum[starts]) / (ends - starts)
-            outs.append(pd.DataFrame({"key": [key[0]] * len(pdf), id_col: pdf[id_col].to_numpy(),
-                                      "rate": rate}))
-            buf = seq[-n:]
-        state.update((buf.tolist(),))
-        if outs:
-            yield pd.concat(outs, ignore_index=True)
+        # a key's rows may come in several chunks: order them all before use
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([ts_col, id_col])
+        seq = np.concatenate([buf, pdf["flag"].to_numpy(dtype="float64")])
+        csum = np.concatenate([[0.0], np.cumsum(seq)])
+        ends = np.arange(len(buf) + 1, len(seq) + 1)
+        starts = np.maximum(ends - n, 0)
+        rate = (csum[ends] - csum[starts]) / (ends - starts)
+        state.update((seq[-n:].tolist(),))
+        yield pd.DataFrame({"key": [key[0]] * len(pdf), id_col: pdf[id_col].to_numpy(), "rate": rate})
     return fn
 
 
@@ -76,22 +70,22 @@ def stream_rolling_n(stream: DataFrame, key_col: str, flag: F.Column, n: int = 1
 
 def _alert_fn(for_seconds_by_alert: dict[str, int], eval_seconds: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        for_seconds = for_seconds_by_alert[key[0]]
+        for_seconds = for_seconds_by_alert.get(key[0], 0)  # a rule without a wait fires at once
         active, since, firing = (state.get if state.exists else (False, None, False))
         rows = []
-        for pdf in pdfs:
-            for t, cond in pdf.sort_values("slot")[["slot", "cond"]].itertuples(index=False):
-                t = int(t)
-                if cond:
-                    if not active:
-                        active, since, firing = True, t, False
-                        rows.append((key[0], "pending", t))
-                    if not firing and (t - since) * eval_seconds >= for_seconds:
-                        firing = True
-                        rows.append((key[0], "firing", t))
-                elif active:
-                    rows.append((key[0], "resolved" if firing else "inactive", t))
-                    active, since, firing = False, None, False
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("slot")
+        for t, cond in pdf[["slot", "cond"]].itertuples(index=False):
+            t = int(t)
+            if cond:
+                if not active:
+                    active, since, firing = True, t, False
+                    rows.append((key[0], "pending", t))
+                if not firing and (t - since) * eval_seconds >= for_seconds:
+                    firing = True
+                    rows.append((key[0], "firing", t))
+            elif active:
+                rows.append((key[0], "resolved" if firing else "inactive", t))
+                active, since, firing = False, None, False
         state.update((active, since, firing))
         if rows:
             yield pd.DataFrame(rows, columns=["alertname", "state", "slot"])
