@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import (
     canonical_form, clean_gloss, clean_source, looks_like_source, primary_gloss, quoted_target,
 )
-from tessera.operators import corpus, lexicon, matching, metrics, profile
+from tessera.operators import corpus, drift, lexicon, matching, metrics, profile
 from tessera.sources import io
 
 
@@ -17,14 +17,15 @@ def _lex(spark, rows):
 
 
 def test_f1_s1_l1_normalise_lexicon(spark, tmp):
+    # one row for each shape an entry may have; the rows are our own
     entries = [
-        {"na'vi": "kaltxì", "en": "hello", "type": "intj"},
-        {"en": "hello", "type": "intj"},
-        {"na'vi": "kaltxì", "type": "intj"},
-        {"na'vi": "tsun", "en": ["can", "able to"], "type": "vim"},
-        {"na'vi": "lu", "en": {"en": "to be"}, "type": "v"},
-        {"na'vi": "oel", "translations": [{"en": "I"}, {"en": " me "}, {"de": "x"}]},
-        {"navi": "nga", "translations": {"en": "you"}, "type": "pn"},
+        {"na'vi": "ayram", "en": "mountains", "type": "n"},
+        {"en": "no headword", "type": "n"},
+        {"na'vi": "pay", "type": "n"},
+        {"na'vi": "swok", "en": ["sacred", "holy place"], "type": "adj"},
+        {"na'vi": "tok", "en": {"en": "be at", "de": "sein"}, "type": "vtr"},
+        {"na'vi": "awnga", "translations": [{"en": "we"}, {"en": " us "}, {"de": "wir"}]},
+        {"navi": "sempu", "translations": {"en": "daddy"}, "type": "n"},
         {"na'vi": "   ", "navi": "skipped", "en": "blank first key wins"},
     ]
     path = os.path.join(tmp, "words.json")
@@ -32,8 +33,16 @@ def test_f1_s1_l1_normalise_lexicon(spark, tmp):
         json.dump(entries, f, ensure_ascii=False)
     out = lexicon.normalise_lexicon(io.read_lexicon(spark, path)).orderBy("seq").collect()
     got = [(r.term, r.gloss, r.term_type) for r in out]
-    assert got == [("kaltxì", "hello", "intj"), ("tsun", "can; able to", "vim"), ("lu", "to be", "v"),
-                   ("oel", "I; me", "unknown"), ("nga", "you", "pn")]
+    assert got == [("ayram", "mountains", "n"), ("swok", "sacred; holy place", "adj"), ("tok", "be at", "vtr"),
+                   ("awnga", "we; us", "unknown"), ("sempu", "daddy", "n")]
+
+
+def test_s1_order_over_several_files(spark, tmp):
+    for name, terms in (("b.json", ["p", "q", "r"]), ("a.json", ["x", "y"])):
+        with open(os.path.join(tmp, name), "w", encoding="utf-8") as f:
+            json.dump([{"na'vi": t, "en": t, "type": "n"} for t in terms], f)
+    out = io.read_lexicon(spark, os.path.join(tmp, "*.json")).orderBy("seq").collect()
+    assert [(r["na'vi"], r.seq) for r in out] == [("x", 0), ("y", 1), ("p", 2), ("q", 3), ("r", 4)]
 
 
 def test_s2_keyed_lexicon(spark, tmp):
@@ -48,37 +57,43 @@ def test_s2_keyed_lexicon(spark, tmp):
 
 
 def test_f2_l7_lookup_exact_first_wins(spark):
-    lex = _lex(spark, [(1, "Kaltxì", "hello", "intj"), (2, "kaltxì", "hi", "intj"), (3, "oel", "I", "pn")])
-    words = spark.createDataFrame([("kaltxì",), ("KALTXÌ ",), ("nonexistent",)], "word STRING")
+    lex = _lex(spark, [(4, "Swok", "sacred", "adj"), (7, "swok", "holy", "adj"), (9, "pay", "water", "n")])
+    words = spark.createDataFrame([("swok",), ("SWOK ",), ("Pay",), ("nowhere",)], "word STRING")
     got = {r.word: r.match_gloss for r in lexicon.lookup_exact(words, lex).collect()}
-    assert got == {"kaltxì": "hello", "KALTXÌ ": "hello", "nonexistent": None}
+    assert got == {"swok": "sacred", "SWOK ": "sacred", "Pay": "water", "nowhere": None}
 
 
 def test_f3_c1_word_pairs(spark):
-    lex = _lex(spark, [(1, "tì'efu", "path; way; manner", "n"), (2, "x", "", "n"), (3, "y", "yes", "n")])
+    lex = _lex(spark, [(1, "kilvan", "river; stream", "n"), (2, "hol", "", "adj"), (3, "txon", "night", "n")])
     got = [(r.src, r.tgt) for r in corpus.word_pairs(lex).orderBy("seq").collect()]
-    assert got == [("tì'efu", "path"), ("y", "yes")]
+    assert got == [("kilvan", "river"), ("txon", "night")]
 
 
 def test_f4_c4_dedupe_pairs(spark):
-    df = spark.createDataFrame([(1, "a", "b"), (2, "a", "b"), (3, "c", "d")], "seq BIGINT, src STRING, tgt STRING")
-    assert corpus.dedupe_pairs(df).count() == 2
-    df2 = spark.createDataFrame([(1, "Hello", "World"), (2, "hello", "world")], "seq BIGINT, src STRING, tgt STRING")
-    assert [(r.src, r.tgt) for r in corpus.dedupe_pairs(df2).collect()] == [("Hello", "World")]
+    rows = [(5, "txon", "night"), (2, "Txon", "Night"), (9, "txon", "nights"), (7, "kilvan", "river"), (8, "kilvan", "river")]
+    df = spark.createDataFrame(rows, "seq BIGINT, src STRING, tgt STRING")
+    got = sorted((r.seq, r.src, r.tgt) for r in corpus.dedupe_pairs(df).collect())
+    assert got == [(2, "Txon", "Night"), (7, "kilvan", "river"), (9, "txon", "nights")]
 
 
 def test_f5_j1_j8_a1_d1_oov_rate_and_drift(spark):
-    def rate(vocab, texts):
-        lex = _lex(spark, [(i, t, "g", "x") for i, t in enumerate(vocab)])
+    lex = _lex(spark, [(i, t, "g", "x") for i, t in enumerate(["txon", "pay", "kilvan", "hol"])])
+
+    def tokens(texts, side):
         req = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id BIGINT, text STRING")
-        toks = matching.tokenise(req, "text", ["id"], lower=True)
-        rows = profile.oov_rate(toks, lex).collect()
+        return matching.tokenise(req, "text", ["id"], lower=True).withColumn("side", F.lit(side))
+
+    def rate(texts):
+        rows = profile.oov_rate(tokens(texts, "x"), lex).collect()
         return rows[0].oov_rate if rows and rows[0].oov_rate is not None else 0.0
-    assert rate(["kaltxì", "oel", "ngati"], ["kaltxì oel ngati"]) == 0.0
-    assert rate(["kaltxì"], ["zxyw qrst"]) == 1.0
-    assert abs(rate(["kaltxì", "oel"], ["kaltxì oel newword"]) - 1 / 3) < 1e-9
-    live = rate(list("abcdefghij"), ["a b c d e f g h unknown1 unknown2"])
-    assert abs(live - 0.2) < 1e-9 and live > 0.05 * (1 + 0.15)
+
+    assert rate(["Txon pay", "kilvan"]) == 0.0
+    assert rate(["blub", "glub glub"]) == 1.0
+    assert abs(rate(["txon pay hol blub", "kilvan kilvan glub pay"]) - 2 / 8) < 1e-9
+    # live 2 of 8 against a baseline of 1 of 5: 0.25 > 0.2 * 1.15, but not > 0.2 * 1.5
+    both = tokens(["txon pay hol kilvan blub"], "baseline").unionByName(tokens(["txon pay hol blub", "kilvan kilvan glub pay"], "live"))
+    assert drift.oov_drift(both, lex).first().oov_drift
+    assert not drift.oov_drift(both, lex, threshold=0.5).first().oov_drift
 
 
 def test_f6_l14_validate_requests(spark):

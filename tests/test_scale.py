@@ -5,7 +5,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.plans.scale import global_row_number, neighbour, rolling_rows, running_sum
+from tessera.operators import corpus, drift, profile, quality
+from tessera.plans.scale import global_row_number, neighbour, rolling_rows, running_sum, with_range_bucket
 
 
 def _data(spark, n=3000, keys=3):
@@ -44,3 +45,49 @@ def test_rolling_rows(spark):
     ref = df.withColumn("m", F.sum("v").over(w))
     assert got.select("id", "m").exceptAll(ref.select("id", "m")).count() == 0
     assert got.count() == df.count()
+
+
+def test_null_keys_are_a_partition(spark):
+    df = _data(spark, keys=4).withColumn("k", F.nullif("k", F.lit(0))).cache()
+    n = df.count()
+    w = Window.partitionBy("k").orderBy("t", "id")
+    plain = df.select("id", F.row_number().over(w).alias("rn"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"),
+                      F.lag("v", 1).over(w).alias("n_v"), F.sum("v").over(w.rowsBetween(-6, 0)).alias("m"))
+    for got, col in ((global_row_number(df, ["t", "id"], ["k"], n_buckets=16), "rn"),
+                     (running_sum(df, "v", ["t", "id"], ["k"], name="rs", n_buckets=16), "rs"),
+                     (neighbour(df, ["k"], ["t", "id"], ["v"], -1, prefix="n_", n_buckets=16), "n_v"),
+                     (rolling_rows(df, ["k"], ["t", "id"], 7, {"m": F.sum("v")}, chunk_rows=50), "m")):
+        assert got.count() == n
+        assert got.select("id", col).exceptAll(plain.select("id", col)).count() == 0
+
+
+def test_buckets_fit_each_partition(spark):
+    """A column of narrow range spreads over as many buckets as one of wide range."""
+    df = spark.range(4000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 2 == 0, F.col("id") / 1e6).otherwise(F.col("id") * 1e6).alias("t"))
+    used = with_range_bucket(df, "t", 32, partition_cols=["k"]).groupBy("k").agg(F.countDistinct("_bucket").alias("n"))
+    assert all(r.n >= 28 for r in used.collect())
+
+
+def test_c12_a11_null_keys(spark):
+    items = spark.range(60).select("id", F.when(F.col("id") % 3 != 0, (F.col("id") % 3).cast("string")).alias("s"))
+    split = corpus.stratified_split(items, "id", "s")
+    assert split.count() == 60 and split.where("s is null and split = 'train'").count() == 16
+    pts = spark.createDataFrame([(None, 0.0, 1.0), (None, 2.0, 3.0), ("a", 0.0, 0.0)], "k STRING, t DOUBLE, v DOUBLE")
+    assert profile.resample_linear(pts, ["k"], "t", "v", 1.0).where("k is null").count() == 3
+
+
+def test_m22_bleu_of_the_null_group(spark):
+    text = "the cat sat on the mat today"
+    pairs = spark.createDataFrame([(1, None, text, text), (2, "a", text, "the cat sat on a mat")],
+                                  "pair_id BIGINT, g STRING, reference STRING, hypothesis STRING")
+    got = {r.g: r.bleu for r in quality.corpus_bleu(pairs, by=["g"]).collect()}
+    assert got[None] == 1.0 and 0 < got["a"] < 1
+
+
+def test_d2_nulls_are_no_values(spark):
+    rows = [(i % 2, float(i // 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "s INT, x DOUBLE")
+    df = df.unionByName(spark.createDataFrame([(1, None)] * 100 + [(1, float("nan"))] * 10, "s INT, x DOUBLE"))
+    long = drift.long_values(df, ["x"], F.when(F.col("s") == 0, "reference").otherwise("current"))
+    r = drift.column_drift(long).first()
+    assert (r.n_ref, r.n_cur, r.ks_stat, r.psi, r.drifted) == (200, 200, 0.0, 0.0, False)

@@ -2,17 +2,20 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources import io
 
 
 def test_s3_s4_pairs_round_trip(spark, tmp):
-    df = spark.createDataFrame([("a\tb", 'say "hi"'), (" x ", "y"), ("", "z")], "src STRING, tgt STRING")
+    rows = [("a\tb", 'say "hi"'), (" x ", "y"), ("", "z"), ("two\nlines", "one\r\nmore")]
+    df = spark.createDataFrame(rows, "src STRING, tgt STRING")
     path = os.path.join(tmp, "pairs")
     io.write_pairs(df, path)
     back = io.read_pairs(spark, path)
-    assert sorted(map(tuple, back.collect())) == [("a\tb", 'say "hi"'), ("x", "y")]
+    assert sorted(map(tuple, back.collect())) == [("a\tb", 'say "hi"'), ("two\nlines", "one\r\nmore"), ("x", "y")]
 
 
 def test_s5_s9_s10_manifest_and_splits(spark, tmp):
@@ -47,9 +50,32 @@ def test_s7_recent_requests(spark):
     assert [r.event_id for r in io.recent_requests(df, 3).collect()] == [999, 998, 997]
 
 
-def test_s3_comma_manifest_variant(spark, tmp):
+def test_s3_manifest_columns_by_name(spark, tmp):
     path = os.path.join(tmp, "manifest.csv")
     with open(path, "w", encoding="utf-8") as f:
-        f.write('navi,en\n"kaltxì, ma","hello, all"\n ,empty\n')
+        f.write('audio_file,navi,english,speaker,split\nx.wav,"txon, ma","night, all",s1,train\ny.wav, ,empty,s1,val\n'
+                'z.wav,pay,"water\nand more",s2,test\n')
     back = io.read_pairs(spark, path, sep=",")
-    assert [tuple(r) for r in back.collect()] == [("kaltxì, ma", "hello, all")]
+    assert sorted(map(tuple, back.collect())) == [("pay", "water\nand more"), ("txon, ma", "night, all")]
+    with open(os.path.join(tmp, "other.csv"), "w", encoding="utf-8") as f:
+        f.write("a,b\n1,2\n")
+    with pytest.raises(ValueError):
+        io.read_pairs(spark, os.path.join(tmp, "other.csv"), sep=",")
+
+
+def test_checkpoint_folder_has_to_be_shared_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
