@@ -15,6 +15,7 @@ there is nothing to learn from.  Ties go to the language first in order of name.
 from __future__ import annotations
 
 import functools
+import re
 
 import ahocorasick
 import numpy as np
@@ -32,10 +33,10 @@ FLOOR = 1e-7
 #: Added to the expected count of every piece.
 PRIOR = 0.05
 #: Words whose probabilities a worker keeps.
-KEPT = 300_000
+KEPT = 500_000
 UNDETERMINED = "und"
 
-_WORDS = regex.compile(r"[\p{L}\p{M}]+").findall
+_WORDS = re.compile(r"[^\W\d_]+").findall
 _LETTER = regex.compile(r"\p{L}").search
 
 
@@ -49,7 +50,7 @@ class Vocabulary:
         self.size = len(names)
         self.automaton = ahocorasick.Automaton()
         for i, p in enumerate(names):
-            self.automaton.add_word(p, (len(p), i))
+            self.automaton.add_word(p, len(p) << 20 | i)
         self.automaton.make_automaton()
 
     def lattice(self, words: list[str]):
@@ -57,8 +58,9 @@ class Vocabulary:
         words, in order of the end inside a word, and the bounds of each such end."""
         first = np.zeros(len(words) + 1, np.int64)  # node before each word's first character
         np.cumsum([len(w) + 1 for w in words], out=first[1:])
-        found = [(end + 1 - k, end + 1, i) for end, (k, i) in self.automaton.iter("\n".join(words))]
-        edges = np.array(found, np.int64).reshape(-1, 3)
+        found = np.fromiter((end << 32 | v for end, v in self.automaton.iter("\n".join(words))), np.int64)
+        end = (found >> 32) + 1
+        edges = np.stack([end - (found >> 20 & 0xFFF), end, found & 0xFFFFF], 1)
         nodes = np.arange(first[-1])
         inner = np.setdiff1d(nodes, first[:-1], assume_unique=True)
         edges = np.concatenate([edges, np.stack([inner - 1, inner, np.full(len(inner), -1)], 1)])
@@ -104,11 +106,18 @@ def load(path: str) -> Vocabulary:
 
 
 def words_of(text: str) -> list[str]:
-    out = []
-    for w in _WORDS(text.lower()):
+    return _WORDS(text.lower())
+
+
+def stretches(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """Marked words in stretches of bounded length, and the word that each belongs to."""
+    out, owner = [], []
+    for i, w in enumerate(words):
         w = MARK + w
-        out += [w] if len(w) <= LONGEST else [w[i:i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+        for a in range(0, len(w), LONGEST):
+            out.append(w[a:a + LONGEST])
+            owner.append(i)
+    return out, np.array(owner, np.int64)
 
 
 class Model:
@@ -132,8 +141,11 @@ class Model:
             new = list(set().union(*words).difference(known))
             for a in range(0, len(new), 20_000):
                 part = new[a:a + 20_000]
+                cut, owner = stretches(part)
                 known.update(zip(part, range(len(rows), len(rows) + len(part))))
-                rows = np.concatenate([rows, vocabulary.log_likelihood(part, table)])
+                own = np.zeros((len(part), len(names)))
+                np.add.at(own, owner, vocabulary.log_likelihood(cut, table))
+                rows = np.concatenate([rows, own])
             out = []
             for w in words:
                 if not w or not names:
@@ -153,9 +165,14 @@ def fit(labelled: DataFrame, path: str, per_language: int = 1500, rounds: int =
     (all, if it has fewer), chosen by a hash of the text."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
-    share = rows.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
+    # one number for each language: less than the model itself
+    n_rows = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if n_rows:
+        share = F.create_map(*[F.lit(x) for g, n in n_rows.items() for x in (g, min(1.0, per_language / n))])[F.col("lang")]
+    else:
+        share = F.lit(0.0)
     draw = F.pmod(F.xxhash64("text", F.lit("langid")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = rows.withColumn("draw", draw).join(share, "lang").where("draw < share").select("lang", "text")
+    sample = rows.where(draw < share).select("lang", "text")
 
     def count(source):
         for batch in source:
@@ -184,7 +201,8 @@ def fit(labelled: DataFrame, path: str, per_language: int = 1500, rounds: int =
                 for g, part in frame.groupby("lang"):
                     own = now.table[:, [at[g]]].copy()
                     own[-1] = FLOOR
-                    total[:, at[g]] += vocabulary.expected(part["word"].tolist(), part["n"].to_numpy(float), own)
+                    cut, owner = stretches(part["word"].tolist())
+                    total[:, at[g]] += vocabulary.expected(cut, part["n"].to_numpy(float)[owner], own)
             i, j = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(j, pa.int32()), pa.array(i, pa.int32()), pa.array(total[i, j])], ["lang", "piece", "n"])
 
@@ -200,8 +218,8 @@ def predict_column(text: Column, model: Model) -> Column:
     def predict(source: pa.Array) -> pa.Array:
         many = _scorer(model)
         out = []
-        for a in range(0, len(source), 500):
-            out += many(source[a:a + 500].to_pylist())
+        for a in range(0, len(source), 1000):
+            out += many(source[a:a + 1000].to_pylist())
         return pa.StructArray.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], ["lang", "score"])
 
     return predict(text)
