@@ -27,6 +27,8 @@ from tessera.llm.common import Cache, materialise, n_tasks
 
 SIZE = 4096
 CLOSE = 1
+#: Marks that the tokenizer keeps apart from the word before them.
+MARKS = b".,;:!?*#$%&|"
 
 
 class Words:
@@ -44,57 +46,61 @@ class Words:
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a word
         self.ends[[i for w, i in names.items() if w.endswith("</w>")]] = True
         self.special = tuple({w[:2] for w in (t.content for t in self.tokenizer.get_added_tokens_decoder().values())})
-        self.known = Cache(lambda part: self._learn([part])[part], 600_000)
+        self.known = Cache(lambda part: self._plain(part.decode()), 600_000)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of new parts.  Those of letters alone are one word each to the tokenizer; they go
-        in one call, told apart by the ids that end words."""
-        out: dict[bytes, bytes] = {}
-        words, rest = [], []
+    def _words(self, words: list[bytes]) -> None:
+        """Learn parts of letters alone, each one word to the tokenizer: they go in one call and
+        are told apart by the ids that end words."""
+        if not words:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words) or stops[-1] != len(ids):
+            self.known.update((w, self._plain(w.decode())) for w in words)
+            return
+        raw, stops = ids.tobytes(), (4 * stops).tolist()
+        self.known.update((w, raw[a:b]) for w, a, b in zip(words, [0, *stops], stops))
+
+    def _learn(self, parts) -> None:
+        """Put the ids of new parts into ``known``.  Letters and the marks after them are apart
+        to the tokenizer (unless an apostrophe may start a contraction)."""
+        known, older = self.known, self.known.older
+        words, split, rest = [], [], []
         for p in parts:
-            (words if (t := p.decode()).isalpha() else rest).append((p, t))
-        if words:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([t for _, t in words])], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(words) and stops[-1] == len(ids):
-                raw, at = ids.tobytes(), 0
-                for (p, _), stop in zip(words, (4 * stops).tolist()):
-                    out[p] = raw[at:stop]
-                    at = stop
+            if (ids := older.get(p)) is not None:
+                known[p] = ids
+            elif p.isalpha():
+                words.append(p)
+            else:
+                stem = p.rstrip(MARKS)
+                if stem != p and stem[-1:].isalnum() and b"'" not in p:
+                    split.append((p, stem, p[len(stem):]))
+                else:
+                    rest.append(p)
+        for p in {x for _, *both in split for x in both if x not in known}:
+            if (ids := older.get(p)) is not None:
+                known[p] = ids
             else:
-                rest += words
-        for p, t in rest:
-            out[p] = self._plain(t)
-        return out
-
-    def _split(self, part: bytes) -> list[bytes]:
-        """A part as a word and the marks after it, where the tokenizer parts them."""
-        word = part.rstrip(b".,;:!?*#$%&|")
-        if word == part or not word or not word[-1:].isalnum() or b"'" in part:
-            return [part]
-        return [word, part[len(word):]]
+                (words if p.isalpha() else rest).append(p)
+        for p in rest:
+            if (t := p.decode()).isalpha():
+                words.append(p)
+            else:
+                known[p] = self._plain(t)
+        self._words(list(dict.fromkeys(words)))
+        known.update((p, known[stem] + known[marks]) for p, stem, marks in split)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         whole = [bool(t) and any(s in t for s in self.special) for t in texts]
         parts = [t.encode().lower().split() if t and not w else [] for t, w in zip(texts, whole)]
-        known = self.known
-        known.age()
-        new = {}
-        for p in set().union(*parts).difference(known):
-            if (ids := known.older.get(p)) is not None:
-                known[p] = ids
-            else:
-                new[p] = self._split(p)
-        stems = {s for split in new.values() for s in split}
-        fresh = {s: ids for s in stems if (ids := known.get(s) or known.older.get(s)) is not None}
-        fresh |= self._learn([s for s in stems if s not in fresh])
-        known.update(fresh)
-        known.update((p, b"".join([fresh[s] for s in split])) for p, split in new.items())
-        return [self._plain(t) if w else b"".join(map(known.get, p)) for t, w, p in zip(texts, whole, parts)]
+        self.known.age()
+        self._learn(set().union(*parts).difference(self.known))
+        get = self.known.get
+        return [self._plain(t) if w else b"".join(map(get, p)) for t, w, p in zip(texts, whole, parts)]
 
 
 @functools.lru_cache(2)
