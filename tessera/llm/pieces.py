@@ -33,8 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Bounds of the memos of a worker: segments, parts (two generations of them) and pairs.
-SEGMENTS, PAIRS = 500_000, 1_000_000
+#: Bounds of the memos of a worker: parts (two generations of them), segments and pairs.
+PARTS, SEGMENTS, PAIRS = 350_000, 150_000, 500_000
 
 
 class PieceModel:
@@ -196,7 +196,7 @@ class PieceModel:
             return b""
         if len(self.known) >= SEGMENTS:
             self.known.clear()
-        if len(self.parts) >= SEGMENTS:  # what is still in use moves back from the older half
+        if len(self.parts) >= PARTS:  # what is still in use moves back from the older half
             self.older, self.parts = self.parts, {}
         if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
             known, miss, parts = self.known.get, self._segment, self.segments(MARK + text.replace(" ", MARK))
