@@ -8,9 +8,9 @@ exactly the two pieces back), and a bitfield records positions from which no enc
 goes on, so each position fails at most once.
 
 Text is cut where no vocabulary piece can span (before a run of word markers, round
-characters outside the alphabet, and between characters that no piece holds side by
-side), and the cuts are encoded independently and memoised; the rule for word markers
-is verified against the vocabulary when a model is loaded.
+characters outside the alphabet, and before marks such as a full stop if no piece holds
+them after a letter), and the cuts are encoded independently and memoised; the rules are
+derived from the vocabulary, or verified against it, when a model is loaded.
 Segments with repeated word markers hold pieces of equal score, whose order the
 pairwise test cannot see; they are merged directly.
 
@@ -71,7 +71,6 @@ class PieceModel:
         self.shorter = [-1] * self.size
         for p in self.whole:
             self.shorter[self.id_of[p]] = next((self.id_of[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.whole), -1)
-        self.inside = {p[i:i + 2] for p in self.id_of for i in range(len(p) - 1)}
         self.names, self.length = names, [len(p) for p in names]
         self.surface = [b""] * self.size
         for i in normal:
@@ -83,8 +82,15 @@ class PieceModel:
         self.pairs: dict[int, bool] = {}
         least = [p for p in self.tied if not any(q != p and q in p for q in self.tied)]
         self.has_tied = re.compile("|".join(map(re.escape, least)) or "(?!)").search
-        inner = "".join(map(re.escape, sorted(self.alphabet - {MARK})))
-        self.segments = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{MARK}{inner}]+").findall
+        #: marks that no piece holds right after a letter: text is cut between the two
+        after = {b for p in self.id_of for a, b in zip(p, p[1:]) if a.isalpha()}
+        letters = {c for c in self.alphabet if c.isalpha()}
+        marks = self.alphabet - letters - after - {MARK}
+        kinds = letters, marks, self.alphabet - letters - marks - {MARK}
+        letter, mark, other = ("[" + "".join(map(re.escape, sorted(k))) + "]" if k else "(?!)" for k in kinds)
+        run = f"(?:{letter}++|{other}++{mark}*+)"
+        self.segments = re.compile(f"{MARK}++{mark}*+{run}*+|{mark}++{run}*+|{run}++|"
+                                   f"[^{''.join(map(re.escape, sorted(self.alphabet)))}]+").findall
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -175,14 +181,9 @@ class PieceModel:
 
     def _segment(self, segment: str) -> bytes:
         """Ids of a segment that is not in ``known``; they are put there."""
-        inside = self.inside
-        cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in inside]
         if segment[-1] not in self.alphabet:
             raw = [self.byte_id.get(b, self.unknown) for b in segment.encode()] if self.byte_id else [self.unknown] * len(segment)
             ids = array.array("i", raw).tobytes()
-        elif cuts:  # two characters that no piece holds side by side
-            parts = [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
-            ids = b"".join([self.known.get(p) or self._segment(p) for p in parts])
         elif self.has_tied(segment):
             ids = array.array("i", [self.id_of[p] for p in self.merge(segment)]).tobytes()
         else:
