@@ -134,6 +134,11 @@ def _factor(moments: DataFrame) -> DataFrame:
     return out.select("__g", *[a + "_m" for a in STATS], *[f"_f{i}{j}" for i in range(len(STATS)) for j in range(i + 1)])
 
 
+def _small(groups: DataFrame, most: int = 20_000) -> DataFrame:
+    """A written table of groups, broadcast if it has few rows; else it is joined as it is."""
+    return F.broadcast(groups) if groups.limit(most + 1).count() <= most else groups
+
+
 def _bin(d: Column) -> Column:
     return F.floor(FOLDS * F.log(d + 1e-6))
 
@@ -143,24 +148,24 @@ def outliers(rows: DataFrame, by: list[str], steps: int = STEPS) -> DataFrame:
     key = F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in by])
     rows = rows.withColumn("__g", key)
     thin = rows.select("__g", *STATS)
-    medians = materialise(_medians(thin, {a: F.col(a) for a in STATS}, "_m"))
+    medians = _small(materialise(_medians(thin, {a: F.col(a) for a in STATS}, "_m")))
     off = {a: F.abs(F.col(a) - F.col(a + "_m")) for a in STATS}
     spreads = _medians(thin.join(medians, "__g"), off, "_d")
     start = medians.join(spreads, "__g")
     near = [(F.col(a) - F.col(a + "_m")) / F.greatest(1.4826 * F.col(a + "_d"), F.lit(FLOORS[a])) for a in STATS]
-    model, distance = materialise(start), sum((x * x for x in near), F.lit(0.0))
+    model, distance = _small(materialise(start)), sum((x * x for x in near), F.lit(0.0))
     for _ in range(steps):
         binned = thin.join(model, "__g").select("__g", *STATS, _bin(distance).alias("bin"))
-        limit = _quantile_bins(binned, ["__g"], SHARE).withColumnRenamed("bin", "most")
+        limit = _small(materialise(_quantile_bins(binned, ["__g"], SHARE).withColumnRenamed("bin", "most")))
         x = [F.col(a) for a in STATS]
         moments = binned.join(limit, "__g").where("bin <= most").groupBy("__g").agg(
             F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(len(x))],
             *[F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i in range(len(x)) for j in range(i + 1)])
-        model, distance = materialise(_factor(moments)), _distance()
+        model, distance = _small(materialise(_factor(moments))), _distance()
     middle = _quantile_bins(thin.join(model, "__g").select("__g", _bin(distance).alias("bin")), ["__g"], 0.5)
     scale = middle.select("__g", F.greatest(F.exp((F.col("bin") + 0.5) / FOLDS) / MEDIAN, F.lit(1.0)).alias("__scale"))
     size = thin.groupBy("__g").agg(F.count("*").alias("__n"))
-    model = materialise(model.join(scale, "__g").join(size, "__g"))
+    model = _small(materialise(model.join(scale, "__g").join(size, "__g")))
     names = [F.col(f"`{c}`") for c in rows.columns if c != "__g"]
     told = rows.join(model, "__g").withColumn("distance", distance / F.col("__scale"))
     return told.select(*names, "distance", ((F.col("distance") > CUTOFF) & (F.col("__n") >= LEAST)).alias("outlier"))
