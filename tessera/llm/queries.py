@@ -128,7 +128,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every text; labels are learned outside fold 1 of 3."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 3) != 1)
-    grammar = toxicity.fit(docs.join(labels, "doc_id"))
+    grammar = toxicity.fit(docs, labels)
     return toxicity.score(docs, grammar).select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

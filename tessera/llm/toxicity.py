@@ -122,16 +122,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 60
     return scale, w[:-1], float(w[-1])
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", most_toxic: int = TOXIC, most_clean: int = CLEAN) -> Grammar:
-    """Learn from rows with a text and a label of 0 or 1."""
-    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("y")).where("text is not null and y in (0, 1)")
-    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+        most_toxic: int = TOXIC, most_clean: int = CLEAN) -> Grammar:
+    """Learn from the texts of ``docs`` whose id has a label of 0 or 1 in ``labels``."""
+    told = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
+    n = {r["y"]: r["n"] for r in told.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1.0) if n else 0.1
         return Grammar({}, bias=float(np.log(share / (1 - share))))
-    draw = F.pmod(F.xxhash64("text", F.lit("toxicity")), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    draw = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     wanted = F.when(F.col("y") == 1, F.lit(most_toxic / n[1])).otherwise(F.lit(most_clean / n[0]))
-    sample = materialise(rows.where(draw < wanted).dropDuplicates(["text"])
+    # ids and labels only, and a bounded number of them: the texts aren't shuffled to be chosen
+    chosen = F.broadcast(told.where(draw < wanted).limit(2 * (most_toxic + most_clean)))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("text is not null")
+    sample = materialise(rows.join(chosen, "id").select("text", "y").dropDuplicates(["text"])
                          .withColumn("part", F.pmod(F.xxhash64(F.substring("text", 1, 40)), F.lit(3))))
 
     def count(source):
