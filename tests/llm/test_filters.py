@@ -89,7 +89,8 @@ def test_op2_held_out(spark):
 
 def test_op2_odd_rows(spark, odd, none):
     labelled = odd.withColumn("toxic", F.when(F.col("doc_id") == 1, 1).when(F.col("doc_id").isNotNull(), 0))
-    for g in (toxicity.fit(labelled), toxicity.fit(none.withColumn("toxic", F.lit(1))), toxicity.fit(labelled.where("toxic = 0"))):
+    for g in (toxicity.fit(odd, labelled), toxicity.fit(none, none.withColumn("toxic", F.lit(1))), toxicity.fit(odd, labelled.where("toxic = 0")),
+              toxicity.fit(none, labelled)):
         got = toxicity.score(odd, g, out="s").collect()
         assert len(got) == len(ROWS) and all(0 <= r.s <= 1 and r.score == "keep" for r in got)
         assert toxicity.score(none, g).count() == 0
