@@ -122,14 +122,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 60
     return scale, w[:-1], float(w[-1])
 
 
+def _constant(n: dict[int, int]) -> Grammar:
+    """A grammar without words that gives everything the smoothed share of toxic labels."""
+    share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1.0) if n else 0.1
+    return Grammar({}, bias=float(np.log(share / (1 - share))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         most_toxic: int = TOXIC, most_clean: int = CLEAN) -> Grammar:
     """Learn from the texts of ``docs`` whose id has a label of 0 or 1 in ``labels``."""
     told = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
     n = {r["y"]: r["n"] for r in told.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
-        share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1.0) if n else 0.1
-        return Grammar({}, bias=float(np.log(share / (1 - share))))
+        return _constant(n)
     draw = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     wanted = F.when(F.col("y") == 1, F.lit(most_toxic / n[1])).otherwise(F.lit(most_clean / n[0]))
     # ids and labels only, and a bounded number of them: the texts aren't shuffled to be chosen
@@ -169,6 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     else:  # too few rows to keep some for the arcs
         seen = sample.select("text", "y").mapInArrow(features, "y int, x array<double>").toPandas()
         x, y = np.array(seen["x"].tolist()), seen["y"].to_numpy(float)
+        if not 0 < y.sum() < len(y):  # the labelled documents are not there
+            return _constant(n)
     return Grammar(grammar.insults, *_logistic(x, y))
 
 
