@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product over a hierarchical k-means tree.
 
 The tree is fitted on a bounded sample (``SAMPLE`` vectors) and every vector is filed under
-one of its leaves.  A query walks the tree best bin first: a priority queue holds the nodes
+one of its leaves, of which there are about ``LEAVES`` at most: visits are rows to shuffle.  A query walks the tree best bin first: a priority queue holds the nodes
 by how large an inner product they promise (that with the centre, plus the query's length
 times the node's spread), and leaves are visited in the order in which they come out.  How
 many are visited is calibrated: for up to ``CALIBRATION`` queries the true neighbours are
@@ -33,7 +33,8 @@ SAMPLE = 20_000
 CALIBRATION = 200
 RECALL = 0.97
 BRANCH = 12
-LEAF = 160
+#: Sampled vectors in a leaf, and how many leaves there are at most, about.
+LEAF, LEAVES = 160, 64
 BLOCK = 4096
 
 
@@ -163,7 +164,9 @@ def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id",
         return _matrix(part.where(share).orderBy("key").limit(2 * most).toPandas()["v"]) if of else np.zeros((0, 1))
 
     points = draw(entries, sample, n)
-    tree = Tree(points if len(points) else _matrix(entries.limit(1).toPandas()["v"]), leaf)
+    if not len(points):
+        points = _matrix(entries.limit(1).toPandas()["v"])
+    tree = Tree(points, max(leaf, -(-len(points) // LEAVES)))
 
     def file(source):
         for frame in source:
