@@ -14,11 +14,16 @@ from tessera.functions.text import word_tokens
 from tessera.session import table
 
 
+def _packed(high: str, low):
+    """Two whole numbers in one: the low one has 32 bits to itself."""
+    return F.shiftleft(F.col(high).cast("bigint"), 32) + low
+
+
 def lexicon(spark: SparkSession, sf: str) -> DataFrame:
     """B1: ``(seq, term, gloss, term_type)`` from benchmark tokens."""
     b = table(spark, sf, "benchmark").select("item_id", "text")
     toks = b.select("item_id", F.posexplode(word_tokens(F.lower("text"))).alias("p", "tok"))
-    terms = toks.select((F.col("item_id") * 100000 + F.col("p") + 1).alias("seq"),
+    terms = toks.select(_packed("item_id", F.col("p") + 1).alias("seq"),
                         F.regexp_replace("tok", "[^a-z]", "").alias("term")).filter(F.col("term") != "")
     first = terms.groupBy("term").agg(F.min("seq").alias("seq"))
     return first.select(
@@ -27,11 +32,26 @@ def lexicon(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("len"), F.length("term").cast("string")).alias("term_type"))
 
 
+def rich_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """B1 with what real dictionaries hold: terms told twice with another gloss, in brackets
+    with a stress mark, or with a capital (before the plain entry)."""
+    lex = lexicon(spark, sf)
+    n = F.length("term")
+    entries = F.array_compact(F.array(
+        F.struct("seq", "term", "gloss"),
+        F.when(n % 2 == 0, F.struct((F.col("seq") + 1000000).alias("seq"),
+                                    F.concat(F.lit("["), F.substring("term", 1, 1), F.lit("]/"), F.expr("substring(term, 2)")).alias("term"),
+                                    F.concat("term", F.lit("-second; more")).alias("gloss"))),
+        F.when(n % 3 == 0, F.struct((F.col("seq") - 1000000).alias("seq"), F.initcap("term").alias("term"),
+                                    F.concat("term", F.lit("-first")).alias("gloss")))))
+    return lex.select(F.explode(entries).alias("e"), "term_type").select("e.*", "term_type")
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     """B2: ``(request_id, user_id, text)`` from user turns of conversations."""
     c = table(spark, sf, "conversations")
     return (c.filter(F.col("role") == "user")
-            .select((F.col("conv_id") * 1000 + F.col("turn")).alias("request_id"),
+            .select(_packed("conv_id", F.col("turn")).alias("request_id"),
                     (F.col("conv_id") % 50).alias("user_id"), "text"))
 
 
@@ -54,7 +74,7 @@ def text_pairs(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("hypothesis"))
     return (c.join(nxt, ["conv_id", "turn"])
-            .select((F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"),
+            .select(_packed("conv_id", F.col("turn")).alias("pair_id"),
                     (F.col("conv_id") % 50).alias("user_id"),
                     F.col("text").alias("reference"), "hypothesis"))
 

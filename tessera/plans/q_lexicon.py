@@ -47,24 +47,25 @@ def l1_normalise_lexicon(spark, sf):
 @query("l2_validate_lexicon", """
 SELECT CASE WHEN t = '' THEN 'empty_term' WHEN g = '' THEN 'empty_gloss' ELSE 'accepted' END AS reason,
        CAST(count(*) AS BIGINT) AS n
-FROM (SELECT regexp_replace(coalesce(p_name, ''), '^\\s+|\\s+$', '', 'g') AS t,
-             regexp_replace(coalesce(p_type, ''), '^\\s+|\\s+$', '', 'g') AS g FROM part) GROUP BY 1""")
+FROM (SELECT regexp_replace(coalesce(CASE WHEN p_partkey % 11 = 0 THEN '  ' WHEN p_partkey % 13 <> 0 THEN p_name END, ''), '^\\s+|\\s+$', '', 'g') AS t,
+             regexp_replace(coalesce(CASE WHEN p_partkey % 7 <> 0 THEN p_type END, ''), '^\\s+|\\s+$', '', 'g') AS g FROM part) GROUP BY 1""")
 def l2_validate_lexicon(spark, sf):
-    """L2: validation reasons over part rows read as lexicon entries."""
-    p = table(spark, sf, "part").select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("term"),
-                                        F.col("p_type").alias("gloss"), F.col("p_brand").alias("term_type"))
+    """L2: validation reasons over part rows read as lexicon entries, some with blank or missing fields."""
+    i = F.col("p_partkey")
+    p = table(spark, sf, "part").select(i.alias("seq"), F.when(i % 11 == 0, "  ").when(i % 13 != 0, F.col("p_name")).alias("term"),
+                                        F.when(i % 7 != 0, F.col("p_type")).alias("gloss"), F.col("p_brand").alias("term_type"))
     return lexicon.reason_counts(lexicon.validate_lexicon(p))
 
 
 @query("l3_enrich_lexicon", with_(LEX) + """
-SELECT seq, term AS navi, CASE WHEN seq % 4 = 3 THEN split_part(gloss, '; ', 1) WHEN seq % 4 = 0 THEN gloss END AS en
+SELECT seq, term AS navi, CASE seq % 4 WHEN 3 THEN split_part(gloss, '; ', 1) WHEN 0 THEN gloss
+                               WHEN 1 THEN CAST(to_json(string_split(gloss, '; ')) AS VARCHAR)
+                               ELSE CAST(to_json({'en': gloss}) AS VARCHAR) END AS en
 FROM lex""")
 def l3_enrich_lexicon(spark, sf):
-    """L3: alternative normaliser — gloss = first translation's ``en`` (string and
-    translation-list entries shown)."""
-    out = lexicon.enrich_lexicon(_raw_lexicon(spark, sf))
-    return out.select("seq", "navi", F.when(F.col("seq") % 4 == 3, F.col("en"))
-                      .when(F.col("seq") % 4 == 0, F.col("en")).alias("en"))
+    """L3: alternative normaliser — gloss = first translation's ``en``, else the entry's own
+    ``en`` as it stands (string, list or object)."""
+    return lexicon.enrich_lexicon(_raw_lexicon(spark, sf)).select("seq", "navi", "en")
 
 
 @query("l4_canonical_form", r"""
@@ -163,13 +164,25 @@ def l13_clean_oov_word(spark, sf):
 
 
 @query("l14_validate_requests", """
-SELECT conv_id * 1000 + turn AS item_id, reason FROM (
-  SELECT conv_id, turn, CASE WHEN text IS NULL OR length(text) < 1 THEN 'text_empty'
-                             WHEN length(text) > 500 THEN 'text_too_long' END AS reason FROM conversations)
-WHERE reason IS NOT NULL""")
+WITH r AS (SELECT conv_id * 4294967296 + turn AS item_id, turn AS t,
+                  CASE WHEN turn % 5 = 0 THEN '' WHEN turn % 7 <> 0 THEN text END AS text,
+                  CASE WHEN turn % 3 = 0 THEN '' WHEN turn % 3 = 1 THEN substr(text, 1, 150) ELSE role END AS term,
+                  CASE WHEN turn % 4 = 1 THEN '' WHEN turn % 4 = 2 THEN text || text ELSE role END AS gloss,
+                  (conv_id % 13) / 10.0 - 0.1 AS confidence FROM conversations)
+SELECT item_id, reason FROM (
+  SELECT item_id, unnest([CASE WHEN text IS NULL OR length(text) < 1 THEN 'text_empty' END, CASE WHEN length(text) > 500 THEN 'text_too_long' END,
+                          CASE WHEN length(term) < 1 THEN 'term_empty' END, CASE WHEN length(term) > :term_max THEN 'term_too_long' END,
+                          CASE WHEN length(gloss) < 1 THEN 'gloss_empty' END, CASE WHEN length(gloss) > :gloss_max THEN 'gloss_too_long' END,
+                          CASE WHEN confidence < 0 OR confidence > 1 THEN 'confidence_out_of_range' END]) AS reason FROM r)
+WHERE reason IS NOT NULL""".replace(":term_max", str(lexicon.TERM_MAX_CHARS)).replace(":gloss_max", str(lexicon.GLOSS_MAX_CHARS)))
 def l14_validate_requests(spark, sf):
-    """Request-limit violations of conversation turns."""
-    c = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"), "text")
+    """All limits, over conversation turns with missing, empty and long fields."""
+    t = F.col("turn")
+    c = table(spark, sf, "conversations").select(
+        B._packed("conv_id", t).alias("item_id"), F.when(t % 5 == 0, "").when(t % 7 != 0, F.col("text")).alias("text"),
+        F.when(t % 3 == 0, "").when(t % 3 == 1, F.substring("text", 1, 150)).otherwise(F.col("role")).alias("term"),
+        F.when(t % 4 == 1, "").when(t % 4 == 2, F.concat("text", "text")).otherwise(F.col("role")).alias("gloss"),
+        ((F.col("conv_id") % 13) / 10.0 - 0.1).alias("confidence"))
     return lexicon.validate_requests(c, "item_id")
 
 

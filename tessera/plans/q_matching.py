@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.text import word_tokens
 from tessera.operators import corpus, lexicon, matching, profile
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
-from tessera.plans.sqlparts import LEX, LOOKUP, REQUESTS, tokens_of, with_
+from tessera.plans.sqlparts import LEX, LOOKUP, REQUESTS, RICH, tokens_of, with_
 from tessera.session import cut_lineage, table
 
 SUFFIX_VALUES = ", ".join(f"({i}, '{s}')" for i, s in enumerate(matching.SUFFIXES))
@@ -27,7 +28,7 @@ open AS (
   WHERE low NOT IN (SELECT low FROM exact) AND low NOT IN (SELECT low FROM suf) AND length(low) >= 3
 ),
 fz AS (
-  SELECT low, arg_min(key, d * 10000000000 + pos) AS fuzzy_key, min(d) AS edit_distance FROM (
+  SELECT low, arg_min(key, (d, pos)) AS fuzzy_key, min(d) AS edit_distance FROM (
     SELECT o.low, k.key, k.pos, levenshtein(o.a, k.key) AS d
     FROM open o JOIN lookup k ON abs(length(o.low) - length(k.key)) <= 2
   ) WHERE d <= 2 GROUP BY low
@@ -110,6 +111,31 @@ def l6_build_lookup(spark, sf):
     return _lookup(spark, sf)
 
 
+RICH_LOOKUP = RICH + LOOKUP[len(LEX):].replace("FROM lex", "FROM rich")
+
+
+@query("l6_build_lookup_rich", with_(RICH_LOOKUP) + "SELECT key, gloss, pos FROM lookup")
+def l6_build_lookup_rich(spark, sf):
+    """L6 where terms repeat: the last gloss and the first position come from different entries."""
+    return lexicon.build_lookup(B.rich_lexicon(spark, sf))
+
+
+@query("l7_lookup_exact_rich", with_(RICH, REQUESTS, rf"""
+toks AS (
+  SELECT request_id, unnest(t) AS word, unnest(range(0, len(t))) AS pos
+  FROM (SELECT request_id, {tokens_of('text')} AS t FROM requests)),
+firsts AS (
+  SELECT lower(term) AS lkey, arg_min(term, seq) AS match_term, arg_min(gloss, seq) AS match_gloss,
+         arg_min(term_type, seq) AS match_type FROM rich GROUP BY lower(term))
+""") + r"""
+SELECT request_id, CAST(pos AS INTEGER) AS pos, word, match_term, match_gloss, match_type
+FROM toks t LEFT JOIN firsts f ON f.lkey = lower(regexp_replace(t.word, '^\s+|\s+$', '', 'g'))""")
+def l7_lookup_exact_rich(spark, sf):
+    """L7 where capitalised entries come before plain ones: the first wins."""
+    toks = matching.tokenise(B.requests(spark, sf), "text", ["request_id"], lower=False)
+    return lexicon.lookup_exact(toks.withColumnRenamed("token", "word"), B.rich_lexicon(spark, sf))
+
+
 @query("l7_lookup_exact", with_(LEX, REQUESTS, rf"""
 toks AS (
   SELECT request_id, unnest(t) AS word, unnest(range(0, len(t))) AS pos
@@ -164,7 +190,7 @@ words AS (SELECT DISTINCT lower(unnest({tokens_of('text')})) AS low FROM documen
 open AS (SELECT low, regexp_replace(low, '[^\x00-\x7F]', '#', 'g') AS a FROM words
          WHERE low NOT IN (SELECT key FROM lookup) AND length(low) >= 3)
 """) + r"""
-SELECT low, arg_min(key, d * 10000000000 + pos) AS fuzzy_key, CAST(min(d) AS INTEGER) AS edit_distance FROM (
+SELECT low, arg_min(key, (d, pos)) AS fuzzy_key, CAST(min(d) AS INTEGER) AS edit_distance FROM (
   SELECT o.low, k.key, k.pos, levenshtein(o.a, k.key) AS d
   FROM open o JOIN lookup k ON abs(length(o.low) - length(k.key)) <= 2
 ) WHERE d <= 2 GROUP BY low""")
@@ -259,3 +285,49 @@ def j10_resolve_label(spark, sf):
         "doc_id", F.when(F.col("quality") == 1, "").otherwise(F.col("lang")).alias("label"),
         F.lower(F.element_at(word_tokens(F.col("text")), 1)).alias("stem"))
     return matching.resolve_label(man, B.lexicon(spark, sf))
+
+
+@query("j6_breakdown", BREAKDOWN_SQL + "SELECT request_id, pos, token, corrected, edit_distance, gloss, found, fuzzy FROM breakdown")
+def j6_breakdown(spark, sf):
+    """The breakdown that goes with each translation, a row for each token."""
+    req = B.requests(spark, sf)
+    out = matching.translate_requests(req, matching.gloss_tokens(req, _lookup(spark, sf)))
+    return out.select("request_id", F.posexplode("breakdown").alias("pos", "b")).select("request_id", "pos", *[
+        F.col(f"b.{c}").alias(c) for c in ("token", "corrected", "edit_distance", "gloss", "found", "fuzzy")])
+
+
+BENCH_ITEMS = r"""
+items AS (SELECT item_id, CASE WHEN item_id % 2 = 0 THEN lower(text) ELSE text END AS text FROM benchmark),
+firsts AS (SELECT item_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')[1] AS word FROM items)"""
+
+
+def _bench_items(spark, sf):
+    b = table(spark, sf, "benchmark")
+    return b.select("item_id", F.when(F.col("item_id") % 2 == 0, F.lower("text")).otherwise(F.col("text")).alias("text"))
+
+
+@query("j9_attach_tier_terms", with_(LEX, BENCH_ITEMS, r"""
+tc AS (SELECT term_type, count(*) AS n, min(seq) AS first_seq FROM lex GROUP BY term_type),
+tr AS (SELECT term_type, row_number() OVER (ORDER BY n DESC, first_seq) - 1 AS i, count(*) OVER () AS nt FROM tc),
+tiers AS (SELECT l.term, CASE WHEN tr.i < tr.nt * 0.3 THEN 'common' WHEN tr.i < tr.nt * 0.7 THEN 'mid' ELSE 'rare' END AS tier
+          FROM lex l JOIN tr ON tr.term_type = l.term_type)
+""") + "SELECT f.item_id, coalesce(t.tier, 'rare') AS tier FROM firsts f LEFT JOIN tiers t ON t.term = f.word")
+def j9_attach_tier_terms(spark, sf):
+    """J9 over texts that begin with terms, half of them capitalised (no exact match)."""
+    tiered = corpus.frequency_tier(B.lexicon(spark, sf))
+    return matching.attach_tier(_bench_items(spark, sf), tiered).select("item_id", "tier")
+
+
+@query("j10_resolve_label_terms", with_(RICH, BENCH_ITEMS, r"""
+wm AS (SELECT lower(term) AS lk, arg_max(term, seq) AS term FROM rich WHERE term_type <> 'len2' GROUP BY lower(term)),
+man AS (SELECT item_id, CASE WHEN item_id % 3 = 0 THEN 'told' WHEN item_id % 3 = 1 THEN '' END AS label, upper(word) AS stem FROM firsts)
+""") + r"""
+SELECT m.item_id, m.stem, coalesce(nullif(m.label, ''), w.term, m.stem) AS resolved_label
+FROM man m LEFT JOIN wm w ON w.lk = lower(m.stem)""")
+def j10_resolve_label_terms(spark, sf):
+    """J10 where label, term and stem differ, and some stems are no terms."""
+    first = F.element_at(word_tokens(F.col("text")), 1)
+    i = F.col("item_id") % 3
+    man = _bench_items(spark, sf).select("item_id", F.when(i == 0, "told").when(i == 1, "").alias("label"), F.upper(first).alias("stem"))
+    lex = B.rich_lexicon(spark, sf).where("term_type <> 'len2'")
+    return matching.resolve_label(man, lex).select("item_id", "stem", "resolved_label")

@@ -126,7 +126,10 @@ docs AS (SELECT d.*, sp.split FROM documents d JOIN sp USING (doc_id)),
 toks AS (SELECT unnest({tokens_of('lower(text)')}) AS token FROM docs WHERE split = 'val'),
 vocab AS (SELECT DISTINCT lower(term) AS token FROM lex),
 o AS (SELECT count(*) AS total, count(*) FILTER (WHERE v.token IS NULL) AS oov FROM toks t LEFT JOIN vocab v USING (token)),
-du AS (SELECT n_chars / 1000.0 AS x FROM docs WHERE split = 'train')""") + """
+du AS (SELECT n_chars / 1000.0 AS x FROM docs WHERE split = 'train'),
+ve AS (SELECT embedding FROM embeddings JOIN docs ON doc_id = vec_id WHERE split = 'train'),
+vs AS (SELECT dim, avg(x) + 1.5 AS m, stddev_pop(x) AS s FROM (
+         SELECT CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(0, len(embedding))) AS dim FROM ve) GROUP BY dim)""") + """
 SELECT round(CASE WHEN o.total > 0 THEN o.oov / o.total ELSE 0.0 END, 4) AS oov_rate,
        CAST(o.total AS BIGINT) AS total_tokens, CAST(o.oov AS BIGINT) AS oov_tokens,
        CAST((SELECT count(*) FROM vocab) AS BIGINT) AS vocab_size,
@@ -135,22 +138,29 @@ SELECT round(CASE WHEN o.total > 0 THEN o.oov / o.total ELSE 0.0 END, 4) AS oov_
        (SELECT round(quantile_cont(x, 0.75), 3) FROM du) AS duration_p75,
        (SELECT round(min(x), 3) FROM du) AS duration_min, (SELECT round(max(x), 3) FROM du) AS duration_max,
        (SELECT CAST(count(*) AS BIGINT) FROM du) AS duration_count,
-       (SELECT CAST(count(*) AS BIGINT) FROM embeddings) AS vector_count
+       (SELECT string_agg(printf('%.4f', m + 0.0), ' ' ORDER BY dim) FROM vs) AS vector_mean,
+       (SELECT string_agg(printf('%.4f', s), ' ' ORDER BY dim) FROM vs) AS vector_std,
+       (SELECT CAST(count(*) AS BIGINT) FROM ve) AS vector_count
 FROM o"""
 
 
 @query("d5_baseline_snapshot", _d5_sql())
 def d5_baseline_snapshot(spark, sf):
     """Baseline document — OOV on the validation split, duration stats on the
-    training split, embedding moments."""
+    training split, embedding moments of the training split (as text, means shifted by 1.5)."""
     d = table(spark, sf, "documents")
     split = corpus.stratified_split(d.select("doc_id", "lang"), "doc_id", "lang")
     docs = d.join(split.select("doc_id", "split"), "doc_id")
     val_toks = matching.tokenise(docs.filter(F.col("split") == "val"), "text", [], lower=True)
     train = docs.filter(F.col("split") == "train").select((F.col("n_chars") / 1000.0).alias("duration_s"))
-    snap = drift.baseline_snapshot(val_toks, B.lexicon(spark, sf), train, "duration_s",
-                                   table(spark, sf, "embeddings"), "embedding")
-    return snap.drop("vector_mean", "vector_std")
+    ids = docs.filter(F.col("split") == "train").select(F.col("doc_id").alias("vec_id"))
+    vectors = table(spark, sf, "embeddings").join(ids, "vec_id", "left_semi")
+    snap = drift.baseline_snapshot(val_toks, B.lexicon(spark, sf), train, "duration_s", vectors, "embedding")
+
+    def text(c: str, add: float = 0.0):  # shifted, so that no rounded zero has a sign
+        return F.array_join(F.transform(c, lambda x: F.format_string("%.4f", x + add)), " ").alias(c)
+
+    return snap.select(*[c for c in snap.columns if c not in ("vector_mean", "vector_std")], text("vector_mean", 1.5), text("vector_std"))
 
 
 # ------------------------------------------------------------------ registry

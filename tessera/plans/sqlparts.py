@@ -7,7 +7,7 @@ lex_toks AS (
   FROM (SELECT item_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS t FROM benchmark)
 ),
 lex AS (
-  SELECT min(item_id * 100000 + p) AS seq, term,
+  SELECT min(item_id * 4294967296 + p) AS seq, term,
          term || '-g; alt ' || term AS gloss, 'len' || CAST(length(term) AS VARCHAR) AS term_type
   FROM (SELECT item_id, p, regexp_replace(tok, '[^a-z]', '', 'g') AS term FROM lex_toks)
   WHERE term <> '' GROUP BY term
@@ -25,7 +25,7 @@ lookup AS (SELECT key, arg_max(gloss, ord) AS gloss, min(ord) AS pos FROM lookup
 # B2 requests
 REQUESTS = r"""
 requests AS (
-  SELECT conv_id * 1000 + turn AS request_id, conv_id % 50 AS user_id, text
+  SELECT conv_id * 4294967296 + turn AS request_id, conv_id % 50 AS user_id, text
   FROM conversations WHERE role = 'user'
 )"""
 
@@ -45,7 +45,7 @@ log AS (
 # B4 text pairs
 PAIRS = r"""
 pairs AS (
-  SELECT a.conv_id * 1000 + a.turn AS pair_id, a.conv_id % 50 AS user_id,
+  SELECT a.conv_id * 4294967296 + a.turn AS pair_id, a.conv_id % 50 AS user_id,
          a.text AS reference, b.text AS hypothesis
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
 )"""
@@ -68,3 +68,11 @@ def with_(*parts: str) -> str:
 def tokens_of(text: str) -> str:
     """DuckDB whitespace tokens of an expression (empties dropped)."""
     return f"list_filter(string_split_regex({text}, '\\s+'), lambda x: x <> '')"
+
+# B1 with repeated, bracketed and capitalised entries
+RICH = LEX + r""",
+rich AS (
+  SELECT seq, term, gloss, term_type FROM lex
+  UNION ALL SELECT seq + 1000000, '[' || substr(term, 1, 1) || ']/' || substr(term, 2), term || '-second; more', term_type FROM lex WHERE length(term) % 2 = 0
+  UNION ALL SELECT seq - 1000000, upper(substr(term, 1, 1)) || substr(term, 2), term || '-first', term_type FROM lex WHERE length(term) % 3 = 0
+)"""
