@@ -182,6 +182,43 @@ def c7_line_pairs(spark, sf):
     return corpus.adjacent_line_pairs(table(spark, sf, "pages"))
 
 
+#: Benchmark texts as pages of two languages: marked lines, some numbered, each followed by an
+#: empty line and a quotation in one of three forms, or by none.
+QUOTED_PAGES = r"""(SELECT item_id AS page_id,
+  '<p>' || CASE item_id % 3 WHEN 0 THEN '1. ' WHEN 1 THEN '- ' ELSE '' END || 'tse' || chr(39) || 'a ' || substr(text, 1, 60) || '</p>\n\n<p>' ||
+  CASE item_id % 4 WHEN 0 THEN chr(39) || substr(text, 1, 50) || chr(39) || '.'
+                   WHEN 1 THEN 'or ' || chr(39) || 'The ' || substr(text, 10, 30) || '.' || chr(39) || ' so'
+                   WHEN 2 THEN 'no quotation' ELSE chr(39) || substr(text, 5, 20) || chr(39) END || '</p>' AS html FROM benchmark)"""
+
+
+def _quoted_pages(spark, sf):
+    i, t = F.col("item_id"), F.col("text")
+    line = F.concat(F.when(i % 3 == 0, "1. ").when(i % 3 == 1, "- ").otherwise(""), F.lit("tse'a "), F.substring(t, 1, 60))
+    quote = (F.when(i % 4 == 0, F.concat(F.lit("'"), F.substring(t, 1, 50), F.lit("'.")))
+             .when(i % 4 == 1, F.concat(F.lit("or 'The "), F.substring(t, 10, 30), F.lit(".' so")))
+             .when(i % 4 == 2, "no quotation").otherwise(F.concat(F.lit("'"), F.substring(t, 5, 20), F.lit("'"))))
+    html = F.concat(F.lit("<p>"), line, F.lit("</p>\n\n<p>"), quote, F.lit("</p>"))
+    return table(spark, sf, "benchmark").select(i.alias("page_id"), html.alias("html"))
+
+
+_QUOTED_PAGES_SQL = QUOTED_PAGES.replace("\\n\\n", "' || chr(10) || chr(10) || '")
+
+
+@query("c7_line_pairs_quoted", _c7_sql(looks_like_source_sql, quoted_target_sql, clean_source_sql).replace("FROM pages", "FROM " + _QUOTED_PAGES_SQL))
+def c7_line_pairs_quoted(spark, sf):
+    """C7 with the real predicates over pages that hold marked lines and quotations."""
+    return corpus.adjacent_line_pairs(_quoted_pages(spark, sf))
+
+
+@query("c9_quoted_targets_pages", f"""
+SELECT page_id, tgt FROM (SELECT page_id, {quoted_target_sql("line")} AS tgt FROM (
+  SELECT page_id, regexp_replace(split_part(html, '<p>', 3), '</p>$', '') AS line FROM {_QUOTED_PAGES_SQL})) WHERE tgt IS NOT NULL""")
+def c9_quoted_targets_pages(spark, sf):
+    """Whole-line and inner quotations of the same pages."""
+    line = F.regexp_replace(F.split("html", "<p>")[2], "</p>$", "")
+    return (_quoted_pages(spark, sf).select("page_id", quoted_target(line).alias("tgt")).filter(F.col("tgt").isNotNull()))
+
+
 def _gen_src_sql(x):
     return f"len({tokens_of(x)}) >= 2"
 
