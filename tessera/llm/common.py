@@ -67,3 +67,15 @@ class Cache(dict):
             value = self.fn(key)
         self[key] = value
         return value
+
+
+_memos: dict[str, object] = {}
+
+
+def hold(owner: str, release) -> None:
+    """Called by an operator before it fills its memo in this worker: the memos of other
+    operators, left from earlier stages in the same process, are released."""
+    if owner not in _memos:
+        for other in list(_memos):
+            _memos.pop(other)()
+        _memos[owner] = release

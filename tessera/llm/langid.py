@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import hold, materialise
 
 MARK = "▁"
 LONGEST = 48
@@ -33,7 +33,7 @@ FLOOR = 1e-7
 #: Added to the expected count of every piece.
 PRIOR = 0.05
 #: Words whose probabilities a worker keeps.
-KEPT = 500_000
+KEPT = 300_000
 UNDETERMINED = "und"
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -230,6 +230,7 @@ _live: dict = {}
 
 def _scorer(model: Model):
     """The worker's scorer of a model; it and its memo go when another model comes."""
+    hold("langid", _live.clear)
     key = (model.path, tuple(model.languages), hash(model.table.tobytes()))
     if key not in _live:
         _live.clear()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Cache, materialise, n_tasks
+from tessera.llm.common import Cache, hold, materialise, n_tasks
 
 SIZE = 4096
 CLOSE = 1
@@ -93,6 +93,10 @@ class Words:
         self._words(list(dict.fromkeys(words)))
         known.update((p, known[stem] + known[marks]) for p, stem, marks in split)
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.known.older.clear()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         whole = [bool(t) and any(s in t for s in self.special) for t in texts]
@@ -127,6 +131,7 @@ def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text
 
     def run(source):
         words = load(path)
+        hold("packing", words.forget)
         close = np.array([CLOSE], "<u4").tobytes()
         for batch in source:
             keys, texts = batch.column(0), batch.column(1).to_pylist()

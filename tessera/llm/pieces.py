@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import hold
+
 MARK = "▁"
 #: Bounds of the memos of a worker: parts (two generations of them), segments and pairs.
 PARTS, SEGMENTS, PAIRS = 350_000, 150_000, 500_000
@@ -191,6 +193,10 @@ class PieceModel:
         self.known[segment] = ids
         return ids
 
+    def forget(self) -> None:
+        for memo in (self.known, self.parts, self.older, self.pairs):
+            memo.clear()
+
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit integers."""
         if not text:
@@ -249,6 +255,7 @@ def encode_column(text: Column, path: str) -> Column:
     @F.arrow_udf("array<int>")
     def encode(column: pa.Array) -> pa.Array:
         model = load(path)
+        hold("pieces", model.forget)
         rows = [model.encode_bytes(t.as_py()) for t in column]
         offsets = np.zeros(len(rows) + 1, np.int64)
         np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])

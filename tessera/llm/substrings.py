@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Cache, n_tasks
+from tessera.llm.common import Cache, hold, n_tasks
 from tessera.session import ensure_checkpoint_dir
 
 WINDOW = 13
@@ -57,6 +57,11 @@ def _word_hash(word: bytes) -> int:
 _hashes = Cache(_word_hash, 300_000)
 
 
+def _forget() -> None:
+    _hashes.clear()
+    _hashes.older.clear()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits (in place)."""
     x ^= x >> np.uint64(31)
@@ -116,6 +121,7 @@ class Chunk:
     """Word hashes of a chunk's documents, one after the other."""
 
     def __init__(self, raw: bytes, doc_id: str, text: str):
+        hold("substrings", _forget)
         self.table = pa.ipc.open_stream(raw).read_all()
         self.texts = self.table.column(text).cast(pa.large_binary()).to_pylist()
         parts = []

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import hold, materialise
 
 #: Labelled rows that are looked at, of either class.
 TOXIC, CLEAN = 4000, 12_000
@@ -196,6 +196,7 @@ _grammars: dict[tuple, Grammar] = {}
 
 def _live(parts: tuple) -> Grammar:
     """The worker's grammar with its memo of words."""
+    hold("toxicity", _grammars.clear)
     key = (len(parts[0]), hash(frozenset(parts[0].items())), parts[3])
     if key not in _grammars:
         _grammars.clear()
