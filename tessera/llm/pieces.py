@@ -271,9 +271,12 @@ def decode_column(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(column: pa.Array) -> pa.Array:
         model = load(path)
-        flat = column.flatten().to_numpy(zero_copy_only=False)
-        plain = not np.isin(flat, list(model.silent)).any()
-        return pa.array([model.decode(r or (), plain) for r in column.to_pylist()], pa.string())
+        flat = column.values.to_numpy(zero_copy_only=False)
+        at = column.offsets.to_pylist()
+        plain = not np.isin(flat[at[0]:at[-1]], list(model.silent)).any()
+        # one row's ids at a time as Python numbers; a null row is empty
+        return pa.array([model.decode(flat[a:b].tolist() if ok else [], plain) for a, b, ok in
+                         zip(at, at[1:], column.is_valid().to_pylist())], pa.string())
 
     return decode(ids)
 
