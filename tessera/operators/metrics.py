@@ -144,17 +144,28 @@ def rolling_rate(log: DataFrame, flag: Column, key_cols: Sequence[str], order_co
     return rolling_rows(d, key_cols, order_cols, n, {name: F.avg("_flag")}).drop("_flag")
 
 
-def fuzzy_correction_ratio(breakdown: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """M9: fuzzy-corrected tokens / tokens (floor 0.0001 on the denominator)."""
-    agg = breakdown.groupBy(*by).agg(F.count_if(F.col("fuzzy")).cast("bigint").alias("corrected"),
-                                     F.count(F.lit(1)).cast("bigint").alias("tokens"))
+def _windowed(df: DataFrame, window: str | None, ts: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its tumbling window's start as ``window_start``, and that name; or as it is."""
+    if not window:
+        return df, []
+    return df.withColumn("window_start", _fmt(F.window(ts, window)["start"])), ["window_start"]
+
+
+def fuzzy_correction_ratio(breakdown: DataFrame, by: Sequence[str] = (), window: str | None = None,
+                           ts: str = "ts") -> DataFrame:
+    """M9: fuzzy-corrected tokens / tokens (floor 0.0001 on the denominator), overall or per
+    window (15 minutes on the dashboards)."""
+    d, w = _windowed(breakdown, window, ts)
+    agg = d.groupBy(*w, *by).agg(F.count_if(F.col("fuzzy")).cast("bigint").alias("corrected"),
+                                 F.count(F.lit(1)).cast("bigint").alias("tokens"))
     return agg.withColumn("ratio", F.col("corrected") / F.greatest(F.col("tokens").cast("double"), F.lit(RATE_FLOOR)))
 
 
-def fuzzy_by_distance(breakdown: DataFrame) -> DataFrame:
-    """Corrected tokens per edit distance."""
-    return (breakdown.filter(F.col("fuzzy")).groupBy("edit_distance")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("corrections")))
+def fuzzy_by_distance(breakdown: DataFrame, window: str | None = None, ts: str = "ts") -> DataFrame:
+    """Corrected tokens per edit distance; with a window also their rate per minute."""
+    d, w = _windowed(breakdown.filter(F.col("fuzzy")), window, ts)
+    agg = d.groupBy(*w, "edit_distance").agg(F.count(F.lit(1)).cast("bigint").alias("corrections"))
+    return agg.withColumn("per_minute", F.col("corrections") * 60.0 / _seconds(window)) if window else agg
 
 
 def top_oov_words(oov: DataFrame, k: int = 10, token_col: str = "token") -> DataFrame:

@@ -165,6 +165,36 @@ def m10_fuzzy_by_distance(spark, sf):
     return metrics.fuzzy_by_distance(_breakdown_with_user(spark, sf))
 
 
+BD_TIME_SQL = BREAKDOWN_SQL.rstrip() + """,
+bdt AS (SELECT *, make_timestamp((request_id // 4294967296 * 600 + request_id % 4294967296 * 20) * 1000000) AS ts FROM breakdown),
+bdw AS (SELECT *, strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start FROM bdt)
+"""
+
+
+def _breakdown_in_time(spark, sf):
+    """Requests ten minutes apart by conversation and 20 s by turn."""
+    bd = matching.gloss_tokens(B.requests(spark, sf), _lookup(spark, sf))
+    conv, turn = F.shiftright("request_id", 32), F.col("request_id") % 4294967296
+    return bd.withColumn("ts", F.timestamp_seconds(conv * 600 + turn * 20))
+
+
+@query("m9_fuzzy_ratio_15m", BD_TIME_SQL + """
+SELECT window_start, CAST(count(*) FILTER (WHERE fuzzy) AS BIGINT) AS corrected, CAST(count(*) AS BIGINT) AS tokens,
+       round(count(*) FILTER (WHERE fuzzy) / greatest(CAST(count(*) AS DOUBLE), 0.0001), 6) AS ratio
+FROM bdw GROUP BY window_start""")
+def m9_fuzzy_ratio_15m(spark, sf):
+    """M9 per window of 15 minutes."""
+    return metrics.fuzzy_correction_ratio(_breakdown_in_time(spark, sf), window="15 minutes")
+
+
+@query("m10_fuzzy_rate_by_distance", BD_TIME_SQL + """
+SELECT window_start, edit_distance, CAST(count(*) AS BIGINT) AS corrections, round(count(*) / 15.0, 6) AS per_minute
+FROM bdw WHERE fuzzy GROUP BY window_start, edit_distance""")
+def m10_fuzzy_rate_by_distance(spark, sf):
+    """M10 per window of 15 minutes, with the rate per minute."""
+    return metrics.fuzzy_by_distance(_breakdown_in_time(spark, sf), window="15 minutes")
+
+
 @query("m11_top_oov_words", with_(LEX, f"""
 toks AS (SELECT unnest({tokens_of('lower(text)')}) AS token FROM documents),
 oov AS (SELECT token FROM toks WHERE token NOT IN (SELECT lower(term) FROM lex)),

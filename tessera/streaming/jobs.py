@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.functions.text import in_charset
 from tessera.operators.matching import tokenise
+from tessera.operators.metrics import CONFIDENCE_BUCKETS, HIGH_CONFIDENCE, LATENCY_BUCKETS_MS
 
 
 def event_time(stream: DataFrame, ts: str = "ts", name: str = "event_time") -> DataFrame:
@@ -28,18 +29,24 @@ def event_time(stream: DataFrame, ts: str = "ts", name: str = "event_time") -> D
 def stream_window_metrics(stream: DataFrame, window: str = "5 minutes", slide: str | None = None,
                           watermark: str = "10 minutes", by: Sequence[str] = ("input_type", "status"),
                           ts: str = "ts") -> DataFrame:
-    """tumbling/sliding window counts, errors, latency sum and distinct users
-    per label set; rows later than the watermark are dropped (and counted in the
-    query progress)."""
+    """tumbling/sliding window counts, errors, latency sum and cumulative latency buckets
+    (``le_<bound>``, M2), requests by confidence bucket (``conf_<bound>``, M4) and of high
+    confidence (M5), and distinct users per label set; rows later than the watermark are
+    dropped (and counted in the query progress).  Quantiles and ratios follow from the buckets
+    with the batch functions."""
     s = event_time(stream, ts).withWatermark("event_time", watermark)
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     return (s.groupBy(w.alias("w"), *by)
             .agg(F.count(F.lit(1)).alias("requests"),
                  F.count_if(F.col("status") == "error").alias("errors"),
                  F.sum("latency_ms").alias("latency_sum"),
-                 F.approx_count_distinct("user_id").alias("active_users"))
+                 F.approx_count_distinct("user_id").alias("active_users"),
+                 F.count_if(F.col("confidence") >= HIGH_CONFIDENCE).alias("high_confidence"),
+                 *[F.count_if(F.col("latency_ms") <= b).alias(f"le_{b}") for b in LATENCY_BUCKETS_MS],
+                 *[F.count_if(F.col("confidence") <= b).alias(f"conf_{b}") for b in CONFIDENCE_BUCKETS])
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
-                    "requests", "errors", "latency_sum", "active_users"))
+                    "requests", "errors", "latency_sum", "active_users", "high_confidence",
+                    *[f"le_{b}" for b in LATENCY_BUCKETS_MS], *[f"`conf_{b}`" for b in CONFIDENCE_BUCKETS]))
 
 
 def _rolling_fn(n: int, id_col: str, ts_col: str):
@@ -104,15 +111,23 @@ def stream_alert_state(evaluations: DataFrame, for_seconds_by_alert: dict[str, i
 
 
 def stream_oov(requests: DataFrame, lex: DataFrame, by: Sequence[str] = ("user_id",),
-               text_col: str = "text", id_col: str = "request_id") -> DataFrame:
-    """T4: stream–static join of request tokens against the (static) vocabulary;
-    running token / OOV counts per key (update or complete mode)."""
-    toks = tokenise(requests, text_col, [id_col, *by], lower=True)
+               text_col: str = "text", id_col: str = "request_id", window: str | None = None,
+               watermark: str = "10 minutes", ts: str = "ts") -> DataFrame:
+    """T4: stream–static join of request tokens against the (static) vocabulary; token / OOV
+    counts per key and event-time window (with ``window``: state of closed windows goes), or
+    running counts per key (update or complete mode, for keys that are few)."""
+    keep, keys = [id_col, *by], list(by)
+    if window:
+        requests = event_time(requests, ts).withWatermark("event_time", watermark)
+        keep.append("event_time")
+        keys = [F.window("event_time", window).alias("w"), *by]
+    toks = tokenise(requests, text_col, keep, lower=True)
     vocab = lex.select(F.lower("term").alias("token")).distinct().withColumn("_in", F.lit(1))
     j = toks.join(vocab, "token", "left")
-    return (j.groupBy(*by).agg(F.count(F.lit(1)).alias("tokens"),
-                               F.count_if(F.col("_in").isNull()).alias("oov_tokens"))
-            .withColumn("oov_rate", F.col("oov_tokens") / F.col("tokens")))
+    out = (j.groupBy(*keys).agg(F.count(F.lit(1)).alias("tokens"),
+                                F.count_if(F.col("_in").isNull()).alias("oov_tokens"))
+           .withColumn("oov_rate", F.col("oov_tokens") / F.col("tokens")))
+    return out.select(F.col("w.start").alias("window_start"), *by, "tokens", "oov_tokens", "oov_rate") if window else out
 
 
 def stream_new_lexicon(submissions: DataFrame, term_col: str = "term", ts: str = "ts",

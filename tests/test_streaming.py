@@ -37,6 +37,44 @@ def test_t1_s8_m1_window_metrics_match_batch(spark, tmp):
     assert got == exp
 
 
+def test_t1_m2_m5_buckets_match_batch(spark, tmp):
+    stream = io.request_stream(spark, _log_dir(spark, tmp), LOG_SCHEMA)
+    got = _run(jobs.stream_window_metrics(stream, "1 day", watermark="1 day"), tmp, "t1b", "complete").toPandas()
+    log = B.request_log(spark, SF_SMALL).toPandas()
+    for b in metrics.LATENCY_BUCKETS_MS:
+        assert got[f"le_{b}"].sum() == (log["latency_ms"] <= b).sum()
+    for b in metrics.CONFIDENCE_BUCKETS:
+        assert got[f"conf_{b}"].sum() == (log["confidence"] <= b).sum()
+    assert got["high_confidence"].sum() == (log["confidence"] >= metrics.HIGH_CONFIDENCE).sum()
+
+
+def test_t2_t3_more_rows_than_an_arrow_batch(spark, tmp):
+    """A key's rows come in several chunks, out of order, and are still taken in order."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        rows = spark.range(600).select(F.pmod(F.col("id") * 7919, F.lit(600)).alias("slot"))
+        evals = rows.select("slot", (F.col("slot") % 20 < 12).alias("cond"), F.lit("NoSuchRule").alias("alertname"))
+        evals.coalesce(1).write.parquet(os.path.join(tmp, "many"))
+        stream = spark.readStream.schema("slot BIGINT, cond BOOLEAN, alertname STRING").parquet(os.path.join(tmp, "many"))
+        out = _run(jobs.stream_alert_state(stream, {}), tmp, "t3many")
+        got = [(r.state, r.slot) for r in out.orderBy("slot", F.desc("state")).collect()]
+        want = [(s, 20 * k + d) for k in range(30) for s, d in (("pending", 0), ("firing", 0), ("resolved", 12))]
+        assert got == want  # a rule without a wait fires at once
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_t4_windows_match_batch(spark, tmp):
+    lex = B.lexicon(spark, SF_SMALL)
+    req = B.requests(spark, SF_SMALL).withColumn("ts", F.timestamp_seconds(F.shiftright("request_id", 32) * 600))
+    req.write.parquet(os.path.join(tmp, "req"))
+    stream = spark.readStream.schema(req.schema).parquet(os.path.join(tmp, "req"))
+    out = _run(jobs.stream_oov(stream, lex, window="1 hour", watermark="1 hour"), tmp, "t4w", "complete")
+    toks = matching.tokenise(req.withColumn("w", F.window("ts", "1 hour")["start"]), "text", ["request_id", "user_id", "w"], lower=True)
+    want = {(r.w, r.user_id): (r.total_tokens, r.oov_tokens) for r in profile.oov_rate(toks, lex, by=["w", "user_id"]).collect()}
+    assert {(r.window_start, r.user_id): (r.tokens, r.oov_tokens) for r in out.collect()} == want
+
+
 def test_t2_m7_rolling_state_matches_batch(spark, tmp):
     log = B.request_log(spark, SF_SMALL)
     path = os.path.join(tmp, "log2")
