@@ -14,6 +14,7 @@ packed like any other, row by row.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import array
 import functools
 import os
 from bisect import bisect_right
@@ -42,6 +43,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a word
         self.ends[[i for w, i in names.items() if w.endswith("</w>")]] = True
@@ -51,9 +53,13 @@ class Words:
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _letters(self, word: bytes) -> bytes:
+        """Ids of a part of the letters a-z alone: one word, which the normaliser leaves as it is."""
+        return array.array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+
     def _words(self, words: list[bytes]) -> None:
-        """Learn parts of letters alone, each one word to the tokenizer: they go in one call and
-        are told apart by the ids that end words."""
+        """Learn parts of other letters alone, each one word to the tokenizer: they go in one call
+        and are told apart by the ids that end words."""
         if not words:
             return
         ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
@@ -67,13 +73,13 @@ class Words:
     def _learn(self, parts) -> None:
         """Put the ids of new parts into ``known``.  Letters and the marks after them are apart
         to the tokenizer (unless an apostrophe may start a contraction)."""
-        known, older = self.known, self.known.older
+        known, older, plain = self.known, self.known.older, self._letters
         words, split, rest = [], [], []
         for p in parts:
             if (ids := older.get(p)) is not None:
                 known[p] = ids
             elif p.isalpha():
-                words.append(p)
+                known[p] = plain(p)
             else:
                 stem = p.rstrip(MARKS)
                 if stem != p and stem[-1:].isalnum() and b"'" not in p:
@@ -83,8 +89,10 @@ class Words:
         for p in {x for _, *both in split for x in both if x not in known}:
             if (ids := older.get(p)) is not None:
                 known[p] = ids
+            elif p.isalpha():
+                known[p] = plain(p)
             else:
-                (words if p.isalpha() else rest).append(p)
+                rest.append(p)
         for p in rest:
             if (t := p.decode()).isalpha():
                 words.append(p)
