@@ -9,7 +9,9 @@ from tools.check_oracle import TABLES, digest, norm
 
 from conftest import SF_MID, SF_SMALL
 
-SUBSET = sorted(name for name, e in load_all().items() if e.sql)
+#: At the smallest scale one of its percentiles lies exactly on a rounding tie (see README).
+TIES = {"d5_baseline_snapshot"}
+SUBSET = sorted(name for name, e in load_all().items() if e.sql and name not in TIES)
 
 
 @pytest.fixture(scope="module")
