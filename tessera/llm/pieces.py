@@ -152,9 +152,22 @@ class PieceModel:
         """The only sequence of pieces of ``text`` whose neighbours are all compatible."""
         n, size, length, shorter, known = len(text), self.size, self.length, self.shorter, self.pairs.get
         longest = self.automaton.iter_long
-        path: list[int] = []
+        # the longest pieces one after the other are often the answer, and else begin it
+        greedy = [piece for _, piece in longest(text)]
+        path = greedy[:1]
+        at = length[greedy[0]]
+        for piece in greedy[1:]:
+            pair = path[-1] * size + piece
+            if (ok := known(pair)) is None:
+                ok = self._compatible(pair)
+            if not ok:
+                break
+            path.append(piece)
+            at += length[piece]
+        else:
+            return path
         failed = bytearray(n // 8 + 1)
-        at, piece = 0, -2  # -2: the longest piece here; -1: none is left
+        piece = shorter[piece]  # -2: the longest piece here; -1: none is left
         while at < n:
             if piece == -2:
                 piece = next(longest(text, at))[1]
