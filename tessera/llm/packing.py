@@ -48,7 +48,7 @@ class Words:
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a word
         self.ends[[i for w, i in names.items() if w.endswith("</w>")]] = True
         self.special = tuple({w[:2] for w in (t.content for t in self.tokenizer.get_added_tokens_decoder().values())})
-        self.known = Cache(lambda part: self._plain(part.decode()), 600_000)
+        self.known = Cache(lambda part: self._plain(part.decode()), 300_000)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
