@@ -8,9 +8,9 @@ again - and rows far away by Mahalanobis distance are rejected.
 
 Medians and shares are read off histograms with fixed bins, so every step is a plain
 aggregation that combines before the shuffle, and one source that holds a third of the rows
-is no more work for any task.  Spreads have a floor, so a statistic that is the same in
-nearly all rows does not make small departures outliers, and the distances are only ever
-scaled down to the expected median.  Groups of fewer than ``LEAST`` rows reject nothing.
+is no more work for any task.  Spreads have a small floor, so a statistic that is the same
+in nearly all rows does not make small departures outliers but large ones, each statistic by
+itself; the distances are only ever scaled down to the expected median.  Groups of fewer than ``LEAST`` rows reject nothing.
 
 Null text has no words, and so fails.  Null languages and sources form groups like any other
 value.  Rows may repeat; each is judged by itself.
@@ -18,6 +18,8 @@ value.  Rows may repeat; each is judged by itself.
 
 from __future__ import annotations
 
+from math import log, sqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,14 @@ CUTOFF = 23.51
 MEDIAN = 3.357
 #: Bins of the histograms: width for statistics, bins for each e-fold of a distance.
 WIDTH, FOLDS = 1 / 128, 32
-#: Least spread of each statistic.
-FLOORS = {"x_length": 0.15, "x_symbols": 0.7, "x_lines": 0.9, "x_repeats": 0.9}
+#: What is added to a share before its logarithm: shares far below it count as none.
+OFFSETS = {"x_symbols": 0.01, "x_lines": 0.05, "x_repeats": 0.05}
+#: Largest share that a row past the base rules can have.
+MOST = {"x_symbols": 1.0, "x_lines": 1.0, "x_repeats": MAX_REPEATED / 100}
+#: Least spread of each statistic.  Shares: half the attainable range alone reaches the cutoff
+#: where nearly all rows have the same.  Word length, whose deviation is about its mean: the
+#: error of the mean of the fewest words.
+FLOORS = {"x_length": MIN_WORDS ** -0.5} | {k: log(1 + MOST[k] / a) / (2 * sqrt(CUTOFF)) for k, a in OFFSETS.items()}
 STATS = tuple(FLOORS)
 
 
@@ -85,8 +93,8 @@ def transformed() -> dict[str, Column]:
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     chars = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
     lines = F.greatest(F.col("__n_lines"), F.lit(1)).cast("double")
-    return {"x_length": F.log(chars / n), "x_symbols": F.log(F.col("n_symbols") / chars + 0.01),
-            "x_lines": F.log(F.col("n_dup_lines") / lines + 0.05), "x_repeats": F.log(F.col("n_repeat_words") / n + 0.05)}
+    shares = {"x_symbols": F.col("n_symbols") / chars, "x_lines": F.col("n_dup_lines") / lines, "x_repeats": F.col("n_repeat_words") / n}
+    return {"x_length": F.log(chars / n)} | {k: F.log(x + OFFSETS[k]) for k, x in shares.items()}
 
 
 def _quantile_bins(rows: DataFrame, keys: list[str], share: float) -> DataFrame:

@@ -169,6 +169,32 @@ def test_op6_outliers_by_group(spark):
     assert wrong <= 0.005 * len(got)
 
 
+def uniform_texts(n):
+    """Texts of 60 distinct words of five letters, in four lines, without symbols."""
+    words = ["".join(w) for w in itertools.product("abcdef", repeat=5)]
+    return ["\n".join(" ".join(words[(60 * i + 15 * k + j) % len(words)] for j in range(15)) for k in range(4)) for i in range(n)]
+
+
+def far_texts():
+    """Texts like these but for one statistic."""
+    words = ["".join(w) for w in itertools.product("uvwxyz", repeat=5)]
+    symbols = ["".join(w) for w in itertools.product("#*$%&", repeat=5)]
+    lines = ["klmno", "lmnop", "mnopq", "nopqr", "opqrs"]
+    turns, seen = [lines[0], lines[0]], set()
+    while nxt := [x for x in reversed(lines) if (*turns[-2:], x) not in seen]:  # no three words stand twice
+        seen.add((*turns[-2:], nxt[0]))
+        turns.append(nxt[0])
+    return {"x_symbols": " ".join(words[:50] + symbols[:10]), "x_lines": "\n".join(turns),
+            "x_repeats": " ".join(words[:15] + words[20:35] + words[:15] + words[40:55])}
+
+
+def test_op6_each_statistic_alone_rejects(spark):
+    plain, far = uniform_texts(60), far_texts()
+    df = spark.createDataFrame([("-", t, "en", "a") for t in plain] + [(k, t, "en", "a") for k, t in far.items()], "key string, text string, lang string, source string")
+    got = quality.judge(df).collect()
+    assert not any(r.base_failed for r in got) and {r.key for r in got if r.outlier} == set(far)
+
+
 # --- licences
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
