@@ -10,7 +10,9 @@ Medians and shares are read off histograms with fixed bins, so every step is a p
 aggregation that combines before the shuffle, and one source that holds a third of the rows
 is no more work for any task.  Spreads have a small floor, so a statistic that is the same
 in nearly all rows does not make small departures outliers but large ones, each statistic by
-itself; the distances are only ever scaled down to the expected median.  Groups of fewer than ``LEAST`` rows reject nothing.
+itself; the distances are only ever scaled down to the expected median.  No group is exempt: one of fewer than ``LEAST`` rows is
+judged by a mixture of its own estimate, weighted by its share of ``LEAST``, and that of the
+wider group (the language over all sources, then all rows), which is estimated the same way.
 
 Null text has no words, and so fails.  Null languages and sources form groups like any other
 value.  Rows may repeat; each is judged by itself.
@@ -18,6 +20,7 @@ value.  Rows may repeat; each is judged by itself.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +32,7 @@ SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\f\r"
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
-#: Rows of a group whose covariance is sought, concentration steps, smallest group.
+#: Rows of a group whose covariance is sought, concentration steps, smallest group judged by itself.
 SHARE, STEPS, LEAST = 0.75, 3, 40
 #: Squared distance beyond which a row is an outlier: 0.9999 quantile for four normal statistics.
 CUTOFF = 23.51
@@ -127,12 +130,16 @@ def _distance(mean: str = "_m", factor: str = "_f") -> Column:
     return total
 
 
-def _factor(moments: DataFrame) -> DataFrame:
-    """Triangular (Cholesky) factor of each group's covariance, spreads at their floors or above."""
+def _covariance(moments: DataFrame) -> DataFrame:
+    """Mean and covariance of each group, spreads at their floors or above."""
     n = F.col("n").cast("double")
-    out = moments.select("__g", *[(F.col(f"s{i}") / n).alias(a + "_m") for i, a in enumerate(STATS)], *[
+    return moments.select("__g", *[(F.col(f"s{i}") / n).alias(a + "_m") for i, a in enumerate(STATS)], *[
         ((F.col(f"s{i}{j}") / n - F.col(f"s{i}") / n * (F.col(f"s{j}") / n)) + (FLOORS[a] ** 2 if i == j else 0.0)).alias(f"c{i}{j}")
         for i, a in enumerate(STATS) for j in range(i + 1)])
+
+
+def _factor(out: DataFrame) -> DataFrame:
+    """Triangular (Cholesky) factor of each group's covariance."""
     for i in range(len(STATS)):
         for j in range(i + 1):
             v = F.col(f"c{i}{j}")
@@ -147,36 +154,76 @@ def _small(groups: DataFrame, most: int = 20_000) -> DataFrame:
     return F.broadcast(groups) if groups.limit(most + 1).count() <= most else groups
 
 
+def _tree(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Groups, from ``keys[0]`` to wider ones, and the wider groups of each that are needed.
+
+    The first table has a group's rows ``__n`` and, if these are too few, the wider group
+    ``__up`` (which is itself in the table only where some group needs it); the second has for
+    each group of ``keys[0]`` the ``__path`` of all groups to which its rows count."""
+    paths = sizes = materialise(rows.groupBy(*keys).agg(F.count("*").alias("__n")))
+    groups, asked = [], None
+    for i, k in enumerate(keys):
+        level = sizes.groupBy(*keys[i:i + 2]).agg(F.sum("__n").alias("__n"))
+        level = level if asked is None else level.join(asked, k, "left_semi")
+        up = F.when(F.col("__n") < LEAST, F.col(keys[i + 1])) if i + 1 < len(keys) else F.lit(None).cast("string")
+        groups.append(level.select(F.lit(i).alias("__level"), F.col(k).alias("__g"), up.alias("__up"), "__n"))
+        if i + 1 < len(keys):
+            asked = groups[-1].where("__up is not null").select(F.col("__up").alias(keys[i + 1])).distinct()
+            paths = paths.join(asked.withColumn(f"__asked{i + 1}", F.lit(True)), keys[i + 1], "left")
+    path = F.array_compact(F.array(keys[0], *[F.when(F.col(f"__asked{i}"), F.col(k)) for i, k in enumerate(keys) if i]))
+    return materialise(reduce(DataFrame.unionByName, groups)), materialise(paths.select(keys[0], path.alias("__path")))
+
+
+def _mixed(values: DataFrame, tree: DataFrame, levels: int) -> DataFrame:
+    """Each group's values; those of small groups mixed with the wider group's, widest first."""
+    names = [c for c in values.columns if c != "__g"]
+    own = materialise(values.join(tree, "__g"))
+    share = F.col("__n") / LEAST
+    done = [own.where(F.col("__level") == levels - 1).select("__g", *names)]
+    for i in reversed(range(levels - 1)):
+        wider = done[-1].select(F.col("__g").alias("__up"), *[F.col(c).alias("__w" + c) for c in names])
+        done.append(own.where(F.col("__level") == i).join(wider, "__up", "left").select(
+            "__g", *[F.when(F.col("__up").isNull(), F.col(c)).otherwise(share * F.col(c) + (1 - share) * F.col("__w" + c)).alias(c) for c in names]))
+    return reduce(DataFrame.unionByName, done)
+
+
 def _bin(d: Column) -> Column:
     return F.floor(FOLDS * F.log(d + 1e-6))
 
 
 def outliers(rows: DataFrame, by: list[str], steps: int = STEPS) -> DataFrame:
     """Add ``distance`` (squared, scaled) and ``outlier`` to rows with the columns ``STATS``."""
-    key = F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in by])
-    rows = rows.withColumn("__g", key)
-    thin = rows.select("__g", *STATS)
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in by]
+    keys = [f"__g{i}" for i in range(len(by) + 1)]  # by all of ``by``, by all but the last, and so on
+    key = {k: F.concat_ws("\x00", F.lit(str(i)), *parts[:len(by) - i]) for i, k in enumerate(keys)}
+    tree, paths = _tree(rows.select(*[c.alias(k) for k, c in key.items()]), keys)
+    rows = rows.withColumn("__g", key["__g0"])
+    thin = rows.select(F.col("__g").alias("__g0"), *STATS).join(_small(paths), "__g0").select(F.explode("__path").alias("__g"), *STATS)
     medians = _small(materialise(_medians(thin, {a: F.col(a) for a in STATS}, "_m")))
     off = {a: F.abs(F.col(a) - F.col(a + "_m")) for a in STATS}
     spreads = _medians(thin.join(medians, "__g"), off, "_d")
     start = medians.join(spreads, "__g")
     near = [(F.col(a) - F.col(a + "_m")) / F.greatest(1.4826 * F.col(a + "_d"), F.lit(FLOORS[a])) for a in STATS]
     model, distance = _small(materialise(start)), sum((x * x for x in near), F.lit(0.0))
-    for _ in range(steps):
+    for step in range(steps):
         binned = thin.join(model, "__g").select("__g", *STATS, _bin(distance).alias("bin"))
         limit = _small(materialise(_quantile_bins(binned, ["__g"], SHARE).withColumnRenamed("bin", "most")))
         x = [F.col(a) for a in STATS]
         moments = binned.join(limit, "__g").where("bin <= most").groupBy("__g").agg(
             F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(len(x))],
             *[F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i in range(len(x)) for j in range(i + 1)])
-        model, distance = _small(materialise(_factor(moments))), _distance()
+        estimate = _covariance(moments)
+        if step == steps - 1:
+            estimate = _mixed(estimate, tree, len(keys))
+        model, distance = _small(materialise(_factor(estimate))), _distance()
     middle = _quantile_bins(thin.join(model, "__g").select("__g", _bin(distance).alias("bin")), ["__g"], 0.5)
-    scale = middle.select("__g", F.greatest(F.exp((F.col("bin") + 0.5) / FOLDS) / MEDIAN, F.lit(1.0)).alias("__scale"))
-    size = thin.groupBy("__g").agg(F.count("*").alias("__n"))
-    model = _small(materialise(model.join(scale, "__g").join(size, "__g")))
+    # the factors of the distances, 1 at most, are mixed and not what they are divided by: a
+    # small group whose rows are all far does not make its own median the expected one
+    factor = middle.select("__g", F.least(MEDIAN / F.exp((F.col("bin") + 0.5) / FOLDS), F.lit(1.0)).alias("__factor"))
+    model = _small(materialise(model.join(_mixed(factor, tree, len(keys)), "__g")))
     names = [F.col(f"`{c}`") for c in rows.columns if c != "__g"]
-    told = rows.join(model, "__g").withColumn("distance", distance / F.col("__scale"))
-    return told.select(*names, "distance", ((F.col("distance") > CUTOFF) & (F.col("__n") >= LEAST)).alias("outlier"))
+    told = rows.join(model, "__g").withColumn("distance", distance * F.col("__factor"))
+    return told.select(*names, "distance", (F.col("distance") > CUTOFF).alias("outlier"))
 
 
 def judge(df: DataFrame, text: str = "text", by: tuple[str, ...] = ("lang", "source")) -> DataFrame:

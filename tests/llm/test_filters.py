@@ -195,6 +195,18 @@ def test_op6_each_statistic_alone_rejects(spark):
     assert not any(r.base_failed for r in got) and {r.key for r in got if r.outlier} == set(far)
 
 
+def test_op6_small_groups_are_judged(spark):
+    rnd = np.random.RandomState(3)
+    sizes = {("en", "a"): 400, ("en", "b"): 12, ("en", "c"): 1, ("de", "a"): 9, ("fr", None): 1, (None, "a"): 15, ("en", "far"): 12}
+    rows = [(lang, source, i, *map(float, v)) for (lang, source), n in sizes.items() for i, v in enumerate(rnd.normal(size=(n, 4)))]
+    # the first row of each small group, and all rows of one, are far from anything
+    far = {(r[0], r[1], r[2]) for r in rows if sizes[r[:2]] < quality.LEAST and (r[2] == 0 or r[1] == "far")}
+    rows = [(*r[:6], r[6] + 20.0) if r[:3] in far else r for r in rows]
+    df = spark.createDataFrame(rows, "lang string, source string, i int, x_length double, x_symbols double, x_lines double, x_repeats double")
+    got = quality.outliers(df, ["lang", "source"]).collect()
+    assert len(got) == len(rows) and {(r.lang, r.source, r.i) for r in got if r.outlier} == far
+
+
 # --- licences
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
