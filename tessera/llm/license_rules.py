@@ -3,7 +3,8 @@
 A line is: label | keyword | pattern | weight.  Patterns see lower-case words with one space
 between them ("CC BY-SA 4.0" is "cc by sa 4 0").  ``{a,b}`` writes the line once for each
 alternative, ``<n>`` in the label being the n-th alternative in use with dashes for spaces;
-the order of the lines is the priority.
+the order of the lines is the priority.  The keyword is part of every text that the pattern
+matches.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ artistic | artistic license | (?:perl )?artistic license | 0.87
 isc | isc license | (?:the )?isc license | 0.95
 isc | permission to use copy modify | permission to use copy modify and or distribute this software for any purpose | 0.9
 zlib | zlib | zlib(?: libpng)? license | 0.93
-libpng-2.0 | libpng | (?:png|libpng) (?:reference library )?license(?: version 2)? | 0.9
+libpng-2.0 | png | (?:png|libpng) (?:reference library )?license(?: version 2)? | 0.9
 unlicense | unlicense | (?:the )?unlicense | 0.93
 unlicense | unencumbered | free and unencumbered software released into the public domain | 0.97
 wtfpl | wtfpl | wtfpl(?: version 2)? | 0.93
@@ -149,13 +150,13 @@ ricoh | ricoh source | ricoh source code public license | 0.93
 sissl | sun industry | sun industry standards source license | 0.93
 vovida | vovida | vovida software license | 0.9
 watcom-1.0 | watcom | sybase open watcom public license(?: 1 0)? | 0.93
-xnet | xnet license | x ?net license | 0.85
-open-rail-m | openrail | (?:creativeml )?open ?rail ?m? license | 0.9
+xnet | net license | x ?net license | 0.85
+open-rail-m | rail | (?:creativeml )?open ?rail ?m? license | 0.9
 ogl-<1> | open government | open government licen[cs]e (?:v|version )?{1 0,2 0,3 0} | 0.95
 gutenberg | project gutenberg | project gutenberg license | 0.9
 spdx | spdx | spdx license identifier [0-9a-z]+ | 0.8
 proprietary | proprietary | proprietary and confidential | 0.85
-proprietary | confidential | unauthorized (?:copying|reproduction|distribution) .{0,60}prohibited | 0.8
+proprietary | unauthorized | unauthorized (?:copying|reproduction|distribution) .{0,60}prohibited | 0.8
 no-redistribution | redistribut | (?:may not be|not be) (?:copied |reproduced )?(?:or )?redistributed | 0.75
 non-commercial | commercial | (?:for )?non ?commercial (?:use|purposes) only | 0.75
 research-only | research | for research (?:use|purposes) only | 0.75

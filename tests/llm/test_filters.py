@@ -1,8 +1,10 @@
 """Language, toxicity, quality and licences against plain versions and held-out rows."""
 
+import dataclasses
 import itertools
 import random
 import re
+import re._parser as sre_parse
 from collections import Counter
 
 import numpy as np
@@ -238,6 +240,43 @@ def test_op10_rules():
         assert not re.search(r.pattern, " nothing of the kind ")
 
 
+def spelled(parsed):
+    """Texts that a parsed pattern matches: every branch, optional parts absent and present."""
+    out = [""]
+    for op, arg in parsed:
+        if op is sre_parse.LITERAL:
+            some = [chr(arg)]
+        elif op is sre_parse.ANY:
+            some = ["q"]
+        elif op is sre_parse.IN:
+            some = [chr(v if o is sre_parse.LITERAL else v[0]) for o, v in arg]
+        elif op is sre_parse.BRANCH:
+            some = [x for branch in arg[1] for x in spelled(branch)]
+        elif op is sre_parse.SUBPATTERN:
+            some = spelled(arg[3])
+        elif op is sre_parse.MAX_REPEAT:
+            some = [x * k for k in sorted({arg[0], max(arg[0], 1)}) for x in (spelled(arg[2]) if k else [""])]
+        else:
+            assert op in (sre_parse.ASSERT, sre_parse.ASSERT_NOT), op
+            some = [""]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_op10_gate_loses_no_match(spark):
+    rules = license_rules.rules()
+    texts = set()
+    for r in rules:
+        own = {t for t in (f" {' '.join(t.split())} " for t in spelled(sre_parse.parse(r.pattern))) if re.search(r.pattern, t)}
+        assert own and not [t for t in own if r.keyword not in t], r
+        texts |= own
+    ungated = [dataclasses.replace(r, keyword=" ") for r in rules]
+    texts = sorted(texts) + [" Unauthorized copying of this file is strictly prohibited. ", "CreativeML Open RAIL-M License", "X.Net License", "PNG Reference Library License"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: tuple(r[1:]) for r in joined(licenses.scan(df)).collect()}
+    assert all(got[i] == plain_scan(t, ungated) for i, t in enumerate(texts)) and all(got[i][5] for i in range(len(texts)))
+
+
 def test_op10_query_and_random_texts(spark, odd, none):
     rules = license_rules.rules()
     rnd = random.Random(3)
