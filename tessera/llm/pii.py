@@ -2,8 +2,8 @@
 
 Kinds ``email``, ``ip``, ``card`` (Luhn) and ``phone`` are matched leftmost and without
 overlap inside a kind; a match that fails its check is dropped and not tried again shorter.
-``iban`` (length of its country, mod-97) and ``ssn`` (issued ranges, and a context word) are
-proposed as well.  Every span has a score: the prior of its kind, raised by words like
+``iban`` (length of its country, mod-97; tried from every place where one may start) and
+``ssn`` (issued ranges, and a context word) are proposed as well.  Every span has a score: the prior of its kind, raised by words like
 "call" or "account" shortly before it and lowered by words like "version" or "order".
 ``email``, ``ip``, ``card`` and ``phone`` stay whatever the score; the others need 0.5.
 
@@ -103,13 +103,19 @@ def phones(text: str):
 
 
 def ibans(text: str):
-    for m in _IBAN.finditer(text):
+    """A proposal may run on into what follows, 34 characters at most: the search goes on from
+    the confirmed end, or just after the start of a failed one."""
+    m = _IBAN.search(text)
+    while m:
         want, end, have = _IBAN_LENGTH.get(m[0][:2]), m.start(), 0
         while want and end < m.end() and have < want:
             have += text[end] != " "
             end += 1
         if want and have == want and not text[end:end + 1].isalnum() and mod97(text[m.start():end].replace(" ", "")):
             yield m.start(), end
+        else:
+            end = m.start() + 1
+        m = _IBAN.search(text, end)
 
 
 def ssns(text: str):

@@ -166,6 +166,33 @@ def test_op3_method_spans():
     assert pii.hide("mail a@b.cd or 1.2.3.4!") == "mail [EMAIL] or [IP]!"
 
 
+def plain_ibans(t):
+    """From every place, past the end of the last one found."""
+    out, done = [], 0
+    for i in range(len(t)):
+        want = pii._IBAN_LENGTH.get(t[i:i + 2])
+        if i < done or not want or (i and re.match("[A-Za-z0-9]", t[i - 1])):
+            continue
+        m = re.compile(f"[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{{want - 4}}}").match(t, i)
+        if m and not t[m.end():m.end() + 1].isalnum() and pii.mod97(m[0].replace(" ", "")):
+            out.append(m.span())
+            done = m.end()
+    return out
+
+
+def test_op3_ibans_beside_each_other_and_after_codes():
+    one, two = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    assert [one, two, one] == [t[a:b] for t in [f"{one} {two} {one}"] for a, b in pii.ibans(t)]
+    for before in ("AB12", "DE12", "NO93 1234", "REF 2024 XX99 ABC", "DE88370400440532013000"):
+        assert [two] == [t[a:b] for t in [f"{before} {two}"] for a, b in pii.ibans(t)], before
+    assert pii.hide(f"{one} {two}") == "[IBAN] [IBAN]"
+    rnd = random.Random(8)
+    bits = [one, two, "NO9386011117947", "BE68 5390 0754 7034", "MT84MALT011000012345MTLCAST001S", "AB12", "DE12", "GB82", "X", "7", "a", "-", "\n", "\xe9"]
+    for _ in range(5_000):
+        t = "".join(rnd.choice(bits) + rnd.choice(["", " ", " ", " ", "  "]) for _ in range(rnd.randint(0, 8)))
+        assert list(pii.ibans(t)) == plain_ibans(t), t
+
+
 def test_op3_odd_rows(odd, none):
     found = pii.detect(odd, out="found").collect()
     assert len(found) == len(ROWS) and all(r.found == [] and r.spans == "keep" for r in found)
