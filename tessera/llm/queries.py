@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, neighbours, packing, pieces, pii, quality, simhash, substrings, toxicity
+from tessera.llm import langid, licenses, neighbours, packing, pieces, pii, quality, shards, simhash, substrings, toxicity
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -134,6 +135,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+@query
+def op12_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every text's ids into shards and read the documents back from the files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    written = shards.write(docs, pieces_path(BYTES))
+    return shards.read(written, docs.schema["doc_id"].dataType.simpleString()).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 ORACLE_SQL["op5_substring_dedup"] = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
