@@ -39,7 +39,16 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for this frame; nothing may read it any more."""
+    spark, path = df.sparkSession, df._written
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)
 
 
 def n_tasks(df: DataFrame, least: int = 1) -> int:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, licenses, neighbours, packing, pieces, pii, quality, shards, simhash, substrings, toxicity
+from tessera.llm import centroids, infill, langid, licenses, neighbours, packing, pieces, pii, quality, shards, simhash, substrings, toxicity
 from tessera.llm.common import fold, materialise, pieces_path, table
 
 PIECES = "piece_bpe_32k.model"
@@ -135,6 +135,21 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 clusters of all vectors, five rounds."""
+    return centroids.described(centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut every text at line ends and put the suffix before the middle."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = infill.transform(docs).select("doc_id", "infill.*")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha256(F.col("output")).alias("output_sha256"),
+                      sha256(infill.restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 @query
 def op12_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every text's ids into shards and read the documents back from the files."""
@@ -155,3 +170,46 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
          FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+ORACLE_SQL["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+e AS (SELECT *, CAST(len(u) AS BIGINT) AS n,
+             list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS g FROM d),
+f AS (SELECT *, least(g[1] % (n + 1), g[2] % (n + 1)) AS a, greatest(g[1] % (n + 1), g[2] % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR g[3] % 100 >= 100 THEN 'plain'
+                  WHEN g[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM e),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+
+def _rounds_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Lloyd's rounds one after another: centroids ``c0``, assignments ``a0``, centroids ``c1`` ..."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT row, min(d * 64 + cluster) % 64 AS cluster, min(d * 64 + cluster) // 64 AS distance FROM (
+  SELECT row, cluster, list_sum(list_transform(generate_series(1, {dim}), lambda i: (v[i] - m[i]) * (v[i] - m[i])))::HUGEINT AS d FROM x, c{r}) GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(s.m, c{r}.m) AS m FROM c{r} LEFT JOIN (
+  SELECT cluster, list(z ORDER BY i) AS m FROM (
+    SELECT cluster, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS z
+    FROM a{r} JOIN x USING (row), generate_series(1, {dim}) AS g(i) GROUP BY cluster, i) GROUP BY cluster) s USING (cluster))""")
+    return f"""
+WITH x AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dim}),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS BIGINT) AS cluster, v AS m
+  FROM x QUALIFY cluster < {k}),
+{", ".join(steps)},
+t AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, cluster_inertia,
+       (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM t) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN x USING (row) JOIN t USING (cluster) JOIN c{rounds} USING (cluster)"""
+
+
+ORACLE_SQL["op11_centroid_clustering"] = _rounds_sql()
