@@ -49,12 +49,26 @@ TOKENS = 4_000_000
 RANGE_BYTES = 64 << 20
 MAGIC = b"TWMX0001"
 #: Bytes of text that are tokenised at a time.
-SLICE = 24 << 20
+SLICE = 8 << 20
 #: A space before white space or the end of the text: there words don't part at each space.
 _HARD = r" ([\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
-#: Parts whose pieces follow from letters, digits, marks and single newlines alone.
-_LATIN = r"^[\x21-\x26\x28-\x7e\x{c0}-\x{24f}]+(\n[\x21-\x26\x28-\x7e\x{c0}-\x{24f}]+)*$"
-_RUNS = (r"(\p{L}+)", r"(\p{N}+)", r"([^\p{L}\p{N}\n\x00]+)", r"(\n)")
+#: Latin letters, digits, marks but the apostrophe, and single newlines: parts of these alone fall
+#: into pieces wherever the class of the letters changes, and before and after a newline.
+_LATIN = r"^{0}+(\n{0}+)*$".format(r"[\x21-\x26\x28-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]")
+_NONE, _LETTER, _DIGIT, _MARK, _LINE = range(5)
+_CLASS = np.full(256, _LETTER, np.uint8)
+_CLASS[:128] = [_LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _LINE if b == 10 else _NONE if b in (0, 32) else _MARK for b in range(128)]
+
+
+def _byte_letters() -> np.ndarray:
+    """The letter that byte-level vocabularies write for each byte: printable ones as they are, the
+    others from 256 on.  Byte 0 stays: it parts pieces here."""
+    plain = np.zeros(256, bool)
+    for a, b in ((33, 127), (161, 173), (174, 256)):
+        plain[a:b] = True
+    letters = np.where(plain, np.arange(256), 255 + np.cumsum(~plain))
+    letters[0] = 0
+    return letters.astype("<u4")
 
 
 def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.LargeListArray:
@@ -70,17 +84,17 @@ class Encoder:
     ids of all texts are gathered in one step.  Texts where spaces stand otherwise go to the
     tokenizer one by one."""
 
-    MEMO = 600_000
+    MEMO = 400_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: The same vocabulary over pieces that are parted already.
+        #: The same vocabulary over pieces that are parted already and written in its letters.
         self.parted = Tokenizer.from_file(path)
-        self.parted.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.CharDelimiterSplit("\0"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.parted.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\0")
+        self.letters = _byte_letters()
         self.parted.model._resize_cache(0)  # what it is asked is new
         names = self.tokenizer.get_vocab()
         self.n_ids = max(names.values()) + 1
@@ -112,21 +126,29 @@ class Encoder:
         single = [self._plain(" " + p) for p in parts.to_pylist()]
         return _lists(np.concatenate(single), np.cumsum([len(x) for x in single]))
 
+    def _parted(self, parts: pa.Array) -> str:
+        """Parts of ``_LATIN`` with a space before each, in pieces: ``\0 word\0,\0 next``."""
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(parts)], parts), "\0 ")[0].as_buffer()
+        data = np.concatenate([np.frombuffer(b"\0 ", np.uint8), np.frombuffer(joined, np.uint8)])
+        kind = _CLASS[data]
+        new = np.zeros(len(data), bool)
+        new[1:] = (kind[1:] != _NONE) & (kind[:-1] != _NONE) & ((kind[1:] != kind[:-1]) | (kind[1:] == _LINE))
+        at = np.arange(len(data)) + np.cumsum(new)
+        out = np.zeros(at[-1] + 1, "<u4")
+        out[at] = self.letters[data]
+        return out.tobytes().decode("utf-32-le")
+
     def _learn(self, parts: pa.Array) -> tuple[pa.Array, pa.LargeListArray]:
         """The ids of new parts, each with the space before it."""
         latin = pc.match_substring_regex(parts, _LATIN)
         plain, rest = parts.filter(latin), parts.filter(pc.invert(latin))
         words, ids = [], []
-        if len(plain):
-            pieces = plain
-            for run in _RUNS:
-                pieces = pc.replace_substring_regex(pieces, run, "\0\\1")
-            text = pc.binary_join(pa.LargeListArray.from_arrays([0, len(pieces)], pc.binary_replace_slice(pieces, 0, 1, "\0 ").cast(pa.string())), "")
-            words.append(plain)
-            ids.append(self._ask(self.parted, text[0].as_py(), plain))
-        if len(rest):
-            words.append(rest)
-            ids.append(self._ask(self.tokenizer, " " + " ".join(rest.to_pylist()), rest))
+        for a in range(0, len(plain), 50_000):
+            words.append(plain.slice(a, 50_000))
+            ids.append(self._ask(self.parted, self._parted(words[-1]), words[-1]))
+        for a in range(0, len(rest), 50_000):
+            words.append(rest.slice(a, 50_000))
+            ids.append(self._ask(self.tokenizer, " " + " ".join(words[-1].to_pylist()), words[-1]))
         return pa.concat_arrays(words), pa.concat_arrays(ids)
 
     def _look_up(self, words: pa.Array) -> pa.LargeListArray:
