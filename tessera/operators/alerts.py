@@ -64,10 +64,29 @@ def slot_time(slot: Column) -> Column:
     return F.date_format(ntz_from_micros(slot * (EVAL_SECONDS * US)), "yyyy-MM-dd HH:mm:ss")
 
 
-def _grid(slots: DataFrame) -> DataFrame:
-    """All evaluation slots between the first and last slot with data."""
-    span = slots.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
-    return span.select(F.explode(F.sequence("lo", "hi")).alias("slot"))
+def _grid(slots: DataFrame, until: str | None = None) -> DataFrame:
+    """All evaluation slots between the first and last slot with data, or up to ``until``: cut at
+    hours first, so that a long gap is many rows and not one long array."""
+    hour = 3600 // EVAL_SECONDS
+    hi = F.max("slot")
+    if until is not None:
+        seen = F.floor(F.unix_micros(F.lit(until).cast("timestamp")) / (EVAL_SECONDS * US)).cast("bigint")
+        hi = F.greatest(hi, F.when(F.count(F.lit(1)) > 0, seen))
+    span = slots.agg(F.min("slot").alias("lo"), hi.alias("hi")).where("lo is not null")
+    return _stretches(span, hour).select(F.explode(F.sequence("_a", "_b")).alias("slot"))
+
+
+def _stretches(spans: DataFrame, size: int) -> DataFrame:
+    """Rows with ``lo`` and ``hi`` cut into stretches ``_a`` to ``_b`` of at most ``size`` whole numbers.
+    The stretches of a span are numbered in two steps of at most 4096, spread over tasks in
+    between: no row holds more than 4096 of them, spans of up to 4096 * 4096 stretches included."""
+    block = 4096 * size
+    n = F.floor((F.col("hi") - F.col("lo")) / block).cast("bigint")
+    outer = spans.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), n)).alias("_i")).repartition("_i")
+    lo = F.col("lo") + F.col("_i") * block
+    inner = outer.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.least("hi", lo + block - 1) - lo) / size).cast("bigint"))).alias("_j"))
+    a = lo + F.col("_j") * size
+    return inner.withColumn("_a", a).withColumn("_b", F.least("hi", a + size - 1)).drop("_i", "_j")
 
 
 def windowed_sums(log: DataFrame, window_s: int, sums: dict[str, Column], ts: str = "ts") -> DataFrame:
@@ -121,9 +140,9 @@ def gauge_condition(log: DataFrame, flag: Column, max_rate: float, n: int = 100)
     per_slot = (g.withColumn("slot", slot_of(g, "ts"))
                 .groupBy("slot").agg(F.max_by("gauge", F.struct("ts", "event_id")).alias("gauge")))
     nxt = neighbour(per_slot, [], ["slot"], ["slot"], +1, prefix="next_")
-    span = nxt.select(F.explode(F.sequence(F.col("slot"), F.coalesce(F.col("next_slot") - 1, F.col("slot")))).alias("s"),
-                      "gauge")
-    return span.select(F.col("s").alias("slot"), (F.col("gauge") > max_rate).alias("cond"))
+    span = _stretches(nxt.select(F.col("slot").alias("lo"), F.coalesce(F.col("next_slot") - 1, F.col("slot")).alias("hi"), "gauge"),
+                      3600 // EVAL_SECONDS)
+    return span.select(F.explode(F.sequence("_a", "_b")).alias("slot"), (F.col("gauge") > max_rate).alias("cond"))
 
 
 def fallback_condition(log: DataFrame) -> DataFrame:
@@ -171,12 +190,15 @@ def alert_states(cond: DataFrame, rule: Rule, materialize: bool = True) -> DataF
 
 
 def heartbeat_gaps(log: DataFrame, key_cols: Sequence[str], gap_s: int, ts: str = "ts",
-                   tie: str = "event_id") -> DataFrame:
-    """Silences longer than ``gap_s`` between consecutive signs of life per source."""
+                   tie: str = "event_id", until: str | None = None) -> DataFrame:
+    """Silences longer than ``gap_s`` between consecutive signs of life per source.  With
+    ``until`` (a timestamp) a source that is silent from its last sign to then is reported, too,
+    with null ``seen_again`` and the gap so far."""
     d = log.select(*key_cols, tie, F.col(ts).alias("_ts"),
                    epoch_micros(log, ts).alias("_us"))
     n = neighbour(d, key_cols, ["_us", tie], ["_us"], +1, prefix="next")
-    gap = (F.col("next_us") - F.col("_us")) / US
+    end = F.col("next_us") if until is None else F.coalesce("next_us", F.unix_micros(F.lit(until).cast("timestamp")))
+    gap = (end - F.col("_us")) / US
     return (n.filter(gap > gap_s)
             .select(*key_cols, F.date_format("_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_seen"),
                     F.date_format(ntz_from_micros(F.col("next_us")), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("seen_again"),
@@ -250,13 +272,34 @@ def inhibit(notices: DataFrame, states: DataFrame, equal: Sequence[str] = ("aler
 ALL_RULES = (HIGH_ERROR_RATE, HIGH_FALLBACK_RATE, OOV_DRIFT, LOW_CONFIDENCE, HIGH_LATENCY)
 
 
-def evaluate_rules(log: DataFrame, ts: str = "ts") -> DataFrame:
-    """R1–R5 conditions as rows ``(alertname, slot, cond)`` over the common grid."""
+def slot_sums() -> dict[str, Column]:
+    """What the windowed rules count in an evaluation slot."""
     ok = F.col("status") == "success"
     sums = {"errors": F.count_if(F.col("status") == "error"), "total": F.count(F.lit(1)),
             "high": F.count_if(ok & (F.col("confidence") >= 0.7)), "success": F.count_if(ok)}
     for i, b in enumerate(LATENCY_BUCKETS_MS):
         sums[f"b{i}"] = F.count_if(F.col("latency_ms") <= b)
+    return sums
+
+
+def trailing_sums() -> list[tuple[str, str, int]]:
+    """Names, counts and slots of the trailing windows that the windowed rules read."""
+    return [(f"{n}_15m", n, 900 // EVAL_SECONDS) if n in ("high", "success") else (f"{n}_5m", n, 300 // EVAL_SECONDS) for n in slot_sums()]
+
+
+def windowed_conditions() -> list[tuple[Rule, Column]]:
+    """R1, R4 and R5 over the columns of ``trailing_sums``."""
+    err = (F.col("errors_5m") / 300) / F.greatest(F.col("total_5m") / 300, F.lit(RATE_FLOOR)) > ERROR_RATE_MAX
+    low = (F.col("high_15m") / 900) / F.greatest(F.col("success_15m") / 900, F.lit(RATE_FLOOR)) < HIGH_CONF_MIN
+    cums = F.array(*[F.col(f"b{i}_5m") for i in range(len(LATENCY_BUCKETS_MS))])
+    lat = F.coalesce(bucket_quantile(0.95, cums, F.col("total_5m"), LATENCY_BUCKETS_MS) > P95_MAX_MS, F.lit(False))
+    return [(HIGH_ERROR_RATE, err), (LOW_CONFIDENCE, low), (HIGH_LATENCY, lat)]
+
+
+def evaluate_rules(log: DataFrame, ts: str = "ts", until: str | None = None) -> DataFrame:
+    """R1–R5 conditions as rows ``(alertname, slot, cond)`` over the common grid, up to the last
+    request or, with ``until`` (a timestamp), through the silence after it."""
+    sums = slot_sums()
     per_slot = log.withColumn("slot", slot_of(log, ts)).groupBy("slot").agg(*[c.alias(n) for n, c in sums.items()])
     k5, k15 = 300 // EVAL_SECONDS, 900 // EVAL_SECONDS
     spread = per_slot.select("*", F.explode(F.sequence(F.lit(0), F.lit(k15 - 1))).alias("_off"))
@@ -264,15 +307,9 @@ def evaluate_rules(log: DataFrame, ts: str = "ts") -> DataFrame:
     w = (spread.withColumn("slot", F.col("slot") + F.col("_off")).groupBy("slot").agg(
         *[F.sum(F.when(in5, F.col(n)).otherwise(0)).alias(f"{n}_5m") for n in sums if n not in ("high", "success")],
         F.sum("high").alias("high_15m"), F.sum("success").alias("success_15m")))
-    grid = _grid(per_slot).join(w, "slot", "left").na.fill(0)
-    err = (F.col("errors_5m") / 300) / F.greatest(F.col("total_5m") / 300, F.lit(RATE_FLOOR)) > ERROR_RATE_MAX
-    low = (F.col("high_15m") / 900) / F.greatest(F.col("success_15m") / 900, F.lit(RATE_FLOOR)) < HIGH_CONF_MIN
-    cums = F.array(*[F.col(f"b{i}_5m") for i in range(len(LATENCY_BUCKETS_MS))])
-    lat = F.coalesce(bucket_quantile(0.95, cums, F.col("total_5m"), LATENCY_BUCKETS_MS) > P95_MAX_MS, F.lit(False))
-    windowed = grid.select("slot", F.explode(F.array(
-        F.struct(F.lit(HIGH_ERROR_RATE.name).alias("alertname"), err.alias("cond")),
-        F.struct(F.lit(LOW_CONFIDENCE.name).alias("alertname"), low.alias("cond")),
-        F.struct(F.lit(HIGH_LATENCY.name).alias("alertname"), lat.alias("cond")))).alias("x")).select(
+    grid = _grid(per_slot, until).join(w, "slot", "left").na.fill(0)
+    windowed = grid.select("slot", F.explode(F.array(*[
+        F.struct(F.lit(rule.name).alias("alertname"), cond.alias("cond")) for rule, cond in windowed_conditions()])).alias("x")).select(
         "x.alertname", "slot", "x.cond")
     d = log.select(ts, "event_id", (F.col("confidence") < FALLBACK_THRESHOLD).cast("double").alias("_fb"),
                    F.col("missed").cast("double").alias("_oov"))
@@ -281,8 +318,8 @@ def evaluate_rules(log: DataFrame, ts: str = "ts") -> DataFrame:
     gs = (g.withColumn("slot", slot_of(g, ts)).groupBy("slot")
           .agg(F.max_by("g_fb", last).alias("g_fb"), F.max_by("g_oov", last).alias("g_oov")))
     nxt = neighbour(gs, [], ["slot"], ["slot"], +1, prefix="next_")
-    span = nxt.select(F.explode(F.sequence(F.col("slot"), F.coalesce(F.col("next_slot") - 1, F.col("slot")))).alias("slot"),
-                      "g_fb", "g_oov")
+    span = _stretches(nxt.select(F.col("slot").alias("lo"), F.coalesce(F.col("next_slot") - 1, F.col("slot")).alias("hi"), "g_fb", "g_oov"),
+                      3600 // EVAL_SECONDS).select(F.explode(F.sequence("_a", "_b")).alias("slot"), "g_fb", "g_oov")
     gauges = span.select("slot", F.explode(F.array(
         F.struct(F.lit(HIGH_FALLBACK_RATE.name).alias("alertname"), (F.col("g_fb") > FALLBACK_RATE_MAX).alias("cond")),
         F.struct(F.lit(OOV_DRIFT.name).alias("alertname"), (F.col("g_oov") > OOV_RATE_MAX).alias("cond")))).alias("x")

@@ -58,5 +58,6 @@ def load_all() -> dict[str, Entry]:
         q_metrics,
         q_profile,
         q_registry,
+        q_streaming,
     )
     return REGISTRY

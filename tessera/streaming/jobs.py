@@ -8,17 +8,37 @@ configured), so restarts resume from the checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.functions.text import in_charset
+from tessera.operators import alerts
 from tessera.operators.matching import tokenise
 from tessera.operators.metrics import CONFIDENCE_BUCKETS, HIGH_CONFIDENCE, LATENCY_BUCKETS_MS
+from tessera.session import ensure_checkpoint_dir
+from tessera.streaming import live
+
+
+def landing(df: DataFrame) -> DataFrame:
+    """The rows of a batch table as a stream: written once into a folder below the shared checkpoint
+    folder, from which a file source reads them."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def available_now(out: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a stream over all that has arrived and give its rows as a table; rows that wait for a later
+    watermark stay in state.  State, progress and rows lie below the shared checkpoint folder."""
+    spark = out.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    (out.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/progress")
+     .outputMode(mode).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(out.schema).parquet(f"{path}/rows")
 
 
 def event_time(stream: DataFrame, ts: str = "ts", name: str = "event_time") -> DataFrame:
@@ -49,65 +69,90 @@ def stream_window_metrics(stream: DataFrame, window: str = "5 minutes", slide: s
                     *[f"le_{b}" for b in LATENCY_BUCKETS_MS], *[f"`conf_{b}`" for b in CONFIDENCE_BUCKETS]))
 
 
-def _rolling_fn(n: int, id_col: str, ts_col: str):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        buf = np.asarray(state.get[0], dtype="float64") if state.exists else np.zeros(0)
-        # a key's rows may come in several chunks: order them all before use
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([ts_col, id_col])
-        seq = np.concatenate([buf, pdf["flag"].to_numpy(dtype="float64")])
-        csum = np.concatenate([[0.0], np.cumsum(seq)])
-        ends = np.arange(len(buf) + 1, len(seq) + 1)
-        starts = np.maximum(ends - n, 0)
-        rate = (csum[ends] - csum[starts]) / (ends - starts)
-        state.update((seq[-n:].tolist(),))
-        yield pd.DataFrame({"key": [key[0]] * len(pdf), id_col: pdf[id_col].to_numpy(), "rate": rate})
-    return fn
-
-
-def stream_rolling_n(stream: DataFrame, key_col: str, flag: F.Column, n: int = 100,
-                     id_col: str = "event_id", ts: str = "ts") -> DataFrame:
-    """Share of flagged rows among the last ``n`` per key, with the last
-    ``n`` flags kept as list state (arrival order inside a batch = time order)."""
-    s = stream.select(F.col(key_col).cast("string").alias("key"), F.col(id_col), F.col(ts),
-                      flag.cast("double").alias("flag"))
-    return s.groupBy("key").applyInPandasWithState(
-        _rolling_fn(n, id_col, ts), f"key STRING, {id_col} BIGINT, rate DOUBLE", "buf ARRAY<DOUBLE>",
-        "append", GroupStateTimeout.NoTimeout)
-
-
-def _alert_fn(for_seconds_by_alert: dict[str, int], eval_seconds: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        for_seconds = for_seconds_by_alert.get(key[0], 0)  # a rule without a wait fires at once
-        active, since, firing = (state.get if state.exists else (False, None, False))
-        rows = []
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("slot")
-        for t, cond in pdf[["slot", "cond"]].itertuples(index=False):
-            t = int(t)
-            if cond:
-                if not active:
-                    active, since, firing = True, t, False
-                    rows.append((key[0], "pending", t))
-                if not firing and (t - since) * eval_seconds >= for_seconds:
-                    firing = True
-                    rows.append((key[0], "firing", t))
-            elif active:
-                rows.append((key[0], "resolved" if firing else "inactive", t))
-                active, since, firing = False, None, False
-        state.update((active, since, firing))
-        if rows:
-            yield pd.DataFrame(rows, columns=["alertname", "state", "slot"])
-    return fn
-
-
-def stream_alert_state(evaluations: DataFrame, for_seconds_by_alert: dict[str, int],
-                       eval_seconds: int = 30) -> DataFrame:
-    """Alert state machine per alert over a stream of evaluations
-    ``(alertname, slot, cond)``: pending → firing (after ``for``) → resolved
-    (or back to inactive if it never fired).  One row per transition; the
-    state per alert is (active, since, firing)."""
-    return evaluations.groupBy("alertname").applyInPandasWithState(
-        _alert_fn(dict(for_seconds_by_alert), eval_seconds), "alertname STRING, state STRING, slot BIGINT",
-        "active BOOLEAN, since BIGINT, firing BOOLEAN", "append", GroupStateTimeout.NoTimeout)
+def stream_rolling_n(stream: DataFrame, key_col: str, flag: F.Column, n: int = 100, id_col: str = "event_id",
+                     ts: str = "ts", watermark: str = "10 minutes", stretch_ms: int = 60_000) -> DataFrame:
+    """Share of flagged rows among the last ``n`` per key in the order of ``(ts, id)``, whatever files
+    they come in.  Rows without a flag are skipped.  A row's rate comes once the watermark has
+    passed its stretch of ``stretch_ms``; until then rows wait in state, packed by stretch."""
+    live.enable(stream.sparkSession)
+    s = event_time(stream, ts).withWatermark("event_time", watermark)
+    s = s.select(F.col(key_col).cast("string").alias("key"), F.col(id_col).cast("bigint").alias(id_col), "event_time",
+                 F.unix_micros("event_time").alias("us"), flag.cast("double").alias("flag")).where("flag is not null")
+    return s.groupBy("key").transformWithStateInPandas(
+        live.RollingFlags(n, stretch_ms, id_col), f"key STRING, {id_col} BIGINT, rate DOUBLE", "append", "EventTime")
+
+
+def _alert_states(evaluations: DataFrame, for_seconds_by_alert: dict[str, int], eval_seconds: int, stale_after: int,
+                  by: Sequence[str]) -> DataFrame:
+    types = dict(evaluations.dtypes)
+    keys = [*by, "alertname"]
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "state STRING", "slot BIGINT"])
+    return evaluations.groupBy(*keys).transformWithStateInPandas(
+        live.AlertStates(dict(for_seconds_by_alert), eval_seconds, max(1, stale_after // eval_seconds), keys), schema, "append", "EventTime")
+
+
+def stream_alert_state(evaluations: DataFrame, for_seconds_by_alert: dict[str, int], eval_seconds: int = 30,
+                       watermark: str = "0 seconds", stale_after: int = 300, by: Sequence[str] = ()) -> DataFrame:
+    """Alert state machine per alert over a stream of evaluations ``(alertname, slot, cond)``:
+    pending → firing (after ``for``) → resolved (or back to inactive if it never fired).  One row
+    per transition.  Evaluations are taken in the order of their slots.  If none follows, the last
+    one holds for ``stale_after`` seconds: timers fire a pending alert when its time comes and
+    then resolve it."""
+    live.enable(evaluations.sparkSession)
+    e = evaluations.select(*by, "alertname", "slot", F.col("slot").alias("until"), "cond",
+                           F.timestamp_millis(F.col("slot") * (1000 * eval_seconds) + 1).alias("t")).withWatermark("t", watermark)
+    return _alert_states(e, for_seconds_by_alert, eval_seconds, stale_after, by)
+
+
+def stream_evaluations(requests: DataFrame, watermark: str = "10 minutes", by: Sequence[str] = (), ts: str = "ts",
+                       ticks: DataFrame | None = None) -> DataFrame:
+    """Evaluations of the windowed rules (R1, R4, R5) from the request stream: ``(alertname, slot, until,
+    cond)``, one chain of two stateful operators under one watermark.  Requests are counted once,
+    in their 30 s slot; trailing windows are added up from the slots.  ``ticks`` (rows with a
+    timestamp ``ts``, such as those of a rate source) move time on when no request comes."""
+    live.enable(requests.sparkSession)
+    names, slot_us = alerts.slot_sums(), alerts.EVAL_SECONDS * alerts.US
+    s = event_time(requests, ts).select(*by, "status", "confidence", "latency_ms", "event_time", F.lit(True).alias("_request"))
+    if ticks is not None:
+        s = s.unionByName(event_time(ticks, ts).select("event_time", F.lit(False).alias("_request")), allowMissingColumns=True)
+    # an evaluation sees the requests up to and at its time: windows that are closed at the end
+    s = s.withColumn("event_time", F.timestamp_micros(F.unix_micros("event_time") - 1)).withWatermark("event_time", watermark)
+    # ticks go into the aggregation (a filter before it would take them from the watermark, too)
+    names["total"] = F.count_if("_request")
+    slots = (s.groupBy(F.window("event_time", f"{alerts.EVAL_SECONDS} seconds").alias("w"), *by)
+             .agg(*[c.cast("bigint").alias(n) for n, c in names.items()]).where("total > 0")
+             .select(F.window_time("w").alias("t"), *(by or [F.lit("all").alias("_all")]),
+                     F.floor(F.unix_micros("w.end") / slot_us).cast("bigint").alias("slot"), *names))
+    keys = list(by) or ["_all"]
+    types = dict(slots.dtypes)
+    outs = alerts.trailing_sums()
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "t TIMESTAMP", "slot BIGINT", "until BIGINT", *(f"{o} BIGINT" for o, *_ in outs)])
+    sums = slots.groupBy(*keys).transformWithStateInPandas(
+        live.TrailingSums(list(names), outs, alerts.EVAL_SECONDS, keys), schema, "append", "EventTime", eventTimeColumnName="t")
+    rules = F.array(*[F.struct(F.lit(r.name).alias("alertname"), cond.alias("cond")) for r, cond in alerts.windowed_conditions()])
+    return (sums.select(*by, "t", "slot", "until", F.explode(rules).alias("x"))
+            .select(*by, "x.alertname", "slot", "until", F.coalesce("x.cond", F.lit(False)).alias("cond"), "t"))
+
+
+def stream_live_alerts(requests: DataFrame, watermark: str = "10 minutes", by: Sequence[str] = (), ts: str = "ts",
+                       ticks: DataFrame | None = None) -> DataFrame:
+    """T3 on the request log: requests in, transitions of the windowed rules' alerts out, as R7 has them
+    for the same log.  Slots come when the watermark has passed them, silent ones included."""
+    waits = {rule.name: rule.for_seconds for rule, _ in alerts.windowed_conditions()}
+    return _alert_states(stream_evaluations(requests, watermark, by, ts, ticks), waits, alerts.EVAL_SECONDS, 300, by)
+
+
+def stream_heartbeats(stream: DataFrame, key_cols: Sequence[str], gap_s: int, watermark: str = "10 minutes",
+                      ts: str = "ts") -> DataFrame:
+    """R6 on the stream: ``kind`` ``down`` when a source has been silent for ``gap_s`` (by a timer, so it need
+    never speak again), ``up`` when it speaks again; times in microseconds."""
+    live.enable(stream.sparkSession)
+    s = event_time(stream, ts).withWatermark("event_time", watermark)
+    s = s.select(*key_cols, "event_time", F.unix_micros("event_time").alias("us"))
+    types = dict(s.dtypes)
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in key_cols), "kind STRING", "last_us BIGINT", "again_us BIGINT"])
+    return s.groupBy(*key_cols).transformWithStateInPandas(
+        live.Heartbeats(gap_s * alerts.US, list(key_cols)), schema, "append", "EventTime")
 
 
 def stream_oov(requests: DataFrame, lex: DataFrame, by: Sequence[str] = ("user_id",),

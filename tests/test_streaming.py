@@ -75,29 +75,6 @@ def test_t4_windows_match_batch(spark, tmp):
     assert {(r.window_start, r.user_id): (r.tokens, r.oov_tokens) for r in out.collect()} == want
 
 
-def test_t2_m7_rolling_state_matches_batch(spark, tmp):
-    log = B.request_log(spark, SF_SMALL)
-    path = os.path.join(tmp, "log2")
-    mid = log.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    log.filter(us <= mid).write.mode("overwrite").parquet(path)
-    stream = io.request_stream(spark, path, LOG_SCHEMA)
-    q_df = jobs.stream_rolling_n(stream, "user_id", F.col("missed"), n=5)
-    ck = os.path.join(tmp, "ck_t2")
-    sink = os.path.join(tmp, "t2_out")
-    for part in (1, 2):
-        if part == 2:  # second arrival: state must carry the last 5 flags per user
-            log.filter(us > mid).write.mode("append").parquet(path)
-        q = (q_df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    got = {r.event_id: r.rate for r in spark.read.parquet(sink).collect()}
-    exp = {r.event_id: r.rate for r in metrics.rolling_rate(log, F.col("missed"), ["user_id"],
-                                                            ["ts", "event_id"], n=5).collect()}
-    assert got.keys() == exp.keys()
-    assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
-
-
 def test_t3_r1_r7_alert_state_machine_matches_batch(spark, tmp):
     log = B.request_log(spark, SF_SMALL)
     cond = alerts.error_rate_condition(log).withColumn("alertname", F.lit(alerts.HIGH_ERROR_RATE.name))
