@@ -117,23 +117,40 @@ def dataset_drift(col_drift: DataFrame, share: float = DATASET_DRIFT_SHARE) -> D
     return agg.select("n_columns", "n_drifted", s.alias("drift_share"), (s >= share).alias("dataset_drift"))
 
 
-def drift_report(oov: DataFrame, dataset: DataFrame, n_requests: DataFrame | None = None) -> DataFrame:
-    """verdict = OOV drift or dataset drift, with reason codes
-    (``no_requests`` when the live side is empty, ``insufficient_data`` when
-    no column could be tested)."""
-    o = oov.withColumn("_k", F.lit(1))
-    d = dataset.withColumn("_k", F.lit(1))
-    r = o.join(d, "_k", "left")
-    if n_requests is not None:
-        r = r.join(n_requests.withColumn("_k", F.lit(1)), "_k", "left")
-    else:
-        r = r.withColumn("n_requests", F.lit(None).cast("bigint"))
-    reason = (F.when(F.col("n_requests") == 0, "no_requests")
+def oov_drift_against(tokens: DataFrame, lex: DataFrame, baseline_oov: float | None,
+                      threshold: float = OOV_DRIFT_THRESHOLD) -> DataFrame:
+    """D1 against a stored baseline rate (None: there is none): the columns of ``oov_drift`` for live tokens."""
+    live = oov_rate(tokens, lex).select(F.coalesce("oov_rate", F.lit(0.0)).alias("live_oov"))
+    b = F.lit(baseline_oov).cast("double")
+    return live.select(F.coalesce(b, F.lit(0.0)).alias("baseline_oov"), "live_oov",
+                       F.coalesce(F.col("live_oov") > b * (1 + threshold), F.lit(False)).alias("oov_drift"))
+
+
+def _one_row(df: DataFrame) -> DataFrame:
+    return df.withColumn("_k", F.lit(1))
+
+
+def drift_report(oov: DataFrame, dataset: DataFrame, n_requests: DataFrame | None = None,
+                 n_baseline: DataFrame | None = None, at: DataFrame | None = None) -> DataFrame:
+    """verdict = OOV drift or dataset drift, with reason codes: ``no_baselines`` when ``n_baseline`` (one
+    row) is 0, else ``no_requests`` when ``n_requests`` is, else ``insufficient_data`` when no column could
+    be tested.  Without a baseline or requests there is no drift.  ``at`` (one row ``checked_at``) is the
+    report's time."""
+    r = _one_row(oov).join(_one_row(dataset), "_k", "left")
+    for name, rows in (("n_requests", n_requests), ("n_baseline", n_baseline)):
+        if rows is not None:
+            r = r.join(_one_row(rows.select(name)), "_k", "left")
+        else:
+            r = r.withColumn(name, F.lit(None).cast("bigint"))
+    none = (F.col("n_baseline") == 0) | (F.col("n_requests") == 0)
+    reason = (F.when(F.col("n_baseline") == 0, "no_baselines").when(F.col("n_requests") == 0, "no_requests")
               .when(F.coalesce(F.col("n_columns"), F.lit(0)) == 0, "insufficient_data"))
-    verdict = F.when(F.col("n_requests") == 0, F.lit(False)).otherwise(
-        F.col("oov_drift") | F.coalesce(F.col("dataset_drift"), F.lit(False)))
-    return r.select(verdict.alias("drift_detected"), "baseline_oov", "live_oov", "oov_drift",
-                    "n_drifted", "drift_share", "dataset_drift", reason.alias("reason"))
+    verdict = F.when(none, F.lit(False)).otherwise(F.col("oov_drift") | F.coalesce(F.col("dataset_drift"), F.lit(False)))
+    time = []
+    if at is not None:
+        r, time = r.join(_one_row(at.select("checked_at")), "_k", "left"), ["checked_at"]
+    return r.select(verdict.alias("drift_detected"), "baseline_oov", "live_oov", (F.col("oov_drift") & ~F.coalesce(none, F.lit(False))).alias("oov_drift"),
+                    "n_drifted", "drift_share", "dataset_drift", reason.alias("reason"), *time)
 
 
 def baseline_snapshot(val_tokens: DataFrame, lex: DataFrame, durations: DataFrame, duration_col: str,

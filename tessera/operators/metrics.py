@@ -208,6 +208,24 @@ def unique_users(log: DataFrame, user: str = "user_id", approx: bool = False) ->
     return log.agg(d.cast("bigint").alias("unique_users"))
 
 
+#: Relative standard error of a sketch is about 1.04 / sqrt(2 ** SKETCH_K).
+SKETCH_K = 12
+
+
+def user_sketches(log: DataFrame, window: str = "5 minutes", by: Sequence[str] = (), ts: str = "ts", user: str = "user_id",
+                  lg_k: int = SKETCH_K) -> DataFrame:
+    """The users of each window (and group) as a mergeable sketch of bounded size; null users
+    are no users."""
+    return (log.groupBy(F.window(ts, window).alias("w"), *by).agg(F.hll_sketch_agg(F.col(user).cast("string"), lg_k).alias("users"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "users"))
+
+
+def users_of_sketches(sketches: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
+    """Distinct users (estimated) of the union of sketches per group: of any longer window, any label set
+    or all time, from the same rows."""
+    return sketches.groupBy(*by).agg(F.round(F.hll_sketch_estimate(F.hll_union_agg("users"))).cast("bigint").alias("users"))
+
+
 def oov_by_user(breakdown: DataFrame, user: str = "user_id") -> DataFrame:
     """Missed tokens per user, only users with at least one."""
     return (breakdown.groupBy(user).agg(F.count_if(~F.col("found")).cast("bigint").alias("oov_tokens"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
 
-from tessera.plans.scale import join_null_safe, neighbour
+from tessera.plans.scale import exact_quantiles, join_null_safe, neighbour
 
 
 def oov_rate(tokens: DataFrame, lex: DataFrame, by: Sequence[str] = (), token_col: str = "token",
@@ -38,21 +38,25 @@ def oov_rate(tokens: DataFrame, lex: DataFrame, by: Sequence[str] = (), token_co
 
 def distribution_stats(df: DataFrame, col: str, by: Sequence[str] = (), digits: int = 3,
                        exact: bool = True) -> DataFrame:
-    """A2: mean, population std, p25/p75 (linear interpolation), min, max, count.
+    """A2: mean, population std, p25/p75 (linear interpolation), min, max, count; zeros where a group
+    (or the whole) has no value.
 
-    ``exact=False`` swaps the exact percentile (value histogram per group)
-    for ``percentile_approx`` (bounded sketch) for very large groups."""
+    The percentiles are selected over range buckets (``scale.exact_quantiles``);
+    ``exact=False`` takes ``percentile_approx`` (a bounded sketch) instead."""
     x = F.col(col).cast("double")
-    if exact:
-        p25, p75 = F.percentile(x, 0.25), F.percentile(x, 0.75)
-    else:
-        p25, p75 = F.percentile_approx(x, 0.25, 10000), F.percentile_approx(x, 0.75, 10000)
+    by = list(by)
     r = lambda c: round_fp(F.coalesce(c, F.lit(0.0)), digits)
-    return df.groupBy(*by).agg(
-        r(F.avg(x)).alias("mean"), r(F.stddev_pop(x)).alias("std"),
-        r(p25).alias("p25"), r(p75).alias("p75"),
-        r(F.min(x)).alias("min"), r(F.max(x)).alias("max"),
-        F.count(x).cast("bigint").alias("count"))
+    quick = [] if exact else [F.percentile_approx(x, q, 10000).alias(n) for q, n in ((0.25, "q0"), (0.75, "q1"))]
+    stats = df.groupBy(*by).agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
+                                F.count(x).cast("bigint").alias("count"), *quick)
+    if exact:
+        quantiles = exact_quantiles(df, col, [0.25, 0.75], by)
+        if by:
+            stats = join_null_safe(stats, quantiles, by, "left")
+        else:
+            stats = stats.withColumn("_k", F.lit(1)).join(quantiles.withColumn("_k", F.lit(1)), "_k", "left")
+    return stats.select(*by, r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), r(F.col("q0")).alias("p25"), r(F.col("q1")).alias("p75"),
+                        r(F.col("min")).alias("min"), r(F.col("max")).alias("max"), "count")
 
 
 def media_summary(df: DataFrame, duration_col: str = "duration_s", by: Sequence[str] = ()) -> DataFrame:

@@ -32,54 +32,65 @@ def wer_words(text: Column) -> Column:
     return F.filter(F.split(t, " "), lambda w: F.length(w) >= 1)
 
 
-def word_codes(ref: Column, hyp: Column) -> Column:
-    """Map from each distinct word of a pair to its number."""
-    words = F.array_distinct(F.concat(ref, hyp))
-    return F.map_from_arrays(words, F.sequence(F.lit(0), F.size(words) - 1))
+def _computed(df: DataFrame, keep: Sequence[str], **cols: Column) -> DataFrame:
+    """``keep`` and the new columns, computed once a row.  A projection would do, but the optimizer
+    merges projections, and an expression that a lambda refers to is then evaluated for every
+    element; it does not look into a generator.  Arrays are sorted in a step of their own, where
+    they are flat."""
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
-#: First of the code points that stand for words.
-FIRST_CODE = 0x4E00
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Comparing two texts takes far longer than shuffling them: even shares for all tasks, also
+    where the table is one small file or a join has left a few large partitions."""
+    return pairs if pairs.isStreaming else pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _code_string(words: Column, codes: Column) -> Column:
-    """Encode each word as one code point (its number in ``codes``) so that the
-    native character ``levenshtein`` computes the word edit distance.  A pair with more
-    distinct words than code points fails loudly."""
-    def cp(w):
-        i = F.element_at(codes, w) + FIRST_CODE
-        i = F.when(i >= 0xD800, i + 0x800).otherwise(i)
-        return F.when(i <= 0x10FFFF, i).otherwise(F.raise_error(F.lit("a pair has more distinct words than code points")).cast("int"))
-    hexes = F.transform(words, lambda w: F.lpad(F.hex(cp(w)), 8, "0"))
-    return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
+def _run_starts(items: str, key: str) -> Column:
+    """Where runs of equal keys start in a sorted array column, and its size at the end."""
+    s = F.col(items)
+    first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)[key] != F.get(s, i - 1)[key]))
+    return F.concat(F.when(F.size(s) > 0, first).otherwise(F.array().cast("array<int>")), F.array(F.size(s)))
 
 
-def word_edit_distance(ref: Column, hyp: Column, codes: Column | None = None) -> Column:
-    """Word-level Levenshtein distance between two word arrays (per row, no shuffle).
-
-    Pass ``codes`` as an already projected column (``word_codes(ref, hyp)``): an expression
-    referenced inside a lambda is re-evaluated per element."""
-    if codes is None:
-        codes = word_codes(ref, hyp)
-    return F.levenshtein(_code_string(ref, codes), _code_string(hyp, codes))
+def _code_point(number: Column) -> Column:
+    """Word numbers as code points, from 1 on and past the surrogates.  A pair with more distinct
+    words than there are code points fails loudly."""
+    i = F.when(number + 1 >= 0xD800, number + 0x801).otherwise(number + 1)
+    return F.when(i <= 0x10FFFF, i).otherwise(F.raise_error(F.lit("a pair has more distinct words than code points")).cast("int"))
 
 
 def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis") -> DataFrame:
-    """Per pair: word edits and reference length (pairs with a blank reference dropped)."""
-    r, h = wer_words(F.col(ref_col)), wer_words(F.col(hyp_col))
-    return (pairs.filter(strip_ws(F.coalesce(F.col(ref_col), F.lit(""))) != "")
-            .withColumn("_r", r).withColumn("_h", h)
-            .withColumn("_v", word_codes(F.col("_r"), F.col("_h")))
-            .withColumn("edits", word_edit_distance(F.col("_r"), F.col("_h"), F.col("_v")).cast("bigint"))
-            .withColumn("ref_words", F.size("_r").cast("bigint"))
-            .drop("_r", "_h", "_v"))
+    """Per pair: word edits and reference length (pairs with a blank reference dropped).
+
+    The words of both sides are sorted together with their places, so that equal words are a run;
+    the number of its run becomes a word's code point, and the native character
+    ``levenshtein`` then compares words."""
+    keep = pairs.columns
+    d = _computed(pairs.filter(strip_ws(F.coalesce(F.col(ref_col), F.lit(""))) != ""), keep, _r=wer_words(F.col(ref_col)), _h=wer_words(F.col(hyp_col)))
+    both = F.concat(F.transform("_r", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+                    F.transform("_h", lambda w, i: F.struct(w.alias("w"), (i + F.size("_r")).alias("i"))))
+    d = _computed(d, keep, _n=F.size("_r"), _u=both)
+    d = _computed(d, [*keep, "_n"], _s=F.sort_array("_u"))
+    d = _computed(d, [*keep, "_n", "_s"], _at=_run_starts("_s", "w"))
+    numbered = F.flatten(F.transform(F.slice("_at", 1, F.size("_at") - 1), lambda a, k: F.transform(
+        F.sequence(a, F.get(F.col("_at"), k + 1) - 1), lambda j: F.struct(F.get(F.col("_s"), j)["i"].alias("i"), k.alias("k")))))
+    d = _computed(d, [*keep, "_n"], _u=numbered)
+    d = _computed(d, [*keep, "_n"], _c=F.sort_array("_u"))
+    d = _computed(d, [*keep, "_n"], _x=F.transform("_c", lambda x: F.lpad(F.hex(_code_point(x["k"])), 8, "0")))
+
+    def text(part: Column) -> Column:
+        return F.decode(F.unhex(F.array_join(part, "")), "UTF-32")
+
+    d = _computed(d, [*keep, "_n"], _a=text(F.slice("_x", 1, F.col("_n"))), _b=text(F.slice("_x", F.col("_n") + 1, F.greatest(F.size("_x"), F.lit(1)))))
+    return _computed(d, keep, edits=F.levenshtein("_a", "_b").cast("bigint"), ref_words=F.col("_n").cast("bigint"))
 
 
 def word_error_rate(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
                     by: Sequence[str] = (), digits: int = 4) -> DataFrame:
     """Σ word edits / Σ reference words; no rows → 1.0; rounded to ``digits``
     (``by`` gives the live per-group gauge)."""
-    e = pair_errors(pairs, ref_col, hyp_col)
+    e = pair_errors(_dealt(pairs.select(*by, ref_col, hyp_col)), ref_col, hyp_col)
     agg = e.groupBy(*by).agg(F.sum("edits").alias("edits"), F.sum("ref_words").alias("ref_words"),
                              F.count(F.lit(1)).cast("bigint").alias("pairs"))
     wer = F.when(F.col("ref_words") > 0, F.col("edits") / F.col("ref_words")).otherwise(1.0)
@@ -107,51 +118,63 @@ def bleu_tokens(text: Column) -> Column:
 
 
 def _ngrams(tokens: Column, n: int) -> Column:
+    """By places: a slice would copy the whole array each time."""
     k = F.size(tokens) - n
     return F.when(k >= 0, F.transform(F.sequence(F.lit(0), F.greatest(k, F.lit(0))),
-                                      lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
+                                      lambda i: F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(n)]))
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def bleu_stats(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
-               by: Sequence[str] = (), id_col: str = "pair_id") -> DataFrame:
-    """Sufficient statistics per group: clipped matches and totals per order, lengths.
-
-    Both sides' n-grams are exploded with a side flag and counted in one aggregation per
-    (group, pair, order, gram); the smaller of the two counts is the clipped match.  Null
-    groups are groups like any other."""
-    by = list(by)
-    t = pairs.select(*by, id_col, bleu_tokens(F.col(ref_col)).alias("_r"), bleu_tokens(F.col(hyp_col)).alias("_h"))
-    arr = F.concat(*[F.transform(_ngrams(F.col(col), n), functools.partial(_gram, n, hyp))
-                     for col, hyp in (("_h", True), ("_r", False)) for n in range(1, MAX_NGRAM + 1)])
-    # one marker per pair carries the lengths through the same aggregation
-    size = F.array(F.struct(F.lit(0).alias("n"), F.lit(True).alias("hyp"), F.lit("").alias("gram")))
-    rows = (t.select(*by, id_col, F.size("_h").alias("hl"), F.size("_r").alias("rl"), F.explode(F.concat(size, arr)).alias("x"))
-            .select(*by, id_col, "x.*", "hl", "rl"))
-    one = F.lit(1)
-    grams = rows.groupBy(*by, id_col, "n", "gram").agg(
-        F.count(F.when(F.col("hyp"), one)).alias("c_h"), F.count(F.when(~F.col("hyp"), one)).alias("c_r"),
-        F.sum(F.when(F.col("n") == 0, F.col("hl"))).alias("hl"), F.sum(F.when(F.col("n") == 0, F.col("rl"))).alias("rl"))
-    orders = range(1, MAX_NGRAM + 1)
-    match = F.least("c_h", "c_r")
-    return grams.groupBy(*by).agg(
-        *[F.coalesce(F.sum(F.when(F.col("n") == n, F.col("c_h"))), F.lit(0)).alias(f"total{n}") for n in orders],
-        F.sum("hl").alias("sys_len"), F.sum("rl").alias("ref_len"),
-        *[F.coalesce(F.sum(F.when(F.col("n") == n, match)), F.lit(0)).alias(f"correct{n}") for n in orders])
-
-
-def _gram(n: int, hyp: bool, g: Column) -> Column:
-    return F.struct(F.lit(n).alias("n"), F.lit(hyp).alias("hyp"), g.alias("gram"))
+ORDERS = range(1, MAX_NGRAM + 1)
+BLEU_STATS = [*(f"total{n}" for n in ORDERS), "sys_len", "ref_len", *(f"correct{n}" for n in ORDERS)]
 
 
-def corpus_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
-                by: Sequence[str] = (), id_col: str = "pair_id", digits: int = 4) -> DataFrame:
-    """Corpus BLEU (orders 1–4, exponential smoothing, brevity penalty) / 100."""
-    s = bleu_stats(pairs, ref_col, hyp_col, by, id_col)
-    smooth = F.lit(1.0)
-    logs = []
-    stop = F.lit(False)
-    for n in range(1, MAX_NGRAM + 1):
+def pair_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis") -> DataFrame:
+    """Per pair the numbers that BLEU adds up (``BLEU_STATS``): n-grams of the hypothesis and clipped
+    matches per order, and lengths.  Pairs with a null side are dropped.
+
+    The n-grams of both sides are sorted together; those of a gram are then two neighbouring
+    runs, the shorter of which is its clipped match.  No gram leaves its row."""
+    keep = pairs.columns
+    d = pairs.where(F.col(ref_col).isNotNull() & F.col(hyp_col).isNotNull())
+    d = _computed(d, keep, _r=bleu_tokens(F.col(ref_col)), _h=bleu_tokens(F.col(hyp_col)))
+    grams = F.concat(*[F.transform(_ngrams(F.col(c), n), functools.partial(_gram, n, side)) for c, side in (("_h", 0), ("_r", 1)) for n in ORDERS])
+    d = _computed(d, keep, _hl=F.size("_h"), _rl=F.size("_r"), _g=grams)
+    d = _computed(d, [*keep, "_hl", "_rl"], _s=F.sort_array("_g"))
+    d = _computed(d, [*keep, "_hl", "_rl", "_s"], _at=_run_starts("_s", "x"))
+    runs = F.transform(F.slice("_at", 1, F.size("_at") - 1), lambda a, k: F.struct(F.get(F.col("_s"), a)["x"].alias("x"), (F.get(F.col("_at"), k + 1) - a).alias("n")))
+    d = _computed(d, [*keep, "_hl", "_rl"], _runs=runs)
+
+    def clipped(run: Column, k: Column) -> Column:
+        after = F.get(F.col("_runs"), k + 1)
+        same = (run["x"]["side"] == 0) & (after["x"]["gram"] == run["x"]["gram"]) & (after["x"]["n"] == run["x"]["n"])
+        return F.struct(run["x"]["n"].alias("n"), F.when(same, F.least(run["n"], after["n"])).otherwise(0).alias("m"))
+
+    d = _computed(d, [*keep, "_hl", "_rl"], _m=F.transform("_runs", clipped))
+
+    def matches(n: int) -> Column:
+        return F.aggregate(F.filter("_m", lambda m: m["n"] == n), F.lit(0), lambda a, m: a + m["m"])
+
+    d = _computed(d, [*keep, "_hl", "_rl"], **{f"correct{n}": matches(n).cast("bigint") for n in ORDERS})
+    return d.select(*[F.col(f"`{c}`") for c in keep], *[F.greatest(F.col("_hl") - (n - 1), F.lit(0)).cast("bigint").alias(f"total{n}") for n in ORDERS],
+                    F.col("_hl").cast("bigint").alias("sys_len"), F.col("_rl").cast("bigint").alias("ref_len"), *[f"correct{n}" for n in ORDERS])
+
+
+def _gram(n: int, side: int, g: Column) -> Column:
+    return F.struct(F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(side).alias("side")).alias("x"))
+
+
+def bleu_stats(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis", by: Sequence[str] = ()) -> DataFrame:
+    """``BLEU_STATS`` added up per group: ten numbers a pair and one aggregation.  Null groups are groups like
+    any other."""
+    s = pair_bleu(_dealt(pairs.select(*by, ref_col, hyp_col)), ref_col, hyp_col)
+    return s.groupBy(*by).agg(*[(F.sum(c) if c.endswith("len") else F.coalesce(F.sum(c), F.lit(0))).alias(c) for c in BLEU_STATS])
+
+
+def bleu_score() -> tuple[Column, Column]:
+    """Score (0 to 100) and brevity penalty from the columns ``BLEU_STATS``."""
+    smooth, logs, stop = F.lit(1.0), [], F.lit(False)
+    for n in ORDERS:
         tot, cor = F.col(f"total{n}"), F.col(f"correct{n}")
         stop = stop | (tot == 0)
         smooth_n = smooth * F.when(cor == 0, 2.0).otherwise(1.0)
@@ -160,9 +183,42 @@ def corpus_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hy
         logs.append(F.when(prec > 0, F.log(prec)).otherwise(F.lit(LOG_ZERO)))
     sys_len, ref_len = F.col("sys_len").cast("double"), F.col("ref_len").cast("double")
     bp = F.when(sys_len < ref_len, F.when(sys_len > 0, F.exp(1 - ref_len / sys_len)).otherwise(0.0)).otherwise(1.0)
-    score = bp * F.exp(sum(logs[1:], logs[0]) / MAX_NGRAM)
-    return s.select(*by, round_fp(score / 100.0, digits).alias("bleu"), bp.alias("brevity_penalty"),
-                    F.col("sys_len").cast("bigint").alias("sys_len"), F.col("ref_len").cast("bigint").alias("ref_len"))
+    return bp * F.exp(sum(logs[1:], logs[0]) / MAX_NGRAM), bp
+
+
+def corpus_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
+                by: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    """Corpus BLEU (orders 1–4, exponential smoothing, brevity penalty) / 100."""
+    score, bp = bleu_score()
+    return bleu_stats(pairs, ref_col, hyp_col, by).select(
+        *by, round_fp(score / 100.0, digits).alias("bleu"), bp.alias("brevity_penalty"),
+        F.col("sys_len").cast("bigint").alias("sys_len"), F.col("ref_len").cast("bigint").alias("ref_len"))
+
+
+def live_quality(labelled: DataFrame, window: str = "15 minutes", ref_col: str = "reference", hyp_col: str = "hypothesis",
+                 ts: str = "ts", by: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    """Word error rate and BLEU per time window (and group), from one pass over the labelled rows: what
+    both measures add up is kept beside each other, so windows can be merged further."""
+    stats = quality_stats(labelled, ref_col, hyp_col)
+    w = stats.groupBy(F.window(ts, window).alias("w"), *by).agg(*[F.sum(c).alias(c) for c in QUALITY_STATS])
+    return quality_gauges(w, by, digits)
+
+
+#: What the live measures add up.
+QUALITY_STATS = ["pairs", "edits", "ref_words", *BLEU_STATS]
+
+
+def quality_stats(labelled: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis") -> DataFrame:
+    """Rows with a reference that isn't blank and a hypothesis, with ``QUALITY_STATS``."""
+    s = pair_bleu(_dealt(labelled), ref_col, hyp_col)
+    return pair_errors(s, ref_col, hyp_col).withColumn("pairs", F.lit(1).cast("bigint")).drop(ref_col, hyp_col)
+
+
+def quality_gauges(w: DataFrame, by: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    score, _ = bleu_score()
+    wer = F.when(F.col("ref_words") > 0, F.col("edits") / F.col("ref_words")).otherwise(1.0)
+    return w.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), *by, "pairs",
+                    round_fp(wer, digits).alias("wer"), round_fp(score / 100.0, digits).alias("bleu"))
 
 
 # ------------------------------------------------------------------ confidence

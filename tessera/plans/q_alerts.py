@@ -159,12 +159,10 @@ def r8_notifications(spark, sf):
 
 
 @query("r9_inhibit", NOTICES_SQL.rstrip() + """,
-src AS (SELECT fire_slot * 30 AS s, coalesce(end_slot, last_slot + 1) * 30 AS e FROM st WHERE fired AND severity = 'critical'),
-hit AS (SELECT DISTINCT n.alertname, n.severity, n.receiver, n.kind, n.notify_s FROM notices n JOIN src
-        ON n.notify_s >= src.s AND n.notify_s < src.e WHERE n.severity = 'warning')
-SELECT n.*, h.notify_s IS NOT NULL AS inhibited FROM notices n LEFT JOIN hit h
-  ON h.alertname = n.alertname AND h.severity = n.severity AND h.receiver = n.receiver AND h.kind = n.kind
- AND h.notify_s = n.notify_s""")
+src AS MATERIALIZED (SELECT s, e, unnest(range(s // 3600, (e - 1) // 3600 + 1)) AS hour FROM (
+  SELECT fire_slot * 30 AS s, coalesce(end_slot, last_slot + 1) * 30 AS e FROM st WHERE fired AND severity = 'critical') WHERE s < e)
+SELECT n.*, n.severity = 'warning' AND EXISTS (SELECT 1 FROM src WHERE src.hour = n.notify_s // 3600 AND n.notify_s >= src.s AND n.notify_s < src.e) AS inhibited
+FROM notices n""")
 def r9_inhibit(spark, sf):
     """Warnings inhibited while any critical alert fires (``equal`` labels as a
     parameter; the configured ``equal: [alertname]`` can never match)."""

@@ -367,3 +367,25 @@ def m22_live_bleu_null_user(spark, sf):
     """BLEU per user where one user is unknown."""
     pairs = B.text_pairs(spark, sf).withColumn("user_id", F.nullif("user_id", F.lit(0)))
     return quality.corpus_bleu(pairs, by=["user_id"])
+
+
+def _by_hour(sql: str) -> str:
+    """The measure per hour instead of per user; ten minutes from one conversation to the next."""
+    return sql.replace("a.conv_id % 50 AS user_id", "strftime(make_timestamp(a.conv_id * 600 // 3600 * 3600000000), '%Y-%m-%d %H:%M:%S') AS user_id")
+
+
+LIVE_QUALITY_SQL = f"""
+SELECT user_id AS window_start, pairs, wer, bleu FROM (
+  {_by_hour(WER_PAIRS_SQL)} SELECT user_id, round(sum(edits) / sum(ref_words), 4) AS wer, CAST(count(*) AS BIGINT) AS pairs FROM pe GROUP BY user_id)
+JOIN ({_by_hour(_bleu_sql("user_id"))}) USING (user_id)"""
+
+
+def timed_pairs(spark, sf):
+    """B4 with a time: ten minutes from one conversation to the next."""
+    return B.text_pairs(spark, sf).withColumn("ts", F.timestamp_seconds(F.shiftright("pair_id", 32) * 600))
+
+
+@query("m22_live_quality", LIVE_QUALITY_SQL)
+def m22_live_quality(spark, sf):
+    """Word error rate and BLEU of adjacent turns per hour."""
+    return quality.live_quality(timed_pairs(spark, sf), "1 hour")

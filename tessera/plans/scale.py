@@ -103,7 +103,7 @@ def running_sum(df: DataFrame, value_col, order_cols: Sequence[str], partition_c
     names = _names(name)
     parts = _names(partition_cols)
     order = _names(order_cols)
-    b = with_range_bucket(df, order[0], n_buckets)
+    b = with_range_bucket(df, order[0], n_buckets, partition_cols=parts)
     w_in = (Window.partitionBy(*parts, "_bucket").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, 0))
     for v, n in zip(values, names):
@@ -120,6 +120,39 @@ def running_sum(df: DataFrame, value_col, order_cols: Sequence[str], partition_c
     return out.drop("_bucket")
 
 
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by=None, prefix: str = "q") -> DataFrame:
+    """Exact quantiles (linear interpolation) per group by distributed selection: ``by…, q0, q1, …``.
+
+    Equal values are counted first, so a hot value is one row.  The distinct values fall into
+    range buckets with a count each; the counts tell which buckets hold the wanted ranks, and
+    only those are put in order.  No task sees a whole group and no state grows with it.  Nulls are
+    no values; a group without any has no row."""
+    parts = _names(by)
+    x = F.col(f"`{col}`").cast("double")
+    values = df.select(*parts, x.alias("_x")).where("_x is not null").groupBy(*parts, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    b = with_range_bucket(values, "_x", partition_cols=parts)
+    key = parts or ["_all"]
+    if not parts:
+        b = b.withColumn("_all", F.lit(0))
+    sums = b.groupBy(*key, "_bucket").agg(F.sum("_c").alias("_in"))
+    order = Window.partitionBy(*key).orderBy("_bucket")
+    every = Window.partitionBy(*key)
+    sums = sums.select("*", F.coalesce(F.sum("_in").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+                       F.sum("_in").over(every).alias("_n"))
+    at = [q * (F.col("_n") - 1) for q in qs]
+    ranks = [r.cast("bigint") for p in at for r in (F.floor(p), F.ceil(p))]
+    holds = F.lit(False)
+    for r in ranks:
+        holds = holds | ((F.col("_off") <= r) & (r < F.col("_off") + F.col("_in")))
+    chosen = join_null_safe(b, sums.where(holds).drop("_in"), [*key, "_bucket"])
+    upto = F.col("_off") + F.sum("_c").over(Window.partitionBy(*key, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    rows = chosen.withColumn("_upto", upto)
+    has = lambda r: (F.col("_upto") - F.col("_c") <= r) & (r < F.col("_upto"))
+    picked = rows.groupBy(*key).agg(F.max("_n").alias("_n"), *[F.max(F.when(has(r), F.col("_x"))).alias(f"_v{i}") for i, r in enumerate(ranks)])
+    out = [(F.col(f"_v{2 * i}") + (F.col(f"_v{2 * i + 1}") - F.col(f"_v{2 * i}")) * (p - F.floor(p))).alias(f"{prefix}{i}") for i, p in enumerate(at)]
+    return picked.select(*parts, *out)
+
+
 def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Sequence[str],
               direction: int = -1, prefix: str = "prev_",
               n_buckets: int | None = None) -> DataFrame:

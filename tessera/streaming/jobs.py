@@ -9,7 +9,7 @@ configured), so restarts resume from the checkpoint.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from tessera.functions.text import in_charset
 from tessera.operators import alerts
 from tessera.operators.matching import tokenise
 from tessera.operators.metrics import CONFIDENCE_BUCKETS, HIGH_CONFIDENCE, LATENCY_BUCKETS_MS
+from tessera.operators.quality import QUALITY_STATS, quality_gauges, quality_stats
 from tessera.session import ensure_checkpoint_dir
 from tessera.streaming import live
 
@@ -175,16 +176,31 @@ def stream_oov(requests: DataFrame, lex: DataFrame, by: Sequence[str] = ("user_i
     return out.select(F.col("w.start").alias("window_start"), *by, "tokens", "oov_tokens", "oov_rate") if window else out
 
 
+def stream_live_quality(answers: DataFrame, labels: DataFrame, window: str = "15 minutes", id_col: str = "request_id",
+                        label_after: str = "1 hour", watermark: str = "10 minutes", by: Sequence[str] = (), ts: str = "ts") -> DataFrame:
+    """M22 on streams: answers ``(id, ts, hypothesis)`` meet the labels ``(id, ts, reference)`` that come up to
+    ``label_after`` later (a stream–stream interval join: both sides leave state when no partner
+    can come any more), and each window of answers adds up the numbers of both measures."""
+    a = event_time(answers, ts).withWatermark("event_time", watermark).select(id_col, *by, "event_time", "hypothesis")
+    b = event_time(labels, ts, "label_time").withWatermark("label_time", watermark).select(F.col(id_col).alias("_label_id"), "label_time", "reference")
+    met = a.join(b, (F.col(id_col) == F.col("_label_id")) & (F.col("label_time") >= F.col("event_time"))
+                 & (F.col("label_time") <= F.col("event_time") + F.expr(f"INTERVAL {label_after}")))
+    stats = quality_stats(met.select(*by, "event_time", "reference", "hypothesis"))
+    w = stats.groupBy(F.window("event_time", window).alias("w"), *by).agg(*[F.sum(c).alias(c) for c in QUALITY_STATS])
+    return quality_gauges(w, by)
+
+
+def stream_user_sketches(stream: DataFrame, window: str = "5 minutes", by: Sequence[str] = (), watermark: str = "10 minutes",
+                         user: str = "user_id", ts: str = "ts", lg_k: int = 12) -> DataFrame:
+    """M13/M14 on streams: a mergeable sketch of the users of each window (and group).  Any longer window, any
+    set of groups and all time are unions of these rows (``metrics.users_of_sketches``)."""
+    s = event_time(stream, ts).withWatermark("event_time", watermark)
+    return (s.groupBy(F.window("event_time", window).alias("w"), *by).agg(F.hll_sketch_agg(F.col(user).cast("string"), lg_k).alias("users"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "users"))
+
+
 def stream_new_lexicon(submissions: DataFrame, term_col: str = "term", ts: str = "ts",
                        watermark: str = "1 hour") -> DataFrame:
     """T5: accepted submissions (term charset) deduplicated per term within the watermark."""
     s = event_time(submissions, ts).withWatermark("event_time", watermark)
     return s.filter(in_charset(F.col(term_col))).dropDuplicatesWithinWatermark([term_col])
-
-
-def stream_drift(requests: DataFrame, batch_job: Callable[[DataFrame, int], None], checkpoint: str,
-                 trigger: dict | None = None):
-    """Run a batch drift job (e.g. D1 on the micro-batch) for every micro-batch."""
-    w = requests.writeStream.foreachBatch(batch_job).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import alerts, metrics
+from tessera.operators import alerts, drift, matching, metrics, quality
+from tessera.streaming import drift as drift_job
 from tessera.streaming import jobs, live
 
 T0 = dt.datetime(2024, 3, 1)
@@ -210,3 +211,103 @@ def test_r7_grid_of_a_long_gap_is_many_rows(spark):
     wide = spark.createDataFrame([(0, 10**9)], "lo long, hi long")
     n, longest, total = alerts._stretches(wide, 120).agg(F.count("*"), F.max(F.col("_b") - F.col("_a")), F.sum(F.col("_b") - F.col("_a") + 1)).first()
     assert longest == 119 and total == 10**9 + 1 and n == -(-(10**9 + 1) // 120)
+
+
+# ------------------------------------------------------------------ drift of micro-batches
+def _requests(spark, first, texts):
+    return spark.createDataFrame([(first + i, t) for i, t in enumerate(texts)], "request_id BIGINT, text STRING")
+
+
+def test_t6_batches_equal_d1_and_replays_add_nothing(spark, tmp):
+    folder, path = os.path.join(tmp, "drift"), os.path.join(tmp, "drift_in")
+    lex = spark.createDataFrame([("One",), ("two",), ("three",)], "term string")
+    base = _requests(spark, 0, ["one two four", "three two one one"])
+    parts = [_requests(spark, 10, ["one five", "two six seven", None]), _requests(spark, 20, ["one two", "three"]), _requests(spark, 30, ["x y", ""])]
+    os.makedirs(path)
+
+    def run():
+        stream = spark.readStream.schema(base.schema).parquet(path)
+        drift_job.stream_drift(stream, lex, folder, os.path.join(tmp, "drift_ck")).awaitTermination()
+
+    def toks(df, side):
+        return matching.tokenise(df, "text", [], lower=True).withColumn("side", F.lit(side))
+
+    parts[0].coalesce(1).write.mode("append").parquet(path)
+    run()
+    assert [(r.batch_id, r.reason, r.drift_detected, r.baseline_version) for r in drift_job.results(spark, folder).collect()] == [(0, "no_baselines", False, None)]
+    assert drift_job.publish_baseline(folder, toks(base, "baseline"), lex) == 1
+    parts[1].coalesce(1).write.mode("append").parquet(path)
+    run()
+    assert drift_job.publish_baseline(folder, toks(parts[2], "baseline"), lex) == 2
+    parts[2].coalesce(1).write.mode("append").parquet(path)
+    run()
+    rows = {r.batch_id: r for r in drift_job.results(spark, folder).collect()}
+    assert {k: (r.baseline_version, r.n_requests) for k, r in rows.items()} == {0: (None, 3), 1: (1, 2), 2: (2, 2)}
+    for batch, baseline in ((1, base), (2, parts[2])):
+        want = drift.oov_drift(toks(baseline, "baseline").unionByName(toks(parts[batch], "live")), lex).first()
+        got = rows[batch]
+        assert (got.baseline_oov, got.live_oov, got.oov_drift) == tuple(want)
+    # the same batches once more, after a newer baseline: nothing is added or changed
+    drift_job.publish_baseline(folder, toks(parts[0], "baseline"), lex)
+    for i, part in enumerate(parts):
+        drift_job.judge_batch(part, i, lex, folder)
+    again = {r.batch_id: r for r in drift_job.results(spark, folder).collect()}
+    assert again == rows
+
+
+def test_t6_batch_that_had_only_begun_keeps_its_baseline(spark, tmp):
+    folder = os.path.join(tmp, "begun")
+    lex = spark.createDataFrame([("one",)], "term string")
+    word = lambda t: matching.tokenise(_requests(spark, 0, [t]), "text", [], lower=True)
+    drift_job.publish_baseline(folder, word("one"), lex)
+    drift_job._mark(spark, folder, 7, "begun", 1)  # the driver was lost after this
+    assert drift_job.results(spark, folder).count() == 0
+    drift_job.publish_baseline(folder, word("two"), lex)
+    drift_job.judge_batch(_requests(spark, 0, ["two one"]), 7, lex, folder)
+    r = drift_job.results(spark, folder).first()
+    assert (r.batch_id, r.baseline_version, r.baseline_oov, r.live_oov, r.drift_detected) == (7, 1, 0.0, 0.5, True)
+    drift_job.judge_batch(_requests(spark, 0, []), 8, lex, folder)
+    assert drift_job.results(spark, folder).where("batch_id = 8").first().reason == "no_requests"
+
+
+# ------------------------------------------------------------------ live quality and sketches
+def test_m22_stream_meets_late_labels_and_equals_batch(spark, tmp):
+    rng = np.random.RandomState(4)
+    words = ["kaltxì", "oel", "ngati", "kameie", "fìtsenge", "tsmukan", "."]
+    pair = lambda: " ".join(rng.choice(words, rng.randint(1, 9)))
+    rows = [(i, T0 + dt.timedelta(minutes=2 * i), pair() if i % 17 else None, pair() if i % 13 else " ") for i in range(200)]
+    late = [int(x) for x in rng.randint(0, 80, 200)]  # minutes; labels after an hour don't count
+    schema = "request_id BIGINT, ts TIMESTAMP_NTZ, hypothesis STRING, reference STRING, is_label BOOLEAN"
+    log = [(i, t, h, None, False) for i, t, h, _ in rows] + [(i, t + dt.timedelta(minutes=m), None, r, True) for (i, t, _, r), m in zip(rows, late)]
+    log.sort(key=lambda x: x[1])
+    end = [(-1, T0 + dt.timedelta(days=5), "x", None, False), (-1, T0 + dt.timedelta(days=5), None, "x", True)]
+    cut = len(log) // 3
+    parts = [spark.createDataFrame(x, schema) for x in (log[:cut], log[cut:2 * cut], log[2 * cut:], end)]
+    got = feed(spark, tmp, "m22", parts, schema, lambda s: jobs.stream_live_quality(s.where("not is_label"), s.where("is_label"), "1 hour", watermark="5 minutes"))
+    met = spark.createDataFrame([(i, t, h, r) for (i, t, h, r), m in zip(rows, late) if m <= 60], "request_id BIGINT, ts TIMESTAMP, hypothesis STRING, reference STRING")
+    want = quality.live_quality(met, "1 hour")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() >= 6
+    # the same as the two batch measures of each window
+    usable = met.where("hypothesis is not null and trim(reference) <> ''").withColumn("h", F.date_format(F.window("ts", "1 hour")["start"], "yyyy-MM-dd HH:mm:ss"))
+    wer = {r.h: r.wer for r in quality.word_error_rate(usable, by=["h"]).collect()}
+    bleu = {r.h: r.bleu for r in quality.corpus_bleu(usable, by=["h"]).collect()}
+    assert {r.window_start: (r.wer, r.bleu) for r in want.collect()} == {h: (wer[h], bleu[h]) for h in wer}
+
+
+def test_m13_m14_sketches_merge_within_their_bound(spark, tmp):
+    rng = np.random.RandomState(6)
+    n = 30_000
+    rows = list(zip(range(n), [T0 + dt.timedelta(seconds=int(s)) for s in np.sort(rng.randint(0, 6 * 3600, n))],
+                    [int(u) if u % 97 else None for u in rng.randint(0, 20_000, n)], rng.choice(["a", "b"], n).tolist()))
+    log = spark.createDataFrame(rows, "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, kind STRING")
+    end = spark.createDataFrame([(-1, T0 + dt.timedelta(days=3), None, "c")], log.schema)
+    third = n // 3
+    parts = [log.where(f"event_id >= {k * third} and event_id < {(k + 1) * third}") for k in range(3)] + [end]
+    sk = feed(spark, tmp, "users", parts, log.schema, lambda s: jobs.stream_user_sketches(s, "5 minutes", ["kind"], "1 minute"))
+    bound = 3 * 1.04 / 2 ** (metrics.SKETCH_K / 2)
+    for keys, exact_keys in (([], []), (["kind"], ["kind"]), ([F.date_trunc("hour", "window_start").alias("h")], [F.date_trunc("hour", "ts").alias("h")])):
+        got = {tuple(r)[:-1]: r.users for r in metrics.users_of_sketches(sk, keys).collect()}
+        exact = {tuple(r)[:-1]: r.n for r in log.groupBy(*exact_keys).agg(F.countDistinct("user_id").alias("n")).collect()}
+        assert got.keys() - {("c",)} == exact.keys()
+        for k, v in exact.items():
+            assert abs(got[k] - v) <= bound * v + 1, (k, got[k], v)

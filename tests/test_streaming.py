@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.operators import alerts, lexicon, metrics, profile, matching
+from tessera.operators import alerts, metrics, profile, matching
 from tessera.plans import bindings as B
 from tessera.sources import io
 from tessera.streaming import jobs
@@ -119,25 +119,6 @@ def test_t5_l5_new_lexicon_dedupe(spark, tmp):
         {r.term for r in subs.collect()} - {"kaltxì"})  # no "x" in the term charset
 
 
-def test_t6_d1_foreach_batch_drift(spark, tmp):
-    path = os.path.join(tmp, "req6")
-    B.requests(spark, SF_SMALL).write.mode("overwrite").parquet(path)
-    stream = spark.readStream.schema("request_id BIGINT, user_id BIGINT, text STRING").parquet(path)
-    lex = lexicon.normalise_lexicon(B.lexicon(spark, SF_SMALL).withColumnRenamed("term", "na'vi")
-                                    .withColumnRenamed("term_type", "type").withColumnRenamed("gloss", "en"))
-    out_path = os.path.join(tmp, "drift_out")
-
-    def job(batch_df, epoch_id):
-        toks = matching.tokenise(batch_df, "text", ["request_id"], lower=True)
-        profile.oov_rate(toks, lex).withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out_path)
-
-    jobs.stream_drift(stream, job, os.path.join(tmp, "ck6")).awaitTermination()
-    got = spark.read.parquet(out_path).agg(F.sum("total_tokens"), F.sum("oov_tokens")).first()
-    toks = matching.tokenise(B.requests(spark, SF_SMALL), "text", ["request_id"], lower=True)
-    exp = profile.oov_rate(toks, lex).first()
-    assert (got[0], got[1]) == (exp.total_tokens, exp.oov_tokens)
-
-
 def test_t1_sliding_windows_match_batch(spark, tmp):
     stream = io.request_stream(spark, _log_dir(spark, tmp), LOG_SCHEMA)
     out = _run(jobs.stream_window_metrics(stream, "2 hours", "1 hour", watermark="1 hour"), tmp, "t1s", "complete")
