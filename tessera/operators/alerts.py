@@ -24,7 +24,7 @@ from tessera.operators.metrics import (
     rolling_rate,
 )
 from tessera.functions.numeric import epoch_micros, ntz_from_micros
-from tessera.plans.scale import neighbour, rolling_rows
+from tessera.plans.scale import neighbour, rolling_rows, stretches
 from tessera.session import cut_lineage
 
 EVAL_SECONDS = 30
@@ -73,20 +73,7 @@ def _grid(slots: DataFrame, until: str | None = None) -> DataFrame:
         seen = F.floor(F.unix_micros(F.lit(until).cast("timestamp")) / (EVAL_SECONDS * US)).cast("bigint")
         hi = F.greatest(hi, F.when(F.count(F.lit(1)) > 0, seen))
     span = slots.agg(F.min("slot").alias("lo"), hi.alias("hi")).where("lo is not null")
-    return _stretches(span, hour).select(F.explode(F.sequence("_a", "_b")).alias("slot"))
-
-
-def _stretches(spans: DataFrame, size: int) -> DataFrame:
-    """Rows with ``lo`` and ``hi`` cut into stretches ``_a`` to ``_b`` of at most ``size`` whole numbers.
-    The stretches of a span are numbered in two steps of at most 4096, spread over tasks in
-    between: no row holds more than 4096 of them, spans of up to 4096 * 4096 stretches included."""
-    block = 4096 * size
-    n = F.floor((F.col("hi") - F.col("lo")) / block).cast("bigint")
-    outer = spans.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), n)).alias("_i")).repartition("_i")
-    lo = F.col("lo") + F.col("_i") * block
-    inner = outer.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.least("hi", lo + block - 1) - lo) / size).cast("bigint"))).alias("_j"))
-    a = lo + F.col("_j") * size
-    return inner.withColumn("_a", a).withColumn("_b", F.least("hi", a + size - 1)).drop("_i", "_j")
+    return stretches(span, hour).select(F.explode(F.sequence("_a", "_b")).alias("slot"))
 
 
 def windowed_sums(log: DataFrame, window_s: int, sums: dict[str, Column], ts: str = "ts") -> DataFrame:
@@ -140,7 +127,7 @@ def gauge_condition(log: DataFrame, flag: Column, max_rate: float, n: int = 100)
     per_slot = (g.withColumn("slot", slot_of(g, "ts"))
                 .groupBy("slot").agg(F.max_by("gauge", F.struct("ts", "event_id")).alias("gauge")))
     nxt = neighbour(per_slot, [], ["slot"], ["slot"], +1, prefix="next_")
-    span = _stretches(nxt.select(F.col("slot").alias("lo"), F.coalesce(F.col("next_slot") - 1, F.col("slot")).alias("hi"), "gauge"),
+    span = stretches(nxt.select(F.col("slot").alias("lo"), F.coalesce(F.col("next_slot") - 1, F.col("slot")).alias("hi"), "gauge"),
                       3600 // EVAL_SECONDS)
     return span.select(F.explode(F.sequence("_a", "_b")).alias("slot"), (F.col("gauge") > max_rate).alias("cond"))
 
@@ -318,7 +305,7 @@ def evaluate_rules(log: DataFrame, ts: str = "ts", until: str | None = None) ->
     gs = (g.withColumn("slot", slot_of(g, ts)).groupBy("slot")
           .agg(F.max_by("g_fb", last).alias("g_fb"), F.max_by("g_oov", last).alias("g_oov")))
     nxt = neighbour(gs, [], ["slot"], ["slot"], +1, prefix="next_")
-    span = _stretches(nxt.select(F.col("slot").alias("lo"), F.coalesce(F.col("next_slot") - 1, F.col("slot")).alias("hi"), "g_fb", "g_oov"),
+    span = stretches(nxt.select(F.col("slot").alias("lo"), F.coalesce(F.col("next_slot") - 1, F.col("slot")).alias("hi"), "g_fb", "g_oov"),
                       3600 // EVAL_SECONDS).select(F.explode(F.sequence("_a", "_b")).alias("slot"), "g_fb", "g_oov")
     gauges = span.select("slot", F.explode(F.array(
         F.struct(F.lit(HIGH_FALLBACK_RATE.name).alias("alertname"), (F.col("g_fb") > FALLBACK_RATE_MAX).alias("cond")),

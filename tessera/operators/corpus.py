@@ -136,13 +136,13 @@ def adjacent_line_pairs(pages: DataFrame, is_source: Callable[[Column], Column]
 
 def frequency_tier(lex: DataFrame, type_col: str = "term_type") -> DataFrame:
     """C11: rank term types by count (ties: first seen); first 30 % common,
-    next 40 % mid, rest rare.  The per-type table is tiny; it is ranked on
-    its own and joined back."""
+    next 40 % mid, rest rare.  The types are ranked over range buckets, so many types
+    are no single task, and joined back."""
     t = F.coalesce(F.col(type_col), F.lit("unknown"))
     counts = lex.groupBy(t.alias("_type")).agg(F.count(F.lit(1)).alias("_n"), F.min("seq").alias("_first"))
-    w = Window.orderBy(F.desc("_n"), F.asc("_first"))
-    ranked = counts.select("_type", (F.row_number().over(w) - 1).alias("_i"),
-                           F.count(F.lit(1)).over(Window.partitionBy()).alias("_nt"))
+    ranked = (global_row_number(counts.withColumn("_less", -F.col("_n")), ["_less", "_first"], name="_rn")
+              .select("_type", (F.col("_rn") - 1).alias("_i"), F.lit(1).alias("_one"))
+              .join(counts.agg(F.count(F.lit(1)).alias("_nt")).withColumn("_one", F.lit(1)), "_one"))
     tier = (F.when(F.col("_i") < F.col("_nt") * 0.3, "common")
             .when(F.col("_i") < F.col("_nt") * 0.7, "mid").otherwise("rare"))
     tiers = ranked.select("_type", tier.alias("tier"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import epoch_micros
 from tessera.functions.text import clean_oov_word
-from tessera.plans.scale import neighbour, rolling_rows, running_sum
+from tessera.plans.scale import neighbour, rolling_rows, running_sum, stretches
 
 # Histogram bucket bounds of the service's instruments.
 LATENCY_BUCKETS_MS = (50, 100, 250, 500, 1000, 2000, 3000, 5000, 10000)
@@ -194,10 +194,14 @@ def active_users(log: DataFrame, window: str = "5 minutes", ts: str = "ts", user
     distinct = F.approx_count_distinct(user) if approx else F.countDistinct(user)
     counts = (log.groupBy(F.window(ts, window).alias("w")).agg(distinct.cast("bigint").alias("active_users"))
               .select(F.col("w.start").alias("start"), "active_users"))
-    lo, hi = counts.agg(F.min("start")).scalar(), counts.agg(F.max("start")).scalar()
-    grid = log.sparkSession.range(1).select(
-        F.explode(F.sequence(lo, hi, F.expr(f"INTERVAL {secs} SECONDS"))).alias("start"))
-    return (grid.join(counts, "start", "left")
+    # windows are numbered from the first on, and the numbers cut into stretches
+    number = F.floor((F.unix_seconds(F.col("start").cast("timestamp"))) / secs).cast("bigint")
+    counts = counts.withColumn("_i", number)
+    span = counts.groupBy().agg(F.min("_i").alias("lo"), F.max("_i").alias("hi"), F.min("start").alias("_first")).where("lo is not null")
+    grid = stretches(span, 3600).select("_first", "lo", F.explode(F.sequence("_a", "_b")).alias("_i"))
+    grid = grid.select("_i", (F.col("_first") + F.make_dt_interval(secs=(F.col("_i") - F.col("lo")) * secs)).alias("start"))
+    counts = counts.select("_i", "active_users")
+    return (grid.join(counts, "_i", "left")
             .select(_fmt(F.col("start")).alias("window_start"),
                     F.coalesce("active_users", F.lit(0)).cast("bigint").alias("active_users")))
 

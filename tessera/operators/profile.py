@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
 
-from tessera.plans.scale import exact_quantiles, join_null_safe, neighbour
+from tessera.plans.scale import exact_quantiles, join_null_safe, neighbour, stretches
 
 
 def oov_rate(tokens: DataFrame, lex: DataFrame, by: Sequence[str] = (), token_col: str = "token",
@@ -79,16 +79,23 @@ def speaker_counts(df: DataFrame, speaker_col: str = "speaker", term_col: str =
         F.count(F.lit(1)).cast("bigint").alias("items"), distinct.cast("bigint").alias("distinct_terms"))
 
 
-def vector_moments(df: DataFrame, vec_col: str, by: Sequence[str] = ()) -> DataFrame:
+def vector_moments(df: DataFrame, vec_col: str, by: Sequence[str] = (), dims: int | None = None) -> DataFrame:
     """A5: element-wise mean and population std, long format ``(dim, mean, std, count)``.
 
     ``posexplode`` + partial aggregation: each task ships one small state per
-    dimension, never the vectors."""
+    dimension, never the vectors.  With ``dims`` there is a row for every dimension (without
+    ``by``): zeros and count 0 where there are no values, so for an empty table, too."""
     e = df.select(*by, F.posexplode(vec_col).alias("dim", "_x"))
-    return e.groupBy(*by, "dim").agg(
+    out = e.groupBy(*by, "dim").agg(
         F.avg(F.col("_x").cast("double")).alias("mean"),
         F.stddev_pop(F.col("_x").cast("double")).alias("std"),
         F.count(F.lit(1)).cast("bigint").alias("count"))
+    if dims is None or by:
+        return out
+    every = df.sparkSession.range(dims).select(F.col("id").cast("int").alias("dim"))
+    zero = F.lit(0.0)
+    return every.join(out, "dim", "left").select("dim", F.coalesce("mean", zero).alias("mean"), F.coalesce("std", zero).alias("std"),
+                                                 F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
 def vector_bin_means(df: DataFrame, vec_col: str, id_cols: Sequence[str], k: int = 13) -> DataFrame:
@@ -126,8 +133,9 @@ def resample_linear(df: DataFrame, key_cols: Sequence[str], t_col: str, v_col: s
     lo = F.ceil((F.col("t") - F.col("_t0")) / step).cast("bigint")
     hi = F.when(F.col("nt").isNull(), F.floor((F.col("t") - F.col("_t0")) / step))\
         .otherwise(F.ceil((F.col("nt") - F.col("_t0")) / step) - 1).cast("bigint")
-    idx = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    g = seg.select(*keys, "t", "v", "nt", "nv", "_t0", F.explode(idx).alias("step_index"))
+    seg = seg.select(*keys, "t", "v", "nt", "nv", "_t0", lo.alias("lo"), hi.alias("hi")).where("hi >= lo")
+    # a long gap is many stretches, not one long array
+    g = stretches(seg, 3600).select(*keys, "t", "v", "nt", "nv", "_t0", F.explode(F.sequence("_a", "_b")).alias("step_index"))
     gt = F.col("_t0") + F.col("step_index") * step
     frac = F.when(F.col("nt").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(gt - F.col("t"), F.col("nt") - F.col("t")), F.lit(0.0)))
     val = F.col("v") + F.coalesce(F.col("nv") - F.col("v"), F.lit(0.0)) * frac

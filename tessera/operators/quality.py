@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
-
 from tessera.functions.text import strip_ws
+from tessera.plans.scale import join_null_safe
 
 MAX_NGRAM = 4
 # Fixed values of the default BLEU tokenizer ("13a"), applied in this order.
@@ -229,12 +229,22 @@ def step_log_prob(logits: Column) -> Column:
     return m - lse
 
 
-def sequence_confidence(steps: DataFrame, seq_cols: Sequence[str], logits_col: str, digits: int = 3) -> DataFrame:
-    """confidence = clamp(exp(mean step max-log-prob), 0, 1) per sequence."""
-    s = steps.select(*seq_cols, step_log_prob(F.col(logits_col)).alias("_lp"))
+#: Confidence of a sequence without a step.
+NO_STEPS = 0.5
+
+
+def sequence_confidence(steps: DataFrame, seq_cols: Sequence[str], logits_col: str, digits: int = 3,
+                        sequences: DataFrame | None = None) -> DataFrame:
+    """confidence = clamp(exp(mean step max-log-prob), 0, 1) per sequence; steps without logits are
+    none.  ``sequences`` (rows of ``seq_cols``) names all there are: one without a step has 0.5.
+    Without ``seq_cols`` all steps are one sequence, which has its row in any case."""
+    s = steps.where(F.size(logits_col) > 0).select(*seq_cols, step_log_prob(F.col(logits_col)).alias("_lp"))
     conf = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.exp(F.avg("_lp"))))
-    return s.groupBy(*seq_cols).agg(round_fp(conf, digits).alias("confidence"),
-                                    F.count(F.lit(1)).cast("bigint").alias("steps"))
+    out = s.groupBy(*seq_cols).agg(F.when(F.count(F.lit(1)) > 0, conf).alias("confidence"), F.count(F.lit(1)).cast("bigint").alias("steps"))
+    if sequences is not None:
+        out = join_null_safe(sequences.select(*seq_cols).distinct(), out, seq_cols, "left")
+    return out.select(*seq_cols, round_fp(F.coalesce("confidence", F.lit(NO_STEPS)), digits).alias("confidence"),
+                      F.coalesce("steps", F.lit(0)).cast("bigint").alias("steps"))
 
 
 def beam_confidence(score: Column) -> Column:

@@ -370,8 +370,8 @@ def m22_live_bleu_null_user(spark, sf):
 
 
 def _by_hour(sql: str) -> str:
-    """The measure per hour instead of per user; ten minutes from one conversation to the next."""
-    return sql.replace("a.conv_id % 50 AS user_id", "strftime(make_timestamp(a.conv_id * 600 // 3600 * 3600000000), '%Y-%m-%d %H:%M:%S') AS user_id")
+    """The measure per hour instead of per user; times as in ``timed_pairs``."""
+    return sql.replace("a.conv_id % 50 AS user_id", "strftime(make_timestamp((a.conv_id * 600 + 86400) // 3600 * 3600000000), '%Y-%m-%d %H:%M:%S') AS user_id")
 
 
 LIVE_QUALITY_SQL = f"""
@@ -381,8 +381,8 @@ JOIN ({_by_hour(_bleu_sql("user_id"))}) USING (user_id)"""
 
 
 def timed_pairs(spark, sf):
-    """B4 with a time: ten minutes from one conversation to the next."""
-    return B.text_pairs(spark, sf).withColumn("ts", F.timestamp_seconds(F.shiftright("pair_id", 32) * 600))
+    """B4 with a time: ten minutes from one conversation to the next, from the second day on."""
+    return B.text_pairs(spark, sf).withColumn("ts", F.timestamp_seconds(F.shiftright("pair_id", 32) * 600 + 86400))
 
 
 @query("m22_live_quality", LIVE_QUALITY_SQL)

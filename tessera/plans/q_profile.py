@@ -207,3 +207,28 @@ def a11_resample_linear(spark, sf):
     ev = table(spark, sf, "events")
     e = ev.select("event_type", (epoch_micros(ev, "ts") / 1e6).alias("t"), "value")
     return profile.resample_linear(e, ["event_type"], "t", "value", 3600.0)
+
+
+@query("a5_vector_moments_empty", """
+SELECT CAST(d AS INTEGER) AS dim, CAST(0 AS DOUBLE) AS mean, CAST(0 AS DOUBLE) AS std, CAST((SELECT count(*) FROM embeddings WHERE label < 0) AS BIGINT) AS count
+FROM range(0, 13) AS t(d)""")
+def a5_vector_moments_empty(spark, sf):
+    """A5 of no vectors: 13 zeros, count 0."""
+    return profile.vector_moments(table(spark, sf, "embeddings").where("label < 0"), "embedding", dims=13)
+
+
+@query("a9_sequence_confidence_all", r"""
+WITH s AS (SELECT label, list_max(e) AS m, e FROM (SELECT label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label % 2 = 0)),
+lp AS (SELECT label, m - (m + ln(list_sum(list_transform(e, lambda x: exp(x - m))))) AS lp FROM s),
+c AS (SELECT label, round(least(1.0, greatest(0.0, exp(avg(lp)))), 3) AS confidence, CAST(count(*) AS BIGINT) AS steps FROM lp GROUP BY label)
+SELECT label, coalesce(confidence, 0.5) AS confidence, coalesce(steps, 0) AS steps FROM (SELECT DISTINCT label FROM embeddings) LEFT JOIN c USING (label)""")
+def a9_sequence_confidence_all(spark, sf):
+    """Odd labels have no steps and get 0.5."""
+    e = table(spark, sf, "embeddings")
+    return quality.sequence_confidence(e.where("label % 2 = 0"), ["label"], "embedding", sequences=e)
+
+
+@query("a9_sequence_confidence_none", "SELECT CAST(0.5 AS DOUBLE) AS confidence, CAST(count(*) AS BIGINT) AS steps FROM embeddings WHERE label < 0")
+def a9_sequence_confidence_none(spark, sf):
+    """A9 without a step."""
+    return quality.sequence_confidence(table(spark, sf, "embeddings").where("label < 0"), [], "embedding")

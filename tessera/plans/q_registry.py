@@ -243,3 +243,83 @@ def g5_latest_run_by_tag(spark, sf):
     e = table(spark, sf, "events")
     out = registry.latest_run_by_tag(e, ["event_type"], "event_id", "ts", tie="event_id")
     return out.withColumn("started_at", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+# ------------------------------------------------------------------ branches
+_REASONS = {"no_baselines": ("false", "true", "true"), "no_requests": ("true", "false", "true"), "insufficient_data": ("true", "true", "false")}
+_AT = "(SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM events)"
+_RATE = "(SELECT CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE v.token IS NULL) / count(*) ELSE 0.0 END FROM toks LEFT JOIN vocab v USING (token) WHERE side = '{}' AND {})"
+
+
+def _reasons_sql() -> str:
+    rows = []
+    for reason, (base, live, _) in _REASONS.items():
+        b, l_ = _RATE.format("baseline", base), _RATE.format("live", live)
+        drift_ = "false" if reason != "insufficient_data" else f"{l_} > {b} * 1.15"
+        rows.append(f"SELECT {drift_} AS drift_detected, round({b}, 6) AS baseline_oov, round({l_}, 6) AS live_oov, {drift_} AS oov_drift, "
+                    f"'{reason}' AS reason, {_AT} AS checked_at")
+    return with_(LEX, f"""toks AS MATERIALIZED (SELECT {HALF} AS side, unnest({tokens_of('lower(text)')}) AS token FROM documents),
+vocab AS MATERIALIZED (SELECT DISTINCT lower(term) AS token FROM lex)""") + " UNION ALL ".join(rows)
+
+
+@query("d4_drift_reasons", _reasons_sql())
+def d4_drift_reasons(spark, sf):
+    """Reports without a baseline, without requests and without a testable column, with their time."""
+    d = table(spark, sf, "documents").withColumn("side", _half())
+    lex, emb = B.lexicon(spark, sf), _emb_long(spark, sf)
+    at = table(spark, sf, "events").agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("checked_at"))
+    out = None
+    for base, live, columns in _REASONS.values():
+        docs = d.where(f"(side = 'baseline' and {base}) or (side = 'live' and {live})")
+        count = lambda side, name: docs.agg(F.count_if(F.col("side") == side).cast("bigint").alias(name))
+        report = drift.drift_report(drift.oov_drift(matching.tokenise(docs, "text", ["side"], lower=True), lex),
+                                    drift.dataset_drift(drift.column_drift(emb.where(columns))), count("live", "n_requests"), count("baseline", "n_baseline"), at)
+        report = report.select("drift_detected", "baseline_oov", "live_oov", "oov_drift", "reason", "checked_at")
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
+def _new_champions_sql(kind: str, zero: bool) -> str:
+    """Champions only of the models whose newest Production run has an odd version; some without a metric."""
+    old = "coalesce(h.old, 0.0)" if zero else "h.old"
+    old = f"CASE WHEN h.model IS NOT NULL THEN {old} END"
+    better = f"({old}) - c.new >= 0.01" if kind == "wer" else f"c.new - ({old}) >= 0.01"
+    return with_(RUNS, """
+prod AS (SELECT model, max(version) AS version FROM runs WHERE stage = 'Production' GROUP BY model),
+champ AS (SELECT model, CASE WHEN p.version % 3 <> 0 THEN metric END AS old FROM prod p JOIN runs USING (model, version) WHERE p.version % 2 = 1),
+cand AS (SELECT model, max(version) AS version, arg_max(metric, version) AS new FROM runs WHERE stage = 'Staging' GROUP BY model)""") + f"""
+SELECT c.model, c.version, round(c.new, 6) AS metric, round({old}, 6) AS champion_metric,
+       CASE WHEN ({old}) IS NULL THEN true ELSE {better} END AS promote,
+       CASE WHEN ({old}) IS NULL THEN 'no_champion' WHEN {better} THEN 'better' ELSE 'not_better' END AS reason
+FROM cand c LEFT JOIN champ h USING (model)"""
+
+
+def _register_gate(kind: str, zero: bool) -> None:
+    def run(spark, sf):
+        runs = _runs(spark, sf)
+        cand = registry.latest_in_stage(runs, "Staging").select("model", "version", "metric")
+        champ = registry.latest_in_stage(runs).where("version % 2 = 1").select("model", F.when(F.col("version") % 3 != 0, F.col("metric")).alias("metric"))
+        return registry.promotion_gate(cand, champ, kind, missing_as_zero=zero)
+    run.__doc__ = f"G1: {kind} gate where some models have no champion and some champions no metric{' (read as 0)' if zero else ''}."
+    run.__name__ = f"g1_promotion_gate_{kind}_{'zero' if zero else 'new'}"
+    query(run.__name__, _new_champions_sql(kind, zero))(run)
+
+
+for _kind in ("wer", "bleu"):
+    for _zero in (False, True):
+        _register_gate(_kind, _zero)
+
+
+@query("g4_resolve_source_all", with_(RUNS, """
+models AS (SELECT DISTINCT model_type AS model FROM runs UNION SELECT DISTINCT model FROM runs),
+reg AS (SELECT model, max(version) AS registry_version FROM runs WHERE stage = 'Production' AND p_size > 40 GROUP BY model),
+loc AS (SELECT DISTINCT model_type AS model FROM runs WHERE length(model_type) % 2 = 0)""") + """
+SELECT m.model, r.registry_version,
+       CASE WHEN r.registry_version IS NOT NULL THEN 'registry' WHEN l.model IS NOT NULL THEN 'local' ELSE 'base' END AS source
+FROM models m LEFT JOIN reg r USING (model) LEFT JOIN loc l USING (model)""")
+def g4_resolve_source_all(spark, sf):
+    """Models from the registry, local ones, and those that only have a base."""
+    runs = _runs(spark, sf)
+    models = runs.select(F.col("model_type").alias("model")).union(runs.select("model")).distinct()
+    local = runs.where(F.length("model_type") % 2 == 0).select(F.col("model_type").alias("model"))
+    return registry.resolve_source(models, runs.filter(F.col("p_size") > 40), local)

@@ -4,16 +4,20 @@ time, in whole milliseconds, less the delay."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import alerts as A
-from tessera.operators.metrics import LATENCY_BUCKETS_MS
+from tessera.operators.matching import tokenise
+from tessera.operators.metrics import LATENCY_BUCKETS_MS, SKETCH_K, users_of_sketches
 from tessera.plans import bindings as B
 from tessera.plans.catalog import query
 from tessera.plans.q_alerts import _states_sql
+from tessera.plans.q_metrics import LIVE_QUALITY_SQL, timed_pairs
 from tessera.plans.sqlparts import LEX, LOG, REQUESTS, tokens_of, with_
-from tessera.session import table
-from tessera.streaming import jobs
+from tessera.session import ensure_checkpoint_dir, table
+from tessera.streaming import drift, jobs
 
 DELAY_MS = 600_000
 _WM = f"wm AS (SELECT epoch_ms(max(ts)) - {DELAY_MS} AS w FROM log)"
@@ -112,3 +116,53 @@ def t5_stream_new_lexicon(spark, sf):
     subs = table(spark, sf, "part").where("p_size % 3 = 0").select(
         F.explode(F.array("p_type", "p_brand", "p_name")).alias("term"), F.timestamp_seconds(F.col("p_partkey")).alias("ts"))
     return jobs.available_now(jobs.stream_new_lexicon(jobs.landing(subs), watermark="3650 days")).select("term")
+
+
+@query("t6_stream_drift", with_(LEX, REQUESTS, f"""
+vocab AS (SELECT DISTINCT lower(term) AS token FROM lex),
+doc AS (SELECT unnest({tokens_of("lower(text)")}) AS token FROM benchmark),
+tok AS (SELECT unnest({tokens_of("lower(text)")}) AS token FROM requests),
+b AS (SELECT count(*) FILTER (WHERE v.token IS NULL) / count(*) AS r FROM doc LEFT JOIN vocab v USING (token)),
+l AS (SELECT count(*) FILTER (WHERE v.token IS NULL) / count(*) AS r FROM tok LEFT JOIN vocab v USING (token))""") + """
+SELECT CAST(0 AS BIGINT) AS batch_id, CAST(1 AS BIGINT) AS baseline_version, round(b.r, 6) AS baseline_oov, round(l.r, 6) AS live_oov,
+       l.r > b.r * 1.15 AS drift_detected, (SELECT CAST(count(*) AS BIGINT) FROM requests) AS n_requests FROM b, l""")
+def t6_stream_drift(spark, sf):
+    """The requests as a micro-batch, judged against the benchmark's vocabulary rate."""
+    lex = B.lexicon(spark, sf)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift-{uuid.uuid4().hex}"
+    drift.publish_baseline(folder, tokenise(table(spark, sf, "benchmark"), "text", [], lower=True), lex)
+    drift.stream_drift(jobs.landing(B.requests(spark, sf)), lex, folder, f"{folder}/progress").awaitTermination()
+    return drift.results(spark, folder).select("batch_id", "baseline_version", "baseline_oov", "live_oov", "drift_detected", "n_requests")
+
+
+@query("m22_stream_live_quality", f"""
+SELECT window_start, pairs, wer, bleu FROM ({LIVE_QUALITY_SQL.replace("AND b.turn = a.turn + 1", "AND b.turn = a.turn + 1 WHERE a.turn % 5 < 4")})
+WHERE epoch(CAST(window_start AS TIMESTAMP)) + 3600 <= (SELECT max(conv_id * 600 + 86400) - 600 - 3600 FROM conversations a JOIN
+      (SELECT conv_id, turn - 1 AS turn FROM conversations) b USING (conv_id, turn))""")
+def m22_stream_live_quality(spark, sf):
+    """Answers meet labels that come up to an hour later (others don't count), closed hours only."""
+    pairs = timed_pairs(spark, sf)
+    turn = F.col("pair_id").bitwiseAND(0xFFFFFFFF)
+    answers = pairs.select("pair_id", "ts", "hypothesis")
+    labels = pairs.select("pair_id", F.timestamp_seconds(F.unix_seconds("ts") + F.when(turn % 5 < 4, turn % 5 * 900).otherwise(7200)).alias("ts"), "reference")
+    return jobs.available_now(jobs.stream_live_quality(jobs.landing(answers), jobs.landing(labels), "1 hour", "pair_id"))
+
+
+@query("m13_stream_user_sketches", with_(LOG, _WM, "d AS (SELECT *, time_bucket(INTERVAL 5 MINUTES, ts) AS b FROM log)",
+                                         "c AS (SELECT * FROM d WHERE epoch_ms(b) + 300000 <= (SELECT w FROM wm))") + """
+SELECT strftime(date_trunc('day', b), '%Y-%m-%d') AS day, CAST(count(DISTINCT user_id) AS BIGINT) AS exact, true AS within_bound FROM c GROUP BY 1
+UNION ALL SELECT 'all', CAST(count(DISTINCT user_id) AS BIGINT), true FROM c""")
+def m13_stream_user_sketches(spark, sf):
+    """Days and all time as unions of the stream's five-minute sketches, held against exact counts."""
+    log = B.request_log(spark, sf)
+    sk = jobs.available_now(jobs.stream_user_sketches(jobs.landing(log)))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias("day")
+    seen = log.select(F.window("ts", "5 minutes")["start"].alias("window_start"), "user_id").join(
+        sk.select(F.col("window_start").cast("timestamp_ntz").alias("window_start")).distinct(), "window_start", "left_semi")
+    both = []
+    for by, of in ((day("window_start"), day("window_start")), (F.lit("all").alias("day"), F.lit("all").alias("day"))):
+        exact = seen.groupBy(of).agg(F.countDistinct("user_id").alias("exact"))
+        both.append(exact.join(users_of_sketches(sk, [by]), "day"))
+    bound = 3 * 1.04 / 2 ** (SKETCH_K / 2)
+    return both[0].unionByName(both[1]).select("day", F.col("exact").cast("bigint").alias("exact"),
+                                               (F.abs(F.col("users") - F.col("exact")) <= F.col("exact") * bound + 1).alias("within_bound"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import alerts, drift, matching, metrics, quality
+from tessera.plans import scale
 from tessera.streaming import drift as drift_job
 from tessera.streaming import jobs, live
 
@@ -209,7 +210,7 @@ def test_r7_grid_of_a_long_gap_is_many_rows(spark):
     first = int(dt.datetime(1990, 1, 1, tzinfo=dt.timezone.utc).timestamp()) // 30
     assert got == [("HighErrorRate", "firing", first + 4), ("HighErrorRate", "pending", first), ("HighErrorRate", "resolved", first + 10)]
     wide = spark.createDataFrame([(0, 10**9)], "lo long, hi long")
-    n, longest, total = alerts._stretches(wide, 120).agg(F.count("*"), F.max(F.col("_b") - F.col("_a")), F.sum(F.col("_b") - F.col("_a") + 1)).first()
+    n, longest, total = scale.stretches(wide, 120).agg(F.count("*"), F.max(F.col("_b") - F.col("_a")), F.sum(F.col("_b") - F.col("_a") + 1)).first()
     assert longest == 119 and total == 10**9 + 1 and n == -(-(10**9 + 1) // 120)
 
 
