@@ -14,105 +14,127 @@ packed like any other, row by row.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import array
 import functools
 import os
 from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Cache, hold, materialise, n_tasks
+from tessera.llm.common import hold, materialise, n_tasks
+from tessera.llm.shards import Memo, byte_letters, lists, slices
 
 SIZE = 4096
 CLOSE = 1
-#: Marks that the tokenizer keeps apart from the word before them.
-MARKS = b".,;:!?*#$%&|"
+#: Parts of lower-case Latin letters, digits and marks but the apostrophe: the tokenizer's
+#: normaliser leaves them as they are, and they fall into pieces wherever letters, digits (each by
+#: itself) and marks meet.
+_LATIN = r"^[\x21-\x26\x28-\x40\x5b-\x7e\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
+_NONE, _LETTER, _DIGIT, _MARK = range(4)
+_CLASS = np.full(256, _LETTER, np.uint8)
+_CLASS[:128] = [_LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _NONE if b == 0 else _MARK for b in range(128)]
 
 
 class Words:
-    """Ids of a text as the tokenizer gives them, memoised by its parts between white space:
-    the tokenizer drops white space and joins nothing across it.  It lower-cases too, so parts
-    are kept with A-Z in lower case; and it parts letters from marks, so "word," is "word" and
-    ",".  Texts that may spell a special token are given to the tokenizer whole."""
+    """Ids of a text as the tokenizer gives them, memoised by its parts between white space: the
+    tokenizer drops white space and joins nothing across it.  It lower-cases too, so parts are
+    kept with A-Z in lower case.  All steps are taken for a column of texts at once.  Texts that
+    may spell a special token are given to the tokenizer whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        #: The same vocabulary over pieces that are parted already and written in its letters.
+        self.parted = Tokenizer.from_file(path)
+        self.parted.normalizer = normalizers.Sequence([])
+        self.parted.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\0")
+        self.parted.model._resize_cache(0)  # what it is asked is new
+        self.letters = byte_letters()
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a word
         self.ends[[i for w, i in names.items() if w.endswith("</w>")]] = True
-        self.special = tuple({w[:2] for w in (t.content for t in self.tokenizer.get_added_tokens_decoder().values())})
-        self.known = Cache(lambda part: self._plain(part.decode()), 300_000)
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _letters(self, word: bytes) -> bytes:
-        """Ids of a part of the letters a-z alone: one word, which the normaliser leaves as it is."""
-        return array.array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
-
-    def _words(self, words: list[bytes]) -> None:
-        """Learn parts of other letters alone, each one word to the tokenizer: they go in one call
-        and are told apart by the ids that end words."""
-        if not words:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        self.special = sorted({w[:2] for w in (t.content for t in self.tokenizer.get_added_tokens_decoder().values())})
+        self.memo = Memo(self._learn, memo)
+
+    def _plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _pieces(self, parts: pa.Array) -> pa.LargeListArray:
+        """Ids of parts of ``_LATIN``: one call, told apart by the ids that end words."""
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(parts)], parts), "\0")[0].as_buffer()
+        data = np.frombuffer(joined, np.uint8)
+        kind = _CLASS[data]
+        new = np.zeros(len(data), bool)
+        new[1:] = (kind[1:] != _NONE) & (kind[:-1] != _NONE) & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+        at = np.arange(len(data)) + np.cumsum(new)
+        text = np.zeros(at[-1] + 1, "<u4")
+        text[at] = self.letters[data]
+        ids = np.array(self.parted.encode_batch_fast([text.tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids, "<u4")
+        # pieces up to the end of each part
+        n = np.append(np.cumsum(new)[kind == _NONE], new.sum()) + np.arange(1, len(parts) + 1)
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words) or stops[-1] != len(ids):
-            self.known.update((w, self._plain(w.decode())) for w in words)
-            return
-        raw, stops = ids.tobytes(), (4 * stops).tolist()
-        self.known.update((w, raw[a:b]) for w, a, b in zip(words, [0, *stops], stops))
-
-    def _learn(self, parts) -> None:
-        """Put the ids of new parts into ``known``.  Letters and the marks after them are apart
-        to the tokenizer (unless an apostrophe may start a contraction)."""
-        known, older, plain = self.known, self.known.older, self._letters
-        words, split, rest = [], [], []
-        for p in parts:
-            if (ids := older.get(p)) is not None:
-                known[p] = ids
-            elif p.isalpha():
-                known[p] = plain(p)
-            else:
-                stem = p.rstrip(MARKS)
-                if stem != p and stem[-1:].isalnum() and b"'" not in p:
-                    split.append((p, stem, p[len(stem):]))
-                else:
-                    rest.append(p)
-        for p in {x for _, *both in split for x in both if x not in known}:
-            if (ids := older.get(p)) is not None:
-                known[p] = ids
-            elif p.isalpha():
-                known[p] = plain(p)
-            else:
-                rest.append(p)
-        for p in rest:
-            if (t := p.decode()).isalpha():
-                words.append(p)
-            else:
-                known[p] = self._plain(t)
-        self._words(list(dict.fromkeys(words)))
-        known.update((p, known[stem] + known[marks]) for p, stem, marks in split)
-
-    def forget(self) -> None:
-        self.known.clear()
-        self.known.older.clear()
+        if len(stops) == n[-1] and stops[-1] == len(ids):
+            return lists(ids, stops[n - 1])
+        return self._single(parts)
+
+    def _single(self, parts: pa.Array) -> pa.LargeListArray:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts.to_pylist(), add_special_tokens=False)]
+        return lists(np.array([i for x in ids for i in x], "<u4"), np.cumsum([len(x) for x in ids]))
+
+    def _learn(self, parts: pa.Array) -> tuple[pa.Array, pa.LargeListArray]:
+        latin = pc.match_substring_regex(parts, _LATIN)
+        words, ids = [], []
+        for some, ask in ((parts.filter(latin), self._pieces), (parts.filter(pc.invert(latin)), self._single)):
+            for a in range(0, len(some), 50_000):
+                words.append(some.slice(a, 50_000))
+                ids.append(ask(words[-1]))
+        return pa.concat_arrays(words), pa.concat_arrays(ids)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), one text after another, and how many each has."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = texts.cast(pa.string()).fill_null("")
+        odd = functools.reduce(pc.or_, [pc.match_substring(texts, s) for s in self.special])
+        odd_rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        whole = [self._plain(texts[int(i)].as_py()) for i in odd_rows]
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(odd, "", texts) if whole else texts))
+        lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        entries, n = self._entries(coded.dictionary), len(coded.dictionary)
+        if whole:
+            codes = np.insert(codes, (np.cumsum(lengths) - lengths)[odd_rows], n + np.arange(len(whole)))
+            lengths[odd_rows] += 1
+            entries = pa.concat_arrays([entries, lists(np.concatenate(whole), np.cumsum([len(w) for w in whole]))])
+        sizes = pc.list_value_length(entries).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])[np.cumsum(lengths)]
+        return entries.take(pa.array(codes)).flatten().to_numpy(), np.diff(ends, prepend=0)
+
+    def _entries(self, words: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct parts; white space at the ends of a text leaves an empty one."""
+        if not len(words):
+            return lists(np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        empty = pc.equal(words, "")
+        if not pc.any(empty).as_py():
+            return self.memo.look_up(words)
+        rest = words.filter(pc.invert(empty))
+        found = self.memo.look_up(rest) if len(rest) else lists(np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        found = pa.concat_arrays([found, lists(np.zeros(0, "<u4"), np.zeros(1, np.int64))])
+        at = np.full(len(words), len(rest))
+        at[~empty.to_numpy(zero_copy_only=False)] = np.arange(len(rest))
+        return found.take(pa.array(at))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [bool(t) and any(s in t for s in self.special) for t in texts]
-        parts = [t.encode().lower().split() if t and not w else [] for t, w in zip(texts, whole)]
-        self.known.age()
-        self._learn(set().union(*parts).difference(self.known))
-        get = self.known.get
-        return [self._plain(t) if w else b"".join(map(get, p)) for t, w, p in zip(texts, whole, parts)]
+        ids, n = self.encode_column(pa.array(texts, pa.string()))
+        ends = np.cumsum(n)
+        return [ids[b - k:b].astype("<u4").tobytes() for b, k in zip(ends, n)]
 
 
 @functools.lru_cache(2)
@@ -120,18 +142,6 @@ def load(path: str) -> Words:
     return Words(path)
 
 
-def batches(texts: list[str | None], chars: int = 2_000_000):
-    """Index ranges of ``texts`` of about so many characters, one text at least."""
-    start, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t or "")
-        if n >= chars:
-            yield start, i + 1
-            start, n = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces of at most ``size`` ids of every document: ``doc_id``, ``piece`` (from 0), ``start``
     (ids of the document before it), ``length`` and ``ids`` (little-endian unsigned 32-bit)."""
@@ -139,23 +149,27 @@ def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text
 
     def run(source):
         words = load(path)
-        hold("packing", words.forget)
-        close = np.array([CLOSE], "<u4").tobytes()
+        hold("packing", words.memo.forget)
         for batch in source:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in batches(texts):
-                rows, piece, start, ids = [], [], [], []
-                for i, raw in zip(range(a, b), words.encode(texts[a:b])):
-                    raw += close
-                    for k, at in enumerate(range(0, len(raw), 4 * size)):
-                        rows.append(i)
-                        piece.append(k)
-                        start.append(at // 4)
-                        ids.append(raw[at:at + 4 * size])
+            for a, b in slices(batch.column(1)):
+                ids, n = words.encode_column(batch.column(1).slice(a, b - a))
+                total = n + 1
+                ends = np.cumsum(total)
+                closed = np.full(int(ends[-1]), CLOSE, "<u4")
+                inside = np.ones(len(closed), bool)
+                inside[ends - 1] = False
+                closed[inside] = ids
+                pieces = -(-total // size)
+                row = np.repeat(np.arange(b - a), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * size
+                at = (ends - total)[row] + start
+                length = np.minimum(total[row] - start, size)
+                offsets = 4 * np.append(at, ends[-1])
+                binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(closed)])
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "piece", "start", "length", "ids"])
+                    [batch.column(0).take(pa.array(a + row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                     binary.cast(pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids binary"
     return df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)

@@ -60,7 +60,7 @@ _CLASS = np.full(256, _LETTER, np.uint8)
 _CLASS[:128] = [_LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _LINE if b == 10 else _NONE if b in (0, 32) else _MARK for b in range(128)]
 
 
-def _byte_letters() -> np.ndarray:
+def byte_letters() -> np.ndarray:
     """The letter that byte-level vocabularies write for each byte: printable ones as they are, the
     others from 256 on.  Byte 0 stays: it parts pieces here."""
     plain = np.zeros(256, bool)
@@ -71,22 +71,49 @@ def _byte_letters() -> np.ndarray:
     return letters.astype("<u4")
 
 
-def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.LargeListArray:
+def lists(ids: np.ndarray, ends: np.ndarray) -> pa.LargeListArray:
     return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), pa.array(ids))
 
 
+class Memo:
+    """Ids of the parts met last, ``most`` of them, kept as columns: a batch of distinct parts is
+    looked up in one step, and ``learn`` gives the words and ids of those that aren't there."""
+
+    def __init__(self, learn, most: int):
+        self.learn, self.most = learn, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids = lists(np.zeros(0, "<u4"), np.zeros(0, np.int64))
+
+    def look_up(self, words: pa.Array) -> pa.LargeListArray:
+        at = pc.index_in(words, self.words)
+        new = words.filter(at.is_null())
+        if not len(new):
+            return self.ids.take(at)
+        learnt, ids = self.learn(new)
+        every, every_ids = pa.concat_arrays([self.words, learnt]), pa.concat_arrays([self.ids, ids])
+        at = pc.index_in(words, every)
+        # what this batch used comes last, so that the parts met longest ago go first
+        used = np.zeros(len(every), bool)
+        used[at.to_numpy()] = True
+        order = np.concatenate([np.flatnonzero(~used), np.flatnonzero(used)])
+        kept = pa.array(order[max(len(order) - self.most, 0):])
+        self.words, self.ids = every.take(kept), every_ids.take(kept)
+        return every_ids.take(at)
+
+
 class Encoder:
     """Ids of texts as the tokenizer gives them.
 
     The tokenizer never joins across a single space before a letter or mark, which starts a
     piece of its own.  So texts are split there column-wise, the distinct parts of a slice get
-    their ids from a memo (the ``MEMO`` parts met last, as columns) or the tokenizer, and the
+    their ids from a memo or the tokenizer, and the
     ids of all texts are gathered in one step.  Texts where spaces stand otherwise go to the
     tokenizer one by one."""
 
-    MEMO = 400_000
-
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -94,7 +121,7 @@ class Encoder:
         #: The same vocabulary over pieces that are parted already and written in its letters.
         self.parted = Tokenizer.from_file(path)
         self.parted.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\0")
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.parted.model._resize_cache(0)  # what it is asked is new
         names = self.tokenizer.get_vocab()
         self.n_ids = max(names.values()) + 1
@@ -102,11 +129,7 @@ class Encoder:
         self.starts = np.zeros(self.n_ids, bool)  # ids that begin with a space
         self.starts[[i for w, i in names.items() if w.startswith(space)]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
-
-    def forget(self) -> None:
-        self.words = pa.array([], pa.string())
-        self.ids = _lists(np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        self.memo = Memo(self._learn, memo)
 
     def _plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -122,9 +145,9 @@ class Encoder:
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         at = np.flatnonzero(self.starts[ids])
         if len(at) == len(parts):
-            return _lists(ids, np.append(at[1:], len(ids)))
+            return lists(ids, np.append(at[1:], len(ids)))
         single = [self._plain(" " + p) for p in parts.to_pylist()]
-        return _lists(np.concatenate(single), np.cumsum([len(x) for x in single]))
+        return lists(np.concatenate(single), np.cumsum([len(x) for x in single]))
 
     def _parted(self, parts: pa.Array) -> str:
         """Parts of ``_LATIN`` with a space before each, in pieces: ``\0 word\0,\0 next``."""
@@ -151,23 +174,6 @@ class Encoder:
             ids.append(self._ask(self.tokenizer, " " + " ".join(words[-1].to_pylist()), words[-1]))
         return pa.concat_arrays(words), pa.concat_arrays(ids)
 
-    def _look_up(self, words: pa.Array) -> pa.LargeListArray:
-        """Ids of distinct parts."""
-        at = pc.index_in(words, self.words)
-        new = words.filter(at.is_null())
-        if not len(new):
-            return self.ids.take(at)
-        learnt, ids = self._learn(new)
-        every, every_ids = pa.concat_arrays([self.words, learnt]), pa.concat_arrays([self.ids, ids])
-        at = pc.index_in(words, every)
-        # what this slice used comes last, so that the parts met longest ago go first
-        used = np.zeros(len(every), bool)
-        used[at.to_numpy()] = True
-        order = np.concatenate([np.flatnonzero(~used), np.flatnonzero(used)])
-        kept = pa.array(order[max(len(order) - self.MEMO, 0):])
-        self.words, self.ids = every.take(kept), every_ids.take(kept)
-        return every_ids.take(at)
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (null: empty), one text after another, and how many each has."""
         if not len(texts):
@@ -192,9 +198,9 @@ class Encoder:
         codes = np.empty(len(parts), np.int64)
         codes[later] = coded.indices.to_numpy(zero_copy_only=False)
         codes[first] = n + np.arange(len(heads))
-        entries = _lists(np.concatenate(heads), np.cumsum([len(h) for h in heads]))
+        entries = lists(np.concatenate(heads), np.cumsum([len(h) for h in heads]))
         if n:
-            entries = pa.concat_arrays([self._look_up(coded.dictionary), entries])
+            entries = pa.concat_arrays([self.memo.look_up(coded.dictionary), entries])
         sizes = pc.list_value_length(entries).to_numpy(zero_copy_only=False)
         return entries.take(pa.array(codes)).flatten().to_numpy(), np.add.reduceat(sizes[codes], first)
 
@@ -311,7 +317,7 @@ def write(df: DataFrame, path: str, folder: str | None = None, close: int = CLOS
 
     def shards(source):
         encoder = load(path)
-        hold("shards", encoder.forget)
+        hold("shards", encoder.memo.forget)
         task = TaskContext.get()
         part, n = task.partitionId(), 0
         keys, counts, ids = [], [], []

@@ -44,8 +44,7 @@ def texts(n, seed):
 
 @pytest.mark.parametrize("memo", [0, 50, 600_000])
 def test_op12_encodes_as_the_library(tokenizer, memo):
-    encoder = shards.Encoder(PATH)
-    encoder.MEMO = memo
+    encoder = shards.Encoder(PATH, memo)
     every = [*texts(8000, 1), None, "", " ", "a" * 20_000, " " * 5000, "word, " * 5000]
     for k in range(0, len(every), 1500):
         part = every[k:k + 1500]
@@ -53,7 +52,7 @@ def test_op12_encodes_as_the_library(tokenizer, memo):
         ends = np.cumsum(n)
         for t, a, b in zip(part, ends - n, ends):
             assert ids[a:b].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, t
-    assert len(encoder.words) <= memo
+    assert len(encoder.memo.words) <= memo
 
 
 def test_op12_file_is_read_in_part(tmp):
