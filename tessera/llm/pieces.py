@@ -29,10 +29,12 @@ import re
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import hold
+from tessera.llm.shards import Memo, lists, slices
 
 MARK = "▁"
 #: Bounds of the memos of a worker: parts (two generations of them), segments and pairs.
@@ -96,6 +98,11 @@ class PieceModel:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.memo = Memo(self._learn, PARTS)
+        self.surfaces = pa.array(self.surface, pa.large_binary())
+        #: ids after which text can't be put together piece by piece: silent ones, bytes beyond ASCII
+        self.odd = np.zeros(self.size, bool)
+        self.odd[[*self.silent, *(i for b, i in self.byte_id.items() if b > 127)]] = True
 
     def merge(self, text: str) -> list[str]:
         """Merge neighbours of ``text`` in order of score, the left one first among equals."""
@@ -209,6 +216,7 @@ class PieceModel:
     def forget(self) -> None:
         for memo in (self.known, self.parts, self.older, self.pairs):
             memo.clear()
+        self.memo.forget()
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -233,6 +241,72 @@ class PieceModel:
         self.parts[part] = ids
         return ids
 
+    def _learn(self, parts: pa.Array) -> tuple[pa.Array, pa.LargeListArray]:
+        """Ids of new parts between single spaces."""
+        if len(self.known) >= SEGMENTS:
+            self.known.clear()
+        known, miss, segments = self.known.get, self._segment, self.segments
+        raw = [b"".join([known(s) or miss(s) for s in segments(MARK + p)]) for p in parts.to_pylist()]
+        return parts, lists(np.frombuffer(b"".join(raw), "<u4"), np.cumsum([len(r) // 4 for r in raw]))
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), one text after another, and how many each has.  Parts between single
+        spaces are encoded apart, each distinct one once; texts where markers or spaces stand
+        otherwise go one by one."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = texts.cast(pa.string()).fill_null("")
+        apart = [pc.equal(texts, ""), pc.match_substring(texts, MARK), pc.match_substring(texts, "  "), pc.starts_with(texts, " "), pc.ends_with(texts, " ")]
+        apart = functools.reduce(pc.or_, apart)
+        rows = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        whole = [np.frombuffer(self.encode_bytes(texts[int(i)].as_py()), "<u4") for i in rows]
+        parts = pc.split_pattern(pc.if_else(apart, "", texts) if whole else texts, " ")
+        lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.cumsum(lengths) - lengths
+        flat = parts.flatten()
+        own = np.ones(len(flat), bool)
+        own[first[rows]] = False
+        coded = flat.filter(pa.array(own)).dictionary_encode()
+        n = len(coded.dictionary)
+        codes = np.empty(len(flat), np.int64)
+        codes[own] = coded.indices.to_numpy(zero_copy_only=False)
+        codes[first[rows]] = n + np.arange(len(rows))
+        entries = [self.memo.look_up(coded.dictionary)] if n else []
+        if whole:
+            entries.append(lists(np.concatenate(whole), np.cumsum([len(w) for w in whole])))
+        entries = pa.concat_arrays(entries)
+        sizes = pc.list_value_length(entries).to_numpy(zero_copy_only=False)
+        return entries.take(pa.array(codes)).flatten().to_numpy(), np.add.reduceat(sizes[codes], first)
+
+    def decode_rows(self, ids: np.ndarray, at: np.ndarray) -> pa.Array:
+        """Texts of the rows ``ids[at[i]:at[i + 1]]``.  The surfaces of all pieces are gathered in one step;
+        rows with ids of ``odd`` go one by one."""
+        if len(at) < 2:
+            return pa.array([], pa.string())
+        hits = np.concatenate([[0], np.cumsum(self.odd[ids])])
+        odd = hits[at[1:]] > hits[at[:-1]]
+        size = np.diff(at)
+        plain = ids[~np.repeat(odd, size)]
+        ends = np.cumsum(np.where(odd, 0, size))
+        gathered = self.surfaces.take(pa.array(plain))
+        place = np.frombuffer(gathered.buffers()[1], np.int64)[:len(plain) + 1]
+        data = np.frombuffer(gathered.buffers()[2] or b"", np.uint8)[:place[-1]]
+        stop = place[ends]
+        start = stop - np.diff(stop, prepend=0)
+        # the marker that encoding put in front goes
+        some = np.flatnonzero(stop > start)
+        head = plain[(ends - np.where(odd, 0, size))[some]]
+        some = some[(data[start[some]] == 32) & (head != self.unknown) & (head != self.byte_id.get(32, -1))]
+        keep = np.ones(len(data), bool)
+        keep[start[some]] = False
+        length = stop - start
+        length[some] -= 1
+        offsets = np.concatenate([[0], np.cumsum(length)])
+        text = pa.LargeStringArray.from_buffers(len(length), pa.py_buffer(offsets), pa.py_buffer(data[keep])).cast(pa.string())
+        if odd.any():
+            text = pc.replace_with_mask(text, pa.array(odd), pa.array([self.decode(ids[at[i]:at[i + 1]].tolist()) for i in np.flatnonzero(odd)], pa.string()))
+        return text
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
 
@@ -269,11 +343,12 @@ def encode_column(text: Column, path: str) -> Column:
     def encode(column: pa.Array) -> pa.Array:
         model = load(path)
         hold("pieces", model.forget)
-        rows = [model.encode_bytes(t.as_py()) for t in column]
-        offsets = np.zeros(len(rows) + 1, np.int64)
-        np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
-        flat = pa.array(np.frombuffer(b"".join(rows), "<i4"))
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat)
+        ids, n = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for a, b in slices(column):
+            for out, more in zip((ids, n), model.encode_texts(column.slice(a, b - a))):
+                out.append(more)
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(n))])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(ids).view("<i4")))
 
     return encode(text)
 
@@ -284,12 +359,14 @@ def decode_column(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(column: pa.Array) -> pa.Array:
         model = load(path)
-        flat = column.values.to_numpy(zero_copy_only=False)
-        at = column.offsets.to_pylist()
-        plain = not np.isin(flat[at[0]:at[-1]], list(model.silent)).any()
-        # one row's ids at a time as Python numbers; a null row is empty
-        return pa.array([model.decode(flat[a:b].tolist() if ok else [], plain) for a, b, ok in
-                         zip(at, at[1:], column.is_valid().to_pylist())], pa.string())
+        column = column.fill_null([])
+        flat, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy().astype(np.int64)
+        out, a = [], 0
+        while a < len(column):  # about two million ids at a time
+            b = max(a + 1, int(np.searchsorted(at, at[a] + 2_000_000, "right")) - 1)
+            out.append(model.decode_rows(flat[at[a]:at[b]], at[a:b + 1] - at[a]))
+            a = b
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     return decode(ids)
 
