@@ -8,7 +8,8 @@ equal priors.  Piece probabilities are fitted by expectation maximisation (forwa
 over the words of a bounded sample of the labelled rows.
 
 Words are runs of letters, lower-cased; words of over 48 letters are scored in stretches of
-48.  Null texts and texts without a letter are ``und`` with score 0, and so is every text if
+48.  Sums are scaled by a constant for each character, so that no word's probability underflows,
+letters outside the vocabulary (the floor) included.  Null texts and texts without a letter are ``und`` with score 0, and so is every text if
 there is nothing to learn from.  Ties go to the language first in order of name.
 """
 
@@ -30,6 +31,8 @@ MARK = "▁"
 LONGEST = 48
 #: Probability of a character by itself where the vocabulary has none; the same for all languages.
 FLOOR = 1e-7
+#: Factor for each character of a piece; 48 letters lie between 1e-192 (all floors) and 1e144.
+SCALE = 1e3
 #: Added to the expected count of every piece.
 PRIOR = 0.05
 #: Words whose probabilities a worker keeps.
@@ -48,6 +51,8 @@ class Vocabulary:
         names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
                  if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.size = len(names)
+        #: the factor of each piece, the floor's in the end
+        self.scale = np.append(SCALE ** np.array([len(p) for p in names], float), SCALE)[:, None]
         self.automaton = ahocorasick.Automaton()
         for i, p in enumerate(names):
             self.automaton.add_word(p, len(p) << 20 | i)
@@ -70,9 +75,10 @@ class Vocabulary:
         return first, edges, np.searchsorted(depth, np.arange(1, LONGEST + 3))
 
     def forward(self, words: list[str], model: np.ndarray):
-        """Node sums (nodes x languages) and the lattice; ``model``: (pieces + 1) x languages,
+        """Scaled node sums (nodes x languages) and the lattice; ``model``: (pieces + 1) x languages,
         the last row being the floor."""
         first, edges, bounds = self.lattice(words)
+        model = model * self.scale
         alpha = np.zeros((first[-1], model.shape[1]))
         alpha[first[:-1]] = 1.0
         for a, b in zip(bounds, bounds[1:]):
@@ -84,7 +90,7 @@ class Vocabulary:
 
     def log_likelihood(self, words: list[str], model: np.ndarray) -> np.ndarray:
         alpha, first, _, _ = self.forward(words, model)
-        return np.log(alpha[first[1:] - 1])
+        return np.log(alpha[first[1:] - 1]) - (np.diff(first) - 1)[:, None] * np.log(SCALE)
 
     def expected(self, words: list[str], weight: np.ndarray, model: np.ndarray) -> np.ndarray:
         """Expected counts of the pieces (one language), each word with its weight."""
@@ -92,7 +98,7 @@ class Vocabulary:
         alpha = alpha[:, 0]
         beta = np.zeros(len(alpha))
         beta[first[1:] - 1] = weight / alpha[first[1:] - 1]
-        p = model[:, 0]
+        p = (model * self.scale)[:, 0]
         for a, b in reversed(list(zip(bounds, bounds[1:]))):
             np.add.at(beta, edges[a:b, 0], beta[edges[a:b, 1]] * p[edges[a:b, 2]])
         share = alpha[edges[:, 0]] * p[edges[:, 2]] * beta[edges[:, 1]]
@@ -159,20 +165,26 @@ class Model:
         return many
 
 
-def fit(labelled: DataFrame, path: str, per_language: int = 1500, rounds: int = 2,
-        text: str = "text", lang: str = "lang") -> Model:
-    """Learn from rows with a text and a language: of each language about ``per_language`` rows
-    (all, if it has fewer), chosen by a hash of the text."""
-    spark = labelled.sparkSession
-    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
+def drawn(labelled: DataFrame, per_language: int, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+    """``lang`` and ``text`` of about ``per_language`` rows of each language (all, if it has fewer), chosen by a
+    hash of the text and, where there is one, the row's ``doc_id``: copies of a text are chosen one
+    by one."""
+    key = F.coalesce(F.col(doc_id).cast("string"), F.lit("")) if doc_id in labelled.columns else F.lit("")
+    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), key.alias("key")).dropna()
     # one number for each language: less than the model itself
     n_rows = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if n_rows:
         share = F.create_map(*[F.lit(x) for g, n in n_rows.items() for x in (g, min(1.0, per_language / n))])[F.col("lang")]
     else:
         share = F.lit(0.0)
-    draw = F.pmod(F.xxhash64("text", F.lit("langid")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = rows.where(draw < share).select("lang", "text")
+    draw = F.pmod(F.xxhash64("text", "key", F.lit("langid")), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    return rows.where(draw < share).select("lang", "text")
+
+
+def fit(labelled: DataFrame, path: str, per_language: int = 1500, rounds: int = 2,
+        text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
+    """Learn from the rows that ``drawn`` chooses among those with a text and a language."""
+    sample = drawn(labelled, per_language, text, lang, doc_id)
 
     def count(source):
         for batch in source:
@@ -210,6 +222,8 @@ def fit(labelled: DataFrame, path: str, per_language: int = 1500, rounds: int =
         n = np.full((size, len(languages)), PRIOR)
         n[got["piece"], got["lang"]] += got["n"]
         table = np.vstack([n / n.sum(0), np.full((1, len(languages)), FLOOR)])
+        if not np.isfinite(table).all():
+            raise FloatingPointError("piece probabilities that are no numbers")
     return Model(path, languages, table)
 
 

@@ -57,6 +57,48 @@ def test_op8_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_op8_letters_outside_the_vocabulary(spark):
+    """Long runs of letters that no piece holds, in scoring and in learning: no score and no
+    probability is NaN, and the other languages are told as before."""
+    runs = ["中文" * 60, "ሀለሐመ" * 40, "กขคง" * 50, "x" * 500, "ሀ" * 5000, "hello " + "中" * 47]
+    rows = [(i, t, g) for i, (t, g) in enumerate([("the cat sat on the mat and the dog", "en"), ("der Hund und die Katze sind im Haus", "de")] * 40)]
+    for extra in ([], [(1000, "ሀለሐመሠረሰሸቀበተቸኀነኘአከኸወዐዘዠየደጀገጠጨጰጸፀፈፐ" * 2, "en")]):
+        model = langid.fit(spark.createDataFrame(rows + extra, "doc_id long, text string, lang string"), MODEL)
+        assert np.isfinite(model.table).all()
+        told = model.scorer()(runs + ["und die Katze", "and the cat"])
+        assert all(0 <= score <= 1 for _, score in told)
+        assert [lang for lang, _ in told[-2:]] == ["de", "en"]
+
+
+def test_op8_score_is_the_posterior_by_brute_force(spark):
+    rows = [(i, t, g) for i, (t, g) in enumerate([("the cat sat", "en"), ("der Hund lief", "de"), ("le chat dort", "fr")] * 10)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), MODEL)
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
+             if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+    at = {p: i for i, p in enumerate(names)}
+
+    def total(word, column):
+        sums = [1.0] + [0.0] * len(word)
+        for end in range(1, len(word) + 1):
+            sums[end] = sums[end - 1] * langid.FLOOR + sum(sums[a] * column[at[word[a:end]]] for a in range(end) if word[a:end] in at)
+        return sums[-1]
+
+    for text in ("The hat", "das Haus der Katze", "chat", "zzyx qqq"):
+        logs = [sum(np.log(total("▁" + w, model.table[:, j])) for w in text.lower().split()) for j in range(3)]
+        best = int(np.argmax(logs))
+        lang, score = model.scorer()([text])[0]
+        assert lang == model.languages[best] and abs(score - 1 / np.exp(np.array(logs) - logs[best]).sum()) < 1e-9
+
+
+def test_op8_copies_are_drawn_one_by_one(spark):
+    """A text that fills most of a language must not enter whole."""
+    rows = [(i, "always the same words here", "en") for i in range(3000)] + [(5000 + i, f"other text number {i}", "en") for i in range(1000)]
+    sample = langid.drawn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 200)
+    assert 100 < sample.count() < 300 and 0 < sample.where("text like 'always%'").count() < 250
+
+
 def test_op8_odd_rows(spark, odd, none):
     model = langid.fit(odd.where("lang is not null"), MODEL)
     assert model.languages == ["de", "en"]  # the French row has no letter to learn from
