@@ -121,13 +121,25 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _best(q: np.ndarray, qkeys, x: np.ndarray, ids, k: int) -> pd.DataFrame:
-    """Best ``k`` entries of each query, with the exact products."""
+    """Best ``k`` entries of each query by the exact product, ties to the entry with the smallest id.
+
+    The fast products only preselect: all entries within their rounding of the k-th are
+    measured exactly."""
+    lead = np.array([i[0] for i in ids])
+    length = np.sqrt((x ** 2).sum(1))
     rows = []
     for a in range(0, len(q), 256):
-        s = q[a:a + 256] @ x.T
-        top = np.argpartition(-s, k - 1, axis=1)[:, :k] if s.shape[1] > k else np.tile(np.arange(s.shape[1]), (len(s), 1))
-        exact = np.einsum("ikd,id->ik", x[top], q[a:a + 256])
-        rows += [(qkeys[a + i], float(e), ids[j]) for i in range(len(s)) for j, e in zip(top[i], exact[i])]
+        part = q[a:a + 256]
+        s = part @ x.T
+        slack = 1e-12 * np.sqrt((part ** 2).sum(1))[:, None] * length[None] * max(1, x.shape[1])
+        # the k-th best exact product is at least the k-th best of the lower ends
+        low = np.partition(s - slack, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+        i, j = np.nonzero(s + slack >= low[:, None])
+        exact = np.einsum("ij,ij->i", part[i], x[j])
+        order = np.lexsort((lead[j], -exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        nth = np.arange(len(i)) - np.searchsorted(i, i)
+        rows += [(qkeys[a + r], float(e), ids[c]) for r, c, e in zip(i[nth < k].tolist(), j[nth < k].tolist(), exact[nth < k].tolist())]
     return pd.DataFrame(rows, columns=["qkey", "score", "ids"])
 
 

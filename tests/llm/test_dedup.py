@@ -188,6 +188,22 @@ def test_op4_odd_vectors_and_blocks(spark):
     assert sorted((r.query_id, r.vec_id) for r in few) == [(0, 1), (0, 2)]
 
 
+def test_op4_ties_between_different_vectors(spark):
+    """60 different vectors with equal products to the query: the smaller ids are found."""
+    rows = [(0, [1.0, 0.0, 0.0])] + [(i, [0.5, float(i), float(-i)]) for i in range(1, 61)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (8, 4096):
+        got = neighbours.search(df, F.col("vec_id") == 0, k=5, leaf=100, block=block, recall=1.0).orderBy("rank").collect()
+        assert [(r.vec_id, r.score) for r in got] == [(i, 0.5) for i in range(1, 6)]
+    rnd = np.random.RandomState(9)  # quantised vectors: many equal products
+    rows = [(i, rnd.randint(-1, 2, 6).astype(float).tolist()) for i in range(300)]
+    want = plain_search([(i, np.array(v)) for i, v in rows if any(v)], [i for i, v in rows if i % 20 == 0 and any(v)], 7)
+    got = {}
+    for r in neighbours.search(spark.createDataFrame(rows, df.schema), F.col("vec_id") % 20 == 0, k=7, leaf=400, block=32, recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    assert got == want
+
+
 def test_pipeline_stages_by_brute_force(spark):
     docs = table(spark, SF_SMALL, "documents")
     names = [n for n, _ in corpus_pipeline.STAGES]
