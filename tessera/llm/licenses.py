@@ -8,7 +8,8 @@ left, and of the base phrases, are the text's labels; its score is the largest w
 them (a base phrase: 0.5).
 
 Nothing is shuffled: a text's detections are arrays in its own row.  Null text counts as
-empty and has no words, no places and no labels.  Whole texts are scanned.
+empty and has no words, no places and no labels.  Whole texts are scanned, in time linear in
+their detections (up to sorting).  Repeated rows are scanned each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -50,32 +51,63 @@ def _phrase(n: Column, phrase: str) -> Column:
         (_spaces(F.substring(n, F.lit(1), last)) - 1).alias("last"), F.lit(PHRASES.get(phrase, phrase)).alias("label")))
 
 
+#: Items that are scanned one by one.  A step of an aggregation copies what it carries, so long
+#: arrays are scanned in blocks, each from the value that the blocks before it give.
+_BLOCK = 256
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often lambdas refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scanned(items: Column, total, combine, step) -> Column:
+    """Hits that ``step(number so far, item)`` (the new number, a hit, whether it is wanted) gives in turn; ``total``
+    is a block's number, ``combine`` puts two together."""
+    def in_block(block: Column, first: Column) -> Column:
+        def one(a: Column, item: Column) -> Column:
+            number, hit, wanted = step(a["number"], item)
+            return F.struct(number.alias("number"), F.when(wanted, F.concat(a["hits"], F.array(hit))).otherwise(a["hits"]).alias("hits"))
+
+        return F.aggregate(block, F.struct(first.alias("number"), F.array().cast(f"array<{_HIT}>").alias("hits")), one, lambda a: a["hits"])
+
+    def in_blocks(blocks: Column) -> Column:
+        start = F.struct(F.lit(0).alias("number"), F.array().cast("array<int>").alias("firsts"))
+        firsts = F.aggregate(F.transform(blocks, total), start, lambda a, n: F.struct(
+            combine(a["number"], n).alias("number"), F.concat(a["firsts"], F.array(a["number"])).alias("firsts")), lambda a: a["firsts"])
+        return _let(firsts, lambda f: F.flatten(F.transform(blocks, lambda block, i: in_block(block, F.get(f, i)))))
+
+    def cut(every: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / _BLOCK).cast("int"))
+        return F.when(F.size(every) <= _BLOCK, in_block(every, F.lit(0))).otherwise(
+            _let(F.transform(numbers, lambda b: F.slice(every, b * _BLOCK + 1, _BLOCK)), in_blocks))
+
+    return _let(items, cut)
+
+
 def _detections(n: Column, rule: Column) -> Column:
     """All places of a rule's pattern: start and (negated, so that longer ones sort first) end."""
     # the parts between the matches and the matches themselves, in turn, add up to the text
     turns = F.arrays_zip(F.split(n, rule["rx"], -1).alias("part"), F.regexp_extract_all(n, rule["rx"], F.lit(0)).alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_HIT}>").alias("out"))
 
-    def step(a: Column, t: Column) -> Column:
-        s = a["at"] + F.length(t["part"])
-        e = s + F.coalesce(F.length(t["hit"]), F.lit(0))
-        hit = F.struct(s.alias("s"), (-e).alias("ne"), rule["p"].alias("p"), rule["label"].alias("label"), rule["w"].alias("w"))
-        return F.struct(e.alias("at"), F.when(t["hit"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(hit))).alias("out"))
+    def length(t: Column) -> Column:
+        return F.length(t["part"]) + F.coalesce(F.length(t["hit"]), F.lit(0))
+
+    def step(at: Column, t: Column):
+        hit = F.struct((at + F.length(t["part"])).alias("s"), (-(at + length(t))).alias("ne"), rule["p"].alias("p"), rule["label"].alias("label"), rule["w"].alias("w"))
+        return at + length(t), hit, t["hit"].isNotNull()
 
-    return F.aggregate(turns, start, step, lambda a: a["out"])
+    return _scanned(turns, lambda block: F.aggregate(block, F.lit(0), lambda a, t: a + length(t)), lambda a, b: a + b, step)
 
 
 def _survivors(hits: Column) -> Column:
     """Detections that lie in no other.  In order of start, longest and highest priority first,
     a detection lies in an earlier one exactly if that one ends no sooner; the furthest end so
     far is enough to tell."""
-    start = F.struct(F.lit(0).alias("end"), F.array().cast(f"array<{_HIT}>").alias("out"))
-
-    def step(a: Column, h: Column) -> Column:
-        inside = a["end"] >= -h["ne"]
-        return F.struct(F.greatest(a["end"], -h["ne"]).alias("end"), F.when(inside, a["out"]).otherwise(F.concat(a["out"], F.array(h))).alias("out"))
+    def step(end: Column, h: Column):
+        return F.greatest(end, -h["ne"]), h, end < -h["ne"]
 
-    return F.aggregate(F.array_sort(hits), start, step, lambda a: a["out"])
+    return _scanned(F.sort_array(hits), lambda block: F.array_max(F.transform(block, lambda h: -h["ne"])), F.greatest, step)
 
 
 def scan(df: DataFrame, text: str = "text", signatures: list[Rule] | None = None) -> DataFrame:

@@ -305,6 +305,22 @@ def spelled(parsed):
     return out
 
 
+def test_op10_many_detections_in_one_text(spark):
+    """A list of notices: thousands of places in one text, in linear time."""
+    import time
+
+    took = []
+    for n in (3000, 12_000):
+        text = " ".join(f"item{i} licensed under the mit license and all rights reserved" for i in range(n))
+        began = time.time()
+        row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+        took.append(time.time() - began)
+        assert row.n_base == n and len(row.detections) >= n
+        starts = [d.start for d in row.detections]
+        assert starts == sorted(starts) and len(set(starts)) == len(starts)
+    assert took[1] < 8 * took[0] + 5
+
+
 def test_op10_gate_loses_no_match(spark):
     rules = license_rules.rules()
     texts = set()
