@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera.functions.text import strip_ws
+from tessera.plans.scale import running_sum
 
 log = logging.getLogger(__name__)
 
@@ -48,19 +49,67 @@ def _in_file_order(df: DataFrame) -> DataFrame:
 
 
 def read_keyed_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON object ``term → entry | [entries]``.  The key fills ``na'vi``
-    only when the entry lacks it; values that are not objects are dropped."""
-    doc = spark.read.text(path, wholetext=True)
-    kv = doc.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "raw"))
+    """JSON objects ``term → entry | [entries]``, one a file, read by as many tasks as the files have
+    splits.  The key fills ``na'vi`` only when the entry lacks it; values that are not objects are
+    dropped; of a key told twice the last value counts, at the first one's place.  ``seq`` follows
+    file names and the order in each file."""
+    pieces = (spark.read.option("lineSep", ",").text(path)
+              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                      F.monotonically_increasing_id().alias("nth"), "value"))
+    return keyed_entries(pieces)
+
+
+def _in_a_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Dense numbers from 0 over groups that are many and small, in the order of ``keys``."""
+    before = running_sum(df.withColumn("_one", F.lit(1)), "_one", order, keys, name="_upto")
+    return before.withColumn(name, F.col("_upto") - 1).drop("_one", "_upto")
+
+
+def keyed_entries(pieces: DataFrame) -> DataFrame:
+    """S2 for JSON text in pieces ``(file, start, nth, value)``: the text of each file cut at its commas, in
+    the order of ``start`` and ``nth``.
+
+    Which commas part entries follows from what is open at them: running sums over the pieces
+    tell whether a piece begins inside a string and how deep it lies in brackets.  A piece that
+    begins at depth 1 outside a string begins an entry, and the pieces up to the next one are
+    put together again."""
+    order = ["start", "nth"]
+    bare = F.regexp_replace("value", r"(?s)\\.", "")  # without escaped characters
+    p = pieces.withColumn("_bare", bare).withColumn("_quotes", F.length(F.regexp_replace("_bare", r'(?s)[^"]+', "")))
+    p = running_sum(p, "_quotes", order, ["file"], name="_upto")
+    inside = (F.col("_upto") - F.col("_quotes")) % 2 == 1
+    # from a quote on, if the piece begins in a string; then without strings, the last of which may stay open
+    code = F.regexp_replace(F.when(inside, F.concat(F.lit('"'), "_bare")).otherwise(F.col("_bare")), r'(?s)"[^"]*("|$)', "")
+    p = p.withColumn("_in", inside).withColumn("_code", code)
+
+    def count(chars: str):
+        return F.length("_code") - F.length(F.translate("_code", chars, ""))
+
+    p = p.withColumn("_deeper", count("{[") - count("}]")).drop("_bare", "_code", "_quotes", "_upto")
+    p = running_sum(p, "_deeper", order, ["file"], name="_depth")
+    begins = ~F.col("_in") & (F.col("_depth") - F.col("_deeper") <= 1)
+    p = running_sum(p.withColumn("_begins", begins.cast("int")), "_begins", order, ["file"], name="entry")
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "nth", "value"))), lambda x: x["value"]), ",")
+    entries = p.groupBy("file", "entry").agg(text.alias("text"), F.min("_depth").alias("_least"))
+    # the file's own brackets go with its first and last entry
+    body = F.when(F.col("entry") == 1, F.regexp_replace("text", r"^[\s\x{FEFF}]*\{", "")).otherwise(F.col("text"))
+    body = F.when(F.col("_least") <= 0, F.regexp_replace(body, r"\}\s*$", "")).otherwise(body)
+    kv = entries.select("file", "entry", F.explode(F.from_json(F.concat(F.lit("{"), body, F.lit("}")), "map<string,string>")).alias("key", "raw"))
+    kv = kv.groupBy("file", "key").agg(F.min("entry").alias("entry"), F.max_by("raw", "entry").alias("raw"))
     t = F.ltrim("raw")
     items = (F.when(F.startswith(t, F.lit("[")), F.from_json("raw", "array<string>"))
              .when(F.startswith(t, F.lit("{")), F.array("raw")))
-    entries = kv.select("key", F.posexplode(items).alias("i", "obj")).filter(F.ltrim("obj").startswith("{"))
-    parsed = entries.select("key", "i", F.from_json("obj", RAW_ENTRY_SCHEMA).alias("e"),
+    objects = kv.select("file", "entry", "key", F.posexplode(items).alias("i", "obj")).filter(F.ltrim("obj").startswith("{"))
+    parsed = objects.select("file", "entry", "i", "key", F.from_json("obj", RAW_ENTRY_SCHEMA).alias("e"),
                             F.map_contains_key(F.from_json("obj", "map<string,string>"), F.lit("na'vi")).alias("_has"))
-    out = parsed.select("key", "i", "e.*", "_has")
-    return (out.withColumn("na'vi", F.when(F.col("_has"), F.col("`na'vi`")).otherwise(F.col("key")))
-            .withColumn("seq", F.monotonically_increasing_id()).drop("key", "i", "_has"))
+    out = parsed.select("file", "entry", "i", "key", "e.*", "_has").withColumn("na'vi", F.when(F.col("_has"), F.col("`na'vi`")).otherwise(F.col("key")))
+    columns = [f"`{c}`" for c in out.columns if c not in ("file", "entry", "i", "key", "_has")]
+    numbered = _in_a_row(out, ["file"], ["entry", "i"], "_at")
+    files = out.groupBy("file").agg(F.count(F.lit(1)).alias("_rows"))
+    # one row for each file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return numbered.join(files, "file").select(*columns, (F.col("_before") + F.col("_at")).alias("seq"))
 
 
 def read_pairs(spark: SparkSession, path: str, training: bool = True, sep: str = "\t") -> DataFrame:

@@ -79,3 +79,49 @@ def test_checkpoint_folder_has_to_be_shared_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_s2_one_document_read_by_several_tasks(spark, tmp):
+    """Commas, brackets, quotes and escapes inside strings; nested values; keys told twice; several
+    files in the order of their names; splits that cut anywhere."""
+    import json
+    import random
+
+    from tessera.sources import io as sources
+    rnd = random.Random(3)
+    odd = ['a,b', '"q", {x', 'back\\slash, ]', 'nl\n,', '}', '[,', 'é,ì', "", '\\"', ',,']
+    want = []
+    for name in ("b.json", "a.json"):
+        doc = {}
+        for i in range(300):
+            key = f"k{i}" + rnd.choice(odd)
+            entry = lambda j: ({"na'vi": f"own{j}"} if rnd.random() < 0.3 else {}) | {"en": rnd.choice(odd) + str(j), "translations": [{"en": rnd.choice(odd)}], "type": "n"}
+            doc[key] = rnd.choice([lambda: entry(i), lambda: [entry(i), 5, entry(-i)], lambda: [], lambda: "text, {", lambda: None, lambda: {}])()
+        with open(os.path.join(tmp, name), "w") as f:
+            json.dump(doc, f, indent=rnd.choice([None, 2]), ensure_ascii=False)
+        rows = []
+        for key, v in doc.items():
+            for e in v if isinstance(v, list) else [v]:
+                if isinstance(e, dict):
+                    rows.append((e.get("na'vi", key), e.get("en")))
+        want = rows + want if name == "a.json" else want + rows
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = sources.read_keyed_lexicon(spark, tmp)
+        tasks = spark.read.option("lineSep", ",").text(tmp).rdd.getNumPartitions()
+        got = df.orderBy("seq").select("seq", "`na'vi`", "en").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks > 10
+    assert [r.seq for r in got] == list(range(len(want)))
+    assert [(r["na'vi"], r.en) for r in got] == want
+
+
+def test_s2_empty_and_repeated_keys(spark, tmp):
+    with open(os.path.join(tmp, "e.json"), "w") as f:
+        f.write(' { } ')
+    assert io.read_keyed_lexicon(spark, os.path.join(tmp, "e.json")).count() == 0
+    with open(os.path.join(tmp, "d.json"), "w") as f:
+        f.write('{"x": {"en": "1"}, "y": {"en": "2"}, "x": {"en": "3"}}')
+    got = io.read_keyed_lexicon(spark, os.path.join(tmp, "d.json")).orderBy("seq").collect()
+    assert [(r["na'vi"], r.en) for r in got] == [("x", "3"), ("y", "2")]
