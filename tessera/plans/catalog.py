@@ -58,6 +58,7 @@ def load_all() -> dict[str, Entry]:
         q_metrics,
         q_profile,
         q_registry,
+        q_sources,
         q_streaming,
     )
     return REGISTRY
