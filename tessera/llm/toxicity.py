@@ -1,19 +1,25 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A text is cut into clauses.  Each word gets a class - insult, threat, target ("you"),
-negation, reported speech, or none - and a small transducer for each class rewrites the
-state of the clause as its words go by: a target opens a scope in which an insult is aimed,
-a negation one in which it is denied, reported speech holds to the end of the clause.  The
-composition sends every insult or threat out along one of eight arcs (aimed or not, denied
-or not, reported or not) with its weight; clauses add up to the text's features and a
-logistic model with a weight for each arc gives the score.
+A text is cut into clauses, and each word gets a class - insult, threat, target ("you"),
+negation, reported speech, or none.  Five small transducers, given as transition tables,
+read the classes one after another: the target's marks insults and threats in its scope as
+aimed, the negation's those in its scope as denied, reported speech those up to the end of the
+clause as reported; the insult's lets insults out along the arc of their marks, the threat's
+threats, but only aimed ones.  Their composition is one table, built once, that a clause is run
+through.  What comes out is matched clauses: a weight on one of eight arcs (aimed or not,
+denied or not, reported or not).  The arcs' weights, as sums and as shares of the text, are
+all that the logistic model sees; an insult that nothing aims at has an arc of its own, whose
+weight is learned like the others.
 
 Target, negation, report and threat words are fixed lists.  Insults are learned: whole words
 and word beginnings, weighted by the log odds of the documents that hold them.  Learning
 uses a bounded sample of the labelled rows (``TOXIC`` and ``CLEAN`` of them), two thirds for
-the words and the rest for the weights of the arcs; copies of a text count once.
+the words and the rest for the weights of the arcs; copies of a text count once, as toxic if
+one of them is.
 
-Null and empty texts have no clause and get the score of that.  If the labelled rows lack
+Null and empty texts have no clause and get the score of that; very long texts are read whole.
+Repeated rows are scored each, an empty table gives no rows, other columns are passed through
+whatever their names but ``out``.  If the labelled rows lack
 one of the classes, every score is the smoothed share of toxic ones.
 """
 
@@ -50,6 +56,64 @@ _CLAUSES = regex.compile(r"[.!?;:\n]+|(?<=\s)-(?=\s)").split
 _WORDS = regex.compile(r"[\p{L}\p{M}]+(?:['’][\p{L}]+)?").findall
 
 
+#: Word classes, and the marks that a symbol collects on its way.
+NONE, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+AIMED, DENIED, REPORTED = 1, 2, 4
+SYMBOLS = 6 * ARCS  # a class with its marks
+GONE = SYMBOLS
+
+
+class Transducer:
+    """Tables ``next[state][symbol]`` and ``out[state][symbol]``; a clause starts in state 0."""
+
+    def __init__(self, next_: list[list[int]], out: list[list[int]]):
+        self.next, self.out = next_, out
+
+    @classmethod
+    def marking(cls, opener: int, reach: int, mark: int) -> Transducer:
+        """Marks insults and threats that stand up to ``reach`` words after an opener (0: to the end of the
+        clause).  The state is how many words the scope still has."""
+        states = range(max(reach, 1) + 1)
+        next_ = [[(reach or 1) if s // ARCS == opener else state if not reach else max(state - 1, 0) for s in range(SYMBOLS)] for state in states]
+        out = [[s | mark if state and s // ARCS in (INSULT, THREAT) else s for s in range(SYMBOLS)] for state in states]
+        return cls(next_, out)
+
+    @classmethod
+    def matching(cls, kind: int, needs: int) -> Transducer:
+        """Lets symbols of a class through if they have the marks it needs, drops them otherwise."""
+        return cls([[0] * SYMBOLS], [[GONE if s // ARCS == kind and s % ARCS & needs != needs else s for s in range(SYMBOLS)]])
+
+
+TRANSDUCERS = (Transducer.marking(TARGET, AIM, AIMED), Transducer.marking(NEGATION, DENY, DENIED), Transducer.marking(REPORT, 0, REPORTED),
+               Transducer.matching(INSULT, 0), Transducer.matching(THREAT, AIMED))
+
+
+def compose(transducers=TRANSDUCERS) -> tuple[list[list[int]], list[list[int]]]:
+    """One table for the cascade: ``next[state][class]`` and the arc on which a word of the class goes out
+    (-1: on none).  States are those that can be reached."""
+    start = (0,) * len(transducers)
+    number, todo, next_, arcs = {start: 0}, [start], [], []
+    for states in todo:
+        row, out = [], []
+        for kind in range(6):
+            symbol, after = kind * ARCS, []
+            for t, state in zip(transducers, states):
+                after.append(t.next[state][symbol] if symbol != GONE else state)
+                symbol = t.out[state][symbol] if symbol != GONE else GONE
+            after = tuple(after)
+            if after not in number:
+                number[after] = len(number)
+                todo.append(after)
+            row.append(number[after])
+            out.append(symbol % ARCS if symbol != GONE and symbol // ARCS in (INSULT, THREAT) else -1)
+        next_.append(row)
+        arcs.append(out)
+    return next_, arcs
+
+
+NEXT, ARC = compose()
+
+
 def terms(word: str) -> list[str]:
     """A word, and its beginnings marked with a star."""
     return [word, *[word[:k] + "*" for k in range(SHORTEST, min(LONGEST, len(word)) + 1)]]
@@ -63,43 +127,39 @@ class Grammar:
         self.known: dict[str, tuple[int, float]] = {}
 
     def _class(self, word: str) -> tuple[int, float]:
-        """Class and weight: 0 none, 1 insult, 2 threat, 3 target, 4 negation, 5 report."""
+        """Class and weight of a word."""
         w = max((self.insults[t] for t in terms(word) if t in self.insults), default=0.0)
         if w:
-            out = (1, w)
+            out = (INSULT, w)
         else:
-            out = next(((k, THREAT_WEIGHT) for k, s in ((2, THREATS), (3, TARGETS), (4, NEGATIONS), (5, REPORTS)) if word in s), (0, 0.0))
+            out = next(((k, THREAT_WEIGHT) for k, s in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) if word in s), (NONE, 0.0))
         if len(self.known) >= 300_000:
             self.known.clear()
         self.known[word] = out
         return out
 
-    def features(self, text: str | None) -> np.ndarray:
-        """Weight sent out along each arc, its share of the text, and the heaviest word."""
-        arcs, n, most = [0.0] * ARCS, 0, 0.0
-        kinds: set[str] = set()
-        known = self.known
+    def matched(self, text: str | None) -> tuple[list[float], int]:
+        """Weight that the clauses send out along each arc, and the words of the text."""
+        arcs, n, known = [0.0] * ARCS, 0, self.known
         for clause in _CLAUSES(text.lower()) if text else ():
             words = _WORDS(clause)
             n += len(words)
             found = [known.get(w) or self._class(w) for w in words]
-            if not any(c in (1, 2) for c, _ in found):
-                continue
-            aimed = denied = reported = 0
-            for word, (c, w) in zip(words, found):
-                if c == 3:
-                    aimed = AIM + 1
-                elif c == 4:
-                    denied = DENY + 1
-                elif c == 5:
-                    reported = 1
-                elif c == 1 or c == 2 and aimed:  # a threat needs someone it is aimed at
-                    arcs[(aimed > 0) + 2 * (denied > 0) + 4 * reported] += w
-                    most = max(most, w)
-                    kinds.add(word)
-                aimed, denied = max(0, aimed - 1), max(0, denied - 1)
-        total = sum(arcs)
-        return np.array([*np.log1p(arcs), np.log1p(total), np.log1p(1000.0 * total / max(n, 20)), np.log1p(len(kinds)), most])
+            if not any(c in (INSULT, THREAT) for c, _ in found):
+                continue  # nothing can come out
+            state = 0
+            for c, w in found:
+                arc = ARC[state][c]
+                if arc >= 0:
+                    arcs[arc] += w
+                state = NEXT[state][c]
+        return arcs, n
+
+    def features(self, text: str | None) -> np.ndarray:
+        """The arcs' weights as sums and by thousand words."""
+        arcs, n = self.matched(text)
+        arcs = np.array(arcs)
+        return np.log1p(np.concatenate([arcs, 1000.0 * arcs / max(n, 20)]))
 
     def score(self, text: str | None) -> float:
         if self.weights is None:
@@ -140,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # ids and labels only, and a bounded number of them: the texts aren't shuffled to be chosen
     chosen = F.broadcast(told.where(draw < wanted).limit(2 * (most_toxic + most_clean)))
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("text is not null")
-    sample = materialise(rows.join(chosen, "id").select("text", "y").dropDuplicates(["text"])
+    sample = materialise(rows.join(chosen, "id").groupBy("text").agg(F.max("y").alias("y"))
                          .withColumn("part", F.pmod(F.xxhash64(F.substring("text", 1, 40)), F.lit(3))))
 
     def count(source):

@@ -113,15 +113,59 @@ def test_op8_odd_rows(spark, odd, none):
 
 # --- toxicity
 
+def plain_arcs(grammar, text):
+    """The clause rules with counters instead of tables."""
+    arcs = [0.0] * 8
+    for clause in re.split(r"[.!?;:\n]+|(?<=\s)-(?=\s)", text.lower()):
+        aimed = denied = reported = 0
+        for word in re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", clause):
+            c, w = grammar._class(word)
+            if c == toxicity.INSULT or c == toxicity.THREAT and aimed:
+                arcs[(aimed > 0) + 2 * (denied > 0) + 4 * reported] += w
+            aimed = toxicity.AIM if c == toxicity.TARGET else max(0, aimed - 1)
+            denied = toxicity.DENY if c == toxicity.NEGATION else max(0, denied - 1)
+            reported = 1 if c == toxicity.REPORT else reported
+    return arcs
+
+
 def test_op2_clauses():
-    g = toxicity.Grammar({"fool": 4.0, "scu*": 3.0}, np.ones(12), np.array([1.0] * 8 + [0] * 4), -2.0)
-    arcs = {t: np.flatnonzero(g.features(t)[:8]).tolist() for t in (
+    g = toxicity.Grammar({"fool": 4.0, "scu*": 3.0}, np.ones(16), np.array([1.0] * 16), -2.0)
+    arcs = {t: np.flatnonzero(g.matched(t)[0]).tolist() for t in (
         "a fool there", "you fool", "not a fool", "you are not a fool", "X said: fool", "X said fool", "scums here", "kill the lights", "they will kill you")}
     assert arcs == {"a fool there": [0], "you fool": [1], "not a fool": [2], "you are not a fool": [3], "X said: fool": [0], "X said fool": [4],
                     "scums here": [0], "kill the lights": [], "they will kill you": [1]}
     assert g.score("you fool") > g.score("hello") == g.score(None) == g.score("")
 
 
+def test_op2_composition_equals_the_cascade():
+    """Every class in every reachable state, and random clauses against plain counters."""
+    rnd = random.Random(2)
+    for _ in range(300):
+        states, at = [0] * 5, 0
+        for kind in rnd.choices(range(6), k=25):
+            symbol = kind * toxicity.ARCS
+            for i, t in enumerate(toxicity.TRANSDUCERS):
+                if symbol != toxicity.GONE:
+                    states[i], symbol = t.next[states[i]][symbol], t.out[states[i]][symbol]
+            out = symbol % toxicity.ARCS if symbol != toxicity.GONE and symbol // toxicity.ARCS in (toxicity.INSULT, toxicity.THREAT) else -1
+            assert toxicity.ARC[at][kind] == out
+            at = toxicity.NEXT[at][kind]
+    assert len(toxicity.NEXT) <= (toxicity.AIM + 1) * (toxicity.DENY + 1) * 2
+    g = toxicity.Grammar({"fool": 4.0, "scum": 3.0, "id*": 2.5})
+    words = ["fool", "scum", "idiot", "you", "he", "not", "never", "said", "kill", "hurt", "a", "the", "word", "x", ".", ":", "\n", "-"]
+    for _ in range(2000):
+        text = " ".join(rnd.choices(words, k=rnd.randint(0, 40)))
+        assert np.allclose(g.matched(text)[0], plain_arcs(g, text)), text
+
+
+def test_op2_score_is_a_function_of_the_matched_arcs():
+    g = toxicity.Grammar({"fool": 4.0}, np.full(16, 2.0), np.linspace(-1, 1, 16), 0.3)
+    for text in ("you fool", "fool not a fool", "said fool and more words here", "nothing"):
+        arcs, n = plain_arcs(g, text), len(text.split())
+        x = np.log1p(np.array(arcs + [1000 * a / max(n, 20) for a in arcs]))
+        assert abs(g.score(text) - 1 / (1 + np.exp(-(x / 2 @ np.linspace(-1, 1, 16) + 0.3)))) < 1e-12
+
+
 def test_op2_held_out(spark):
     labels = table(spark, "/root/testdata/sf0.1", "labels").select("doc_id", "toxic")
     rows = queries.op2_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
