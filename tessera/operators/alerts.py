@@ -24,7 +24,7 @@ from tessera.operators.metrics import (
     rolling_rate,
 )
 from tessera.functions.numeric import epoch_micros, ntz_from_micros
-from tessera.plans.scale import neighbour, rolling_rows, stretches
+from tessera.plans.scale import neighbour, rolling_means, stretches
 from tessera.session import cut_lineage
 
 EVAL_SECONDS = 30
@@ -288,19 +288,22 @@ def evaluate_rules(log: DataFrame, ts: str = "ts", until: str | None = None) ->
     request or, with ``until`` (a timestamp), through the silence after it."""
     sums = slot_sums()
     per_slot = log.withColumn("slot", slot_of(log, ts)).groupBy("slot").agg(*[c.alias(n) for n, c in sums.items()])
-    k5, k15 = 300 // EVAL_SECONDS, 900 // EVAL_SECONDS
-    spread = per_slot.select("*", F.explode(F.sequence(F.lit(0), F.lit(k15 - 1))).alias("_off"))
-    in5 = F.col("_off") < k5
-    w = (spread.withColumn("slot", F.col("slot") + F.col("_off")).groupBy("slot").agg(
-        *[F.sum(F.when(in5, F.col(n)).otherwise(0)).alias(f"{n}_5m") for n in sums if n not in ("high", "success")],
-        F.sum("high").alias("high_15m"), F.sum("success").alias("success_15m")))
-    grid = _grid(per_slot, until).join(w, "slot", "left").na.fill(0)
+    # the dense grid by days, each with the slots before it that its windows reach
+    day, reach = 86400 // EVAL_SECONDS, max(w for *_, w in trailing_sums()) - 1
+    dense = _grid(per_slot, until).join(per_slot, "slot", "left").na.fill(0)
+    here = F.floor(F.col("slot") / day)
+    copies = F.array(F.struct(here.alias("_day"), F.lit(False).alias("_ctx")),
+                     F.when(F.pmod("slot", F.lit(day)) >= day - reach, F.struct((here + 1).alias("_day"), F.lit(True).alias("_ctx"))))
+    dense = dense.select("*", F.explode(F.array_compact(copies)).alias("_c")).select("*", "_c.*").drop("_c")
+    w = Window.partitionBy("_day").orderBy("slot")
+    grid = (dense.select("slot", "_ctx", *[F.sum(n).over(w.rowsBetween(1 - k, 0)).alias(out) for out, n, k in trailing_sums()])
+            .where(~F.col("_ctx")).drop("_ctx"))
     windowed = grid.select("slot", F.explode(F.array(*[
         F.struct(F.lit(rule.name).alias("alertname"), cond.alias("cond")) for rule, cond in windowed_conditions()])).alias("x")).select(
         "x.alertname", "slot", "x.cond")
     d = log.select(ts, "event_id", (F.col("confidence") < FALLBACK_THRESHOLD).cast("double").alias("_fb"),
                    F.col("missed").cast("double").alias("_oov"))
-    g = rolling_rows(d, [], [ts, "event_id"], 100, {"g_fb": F.avg("_fb"), "g_oov": F.avg("_oov")})
+    g = rolling_means(d, [], [ts, "event_id"], 100, {"g_fb": "_fb", "g_oov": "_oov"})
     last = F.struct(ts, "event_id")
     gs = (g.withColumn("slot", slot_of(g, ts)).groupBy("slot")
           .agg(F.max_by("g_fb", last).alias("g_fb"), F.max_by("g_oov", last).alias("g_oov")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import epoch_micros
 from tessera.functions.text import clean_oov_word
-from tessera.plans.scale import neighbour, rolling_rows, running_sum, stretches
+from tessera.plans.scale import neighbour, rolling_means, running_sum, stretches
 
 # Histogram bucket bounds of the service's instruments.
 LATENCY_BUCKETS_MS = (50, 100, 250, 500, 1000, 2000, 3000, 5000, 10000)
@@ -141,7 +141,7 @@ def rolling_rate(log: DataFrame, flag: Column, key_cols: Sequence[str], order_co
     a flag are skipped and take no place."""
     d = log.select(*key_cols, *[c for c in order_cols if c not in key_cols], *keep,
                    flag.cast("double").alias("_flag")).filter(F.col("_flag").isNotNull())
-    return rolling_rows(d, key_cols, order_cols, n, {name: F.avg("_flag")}).drop("_flag")
+    return rolling_means(d, key_cols, order_cols, n, {name: "_flag"}).drop("_flag")
 
 
 def _windowed(df: DataFrame, window: str | None, ts: str) -> tuple[DataFrame, list[str]]:

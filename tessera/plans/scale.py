@@ -186,6 +186,40 @@ def neighbour(df: DataFrame, key_cols, order_cols: Sequence[str], value_cols: Se
     return out.drop("_bucket", "_edge", "_nb")
 
 
+def _chunks(df: DataFrame, keys: list[str], order_cols: Sequence[str], n_rows: int, chunk_rows: int) -> DataFrame:
+    """Rows numbered per key (``_rrn``) in chunks (``_chunk``), each with the ``n_rows - 1`` rows before it as
+    context (``_ctx``)."""
+    if n_rows - 1 >= chunk_rows:
+        raise ValueError("chunk_rows must exceed the frame length")
+    numbered = global_row_number(df, order_cols, keys, name="_rrn")
+    pos = (F.col("_rrn") - 1) % chunk_rows
+    chunk = ((F.col("_rrn") - 1) / chunk_rows).cast("bigint")
+    copies = F.array(
+        F.struct(chunk.alias("_chunk"), F.lit(False).alias("_ctx")),
+        F.when(pos >= chunk_rows - (n_rows - 1),
+               F.struct((chunk + 1).alias("_chunk"), F.lit(True).alias("_ctx"))))
+    return (numbered.withColumn("_copy", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+                .select("*", "_copy._chunk", "_copy._ctx").drop("_copy"))
+
+
+def rolling_means(df: DataFrame, key_cols, order_cols: Sequence[str], n_rows: int, values: dict[str, str],
+                  chunk_rows: int = 20_000) -> DataFrame:
+    """Means of columns over the last ``n_rows`` rows per key (output name -> column; nulls take a place but
+    no part).  As ``rolling_rows``, but each row costs the same whatever the frame's length: running
+    sums and counts inside a chunk, less those of ``n_rows`` rows before.  Exact for flags and
+    counts."""
+    keys = _names(key_cols)
+    rows = _chunks(df, keys, order_cols, n_rows, chunk_rows)
+    order = Window.partitionBy(*keys, "_chunk").orderBy("_rrn")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    for i, c in enumerate(values.values()):
+        rows = rows.withColumn(f"_s{i}", F.coalesce(F.sum(c).over(upto), F.lit(0.0))).withColumn(f"_n{i}", F.count(c).over(upto))
+    for i, name in enumerate(values):
+        s, n = (F.col(f"_{x}{i}") - F.coalesce(F.lag(f"_{x}{i}", n_rows).over(order), F.lit(0)) for x in "sn")
+        rows = rows.withColumn(name, F.try_divide(s, n))
+    return rows.filter(~F.col("_ctx")).drop("_chunk", "_ctx", "_rrn", *[f"_{x}{i}" for x in "sn" for i in range(len(values))])
+
+
 def rolling_rows(df: DataFrame, key_cols, order_cols: Sequence[str], n_rows: int,
                  aggs: dict[str, Column], chunk_rows: int = 20_000) -> DataFrame:
     """Aggregates over the last ``n_rows`` rows per key (a ROWS frame) without
@@ -196,18 +230,8 @@ def rolling_rows(df: DataFrame, key_cols, order_cols: Sequence[str], n_rows: int
     next chunk as context, so every frame is complete inside one chunk.
     ``aggs`` maps output names to aggregate columns (e.g. ``F.avg("flag")``).
     """
-    if n_rows - 1 >= chunk_rows:
-        raise ValueError("chunk_rows must exceed the frame length")
     keys = _names(key_cols)
-    numbered = global_row_number(df, order_cols, keys, name="_rrn")
-    pos = (F.col("_rrn") - 1) % chunk_rows
-    chunk = ((F.col("_rrn") - 1) / chunk_rows).cast("bigint")
-    copies = F.array(
-        F.struct(chunk.alias("_chunk"), F.lit(False).alias("_ctx")),
-        F.when(pos >= chunk_rows - (n_rows - 1),
-               F.struct((chunk + 1).alias("_chunk"), F.lit(True).alias("_ctx"))))
-    exploded = (numbered.withColumn("_copy", F.explode(F.filter(copies, lambda c: c.isNotNull())))
-                .select("*", "_copy._chunk", "_copy._ctx").drop("_copy"))
+    exploded = _chunks(df, keys, order_cols, n_rows, chunk_rows)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_rrn").rowsBetween(-(n_rows - 1), 0)
     for name, agg in aggs.items():
         exploded = exploded.withColumn(name, agg.over(w))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators import drift, lexicon, matching, metrics, profile
+from tessera.operators import drift, lexicon, matching, metrics, profile, quality
 
 
 def test_a1_oov_rate_no_tokens(spark):
@@ -53,3 +53,35 @@ def test_d2_wide_columns(spark):
     out = {r.column: r for r in drift.column_drift(drift.long_values(df, ["x", "y"], F.col("side"))).collect()}
     assert out["x"].ks_stat == 1.0 and out["x"].drifted
     assert out["y"].ks_stat < 0.1 and not out["y"].drifted
+
+
+def test_a5_a9_empty_inputs(spark):
+    v = spark.createDataFrame([(1, None), (2, [])], "id int, v array<double>")
+    assert [tuple(r) for r in profile.vector_moments(v, "v", dims=13).orderBy("dim").collect()] == [(d, 0.0, 0.0, 0) for d in range(13)]
+    steps = spark.createDataFrame([(1, [0.0, 0.0]), (1, []), (2, None)], "s int, logits array<double>")
+    got = quality.sequence_confidence(steps, ["s"], "logits", sequences=spark.createDataFrame([(1,), (2,), (None,)], "s int"))
+    assert sorted((r.s or 0, r.confidence, r.steps) for r in got.collect()) == [(0, 0.5, 0), (1, 0.5, 1), (2, 0.5, 0)]
+    assert quality.sequence_confidence(steps.where("false"), [], "logits").first()[:] == (0.5, 0)
+
+
+def test_a7_a8_odd_pairs(spark):
+    rows = [("a b c", "a x c"), (None, "a"), (" \t ", "b"), ("a b", None), ("a", ""), ("é 中 \U0001F600", "中 é \U0001F600")]
+    pairs = spark.createDataFrame(rows, "reference string, hypothesis string").withColumns({c: F.lit(1) for c in ("w", "i", "x", "_g", "runs")})
+    got = quality.pair_errors(pairs).select("reference", "edits", "ref_words").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a b c", 1, 3), ("a b", None, 2), ("a", 1, 1), ("é 中 \U0001F600", 2, 3)], key=str)
+    none = quality.word_error_rate(pairs.where("false")).first()
+    assert (none.wer, none.pairs) == (1.0, 0)
+    stats = quality.pair_bleu(pairs.where("hypothesis = 'a x c'")).first()
+    assert [stats[f"correct{n}"] for n in quality.ORDERS] == [2, 0, 0, 0] and [stats[f"total{n}"] for n in quality.ORDERS] == [3, 2, 1, 0]
+
+
+def test_a11_m13_long_gaps(spark):
+    """Samples half a century apart are stretches of grid points, not one array."""
+    import datetime as dt
+
+    pts = spark.createDataFrame([("k", 0.0, 0.0), ("k", 1.6e9, 1600.0), ("j", 5.0, 1.0)], "k string, t double, v double")
+    got = profile.resample_linear(pts, ["k"], "t", "v", 1000.0).groupBy("k").agg(F.count("*").alias("n"), F.max("value").alias("m"), F.countDistinct("step_index").alias("d"))
+    assert {r.k: (r.n, r.m, r.d) for r in got.collect()} == {"k": (1_600_001, 1600.0, 1_600_001), "j": (1, 1.0, 1)}
+    log = spark.createDataFrame([(dt.datetime(1990, 1, 1), 1), (dt.datetime(2000, 1, 1), 2)], "ts timestamp_ntz, user_id long")
+    windows = metrics.active_users(log, "1 hour").agg(F.count("*"), F.sum("active_users"), F.countDistinct("window_start")).first()
+    assert tuple(windows) == (87_649, 2, 87_649)

@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import corpus, drift, profile, quality
-from tessera.plans.scale import global_row_number, neighbour, rolling_rows, running_sum, with_range_bucket
+from tessera.operators.profile import distribution_stats
+from tessera.plans.scale import exact_quantiles, global_row_number, neighbour, rolling_means, rolling_rows, running_sum, with_range_bucket
 
 
 def _data(spark, n=3000, keys=3):
@@ -91,3 +93,52 @@ def test_d2_nulls_are_no_values(spark):
     long = drift.long_values(df, ["x"], F.when(F.col("s") == 0, "reference").otherwise("current"))
     r = drift.column_drift(long).first()
     assert (r.n_ref, r.n_cur, r.ks_stat, r.psi, r.drifted) == (200, 200, 0.0, 0.0, False)
+
+
+def test_rolling_means(spark):
+    rng = np.random.RandomState(8)
+    rows = [(None if k == 3 else int(k), int(t), i, None if rng.rand() < 0.2 else float(rng.rand() < 0.4))
+            for i, (k, t) in enumerate(zip(rng.randint(0, 4, 600), rng.randint(0, 300, 600)))]
+    df = spark.createDataFrame(rows, "k int, t int, id int, v double")
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(-6, 0)
+    want = {r.id: r.m for r in df.withColumn("m", F.avg("v").over(w)).collect()}
+    got = {r.id: r.m for r in rolling_means(df, ["k"], ["t", "id"], 7, {"m": "v"}, chunk_rows=50).collect()}
+    assert got.keys() == want.keys()
+    assert all((got[i] is None) == (want[i] is None) and (want[i] is None or abs(got[i] - want[i]) < 1e-12) for i in want)
+
+
+def test_exact_quantiles_by_selection(spark):
+    """Hot values, nulls, tiny groups and a null group; a third of all rows in one group."""
+    rng = np.random.RandomState(9)
+    groups = {"hot": np.r_[np.full(3000, 7.0), rng.normal(size=2000)], "even": rng.randint(0, 50, 999).astype(float), "one": np.array([3.5]),
+              "two": np.array([1.0, 2.0]), None: rng.exponential(size=501), "none": np.zeros(0)}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("none", None), ("hot", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    qs = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = exact_quantiles(df, "x", qs, ["g"])
+    found = {r.g: [r[f"q{i}"] for i in range(len(qs))] for r in got.collect()}
+    assert found.keys() == groups.keys() - {"none"}
+    for g, xs in groups.items():
+        if len(xs):
+            assert np.allclose(found[g], np.quantile(xs, qs), rtol=1e-12, atol=1e-12), g
+    every = np.concatenate(list(groups.values()))
+    assert np.allclose(list(exact_quantiles(df, "x", qs).first()), np.quantile(every, qs), rtol=1e-12)
+    assert "percentile(" not in got._jdf.queryExecution().toString()
+    assert exact_quantiles(df.where("g = 'none'"), "x", qs).count() == 0
+
+
+def test_distribution_of_nothing_is_zeros(spark):
+    none = spark.createDataFrame([("a", None)], "g string, x double")
+    assert distribution_stats(none, "x").first()[:] == (0.0,) * 6 + (0,)
+    assert distribution_stats(none.where("false"), "x").first()[:] == (0.0,) * 6 + (0,)
+    assert distribution_stats(none, "x", ["g"]).first()[:] == ("a",) + (0.0,) * 6 + (0,)
+
+
+def test_running_sum_bounds_each_partition(spark):
+    """A key of narrow range beside one of wide range: both are spread over buckets."""
+    df = spark.range(4000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") / 1e6).alias("t"), F.lit(1).alias("v"))
+    got = running_sum(df, "v", ["t"], ["k"], name="s")
+    want = df.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy("t")))
+    assert sorted(map(tuple, got.select("k", "t", "s").collect())) == sorted(map(tuple, want.select("k", "t", "s").collect()))
+    buckets = with_range_bucket(df, "t", 8, partition_cols=["k"]).groupBy("k").agg(F.countDistinct("_bucket")).collect()
+    assert all(n >= 7 for _, n in buckets)
