@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,4 +90,16 @@ def hold(owner: str, release) -> None:
     if owner not in _memos:
         for other in list(_memos):
             _memos.pop(other)()
+        give_back()
         _memos[owner] = release
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker that lives on through many stages holds what
+    its present one needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -36,7 +36,7 @@ SCALE = 1e3
 #: Added to the expected count of every piece.
 PRIOR = 0.05
 #: Words whose probabilities a worker keeps.
-KEPT = 300_000
+KEPT = 120_000
 UNDETERMINED = "und"
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -145,8 +145,8 @@ class Model:
                 known.clear()
                 rows = rows[:0]
             new = list(set().union(*words).difference(known))
-            for a in range(0, len(new), 20_000):
-                part = new[a:a + 20_000]
+            for a in range(0, len(new), 5000):
+                part = new[a:a + 5000]
                 cut, owner = stretches(part)
                 known.update(zip(part, range(len(rows), len(rows) + len(part))))
                 own = np.zeros((len(part), len(names)))
