@@ -22,6 +22,10 @@ from tessera.llm.queries import WORDS, language_model
 
 #: A text stays if the posterior of its language is at least this.
 SURE = 0.5
+#: Rows of a batch that goes to a Python worker, and bytes of a chunk of texts: stages follow one another in
+#: the same executors, whose memory they share with what the ones before have left.
+BATCH, CHUNK = 1000, 4 << 20
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _apart(docs: DataFrame) -> DataFrame:
@@ -56,7 +60,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out; texts of which nothing is left go.
     Texts without such a passage stay as they are, white space included."""
-    done = substrings.remove_repeats(_apart(docs))
+    done = substrings.remove_repeats(_apart(docs), chunk=CHUNK)
     cut = F.size("removed") > 0
     done = done.where(~(cut & (F.col("kept") == ""))).withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
     return _back(done, docs, cut)
@@ -86,7 +90,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    before = spark.conf.get(ROWS)
+    spark.conf.set(ROWS, str(BATCH))
+    try:
+        docs = table(spark, sf_dir, "documents")
+        for _, stage in STAGES[:-1]:
+            docs = materialise(stage(spark, docs, sf_dir))
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:
+        spark.conf.set(ROWS, before)
