@@ -61,7 +61,8 @@ def _code_point(number: Column) -> Column:
 
 
 def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis") -> DataFrame:
-    """Per pair: word edits and reference length (pairs with a blank reference dropped).
+    """Per pair: word edits (null without a hypothesis) and reference length (pairs with a blank reference
+    dropped).
 
     The words of both sides are sorted together with their places, so that equal words are a run;
     the number of its run becomes a word's code point, and the native character
@@ -83,7 +84,7 @@ def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hy
         return F.decode(F.unhex(F.array_join(part, "")), "UTF-32")
 
     d = _computed(d, [*keep, "_n"], _a=text(F.slice("_x", 1, F.col("_n"))), _b=text(F.slice("_x", F.col("_n") + 1, F.greatest(F.size("_x"), F.lit(1)))))
-    return _computed(d, keep, edits=F.levenshtein("_a", "_b").cast("bigint"), ref_words=F.col("_n").cast("bigint"))
+    return _computed(d, keep, edits=F.when(F.col(hyp_col).isNotNull(), F.levenshtein("_a", "_b")).cast("bigint"), ref_words=F.col("_n").cast("bigint"))
 
 
 def word_error_rate(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
