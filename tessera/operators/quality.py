@@ -68,23 +68,23 @@ def pair_errors(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hy
     the number of its run becomes a word's code point, and the native character
     ``levenshtein`` then compares words."""
     keep = pairs.columns
-    d = _computed(pairs.filter(strip_ws(F.coalesce(F.col(ref_col), F.lit(""))) != ""), keep, _r=wer_words(F.col(ref_col)), _h=wer_words(F.col(hyp_col)))
-    both = F.concat(F.transform("_r", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                    F.transform("_h", lambda w, i: F.struct(w.alias("w"), (i + F.size("_r")).alias("i"))))
-    d = _computed(d, keep, _n=F.size("_r"), _u=both)
-    d = _computed(d, [*keep, "_n"], _s=F.sort_array("_u"))
-    d = _computed(d, [*keep, "_n", "_s"], _at=_run_starts("_s", "w"))
-    numbered = F.flatten(F.transform(F.slice("_at", 1, F.size("_at") - 1), lambda a, k: F.transform(
-        F.sequence(a, F.get(F.col("_at"), k + 1) - 1), lambda j: F.struct(F.get(F.col("_s"), j)["i"].alias("i"), k.alias("k")))))
-    d = _computed(d, [*keep, "_n"], _u=numbered)
-    d = _computed(d, [*keep, "_n"], _c=F.sort_array("_u"))
-    d = _computed(d, [*keep, "_n"], _x=F.transform("_c", lambda x: F.lpad(F.hex(_code_point(x["k"])), 8, "0")))
+    d = _computed(pairs.filter(strip_ws(F.coalesce(F.col(ref_col), F.lit(""))) != ""), keep, __r=wer_words(F.col(ref_col)), __h=wer_words(F.col(hyp_col)))
+    both = F.concat(F.transform("__r", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+                    F.transform("__h", lambda w, i: F.struct(w.alias("w"), (i + F.size("__r")).alias("i"))))
+    d = _computed(d, keep, __n=F.size("__r"), __u=both)
+    d = _computed(d, [*keep, "__n"], __s=F.sort_array("__u"))
+    d = _computed(d, [*keep, "__n", "__s"], __at=_run_starts("__s", "w"))
+    numbered = F.flatten(F.transform(F.slice("__at", 1, F.size("__at") - 1), lambda a, k: F.transform(
+        F.sequence(a, F.get(F.col("__at"), k + 1) - 1), lambda j: F.struct(F.get(F.col("__s"), j)["i"].alias("i"), k.alias("k")))))
+    d = _computed(d, [*keep, "__n"], __u=numbered)
+    d = _computed(d, [*keep, "__n"], __c=F.sort_array("__u"))
+    d = _computed(d, [*keep, "__n"], __x=F.transform("__c", lambda x: F.lpad(F.hex(_code_point(x["k"])), 8, "0")))
 
     def text(part: Column) -> Column:
         return F.decode(F.unhex(F.array_join(part, "")), "UTF-32")
 
-    d = _computed(d, [*keep, "_n"], _a=text(F.slice("_x", 1, F.col("_n"))), _b=text(F.slice("_x", F.col("_n") + 1, F.greatest(F.size("_x"), F.lit(1)))))
-    return _computed(d, keep, edits=F.when(F.col(hyp_col).isNotNull(), F.levenshtein("_a", "_b")).cast("bigint"), ref_words=F.col("_n").cast("bigint"))
+    d = _computed(d, [*keep, "__n"], __a=text(F.slice("__x", 1, F.col("__n"))), __b=text(F.slice("__x", F.col("__n") + 1, F.greatest(F.size("__x"), F.lit(1)))))
+    return _computed(d, keep, edits=F.when(F.col(hyp_col).isNotNull(), F.levenshtein("__a", "__b")).cast("bigint"), ref_words=F.col("__n").cast("bigint"))
 
 
 def word_error_rate(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypothesis",
@@ -138,27 +138,27 @@ def pair_bleu(pairs: DataFrame, ref_col: str = "reference", hyp_col: str = "hypo
     runs, the shorter of which is its clipped match.  No gram leaves its row."""
     keep = pairs.columns
     d = pairs.where(F.col(ref_col).isNotNull() & F.col(hyp_col).isNotNull())
-    d = _computed(d, keep, _r=bleu_tokens(F.col(ref_col)), _h=bleu_tokens(F.col(hyp_col)))
-    grams = F.concat(*[F.transform(_ngrams(F.col(c), n), functools.partial(_gram, n, side)) for c, side in (("_h", 0), ("_r", 1)) for n in ORDERS])
-    d = _computed(d, keep, _hl=F.size("_h"), _rl=F.size("_r"), _g=grams)
-    d = _computed(d, [*keep, "_hl", "_rl"], _s=F.sort_array("_g"))
-    d = _computed(d, [*keep, "_hl", "_rl", "_s"], _at=_run_starts("_s", "x"))
-    runs = F.transform(F.slice("_at", 1, F.size("_at") - 1), lambda a, k: F.struct(F.get(F.col("_s"), a)["x"].alias("x"), (F.get(F.col("_at"), k + 1) - a).alias("n")))
-    d = _computed(d, [*keep, "_hl", "_rl"], _runs=runs)
+    d = _computed(d, keep, __r=bleu_tokens(F.col(ref_col)), __h=bleu_tokens(F.col(hyp_col)))
+    grams = F.concat(*[F.transform(_ngrams(F.col(c), n), functools.partial(_gram, n, side)) for c, side in (("__h", 0), ("__r", 1)) for n in ORDERS])
+    d = _computed(d, keep, __hl=F.size("__h"), __rl=F.size("__r"), __g=grams)
+    d = _computed(d, [*keep, "__hl", "__rl"], __s=F.sort_array("__g"))
+    d = _computed(d, [*keep, "__hl", "__rl", "__s"], __at=_run_starts("__s", "x"))
+    runs = F.transform(F.slice("__at", 1, F.size("__at") - 1), lambda a, k: F.struct(F.get(F.col("__s"), a)["x"].alias("x"), (F.get(F.col("__at"), k + 1) - a).alias("n")))
+    d = _computed(d, [*keep, "__hl", "__rl"], __runs=runs)
 
     def clipped(run: Column, k: Column) -> Column:
-        after = F.get(F.col("_runs"), k + 1)
+        after = F.get(F.col("__runs"), k + 1)
         same = (run["x"]["side"] == 0) & (after["x"]["gram"] == run["x"]["gram"]) & (after["x"]["n"] == run["x"]["n"])
         return F.struct(run["x"]["n"].alias("n"), F.when(same, F.least(run["n"], after["n"])).otherwise(0).alias("m"))
 
-    d = _computed(d, [*keep, "_hl", "_rl"], _m=F.transform("_runs", clipped))
+    d = _computed(d, [*keep, "__hl", "__rl"], __m=F.transform("__runs", clipped))
 
     def matches(n: int) -> Column:
-        return F.aggregate(F.filter("_m", lambda m: m["n"] == n), F.lit(0), lambda a, m: a + m["m"])
+        return F.aggregate(F.filter("__m", lambda m: m["n"] == n), F.lit(0), lambda a, m: a + m["m"])
 
-    d = _computed(d, [*keep, "_hl", "_rl"], **{f"correct{n}": matches(n).cast("bigint") for n in ORDERS})
-    return d.select(*[F.col(f"`{c}`") for c in keep], *[F.greatest(F.col("_hl") - (n - 1), F.lit(0)).cast("bigint").alias(f"total{n}") for n in ORDERS],
-                    F.col("_hl").cast("bigint").alias("sys_len"), F.col("_rl").cast("bigint").alias("ref_len"), *[f"correct{n}" for n in ORDERS])
+    d = _computed(d, [*keep, "__hl", "__rl"], **{f"correct{n}": matches(n).cast("bigint") for n in ORDERS})
+    return d.select(*[F.col(f"`{c}`") for c in keep], *[F.greatest(F.col("__hl") - (n - 1), F.lit(0)).cast("bigint").alias(f"total{n}") for n in ORDERS],
+                    F.col("__hl").cast("bigint").alias("sys_len"), F.col("__rl").cast("bigint").alias("ref_len"), *[f"correct{n}" for n in ORDERS])
 
 
 def _gram(n: int, side: int, g: Column) -> Column:
