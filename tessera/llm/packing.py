@@ -90,8 +90,8 @@ class Words:
         latin = pc.match_substring_regex(parts, _LATIN)
         words, ids = [], []
         for some, ask in ((parts.filter(latin), self._pieces), (parts.filter(pc.invert(latin)), self._single)):
-            for a in range(0, len(some), 50_000):
-                words.append(some.slice(a, 50_000))
+            for a in range(0, len(some), 10_000):
+                words.append(some.slice(a, 10_000))
                 ids.append(ask(words[-1]))
         return pa.concat_arrays(words), pa.concat_arrays(ids)
 
