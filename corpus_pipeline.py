@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, packing, pii, simhash, substrings
-from tessera.llm.common import materialise, pieces_path, table
+from tessera.llm.common import materialise, pieces_path, release, table
 from tessera.llm.queries import WORDS, language_model
 
 #: A text stays if the posterior of its language is at least this.
@@ -93,9 +93,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = spark.conf.get(ROWS)
     spark.conf.set(ROWS, str(BATCH))
     try:
-        docs = table(spark, sf_dir, "documents")
+        docs, written = table(spark, sf_dir, "documents"), None
         for _, stage in STAGES[:-1]:
-            docs = materialise(stage(spark, docs, sf_dir))
+            before, docs = written, materialise(stage(spark, docs, sf_dir))
+            written = docs
+            if before is not None:  # the next stage's rows are written: nothing reads these any more
+                release(before)
         return STAGES[-1][1](spark, docs, sf_dir)
     finally:
         spark.conf.set(ROWS, before)
