@@ -90,7 +90,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = spark.conf.get(ROWS)
+    rows = spark.conf.get(ROWS)
     spark.conf.set(ROWS, str(BATCH))
     try:
         docs, written = table(spark, sf_dir, "documents"), None
@@ -101,4 +101,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
                 release(before)
         return STAGES[-1][1](spark, docs, sf_dir)
     finally:
-        spark.conf.set(ROWS, before)
+        spark.conf.set(ROWS, rows)
