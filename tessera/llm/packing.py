@@ -9,7 +9,8 @@ numbers the documents of each length and a range join gives every one its place;
 document passes through the driver and no length is handled by one task.
 
 Null text counts as empty: it has only the closing id.  Rows with null or repeated ids are
-packed like any other, row by row.  An empty table gives no rows.
+packed like any other, row by row; documents of the same length go in any order.  Long documents
+are cut, never shortened.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,8 +14,9 @@ derived from the vocabulary, or verified against it, when a model is loaded.
 Segments with repeated word markers hold pieces of equal score, whose order the
 pairwise test cannot see; they are merged directly.
 
-Null text counts as empty; empty text has no ids.  Rows, ids and other columns are
-passed through untouched.
+Null text counts as empty; empty text has no ids.  Texts are encoded whole, rows that repeat one
+another each.  Rows, ids and other columns are passed through untouched, whatever their names
+(but that of the result); an empty table gives no rows.
 """
 
 from __future__ import annotations

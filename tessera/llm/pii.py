@@ -8,7 +8,9 @@ overlap inside a kind; a match that fails its check is dropped and not tried aga
 ``email``, ``ip``, ``card`` and ``phone`` stay whatever the score; the others need 0.5.
 
 Null text counts as empty and has no spans.  Positions are code points, the end exclusive.
-All patterns run in time linear in the text, long runs of digits or letters included.
+All patterns run in time linear in the text, long runs of digits or letters included; texts are
+searched whole.  Rows that repeat one another are searched each, an empty table gives no rows,
+and other columns are passed through whatever their names (but that of the result).
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ smallest neighbour, chains are shortened, and the next round runs on what is lef
 graph, written to the checkpoint folder in between.
 
 Null and empty texts have fingerprint zero, linked like any other.  Rows with a null id get
-the component of their fingerprint; a component without any id has a null one.
+the component of their fingerprint; a component without any id has a null one.  Whole texts are
+read, rows that repeat one another share their component, an empty table gives no rows, and
+other columns are passed through whatever their names (but those of the result).
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ answers come to them without shuffling a text.
 
 Null text has no words.  Rows with a null id neither lose words nor make others lose any;
 rows that repeat an id are judged each by itself, and an equal id is not a smaller one.
-Ids are whole numbers.  All other columns are passed through.
+Ids are whole numbers.  Texts are read whole, an empty table gives no rows, and all other columns
+are passed through whatever their names (but those of the result).
 """
 
 from __future__ import annotations
