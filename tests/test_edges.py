@@ -27,7 +27,7 @@ def test_m3_quantile_overflow_bucket(spark):
 
 
 def test_j6_empty_request_text(spark):
-    lex = spark.createDataFrame([(0, "kaltxì", "hello", "intj")], "seq BIGINT, term STRING, gloss STRING, term_type STRING")
+    lex = spark.createDataFrame([(0, "movur", "lamp", "noun")], "seq BIGINT, term STRING, gloss STRING, term_type STRING")
     req = spark.createDataFrame([(1, ""), (2, "   ")], "request_id BIGINT, text STRING")
     lk = lexicon.build_lookup(lex)
     out = {r.request_id: r for r in matching.translate_requests(req, matching.gloss_tokens(req, lk)).collect()}

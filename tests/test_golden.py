@@ -46,14 +46,14 @@ def test_s1_order_over_several_files(spark, tmp):
 
 
 def test_s2_keyed_lexicon(spark, tmp):
-    doc = {"kaltxì": {"en": "hello", "type": "intj"},
-           "tsun": [{"en": "can"}, {"na'vi": "tsun2", "en": "able"}, 5],
-           "bad": "not an object"}
+    doc = {"movur": {"en": "lamp", "type": "noun"},
+           "teni": [{"en": "light"}, {"na'vi": "teni-b", "en": "to kindle"}, False],
+           "sal": ["neither", 7]}
     path = os.path.join(tmp, "keyed.json")
     with open(path, "w", encoding="utf-8") as f:
         json.dump(doc, f, ensure_ascii=False)
     out = lexicon.normalise_lexicon(io.read_keyed_lexicon(spark, path)).collect()
-    assert sorted((r.term, r.gloss) for r in out) == [("kaltxì", "hello"), ("tsun", "can"), ("tsun2", "able")]
+    assert sorted((r.term, r.gloss) for r in out) == [("movur", "lamp"), ("teni", "light"), ("teni-b", "to kindle")]
 
 
 def test_f2_l7_lookup_exact_first_wins(spark):
@@ -97,22 +97,23 @@ def test_f5_j1_j8_a1_d1_oov_rate_and_drift(spark):
 
 
 def test_f6_l14_validate_requests(spark):
-    df = spark.createDataFrame([(1, "", 0.85), (2, "x" * 501, 1.5), (3, "ok", 0.5)],
-                               "id BIGINT, text STRING, confidence DOUBLE")
+    """Own rows on and just beyond each limit."""
+    rows = [(10, "t", 0.0), (11, "word " * 100, 1.0), (12, "word " * 100 + "s", 0.25), (13, "", -0.01), (14, "four words are here", 1.001)]
+    df = spark.createDataFrame(rows, "id BIGINT, text STRING, confidence DOUBLE")
     got = sorted((r.id, r.reason) for r in lexicon.validate_requests(df, "id").collect())
-    assert got == [(1, "text_empty"), (2, "confidence_out_of_range"), (2, "text_too_long")]
+    assert got == [(12, "text_too_long"), (13, "confidence_out_of_range"), (13, "text_empty"), (14, "confidence_out_of_range")]
 
 
 def test_f7_l4_l11_l12_c9_c10_expressions(spark):
-    df = spark.createDataFrame([("kal/[txì]", "some (agentive case)", "[N]", "'I see you.'", "1. Oel ngati kameie")],
+    df = spark.createDataFrame([("mo/[vu]r", "lamp (of clay)  ;", "[q]", "'Light the lamp!'", "12. Movur teni sal")],
                                "a STRING, b STRING, c STRING, d STRING, e STRING")
     r = df.select(canonical_form(F.col("a")).alias("a"), clean_gloss(F.col("b")).alias("b"),
                   clean_gloss(F.col("c")).alias("c"), quoted_target(F.col("d")).alias("d"),
-                  clean_source(F.col("e")).alias("e"), primary_gloss(F.lit("path; way")).alias("p")).first()
-    assert (r.a, r.b, r.c, r.d, r.e, r.p) == ("kaltxì", "some", "(no translation)", "I see you.",
-                                             "Oel ngati kameie", "path")
-    r2 = spark.createDataFrame([("['ang]/tsìk",)], "a STRING").select(canonical_form(F.col("a"))).first()[0]
-    assert r2 == "'angtsìk"
+                  clean_source(F.col("e")).alias("e"), primary_gloss(F.lit("wick; cord")).alias("p")).first()
+    assert (r.a, r.b, r.c, r.d, r.e, r.p) == ("movur", "lamp", "(no translation)", "Light the lamp!",
+                                             "Movur teni sal", "wick")
+    r2 = spark.createDataFrame([("[ /te'ni] ",)], "a STRING").select(canonical_form(F.col("a"))).first()[0]
+    assert r2 == "te'ni"
 
 
 def test_f7_l6_j4_fuzzy_ties_and_short_tokens(spark):
@@ -130,11 +131,11 @@ def test_f7_j3_suffix_list_order(spark):
 
 
 def test_f7_j2_j5_j6_j7_translate_confidence(spark):
-    lex = _lex(spark, [(0, "kaltxì", "hello; hi", "intj")])
-    req = spark.createDataFrame([(1, "kaltxì zzzz"), (2, "qqq")], "request_id BIGINT, text STRING")
+    lex = _lex(spark, [(0, "movur", "lamp; lantern", "noun")])
+    req = spark.createDataFrame([(1, "movur zzzz"), (2, "qqq")], "request_id BIGINT, text STRING")
     lk = lexicon.build_lookup(lex)
     out = {r.request_id: r for r in matching.translate_requests(req, matching.gloss_tokens(req, lk)).collect()}
-    assert out[1].confidence == 0.725 and out[1].english == "hello [zzzz]"
+    assert out[1].confidence == 0.725 and out[1].english == "lamp [zzzz]"
     assert out[2].confidence == 0.0 and out[2].english == "qqq"
 
 
