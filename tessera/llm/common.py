@@ -84,9 +84,13 @@ class Cache(dict):
 _memos: dict[str, object] = {}
 
 
+def nothing() -> None:
+    """What an operator that keeps nothing in a worker has to release."""
+
+
 def hold(owner: str, release) -> None:
-    """Called by an operator before it fills its memo in this worker: the memos of other
-    operators, left from earlier stages in the same process, are released."""
+    """Called by an operator before it fills its memo in this worker: what other operators keep,
+    their memos and models left from earlier stages in the same process, is released."""
     if owner not in _memos:
         for other in list(_memos):
             _memos.pop(other)()

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hold, materialise
+from tessera.llm.common import give_back, hold, materialise
 
 MARK = "▁"
 LONGEST = 48
@@ -35,8 +35,8 @@ FLOOR = 1e-7
 SCALE = 1e3
 #: Added to the expected count of every piece.
 PRIOR = 0.05
-#: Words whose probabilities a worker keeps.
-KEPT = 120_000
+#: Words whose probabilities a worker keeps, and texts that are scored in one step.
+KEPT, STEP = 180_000, 250
 UNDETERMINED = "und"
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -205,6 +205,7 @@ def fit(labelled: DataFrame, path: str, per_language: int = 1500, rounds: int =
         now = Model(path, languages, table)
 
         def expect(source):
+            hold("langid", _forget)
             vocabulary = load(now.path)
             at = {g: i for i, g in enumerate(now.languages)}
             total = np.zeros((vocabulary.size, len(now.languages)))
@@ -232,8 +233,10 @@ def predict_column(text: Column, model: Model) -> Column:
     def predict(source: pa.Array) -> pa.Array:
         many = _scorer(model)
         out = []
-        for a in range(0, len(source), 1000):
-            out += many(source[a:a + 1000].to_pylist())
+        for a in range(0, len(source), STEP):
+            out += many(source[a:a + STEP].to_pylist())
+            if (a // STEP) % 4 == 3 or a + STEP >= len(source):
+                give_back()
         return pa.StructArray.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], ["lang", "score"])
 
     return predict(text)
@@ -242,9 +245,14 @@ def predict_column(text: Column, model: Model) -> Column:
 _live: dict = {}
 
 
+def _forget() -> None:
+    _live.clear()
+    load.cache_clear()
+
+
 def _scorer(model: Model):
     """The worker's scorer of a model; it and its memo go when another model comes."""
-    hold("langid", _live.clear)
+    hold("langid", _forget)
     key = (model.path, tuple(model.languages), hash(model.table.tobytes()))
     if key not in _live:
         _live.clear()

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hold, materialise, n_tasks
+from tessera.llm.common import give_back, hold, materialise, n_tasks
 from tessera.llm.shards import Memo, byte_letters, lists, slices
 
 SIZE = 4096
@@ -45,7 +45,7 @@ class Words:
     kept with A-Z in lower case.  All steps are taken for a column of texts at once.  Texts that
     may spell a special token are given to the tokenizer whole."""
 
-    def __init__(self, path: str, memo: int = 300_000):
+    def __init__(self, path: str, memo: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -149,8 +149,8 @@ def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text
     id_type = df.schema[doc_id].dataType.simpleString()
 
     def run(source):
+        hold("packing", load.cache_clear)
         words = load(path)
-        hold("packing", words.memo.forget)
         for batch in source:
             for a, b in slices(batch.column(1)):
                 ids, n = words.encode_column(batch.column(1).slice(a, b - a))
@@ -171,6 +171,7 @@ def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(a + row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      binary.cast(pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
+            give_back()
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids binary"
     return df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)

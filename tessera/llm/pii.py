@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import hold, nothing
+
 #: Base kinds in the order in which spans are listed, then the method's own.
 BASE = ("email", "ip", "card", "phone")
 KINDS = BASE + ("iban", "ssn")
@@ -146,6 +148,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
 def spans_column(text: Column) -> Column:
     @F.arrow_udf(SPANS)
     def spans(column: pa.Array) -> pa.Array:
+        hold("pii", nothing)
         kind = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
         rows = [[dict(zip(("kind", "start", "end", "score"), s)) for s in find(t.as_py())] for t in column]
         return pa.array(rows, pa.list_(kind))
@@ -181,6 +184,7 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
 
     @F.arrow_udf("string")
     def clean(column: pa.Array) -> pa.Array:
+        hold("pii", nothing)
         return pa.array([hide(t.as_py()) for t in column], pa.string())
 
     return df.withColumn(text, clean(F.col(text)))

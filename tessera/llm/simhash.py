@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import hold, materialise, nothing
 from tessera.llm.graph import components
 
 SHINGLE = 3
@@ -67,6 +67,7 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.arrow_udf("long")
     def prints(source: pa.Array) -> pa.Array:
+        hold("simhash", nothing)
         return pa.array(np.array([fingerprint(t.as_py(), shingle) for t in source], "<u8").view("<i8"))
 
     return prints(text)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Cache, hold, n_tasks
+from tessera.llm.common import Cache, give_back, hold, n_tasks
 from tessera.session import ensure_checkpoint_dir
 
 WINDOW = 13
@@ -123,6 +123,7 @@ class Chunk:
 
     def __init__(self, raw: bytes, doc_id: str, text: str):
         hold("substrings", _forget)
+        give_back()  # of the chunk before
         self.table = pa.ipc.open_stream(raw).read_all()
         self.texts = self.table.column(text).cast(pa.large_binary()).to_pylist()
         parts = []
@@ -171,6 +172,7 @@ def _chunks(df: DataFrame, doc_id: str, text: str, size: int, buckets: int) -> D
     spark = df.sparkSession
 
     def run(source):
+        hold("substrings", _forget)
         part, n = TaskContext.get().partitionId(), 0
         held, weight = [], 0
 

@@ -210,3 +210,21 @@ def test_op3_query(spark):
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and set(filter(None, joined.split(","))) <= set(r.spans.split(","))
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in want) for x in pii.BASE]
+
+
+def test_stages_release_what_others_hold(monkeypatch):
+    """A worker that goes from one operator to the next keeps none of the former's memo and models."""
+    from tessera.llm import common, langid, packing, simhash
+    from tessera.llm.queries import PIECES, WORDS
+
+    monkeypatch.setattr(common, "_memos", {})
+    path = common.pieces_path(PIECES)
+    table = np.full((langid.load(path).size + 1, 1), 1e-4)
+    assert langid._scorer(langid.Model(path, ["en"], table))(["some words"])[0][0] == "en"
+    assert langid._live and langid.load.cache_info().currsize
+    common.hold("simhash", common.nothing)
+    assert not langid._live and not langid.load.cache_info().currsize
+    common.hold("packing", packing.load.cache_clear)
+    packing.load(common.pieces_path(WORDS)).encode(["some words"])
+    common.hold("langid", langid._forget)
+    assert not packing.load.cache_info().currsize and list(common._memos) == ["langid"]
