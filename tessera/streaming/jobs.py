@@ -74,7 +74,7 @@ def stream_rolling_n(stream: DataFrame, key_col: str, flag: F.Column, n: int = 1
                      ts: str = "ts", watermark: str = "10 minutes", stretch_ms: int = 60_000) -> DataFrame:
     """Share of flagged rows among the last ``n`` per key in the order of ``(ts, id)``, whatever files
     they come in.  Rows without a flag are skipped.  A row's rate comes once the watermark has
-    passed its stretch of ``stretch_ms``; until then rows wait in state, packed by stretch."""
+    passed its stretch of ``stretch_ms``; until then rows wait in state, packed in blocks."""
     live.enable(stream.sparkSession)
     s = event_time(stream, ts).withWatermark("event_time", watermark)
     s = s.select(F.col(key_col).cast("string").alias("key"), F.col(id_col).cast("bigint").alias(id_col), "event_time",

@@ -230,59 +230,128 @@ class Heartbeats(Timed):
 
 
 ROW = np.dtype([("us", "<i8"), ("id", "<i8"), ("flag", "<f8")])
+#: Where a block's span begins, its first row's time, its name, parts and rows.
+BLOCK = np.dtype([("begin", "<i8"), ("first", "<i8"), ("name", "<i8"), ("parts", "<i8"), ("n", "<i8")])
 
 
 class RollingFlags(StatefulProcessor):
     """Share of flagged rows among the last ``n`` of a key in the order of their time.
 
-    Rows wait in map state by stretch of time, packed, and a timer at the end of each stretch lets
-    them out in order; of a key's rows no more than a stretch and the last ``n`` are in memory."""
+    Rows wait in map state in blocks, each with the rows of a span of time that begins where the one
+    before ends; a block that has grown beyond twice ``block`` rows is cut.  So what a key costs goes
+    by its rows, not by how many stretches of time they lie in, and of a key's rows no more than
+    ``deal`` new ones or a block (more, if they have the same time) and the last ``n`` are in memory.
+    One timer, at the end of the first stretch in which a row waits, lets out all stretches that the
+    watermark has passed."""
 
-    def __init__(self, n: int, stretch_ms: int, id_col: str):
-        self.n, self.stretch, self.id_col = n, stretch_ms, id_col
+    def __init__(self, n: int, stretch_ms: int, id_col: str, block: int = 8192, deal: int = 65536):
+        self.n, self.stretch, self.id_col, self.block, self.deal = n, stretch_ms, id_col, block, deal
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.tail = handle.getValueState("tail", "flags binary")
-        self.rows = handle.getMapState("rows", "stretch bigint, part int", "rows binary")
-        self.parts = handle.getMapState("parts", "stretch bigint", "n int")
+        self.head = handle.getValueState("head", "flags binary, wake bigint, fresh bigint, blocks binary")
+        self.rows = handle.getMapState("rows", "block bigint, part bigint", "rows binary")
 
     def close(self) -> None:
         pass
 
+    def _load(self) -> None:
+        head = self.head.get()
+        self.tail, self.wake, self.fresh, blocks = (b"", None, 0, b"") if head is None else head
+        self.tail = np.frombuffer(bytes(self.tail), "<f8")
+        self.blocks = np.frombuffer(bytes(blocks), BLOCK)
+
+    def _save(self) -> None:
+        """Write the key's head, and set its timer by the first row that waits."""
+        wake = self._end(int(self.blocks["first"][0])) if len(self.blocks) else None
+        if wake != self.wake:
+            if self.wake is not None and self.wake in set(self.handle.listTimers()):
+                self.handle.deleteTimer(self.wake)
+            if wake is not None:
+                self.handle.registerTimer(wake)
+        self.head.update((self.tail.tobytes(), wake, self.fresh, self.blocks.tobytes()))
+
+    def _end(self, us: int) -> int:
+        return (us // (1000 * self.stretch) + 1) * self.stretch
+
+    def _new(self, rows: np.ndarray) -> np.ndarray:
+        """Blocks of rows in order of time; those of the same time stay together."""
+        cuts = [0]
+        while cuts[-1] < len(rows):
+            end = cuts[-1] + self.block
+            if end < len(rows):
+                end = int(np.searchsorted(rows["us"], rows["us"][end - 1], "right"))
+            cuts.append(min(end, len(rows)))
+        made = np.zeros(len(cuts) - 1, BLOCK)
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            made[i] = (rows["us"][a], rows["us"][a], self.fresh, 1, b - a)
+            self.rows.updateValue((self.fresh, 0), (rows[a:b].tobytes(),))
+            self.fresh += 1
+        return made
+
+    def _take(self, block: np.void) -> np.ndarray:
+        """A block's rows in order, out of the state."""
+        name, parts = int(block["name"]), int(block["parts"])
+        rows = np.concatenate([np.frombuffer(bytes(self.rows.getValue((name, i))[0]), ROW) for i in range(parts)])
+        for i in range(parts):
+            self.rows.removeKey((name, i))
+        return rows[np.lexsort((rows["id"], rows["us"]))]
+
+    def _deal(self, frames: list[np.ndarray]) -> None:
+        rows = np.concatenate(frames)
+        rows = rows[np.argsort(rows["us"], kind="stable")]
+        if not len(self.blocks):
+            self.blocks = self._new(rows)
+            return
+        blocks = self.blocks.copy()
+        at = np.maximum(np.searchsorted(blocks["begin"], rows["us"], "right") - 1, 0)
+        for k, a, b in _runs(at):
+            block = blocks[k]
+            self.rows.updateValue((int(block["name"]), int(block["parts"])), (rows[a:b].tobytes(),))
+            first = min(int(block["first"]), int(rows["us"][a]))
+            blocks[k] = (min(int(block["begin"]), first), first, block["name"], block["parts"] + 1, block["n"] + b - a)
+        large = blocks["n"] > 2 * self.block
+        self.blocks = np.concatenate([x for k in range(len(blocks)) for x in
+                                      ([self._new(self._take(blocks[k]))] if large[k] else [blocks[k:k + 1]])]) if large.any() else blocks
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self._load()
+        frames, n = [], 0
         for pdf in rows:
             packed = np.zeros(len(pdf), ROW)
             packed["us"], packed["id"], packed["flag"] = pdf["us"], pdf[self.id_col], pdf["flag"]
-            stretch = packed["us"] // (1000 * self.stretch)
-            order = np.argsort(stretch, kind="stable")
-            packed, stretch = packed[order], stretch[order]
-            for s, a, b in _runs(stretch):
-                n = self.parts.getValue((s,))[0] if self.parts.containsKey((s,)) else 0
-                self.rows.updateValue((s, n), (packed[a:b].tobytes(),))
-                self.parts.updateValue((s,), (n + 1,))
-                if not n:
-                    self.handle.registerTimer((s + 1) * self.stretch)
+            frames.append(packed)
+            n += len(packed)
+            if n >= self.deal:
+                self._deal(frames)
+                frames, n = [], 0
+        if n:
+            self._deal(frames)
+        self._save()
         return iter(())
         yield
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        s = expiredTimerInfo.getExpiryTimeInMs() // self.stretch - 1
-        if not self.parts.containsKey((s,)):
-            return
-        parts = self.parts.getValue((s,))[0]
-        rows = np.concatenate([np.frombuffer(bytes(self.rows.getValue((s, i))[0]), ROW) for i in range(parts)])
-        for i in range(parts):
-            self.rows.removeKey((s, i))
-        self.parts.removeKey((s,))
-        rows = np.sort(rows, order=["us", "id"])
-        tail = np.frombuffer(bytes(self.tail.get()[0]), "<f8") if self.tail.exists() else np.zeros(0)
-        seq = np.concatenate([tail, rows["flag"]])
+        self._load()
+        if expiredTimerInfo.getExpiryTimeInMs() == self.wake:  # it goes by itself
+            self.wake = None
+        watermark = timerValues.getCurrentWatermarkInMs()
+        # rows of stretches that end before the watermark
+        until = -(-watermark // self.stretch) * self.stretch - self.stretch
+        while len(self.blocks) and self.blocks["first"][0] < 1000 * until:
+            rows = self._take(self.blocks[0])
+            due = int(np.searchsorted(rows["us"], 1000 * until, "left"))
+            self.blocks = np.concatenate([self._new(rows[due:]), self.blocks[1:]])
+            yield self._rates(key, rows[:due])
+        self._save()
+
+    def _rates(self, key, rows: np.ndarray) -> pd.DataFrame:
+        seq = np.concatenate([self.tail, rows["flag"]])
         total = np.concatenate([[0.0], np.cumsum(seq)])
-        ends = np.arange(len(tail) + 1, len(seq) + 1)
+        ends = np.arange(len(self.tail) + 1, len(seq) + 1)
         starts = np.maximum(ends - self.n, 0)
-        self.tail.update((seq[-self.n:].tobytes(),))
-        yield pd.DataFrame({"key": [key[0]] * len(rows), self.id_col: rows["id"], "rate": (total[ends] - total[starts]) / (ends - starts)})
+        self.tail = seq[-self.n:]
+        return pd.DataFrame({"key": [key[0]] * len(rows), self.id_col: rows["id"], "rate": (total[ends] - total[starts]) / (ends - starts)})
 
 
 def _runs(x: np.ndarray) -> Iterator[tuple[int, int, int]]:

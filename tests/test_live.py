@@ -5,6 +5,7 @@ import datetime as dt
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,3 +313,98 @@ def test_m13_m14_sketches_merge_within_their_bound(spark, tmp):
         assert got.keys() - {("c",)} == exact.keys()
         for k, v in exact.items():
             assert abs(got[k] - v) <= bound * v + 1, (k, got[k], v)
+
+
+class _Handle:
+    """State and timers of one key, and how often they were asked."""
+
+    def __init__(self):
+        self.maps, self.timers, self.calls = {}, set(), 0
+
+    def _count(self):
+        self.calls += 1
+
+    def getValueState(self, name, schema):
+        h, kept = self, self.maps.setdefault(name, {})
+
+        class Value:
+            get = staticmethod(lambda: (h._count(), kept.get(0))[1])
+            update = staticmethod(lambda v: (h._count(), kept.__setitem__(0, v))[0])
+            exists = staticmethod(lambda: (h._count(), 0 in kept)[1])
+
+        return Value
+
+    def getMapState(self, name, key_schema, schema):
+        h, kept = self, self.maps.setdefault(name, {})
+
+        class Map:
+            getValue = staticmethod(lambda k: (h._count(), kept[k])[1])
+            updateValue = staticmethod(lambda k, v: (h._count(), kept.__setitem__(k, v))[0])
+            removeKey = staticmethod(lambda k: (h._count(), kept.pop(k))[0])
+            containsKey = staticmethod(lambda k: (h._count(), k in kept)[1])
+
+        return Map
+
+    def registerTimer(self, t):
+        self._count()
+        self.timers.add(t)
+
+    def deleteTimer(self, t):
+        self._count()
+        self.timers.remove(t)
+
+    def listTimers(self):
+        self._count()
+        return iter(sorted(self.timers))
+
+
+def _rolling(processor, triggers, key=("k",)):
+    """Rows put out by triggers ``(rows, watermark)`` of one key, with the trigger each came in."""
+    import types
+
+    handle, out = _Handle(), []
+    processor.init(handle)
+    for k, (rows, watermark) in enumerate(triggers):
+        now = types.SimpleNamespace(getCurrentWatermarkInMs=lambda w=watermark: w)
+        frames = [pd.DataFrame(rows[a:a + 7], columns=["us", "event_id", "flag"]) for a in range(0, len(rows), 7)]
+        if frames:
+            assert not list(processor.handleInputRows(key, iter(frames), now))
+        for t in sorted(t for t in handle.timers if t < watermark):
+            for pdf in processor.handleExpiredTimer(key, now, types.SimpleNamespace(getExpiryTimeInMs=lambda t=t: t)):
+                out += [(k, *r) for r in pdf[["event_id", "rate"]].itertuples(index=False)]
+            handle.timers.remove(t)
+    return out, handle
+
+
+@pytest.mark.parametrize("block, deal", [(4, 10), (16, 1000), (8192, 65536)])
+def test_t2_blocks_against_a_plain_version(block, deal):
+    """Rows out of order over several triggers, blocks that are cut, rows of the same time."""
+    import random
+
+    rnd = random.Random(block)
+    triggers, low, number, rows = [], 0, 0, []
+    for watermark in (0, 500, 2_000, 2_000, 7_500, 30_000, 90_000):
+        new = [(rnd.choice([low + rnd.randrange(40_000), low + 5]) * 1000 + 1, number + i, float(rnd.random() < 0.4)) for i in range(rnd.choice([0, 30, 60]))]
+        number += len(new)
+        rows += [(len(triggers), *r) for r in new]
+        triggers.append((new, watermark))
+        low = watermark
+    got, handle = _rolling(live.RollingFlags(5, 1000, "event_id", block, deal), triggers)
+    order = sorted(rows, key=lambda r: (r[1], r[2]))
+    want = []
+    for i, (came, us, event_id, _) in enumerate(order):
+        end = (us // 1_000_000 + 1) * 1000
+        out = next((k for k, (_, w) in enumerate(triggers) if k >= came and end < w), None)
+        if out is not None:
+            flags = [r[3] for r in order[max(0, i - 4):i + 1]]
+            want.append((out, event_id, sum(flags) / len(flags)))
+    assert len(want) == len(rows) > 100
+    assert sorted((k, i, round(r, 9)) for k, i, r in got) == sorted((k, i, round(r, 9)) for k, i, r in want)
+    assert not handle.maps["rows"] and not handle.timers
+
+
+def test_t2_state_calls_go_by_rows_not_by_stretches():
+    """A thousand rows of a key, each in a stretch of its own."""
+    rows = [(i * 3_600_000_000, i, float(i % 2)) for i in range(1000)]
+    got, handle = _rolling(live.RollingFlags(100, 60_000, "event_id"), [(rows, 0), ([], 4_000_000_000_000)])
+    assert len(got) == 1000 and handle.calls < 30
