@@ -1,20 +1,21 @@
 """Drift detection.
 
 Column drift works on a long table ``(column, side, value)``: values are
-pre-aggregated per (column, value, side), cumulative distributions come from
-the bucket-split running sum (a column with billions of rows is not one
-task), and the per-column results are small."""
+pre-aggregated per (column, value) and written once, cumulative distributions
+come from running sums inside buckets of values (a column with billions of rows
+is not one task), and the per-column results are small."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
+from tessera.llm.common import materialise
 from tessera.operators.profile import distribution_stats, oov_rate, vector_moments
-from tessera.plans.scale import neighbour, running_sum
+from tessera.plans.scale import bucket_of, default_buckets, range_bounds
 
 OOV_DRIFT_THRESHOLD = 0.15
 KS_ALPHA = 0.05
@@ -68,23 +69,31 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
     deciles; ``drifted`` when p < alpha."""
     is_ref = (F.col("side") == ref).cast("long")
     is_cur = (F.col("side") == cur).cast("long")
-    per_val = long.groupBy("column", "value").agg(F.sum(is_ref).alias("nr"), F.sum(is_cur).alias("nc"))
-    # everything else comes from this one table of distinct values; the mean first, so that
-    # the spread is summed round it
-    sums = per_val.groupBy("column").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"),
-                                         F.try_divide(F.sum(F.col("nr") * F.col("value")), F.sum("nr")).alias("_mean"))
+    # everything else comes from this table of distinct values, written once and read four times; the mean
+    # first, so that the spread is summed round it
+    per_val = materialise(long.groupBy("column", "value").agg(F.sum(is_ref).alias("nr"), F.sum(is_cur).alias("nc")))
+    n_buckets = default_buckets(per_val)
+    sums = materialise(per_val.groupBy("column").agg(
+        F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"), F.try_divide(F.sum(F.col("nr") * F.col("value")), F.sum("nr")).alias("_mean"),
+        range_bounds(F.col("value"), n_buckets).alias("_bounds")))
+    c = bucket_of(per_val.join(sums, "column"), F.col("value"), "_bounds", n_buckets).drop("_bounds")
+    # what a bucket needs of the others: counts before it and the first value after it
     off = F.col("value") - F.col("_mean")
-    totals = (per_val.join(sums, "column").groupBy("column", "n_ref", "n_cur")
-              .agg(F.sqrt(F.try_divide(F.sum(F.col("nr") * off * off), F.col("n_ref"))).alias("ref_std")))
-    c = running_sum(per_val, ["nr", "nc"], ["value"], ["column"], name=["cr", "cc"])
-    c = c.join(totals, "column")
+    buckets = c.groupBy("column", "_bucket").agg(F.sum("nr").alias("_nr"), F.sum("nc").alias("_nc"), F.min("value").alias("_first"),
+                                                 F.sum(F.col("nr") * off * off).alias("_sq"))
+    order = Window.partitionBy("column").orderBy("_bucket")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select("column", "_bucket", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in ("nr", "nc")],
+                             F.lead("_first").over(order).alias("_after"), F.sum("_sq").over(Window.partitionBy("column")).alias("_sq"))
+    inside = Window.partitionBy("column", "_bucket").orderBy("value")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    c = c.drop("_mean").join(buckets, ["column", "_bucket"]).select(
+        "column", "n_ref", "n_cur", "value", F.sqrt(F.try_divide("_sq", "n_ref")).alias("ref_std"),
+        (F.col("_before_nr") + F.sum("nr").over(upto)).alias("cr"), (F.col("_before_nc") + F.sum("nc").over(upto)).alias("cc"),
+        F.coalesce(F.lead("value").over(inside), "_after").alias("next_value"))
     # an empty side yields nulls (no test), never a division error
     diff = F.try_divide(F.col("cr"), F.col("n_ref")) - F.try_divide(F.col("cc"), F.col("n_cur"))
-    c = c.withColumn("diff", diff)
-    nxt = neighbour(c, ["column"], ["value"], ["value"], +1, prefix="next_")
-    seg = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0)) * F.abs(F.col("diff"))
-    stats = nxt.groupBy("column", "n_ref", "n_cur", "ref_std").agg(
-        F.max(F.abs("diff")).alias("ks_stat"), F.sum(seg).alias("w1"))
+    seg = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0)) * F.abs(diff)
     # PSI on reference deciles: linear-interpolated percentiles read off the running counts
     at = [F.lit(i / bins) * (F.col("n_ref") - 1) for i in range(1, bins)]
 
@@ -92,11 +101,11 @@ def column_drift(long: DataFrame, ref: str = "reference", cur: str = "current",
         return F.min(F.when(F.col("cr") > rank, F.col("value")))
 
     edge = [value_at(F.floor(r)) + (F.max(r - F.floor(r))) * (value_at(F.ceil(r)) - value_at(F.floor(r))) for r in at]
-    edges = c.where("n_ref > 0").groupBy("column").agg(F.array(*edge).alias("edges"))
-    lb = per_val.join(edges, "column").withColumn(
-        "bin", F.size(F.filter(F.col("edges"), lambda e: e < F.col("value"))))
-    hist = lb.groupBy("column", "bin").agg(F.sum("nr").alias("br"), F.sum("nc").alias("bc"))
-    hist = hist.join(totals.select("column", "n_ref", "n_cur"), "column")
+    stats = materialise(c.groupBy("column", "n_ref", "n_cur", "ref_std").agg(
+        F.max(F.abs(diff)).alias("ks_stat"), F.sum(seg).alias("w1"), F.array(*edge).alias("edges")))
+    below = [F.coalesce((F.get("edges", F.lit(i)) < F.col("value")).cast("int"), F.lit(0)) for i in range(bins - 1)]
+    lb = per_val.join(stats.where("n_ref > 0").select("column", "n_ref", "n_cur", "edges"), "column").withColumn("bin", sum(below, F.lit(0)))
+    hist = lb.groupBy("column", "bin", "n_ref", "n_cur").agg(F.sum("nr").alias("br"), F.sum("nc").alias("bc"))
     pr = F.greatest(F.try_divide(F.col("br"), F.col("n_ref")), F.lit(PSI_FLOOR))
     pc = F.greatest(F.try_divide(F.col("bc"), F.col("n_cur")), F.lit(PSI_FLOOR))
     psi = hist.groupBy("column").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi"))

@@ -51,6 +51,23 @@ def _as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def range_bounds(order: Column, n_buckets: int) -> Column:
+    """Aggregate: rising bounds between so many buckets of about the same number of rows; with few distinct
+    values there are fewer."""
+    return F.array_distinct(F.percentile_approx(order, [i / n_buckets for i in range(1, n_buckets)], 10000))
+
+
+def bucket_of(df: DataFrame, order: Column, bounds: str, n_buckets: int, name: str = "_bucket") -> DataFrame:
+    """Add the number of rising ``bounds`` (less than ``n_buckets``) below ``order``, found by bisection: a row
+    costs the logarithm of their number.  Nulls are in bucket 0."""
+    step = 1 << (n_buckets - 1).bit_length()
+    df = df.withColumn(name, F.lit(0))
+    while step > 1:  # one projection a step, which uses the one before twice
+        step //= 2
+        df = df.withColumn(name, F.col(name) + F.when(F.get(F.col(bounds), F.col(name) + (step - 1)) < order, step).otherwise(0))
+    return df
+
+
 def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None,
                       name: str = "_bucket", partition_cols=None) -> DataFrame:
     """Add a bucket id that is monotone in ``order_col`` and roughly balanced inside each
@@ -59,9 +76,8 @@ def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = Non
     parts = _names(partition_cols)
     if n_buckets <= 1:
         return df.withColumn(name, F.lit(0))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
     d = df.withColumn("_ordx", _as_double(df, order_col))
-    bounds = F.array_distinct(F.percentile_approx("_ordx", qs, 10000)).alias("_bounds")
+    bounds = range_bounds(F.col("_ordx"), n_buckets).alias("_bounds")
     if parts:
         # a small partition has few distinct bounds
         d = join_null_safe(d, d.groupBy(*parts).agg(bounds), parts)
@@ -69,8 +85,7 @@ def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = Non
         # one row of at most n_buckets - 1 doubles: a proven-small broadcast side
         d = d.withColumn("_one", F.lit(1))
         d = d.join(F.broadcast(d.groupBy("_one").agg(bounds)), "_one").drop("_one")
-    return (d.withColumn(name, F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_ordx"))), F.lit(0)))
-            .drop("_bounds", "_ordx"))
+    return bucket_of(d, F.col("_ordx"), "_bounds", n_buckets, name).drop("_bounds", "_ordx")
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], partition_cols=None,

@@ -3,12 +3,13 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import corpus, drift, profile, quality
 from tessera.operators.profile import distribution_stats
-from tessera.plans.scale import exact_quantiles, global_row_number, neighbour, rolling_means, rolling_rows, running_sum, with_range_bucket
+from tessera.plans.scale import bucket_of, exact_quantiles, global_row_number, neighbour, rolling_means, rolling_rows, running_sum, with_range_bucket
 
 
 def _data(spark, n=3000, keys=3):
@@ -142,3 +143,43 @@ def test_running_sum_bounds_each_partition(spark):
     assert sorted(map(tuple, got.select("k", "t", "s").collect())) == sorted(map(tuple, want.select("k", "t", "s").collect()))
     buckets = with_range_bucket(df, "t", 8, partition_cols=["k"]).groupBy("k").agg(F.countDistinct("_bucket")).collect()
     assert all(n >= 7 for _, n in buckets)
+
+
+@pytest.mark.parametrize("n", [2, 3, 8, 9, 32])
+def test_bucket_is_the_number_of_bounds_below(spark, n):
+    """By bisection, not by a look at every bound: nulls, ties, NaN and infinities included."""
+    xs = [None, float("nan"), float("inf"), float("-inf"), *[float(i % 37) for i in range(300)]]
+    for bounds in ([float(i) for i in range(n - 1)], [1.0][:n - 1], [], None, [-1e300] + [40.0] * (n > 2)):
+        df = spark.createDataFrame([(x, bounds) for x in xs], "x double, b array<double>")
+        plain = F.coalesce(F.size(F.filter("b", lambda b: b < F.col("x"))), F.lit(0))
+        out = bucket_of(df, F.col("x"), "b", n)
+        assert out.where(~F.col("_bucket").eqNullSafe(F.greatest(plain, F.lit(0)))).count() == 0
+    assert "lambda" not in with_range_bucket(df.select("x"), "x", n)._jdf.queryExecution().toString()
+
+
+def test_column_drift_against_numpy(spark):
+    """Values that repeat, one-sided and empty columns, a third side; the input is read once."""
+    rnd = np.random.default_rng(5)
+    rows = [(c, s, float(v)) for c, shift, digits in (("a", 0.0, 1), ("b", 0.7, 9)) for s, n, d in (("reference", 400, 0.0), ("current", 300, shift), ("other", 20, 9.0))
+            for v in np.round(rnd.normal(d, 1, n), digits)]
+    rows += [("r", "reference", 1.0), ("r", "reference", 2.0), ("c", "current", 1.0), ("o", "other", 1.0)]
+    long = spark.createDataFrame(rows, "column string, side string, value double").repartition(5)
+    df = drift.column_drift(long)
+    got = {r["column"]: r for r in df.collect()}
+    assert sorted(got) == ["a", "b", "c", "o", "r"]
+    plan = df._jdf.queryExecution().toString()
+    assert "LogicalRDD" not in plan and "Scan ExistingRDD" not in plan and "LocalTableScan" not in plan
+    for c in "ab":
+        ref, cur = (np.sort([v for k, s, v in rows if k == c and s == side]) for side in ("reference", "current"))
+        at = np.unique(np.concatenate([ref, cur]))
+        diff = np.abs(np.searchsorted(ref, at, "right") / len(ref) - np.searchsorted(cur, at, "right") / len(cur))
+        edges = np.quantile(ref, np.arange(1, 10) / 10)
+        pr, pc = (np.bincount(np.searchsorted(edges, x, "left"), minlength=10) / len(x) for x in (ref, cur))
+        used = (pr > 0) | (pc > 0)
+        pr, pc = np.maximum(pr, 1e-4)[used], np.maximum(pc, 1e-4)[used]
+        r = got[c]
+        assert (r.n_ref, r.n_cur) == (400, 300) and r.drifted == (c == "b")
+        assert r.ks_stat == pytest.approx(diff.max()) and r.psi == pytest.approx(((pc - pr) * np.log(pc / pr)).sum())
+        assert r.wasserstein_norm == pytest.approx((np.diff(at) * diff[:-1]).sum() / ref.std())
+    assert (got["r"].n_ref, got["r"].n_cur, got["r"].ks_stat, got["r"].drifted) == (2, 0, None, False)
+    assert (got["c"].n_ref, got["c"].psi, got["o"].n_ref, got["o"].n_cur) == (0, 0.0, 0, 0)
