@@ -22,9 +22,9 @@ from tessera.llm.queries import WORDS, language_model
 
 #: A text stays if the posterior of its language is at least this.
 SURE = 0.5
-#: Rows of a batch that goes to a Python worker, and bytes of a chunk of texts: stages follow one another in
+#: Rows of a batch that goes to a Python worker, and bytes of a chunk and of a slice of texts: stages follow one another in
 #: the same executors, whose memory they share with what the ones before have left.
-BATCH, CHUNK = 1000, 4 << 20
+BATCH, CHUNK, SLICE = 1000, 4 << 20, 2 << 20
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -73,7 +73,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 4096 ids."""
-    pieces = packing.cut(docs, pieces_path(WORDS))
+    pieces = packing.cut(docs, pieces_path(WORDS), most=SLICE)
     return packing.pack(materialise(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))))
 
 

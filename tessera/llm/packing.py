@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import give_back, hold, materialise, n_tasks
-from tessera.llm.shards import Memo, byte_letters, lists, slices
+from tessera.llm.shards import SLICE, Memo, byte_letters, lists, slices
 
 SIZE = 4096
 CLOSE = 1
@@ -143,16 +143,17 @@ def load(path: str) -> Words:
     return Words(path)
 
 
-def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text: str = "text", most: int = SLICE) -> DataFrame:
     """Pieces of at most ``size`` ids of every document: ``doc_id``, ``piece`` (from 0), ``start``
-    (ids of the document before it), ``length`` and ``ids`` (little-endian unsigned 32-bit)."""
+    (ids of the document before it), ``length`` and ``ids`` (little-endian unsigned 32-bit).  Texts are taken
+    about ``most`` bytes at a time: fewer need less of a worker's memory and more time."""
     id_type = df.schema[doc_id].dataType.simpleString()
 
     def run(source):
         hold("packing", load.cache_clear)
         words = load(path)
         for batch in source:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), most):
                 ids, n = words.encode_column(batch.column(1).slice(a, b - a))
                 total = n + 1
                 ends = np.cumsum(total)
@@ -171,7 +172,7 @@ def cut(df: DataFrame, path: str, size: int = SIZE, doc_id: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(a + row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      binary.cast(pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
-            give_back()
+                give_back()
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids binary"
     return df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)

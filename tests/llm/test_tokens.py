@@ -228,3 +228,9 @@ def test_stages_release_what_others_hold(monkeypatch):
     packing.load(common.pieces_path(WORDS)).encode(["some words"])
     common.hold("langid", langid._forget)
     assert not packing.load.cache_info().currsize and list(common._memos) == ["langid"]
+
+
+def test_op9_small_slices_give_the_same_pieces(odd):
+    """Slices of one text each, and of all texts."""
+    rows = [sorted(map(repr, packing.cut(odd, WORDS, 64, most=most).collect())) for most in (1, 1 << 23)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
