@@ -52,6 +52,11 @@ def word_tokens(text: Column) -> Column:
     return F.filter(F.split(text, f"{WS}+"), lambda x: x != F.lit(""))
 
 
+def first_token(text: Column) -> Column:
+    """First whitespace token of a text, the rest of which is not split; null if there is none."""
+    return F.nullif(F.regexp_extract(text, "(?U)\\S+", 0), F.lit(""))
+
+
 def canonical_form(c: Column) -> Column:
     """L4: drop ``[``, ``]`` and ``/`` then strip."""
     return strip_ws(F.translate(c, "[]/", ""))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_fp
 
-from tessera.functions.text import clean_gloss, primary_gloss, word_tokens
+from tessera.functions.text import clean_gloss, first_token, primary_gloss
 
 # Inflection suffixes tried in this list order (first stem found wins).
 SUFFIXES = (
@@ -226,12 +226,12 @@ def oov_tokens(tokens: DataFrame, lex: DataFrame, token_col: str = "token") -> D
 
 
 def attach_tier(items: DataFrame, tiered_lex: DataFrame, text_col: str = "text") -> DataFrame:
-    """Tier of the item's first whitespace token (exact term); default ``rare``.
+    """Tier of the item's first whitespace token (exact term); default ``rare``,
+    also for a null or blank text.
 
     Duplicate terms: the last entry (highest ``seq``) wins."""
     tiers = tiered_lex.groupBy("term").agg(F.max_by("tier", "seq").alias("_tier"))
-    first = F.element_at(word_tokens(F.col(text_col)), 1)
-    return (items.withColumn("term", first)
+    return (items.withColumn("term", first_token(F.col(text_col)))
             .join(tiers, "term", "left")
             .withColumn("tier", F.coalesce("_tier", F.lit("rare")))
             .drop("_tier", "term"))

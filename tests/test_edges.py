@@ -85,3 +85,25 @@ def test_a11_m13_long_gaps(spark):
     log = spark.createDataFrame([(dt.datetime(1990, 1, 1), 1), (dt.datetime(2000, 1, 1), 2)], "ts timestamp_ntz, user_id long")
     windows = metrics.active_users(log, "1 hour").agg(F.count("*"), F.sum("active_users"), F.countDistinct("window_start")).first()
     assert tuple(windows) == (87_649, 2, 87_649)
+
+
+def test_j9_blank_texts(spark, tmp):
+    """A text without a token is no error: its tier is `rare`, as the oracle has it."""
+    import duckdb
+    from tessera.plans.catalog import load_all
+
+    texts = ["cat sat", "  mat x", "\n\tcat", "Cat", "zz cat", "cat\u3000", "", " ", " \t\r\n ", None]
+    want = ["common", "common", "common", "rare", "rare", "common", "rare", "rare", "rare", "rare"]
+    lex = spark.createDataFrame([(1, "cat", "rare"), (2, "cat", "common"), (3, "mat", "common"), (4, "", "common")], "seq long, term string, tier string")
+    rows = [*zip(range(len(texts)), texts, strict=True), (10, "\u3000"), (11, "\xa0\u2003mat")]
+    got = matching.attach_tier(spark.createDataFrame(rows, "doc_id long, text string"), lex)
+    assert {r.doc_id: r.tier for r in got.collect()} == dict(enumerate([*want, "rare", "common"]))
+    # the oracle knows ASCII whitespace only
+    spark.createDataFrame([r for r in rows if not r[1] or r[1].isascii()], "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame([(1, "the cat sat"), (2, "on a mat")], "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    q = load_all()["j9_attach_tier"]
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp}/{t}.parquet/*.parquet')")
+    got = sorted((r.doc_id, r.tier) for r in q.fn(spark, tmp).collect())
+    assert got == sorted(con.execute(q.sql).fetchall()) == [(i, t) for i, t in enumerate(want) if i != 5]
